@@ -40,9 +40,9 @@ DEPS["daily"] = ["daily_raw"]
 VIEWS["panel"] = f"""
 SELECT {zf('g.k', 5)} AS geoid, c.c_name AS county_name, n.n_name AS state_name,
        g.year AS year,
-       CASE WHEN (g.k + g.year) % 23 <> 0 THEN g.avg_price / 10000 END AS outcome,
-       CASE WHEN (g.k + g.year) % 23 <> 0 THEN g.avg_price / 10000 END - 1 AS lower_ci,
-       CASE WHEN (g.k + g.year) % 23 <> 0 THEN g.avg_price / 10000 END + 1 AS upper_ci,
+       CASE WHEN (g.k + g.year) % 23 <> 0 THEN g.avg_price / 10007 END AS outcome,
+       CASE WHEN (g.k + g.year) % 23 <> 0 THEN g.avg_price / 10007 END - 1 AS lower_ci,
+       CASE WHEN (g.k + g.year) % 23 <> 0 THEN g.avg_price / 10007 END + 1 AS upper_ci,
        format('{{:,}}', CAST(1000 * g.n + g.k AS BIGINT)) AS total_population,
        CAST(1000 * g.n + g.k AS BIGINT) AS population,
        CASE WHEN g.k % 50 = 0 THEN -666666666.0
@@ -66,23 +66,23 @@ FROM customer c JOIN nation n ON n.n_nationkey = c.c_nationkey"""
 
 VIEWS["industry_source"] = f"""
 SELECT {zf('o_custkey', 5)} AS geoid, count(*) AS employed_total,
-       count_if(o_orderpriority = '1-URGENT') AS band_1,
-       count_if(o_orderpriority = '2-HIGH') AS band_2,
-       count_if(o_orderpriority = '3-MEDIUM') AS band_3,
-       count_if(o_orderpriority = '4-NOT SPECIFIED') AS band_4,
-       count_if(o_orderpriority = '5-LOW') AS band_5
+       CNTIF(o_orderpriority = '1-URGENT') AS band_1,
+       CNTIF(o_orderpriority = '2-HIGH') AS band_2,
+       CNTIF(o_orderpriority = '3-MEDIUM') AS band_3,
+       CNTIF(o_orderpriority = '4-NOT SPECIFIED') AS band_4,
+       CNTIF(o_orderpriority = '5-LOW') AS band_5
 FROM orders GROUP BY 1"""
 
 VIEWS["education_source"] = f"""
 SELECT {zf('user_id', 5)} AS geoid, count(*) AS education_total,
-       count_if(event_type = 'view') AS level_1, count_if(event_type = 'click') AS level_2,
-       count_if(event_type = 'error') AS level_3, count_if(event_type = 'signup') AS level_4,
-       count_if(event_type = 'purchase') AS level_5
+       CNTIF(event_type = 'view') AS level_1, CNTIF(event_type = 'click') AS level_2,
+       CNTIF(event_type = 'error') AS level_3, CNTIF(event_type = 'signup') AS level_4,
+       CNTIF(event_type = 'purchase') AS level_5
 FROM events GROUP BY 1"""
 
 VIEWS["health_source"] = f"""
 SELECT {zf('l_suppkey', 5)} AS geoid, count(*) AS civilian_total,
-       count_if(l_returnflag = 'A') AS uninsured_a, count_if(l_returnflag = 'R') AS uninsured_r
+       CNTIF(l_returnflag = 'A') AS uninsured_a, CNTIF(l_returnflag = 'R') AS uninsured_r
 FROM lineitem GROUP BY 1"""
 
 VIEWS["period_features"] = f"""
@@ -118,6 +118,20 @@ VIEWS["vectors"] = ("SELECT vec_id AS id, label, "
                     + " FROM embeddings")
 
 
+def finalize(sql: str, text_cols: list[str] = (), digits: int = 6) -> str:
+    """Round every numeric output column (integers are unchanged by
+    DuckDB's ``round``); ``text_cols`` are the non-numeric columns."""
+    if text_cols:
+        keep = ", ".join(text_cols)
+        return f"SELECT {keep}, round(COLUMNS(* EXCLUDE ({keep})), {digits}) FROM ({sql}) _q"
+    return f"SELECT round(COLUMNS(*), {digits}) FROM ({sql}) _q"
+
+
+def cnt(cond: str) -> str:
+    """BIGINT conditional count (DuckDB ``count_if`` returns HUGEINT)."""
+    return f"CAST(count_if({cond}) AS BIGINT)"
+
+
 def _order(names: list[str]) -> list[str]:
     seen: list[str] = []
 
@@ -131,11 +145,28 @@ def _order(names: list[str]) -> list[str]:
     return seen
 
 
+def expand_cntif(sql: str) -> str:
+    """``CNTIF(cond)`` → ``CAST(count_if(cond) AS BIGINT)`` (paren-aware)."""
+    out, i = [], 0
+    while True:
+        j = sql.find("CNTIF(", i)
+        if j < 0:
+            out.append(sql[i:])
+            return "".join(out)
+        out.append(sql[i:j])
+        depth, k = 1, j + 6
+        while depth:
+            depth += {"(": 1, ")": -1}.get(sql[k], 0)
+            k += 1
+        out.append(f"CAST(count_if({expand_cntif(sql[j + 6:k - 1])}) AS BIGINT)")
+        i = k
+
+
 def with_views(sql: str, names: list[str], extra: list[tuple[str, str]] = ()) -> str:
     """Prefix ``sql`` with the CTEs for ``names`` plus ``extra`` (name, body)."""
     ctes = [f"{n} AS ({VIEWS[n]}\n)" for n in _order(names)]
     ctes += [f"{n} AS ({body}\n)" for n, body in extra]
-    return "WITH " + ",\n".join(ctes) + "\n" + sql
+    return expand_cntif("WITH " + ",\n".join(ctes) + "\n" + sql)
 
 
 def rnd(*cols: str, digits: int = 6) -> str:

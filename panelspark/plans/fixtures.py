@@ -65,7 +65,7 @@ def panel(spark: SparkSession, sf_dir: str) -> DataFrame:
                                         F.avg("o_totalprice").alias("avg_price"))
     k, y = F.col("k"), F.col("year")
     pop = (F.lit(1000) * F.col("n") + k).cast("bigint")
-    outcome = F.when((k + y) % 23 != 0, F.col("avg_price") / 10000)
+    outcome = F.when((k + y) % 23 != 0, F.col("avg_price") / 10007)
     return (g.join(cust, "k").join(nation, "c_nationkey")
              .select(zfill(k, 5).alias("geoid"),
                      F.col("c_name").alias("county_name"),
