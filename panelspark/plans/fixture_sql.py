@@ -166,6 +166,8 @@ def with_views(sql: str, names: list[str], extra: list[tuple[str, str]] = ()) ->
     """Prefix ``sql`` with the CTEs for ``names`` plus ``extra`` (name, body)."""
     ctes = [f"{n} AS ({VIEWS[n]}\n)" for n in _order(names)]
     ctes += [f"{n} AS ({body}\n)" for n, body in extra]
+    if not ctes:
+        return expand_cntif(sql)
     return expand_cntif("WITH " + ",\n".join(ctes) + "\n" + sql)
 
 
