@@ -115,11 +115,11 @@ def profile_columns(df: DataFrame, cols: Sequence[str] | None = None,
         aggs.append(d.alias(f"d{i}"))
     row = df.agg(F.count(F.lit(1)).alias("_n"), *aggs)
     stacked = F.inline(F.array(*[
-        F.struct(F.lit(c).alias("column"), F.lit(types[c]).alias("dtype"),
+        F.struct(F.lit(c).alias("feature"), F.lit(types[c]).alias("dtype"),
                  F.col(f"m{i}").alias("missing"), F.col(f"d{i}").alias("n_distinct"))
         for i, c in enumerate(cols)]))
     return (row.select("_n", stacked)
-               .select("column", "dtype", "missing",
+               .select("feature", "dtype", "missing",
                        (F.col("missing") * 100.0 / F.nullif(F.col("_n"), F.lit(0)))
                        .alias("missing_pct"),
                        "n_distinct"))
@@ -194,7 +194,7 @@ def describe(df: DataFrame, cols: Sequence[str]) -> DataFrame:
                  F.percentile(v, 0.75).alias(f"p75{i}"), F.max(v).cast("double").alias(f"max{i}")]
     row = df.agg(*aggs)
     stacked = F.inline(F.array(*[
-        F.struct(F.lit(c).alias("column"),
+        F.struct(F.lit(c).alias("feature"),
                  *[F.col(f"{s}{i}").alias(s) for s in SUMMARY_STATS])
         for i, c in enumerate(cols)]))
     return row.select(stacked)
@@ -210,7 +210,7 @@ def spread(df: DataFrame, cols: Sequence[str]) -> DataFrame:
                  (F.percentile(v, 0.75) - F.percentile(v, 0.25)).alias(f"iqr{i}")]
     row = df.agg(*aggs)
     return row.select(F.inline(F.array(*[
-        F.struct(F.lit(c).alias("column"), F.col(f"range{i}").alias("value_range"),
+        F.struct(F.lit(c).alias("feature"), F.col(f"range{i}").alias("value_range"),
                  F.col(f"variance{i}").alias("variance"), F.col(f"iqr{i}").alias("iqr"))
         for i, c in enumerate(cols)])))
 
@@ -219,7 +219,7 @@ def column_totals(df: DataFrame, cols: Sequence[str]) -> DataFrame:
     """Column sums, one row per column."""
     row = df.agg(*[F.sum(F.col(c)).cast("double").alias(f"t{i}") for i, c in enumerate(cols)])
     return row.select(F.inline(F.array(*[
-        F.struct(F.lit(c).alias("column"), F.col(f"t{i}").alias("total"))
+        F.struct(F.lit(c).alias("feature"), F.col(f"t{i}").alias("total"))
         for i, c in enumerate(cols)])))
 
 

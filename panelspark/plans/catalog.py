@@ -37,4 +37,4 @@ def register(name: str, oracle: str | None = None):
     return deco
 
 
-from panelspark.plans import q_enrichment, q_clean  # noqa: E402,F401  (registers queries)
+from panelspark.plans import q_enrichment, q_clean, q_audit  # noqa: E402,F401  (registers queries)
