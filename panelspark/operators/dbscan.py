@@ -63,8 +63,10 @@ def dense_index(df: DataFrame, col: str, out: str) -> DataFrame:
     (``zipWithIndex``)."""
     spark = df.sparkSession
     ordered = df.select(col).distinct().orderBy(col)
-    rdd = ordered.rdd.zipWithIndex().map(lambda t: (t[0][0], t[1]))
-    return spark.createDataFrame(rdd, f"{col} {dict(ordered.dtypes)[col]}, {out} bigint")
+    dtype = dict(ordered.dtypes)[col]
+    indexed = spark.createDataFrame(ordered.rdd.zipWithIndex(),
+                                    f"r struct<{col}: {dtype}>, {out} bigint")
+    return indexed.select(F.col(f"r.{col}").alias(col), out)
 
 
 def eps_degree(df: DataFrame, eps: float, id_col: str = "id", x: str = "x", y: str = "y"

@@ -98,6 +98,8 @@ def anova(df: DataFrame, value: str, group: str, exclude=(-1,), with_p: bool = T
     out = tot.select("groups", "n_total", "ssb", "ssw", fstat.alias("f_stat"),
                      d1.cast("double").alias("df_between"), d2.cast("double").alias("df_within"))
     if with_p:
+        from panelspark.session import ship_package
+        ship_package(df.sparkSession)
         out = out.withColumn("p_value", F.when(F.col("f_stat").isNotNull(),
                                                f_pvalue("f_stat", "df_between", "df_within")))
     return out

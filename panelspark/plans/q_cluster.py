@@ -132,3 +132,102 @@ FROM long JOIN st ON st.measure = long.measure"""
 def q_standardised_profile(spark, sf_dir):
     """Cluster profile melted and z-scored across clusters."""
     return CL.standardised_profile(_profile(spark, sf_dir), "label", _PROFILE_COLS)
+
+
+# ------------------------------------------------- unsupervised on the panel
+from panelspark.operators import stats as ST  # noqa: E402
+from panelspark.plans import unsupervised as UN  # noqa: E402
+from panelspark.plans.q_enrichment import _enriched  # noqa: E402
+from panelspark.session import cut_lineage  # noqa: E402
+
+# search grids of the registered queries (the library takes any grid)
+EPS_GRID = [0.5, 1.0, 1.5, 2.0]
+MIN_GRID = [5, 20]
+K_GRID = [2, 3, 4]
+RESTARTS = 5
+_UN: dict = {}
+
+_SEARCH_SCHEMA = ("method string, params string, clusters long, noise_pct double, "
+                  "silhouette_embedding double, silhouette_scaled_features double, "
+                  "calinski_harabasz double")
+
+
+def _unsup(spark, sf_dir):
+    key = (id(spark), sf_dir)
+    if key not in _UN:
+        x, feats = UN.cross_section(_enriched(spark, sf_dir))
+        emb, loadings, var = CL.pca_embed(x, feats, 2)
+        emb = cut_lineage(emb)
+        db_rows, db_best, db_lab = UN.search_dbscan(emb, feats, EPS_GRID, MIN_GRID)
+        km_rows, km_best, km_lab = UN.search_kmeans(emb, feats, K_GRID, RESTARTS)
+        assign = (emb.join(db_lab.withColumnRenamed("cluster", "dbscan_cluster"), "id")
+                     .join(km_lab.withColumnRenamed("cluster", "kmeans_cluster"), "id"))
+        _UN[key] = dict(x=x, feats=feats, emb=emb, var=var, db_rows=db_rows, km_rows=km_rows,
+                        db_best=db_best, km_best=km_best, assign=cut_lineage(assign))
+    return _UN[key]
+
+
+def _search_df(spark, rows):
+    cols = ["method", "params", "clusters", "noise_pct", "silhouette_embedding",
+            "silhouette_scaled_features", "calinski_harabasz"]
+    return spark.createDataFrame([tuple(r[c] for c in cols) for r in rows], _SEARCH_SCHEMA)
+
+
+@register("pca_embed")
+def q_pca_embed(spark, sf_dir):
+    """Latest cross-section of the enriched panel, imputed and
+    standardised, projected on 2 principal components."""
+    u = _unsup(spark, sf_dir)
+    return u["emb"].select("geoid", "pca_1", "pca_2")
+
+
+@register("dbscan_search")
+def q_dbscan_search(spark, sf_dir):
+    """DBSCAN over an (eps × min_samples) grid on the PCA embedding."""
+    return _search_df(spark, _unsup(spark, sf_dir)["db_rows"])
+
+
+@register("kmeans_search")
+def q_kmeans_search(spark, sf_dir):
+    """K-means per k with restarts; silhouettes and CH."""
+    return _search_df(spark, _unsup(spark, sf_dir)["km_rows"])
+
+
+@register("method_comparison")
+def q_method_comparison(spark, sf_dir):
+    """The chosen setting of each method side by side."""
+    u = _unsup(spark, sf_dir)
+    return _search_df(spark, [u["db_best"], u["km_best"]])
+
+
+@register("cluster_assignments")
+def q_cluster_assignments(spark, sf_dir):
+    """Keys, outcome, embedding and both cluster labels."""
+    return _unsup(spark, sf_dir)["assign"].select(
+        "geoid", "county_name", "state_name", "outcome", "pca_1", "pca_2",
+        "dbscan_cluster", "kmeans_cluster")
+
+
+@register("cluster_anova")
+def q_cluster_anova(spark, sf_dir):
+    """A27 on clusters: one-way ANOVA of the outcome per method, noise
+    excluded, F and p."""
+    a = _unsup(spark, sf_dir)["assign"]
+    d = ST.anova(a, "outcome", "dbscan_cluster").withColumn("method", F.lit("DBSCAN"))
+    k = ST.anova(a, "outcome", "kmeans_cluster").withColumn("method", F.lit("KMeans"))
+    return d.unionByName(k).select("method", "f_stat", "p_value", "groups")
+
+
+@register("cluster_profiles")
+def q_cluster_profiles(spark, sf_dir):
+    """A19 + K12: per-cluster profile of each method, z-scored across
+    clusters."""
+    a = _unsup(spark, sf_dir)["assign"]
+    spec = {"avg_outcome": ("mean", "outcome"), "avg_aqi_median": ("mean", "aqi_median"),
+            "avg_aqi_max": ("mean", "aqi_max"), "avg_population": ("mean", "population")}
+    out = None
+    for method, col in [("DBSCAN", "dbscan_cluster"), ("KMeans", "kmeans_cluster")]:
+        prof = ag.cluster_profile(a, col, spec).withColumnRenamed(col, "cluster")
+        z = CL.standardised_profile(prof, "cluster", list(spec)).withColumn("method", F.lit(method))
+        out = z if out is None else out.unionByName(z)
+    return out

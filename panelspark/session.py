@@ -42,6 +42,7 @@ def get_session(master: str | None = None, app: str = "panelspark",
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
     ensure_checkpoint_dir(spark)
+    ship_package(spark)
     return spark
 
 
@@ -63,6 +64,28 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     return sc.getCheckpointDir() or conf_dir
 
 
+_SHIPPED: set = set()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Make ``panelspark`` importable in Python workers (pandas UDFs).
+
+    The package is zipped once per application and added with
+    ``addPyFile``, which is how code reaches executors on a cluster too.
+    """
+    sc = spark.sparkContext
+    key = sc.applicationId
+    if key in _SHIPPED:
+        return
+    import shutil
+    pkg = os.path.dirname(os.path.abspath(__file__))
+    out = tempfile.mkdtemp(prefix="panelspark-py-")
+    archive = shutil.make_archive(os.path.join(out, "panelspark"), "zip",
+                                  os.path.dirname(pkg), os.path.basename(pkg))
+    sc.addPyFile(archive)
+    _SHIPPED.add(key)
+
+
 def cut_lineage(df: DataFrame, eager: bool = True) -> DataFrame:
     """Reliable checkpoint into the shared checkpoint folder.
 
