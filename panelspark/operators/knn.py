@@ -108,8 +108,8 @@ def knn_candidates(missing: DataFrame, observed: DataFrame, cols: Sequence[str],
 
 def _start_cell(observed: DataFrame, k: int, period: str) -> float:
     """First cell size from the densest period: radius holding ``k`` points
-    at its mean density, halved so dense clusters finish at the first
-    level.  One small aggregate (a row per period) reaches the driver."""
+    at its mean density, divided by 8 so regions up to 64× denser than the
+    mean still finish with few candidates; sparse rows climb the levels.  One small aggregate (a row per period) reaches the driver."""
     dens = (observed.groupBy(period)
                     .agg(F.count(F.lit(1)).alias("n"),
                          ((F.max("lat") - F.min("lat") + 0.01)
@@ -118,7 +118,23 @@ def _start_cell(observed: DataFrame, k: int, period: str) -> float:
                     .agg(F.max("rho")).first()[0])
     if not dens:
         return 180.0
-    return float(min(180.0, max(0.01, 0.5 * math.sqrt(k / (math.pi * dens)))))
+    return float(min(180.0, max(0.001, math.sqrt(k / (math.pi * dens)) / 8)))
+
+
+def _useful_levels(observed: DataFrame, sizes: list[float], k: int, period: str) -> list[float]:
+    """Drop levels where no 3×3 block can hold ``k`` observed rows (no row
+    could be accepted there).  One aggregate over all levels at once: each
+    observed row is counted in its cell at every level; the driver gets one
+    number per level."""
+    lv = F.explode(F.array(*[F.struct(F.lit(i).alias("lvl"), c[0].alias("ci"), c[1].alias("cj"))
+                             for i, c in enumerate(_cells(F.col("lat"), F.col("lon"), s)
+                                                   for s in sizes)]))
+    counts = (observed.select(period, lv.alias("c"))
+                      .groupBy(period, "c.lvl", "c.ci", "c.cj").agg(F.count(F.lit(1)).alias("n"))
+                      .groupBy("lvl").agg(F.max("n").alias("m")).collect())
+    best = {r["lvl"]: r["m"] for r in counts}
+    keep = [s for i, s in enumerate(sizes) if 9 * best.get(i, 0) >= k or i == len(sizes) - 1]
+    return keep
 
 
 def knn_impute(df: DataFrame, cols: Sequence[str], k: int = 10, period: str = "year",
@@ -139,6 +155,12 @@ def knn_impute(df: DataFrame, cols: Sequence[str], k: int = 10, period: str = "y
     observed = (base.where(all_present & geo_ok)
                     .select(period, F.col("_rid").alias("_oid"), F.col(lat).alias("lat"),
                             F.col(lon).alias("lon"), *cols))
+    # co-located observed rows tie on distance and are taken in id order,
+    # so no more than k of them per exact location can ever be chosen:
+    # keep those (exact) — a hot spot of identical coordinates shrinks to k
+    w = Window.partitionBy(period, "lat", "lon").orderBy("_oid")
+    observed = observed.withColumn("_dup", F.row_number().over(w)).where(F.col("_dup") <= k) \
+                       .drop("_dup")
     todo = (base.where(all_missing & geo_ok)
                 .select(period, F.col("_rid").alias("_mid"), F.col(lat).alias("lat"),
                         F.col(lon).alias("lon")))
@@ -150,6 +172,7 @@ def knn_impute(df: DataFrame, cols: Sequence[str], k: int = 10, period: str = "y
         sizes.append(s)
         s *= 2
     sizes.append(180.0)
+    sizes = _useful_levels(observed, sizes, k, period)
     done = []
     for i, size in enumerate(sizes):
         last = i == len(sizes) - 1
