@@ -98,19 +98,27 @@ def silhouette_exact(df: DataFrame, feats: Sequence[str], label: str, id_col: st
     s(i) = (b − a) / max(a, b); a point alone in its cluster scores 0."""
     keep = df.where(~F.col(label).isin(list(exclude))) if exclude else df
     n_f = len(feats)
-    pts = keep.select(F.col(id_col).alias("i"), F.col(label).alias("li"),
-                      *[F.col(c).cast("double").alias(f"a{k}") for k, c in enumerate(feats)],
+    wide = n_f > 16
+    if wide:  # one array column per side, distance by higher-order functions
+        va = [F.array(*[F.col(c).cast("double") for c in feats]).alias("va")]
+        vb = [F.array(*[F.col(c).cast("double") for c in feats]).alias("vb")]
+    else:  # plain columns: one code-generated expression per pair
+        va = [F.col(c).cast("double").alias(f"a{k}") for k, c in enumerate(feats)]
+        vb = [F.col(c).cast("double").alias(f"b{k}") for k, c in enumerate(feats)]
+    pts = keep.select(F.col(id_col).alias("i"), F.col(label).alias("li"), *va,
                       F.pmod(F.xxhash64(F.col(id_col)), F.lit(blocks)).alias("blk"))
-    other = keep.select(F.col(id_col).alias("j"), F.col(label).alias("lj"),
-                        *[F.col(c).cast("double").alias(f"b{k}") for k, c in enumerate(feats)],
+    other = keep.select(F.col(id_col).alias("j"), F.col(label).alias("lj"), *vb,
                         F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))).alias("blk"))
     pairs = pts.join(other, "blk")
-    # plain column arithmetic: one code-generated expression per pair
-    sq = None
-    for k in range(n_f):
-        t = (F.col(f"a{k}") - F.col(f"b{k}")) * (F.col(f"a{k}") - F.col(f"b{k}"))
-        sq = t if sq is None else sq + t
-    dist = F.sqrt(sq)
+    if wide:
+        dist = F.sqrt(F.aggregate(F.zip_with("va", "vb", lambda a, b: (a - b) * (a - b)),
+                                  F.lit(0.0), lambda acc, v: acc + v))
+    else:
+        sq = None
+        for k in range(n_f):
+            t = (F.col(f"a{k}") - F.col(f"b{k}")) * (F.col(f"a{k}") - F.col(f"b{k}"))
+            sq = t if sq is None else sq + t
+        dist = F.sqrt(sq)
     sums = (pairs.where(F.col("i") != F.col("j"))
                  .groupBy("i", "li", "lj").agg(F.sum(dist).alias("dsum"),
                                                F.count(F.lit(1)).alias("cnt")))

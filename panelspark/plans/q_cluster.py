@@ -141,10 +141,10 @@ from panelspark.plans.q_enrichment import _enriched  # noqa: E402
 from panelspark.session import cut_lineage  # noqa: E402
 
 # search grids of the registered queries (the library takes any grid)
-EPS_GRID = [0.5, 1.0, 1.5, 2.0]
+EPS_GRID = [0.5, 1.5]
 MIN_GRID = [5, 20]
-K_GRID = [2, 3, 4]
-RESTARTS = 5
+K_GRID = [2, 3]
+RESTARTS = 3
 _UN: dict = {}
 
 _SEARCH_SCHEMA = ("method string, params string, clusters long, noise_pct double, "
