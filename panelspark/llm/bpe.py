@@ -41,7 +41,7 @@ SPLIT = (r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^" + SPACE + r"\p{L}\p{N
          + SPACE + r"]+(?![^" + SPACE + r"])|[" + SPACE + r"]+")
 #: Texts are worked through in blocks of about so many characters, and the
 #: words remembered between blocks take about so many bytes at most.
-BLOCK_CHARS, MEMO_BYTES, MEMO_PAIRS = 2_000_000, 160_000_000, 1_000_000
+BLOCK_CHARS, MEMO_BYTES, MEMO_PAIRS = 1_000_000, 64_000_000, 400_000
 
 
 def byte_letters() -> dict[str, int]:
@@ -52,20 +52,27 @@ def byte_letters() -> dict[str, int]:
     return {chr(b): b for b in shown} | {chr(256 + k): b for k, b in enumerate(rest)}
 
 
+def token_bytes(spec: dict) -> list[bytes]:
+    """The bytes that each id stands for."""
+    letters = byte_letters()
+    special = {t["content"]: t["id"] for t in spec["added_tokens"]}
+    vocab = spec["model"]["vocab"]
+    out = [b""] * (1 + max([*vocab.values(), *special.values()]))
+    for name, i in vocab.items():
+        out[i] = bytes(letters[c] for c in name) if name not in special else name.encode()
+    for name, i in special.items():
+        out[i] = name.encode()
+    return out
+
+
 class Vocabulary:
     """Tokens, merges and special tokens of a tokenizer file."""
 
     def __init__(self, text: str):
         spec = json.loads(text)
-        letters = byte_letters()
         self.special = {t["content"]: t["id"] for t in spec["added_tokens"]}
-        self.token = {bytes(letters[c] for c in name): i for name, i in spec["model"]["vocab"].items()
-                      if name not in self.special}
-        self.bytes_of: list[bytes] = [b""] * (1 + max([*self.token.values(), *self.special.values()]))
-        for data, i in self.token.items():
-            self.bytes_of[i] = data
-        for name, i in self.special.items():
-            self.bytes_of[i] = name.encode()
+        self.bytes_of = token_bytes(spec)
+        self.token = {self.bytes_of[i]: i for name, i in spec["model"]["vocab"].items() if name not in self.special}
         self.four = [i.to_bytes(4, "little") for i in range(len(self.bytes_of))]
         self.size = list(map(len, self.bytes_of))
         names = spec["model"]["vocab"]
@@ -234,6 +241,11 @@ def _encoder(spec: str) -> TextEncoder:
     return TextEncoder(Vocabulary(spec))
 
 
+@functools.lru_cache(maxsize=2)
+def _pieces(spec: str) -> list[bytes]:
+    return token_bytes(json.loads(spec))
+
+
 def _blocks(texts: list[str]) -> Iterator[list[str]]:
     block, size = [], 0
     for t in texts:
@@ -286,7 +298,7 @@ def decode(encoded: DataFrame, path: str, keep: tuple[str, ...] = ("doc_id", "n_
     out = T.StructType([*[encoded.schema[c] for c in keep], T.StructField("decoded", T.StringType())])
 
     def texts_of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        piece = _encoder(spec.value).trie.v.bytes_of.__getitem__
+        piece = _pieces(spec.value).__getitem__
         for batch in batches:
             for at in range(0, batch.num_rows, 256):
                 part = batch.slice(at, 256)
