@@ -2,9 +2,10 @@
 
 Every rule looks at a few numbers of a text and votes good, bad or nothing.
 How far a rule can be trusted is not set by hand: expectation-maximisation
-over all documents estimates, per rule, how often its votes on good and on
-bad documents are right, and the share of good ones; a document's posterior
-probability of being good then decides instead of all rules having to pass.
+over all documents estimates, per rule and kind of vote, how large a share
+of the good and of the bad documents gets it, and the share of good ones; a
+document's posterior probability of being good then decides instead of all
+rules having to pass.
 The estimation needs only how often each pattern of votes occurs (one
 grouped count; at most 3 to the power of the number of rules), so its
 rounds run on that small table.  DataFrame functions throughout.
@@ -28,21 +29,23 @@ from pyspark.sql import functions as F
 from panelspark.llm.common import WORD, ready, stored
 
 SYMBOLS, CAPITALS = "#*$%&|<>", "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
-#: Rounds of EM; prior weight of a rule's accuracy (as so many right and
-#: wrong votes); the posterior from which a document is kept.
-ROUNDS, RIGHT, WRONG, KEEP = 25, 8.0, 2.0, 0.5
+#: Rounds of EM; the weight of the starting values beside the counts, as a
+#: share of all documents; the posterior from which a document is kept.
+ROUNDS, WEIGHT, KEEP = 25, 0.3, 0.5
+#: Where EM starts: most documents are good; a rule faults few good and some
+#: of the bad documents, and praises most good and some bad ones.
+PRIOR, START = 0.8, {"bad": (0.02, 0.3), "good": (0.8, 0.4)}
 
 #: (name, votes bad if, votes good if), in SQL of Spark and of DuckDB alike.
 RULES = [
-    ("symbols", "10 * n_symbols > n_words", "n_symbols = 0"),
-    ("repeats", "100 * n_repeat_words > 30 * n_words", "100 * n_repeat_words < 10 * n_words"),
-    ("lines", "100 * n_dup_lines > 25 * n_lines", "n_dup_lines = 0 AND n_lines > 1"),
-    ("bangs", "10 * n_bangs > 3 * n_words", "20 * n_bangs < n_words"),
-    ("capitals", "10 * n_capitals > 3 * word_chars", "20 * n_capitals < 3 * word_chars"),
-    ("lengths", "word_chars < 2 * n_words OR word_chars > 14 * n_words",
-     "word_chars >= 3 * n_words AND word_chars <= 10 * n_words"),
-    ("stops", "200 * n_stops < n_words", "50 * n_stops >= n_words"),
-    ("size", "n_words < 20", "n_words >= 80"),
+    ("symbols", "10 * n_symbols > n_words", "FALSE"),
+    ("repeats", "100 * n_repeat_words > 30 * n_words", "FALSE"),
+    ("lines", "100 * n_dup_lines > 25 * n_lines", "FALSE"),
+    ("bangs", "10 * n_bangs > 3 * n_words", "FALSE"),
+    ("capitals", "10 * n_capitals > 3 * word_chars", "FALSE"),
+    ("lengths", "word_chars < 2 * n_words OR word_chars > 14 * n_words", "FALSE"),
+    ("unstopped", "200 * n_stops < n_words", "FALSE"),
+    ("prose", "FALSE", "n_symbols = 0 AND 20 * n_bangs < n_words AND 50 * n_stops >= n_words"),
 ]
 BASE_FAILED = "n_words < 50 OR 100 * n_repeat_words > 50 * n_words"
 
@@ -86,35 +89,39 @@ def vote(bad: str, good: str) -> Column:
 
 
 def posterior(model: dict) -> Column:
-    """Probability of being good, from a document's votes."""
+    """Probability of being good, from the votes cast (no vote, no evidence)."""
     odds = F.lit(math.log(model["prior"] / (1 - model["prior"])))
-    for name, a, b in model["rules"]:
-        odds = odds + F.when(F.col(name) == 1, math.log(a / (1 - b))).when(
-            F.col(name) == -1, math.log((1 - a) / b)).otherwise(0.0)
+    for name, shares in model["rules"].items():
+        for v, kind in ((-1, "bad"), (1, "good")):
+            good, bad = shares[kind]
+            odds = odds + F.when(F.col(name) == v, math.log(good / bad)).otherwise(0.0)
     return 1 / (1 + F.exp(-odds))
 
 
 def fit(votes: DataFrame, rounds: int = ROUNDS) -> dict:
-    """EM over the counts of vote patterns.  For each rule, a is the share of
-    right votes on good documents and b that on bad ones."""
+    """EM over the counts of vote patterns: the share of good documents, and
+    per rule and kind of vote the shares of good and of bad documents that get
+    it; their ratio is how far the vote can be trusted.  The starting values
+    stay in as pseudo-documents, which keeps the classes what they are named."""
     names = [name for name, *_ in RULES]
     patterns = stored(votes.groupBy(*names).agg(F.count(F.lit(1)).alias("n")).coalesce(1), "votes")
-    model = {"prior": 0.8, "rules": [(name, 0.8, 0.8) for name in names]}
+    model = {"prior": PRIOR, "rules": {name: dict(START) for name in names}}
     for _ in range(rounds):
-        p = posterior(model)
-        sums = [F.sum(F.col("n") * p).alias("good"), F.sum("n").alias("all")]
+        good = F.col("n") * posterior(model)
+        sums = [F.sum(good).alias("good"), F.sum("n").alias("all")]
         for name in names:
-            v = F.col(name)
-            sums += [F.sum(F.when(v == 1, F.col("n") * p).otherwise(0.0)).alias(f"{name}_gg"),
-                     F.sum(F.when(v == -1, F.col("n") * p).otherwise(0.0)).alias(f"{name}_gb"),
-                     F.sum(F.when(v == -1, F.col("n") * (1 - p)).otherwise(0.0)).alias(f"{name}_bb"),
-                     F.sum(F.when(v == 1, F.col("n") * (1 - p)).otherwise(0.0)).alias(f"{name}_bg")]
+            for v, kind in ((-1, "bad"), (1, "good")):
+                here = F.col(name) == v
+                sums += [F.sum(F.when(here, good).otherwise(0.0)).alias(f"{name}_{kind}_g"),
+                         F.sum(F.when(here, F.col("n")).otherwise(0.0)).alias(f"{name}_{kind}")]
         s = patterns.agg(*sums).first()
         if not s["all"]:
             return model
-        model = {"prior": (s["good"] + RIGHT) / (s["all"] + RIGHT + WRONG), "rules": [
-            (name, (s[f"{name}_gg"] + RIGHT) / (s[f"{name}_gg"] + s[f"{name}_gb"] + RIGHT + WRONG),
-             (s[f"{name}_bb"] + RIGHT) / (s[f"{name}_bb"] + s[f"{name}_bg"] + RIGHT + WRONG)) for name in names]}
+        g, b, w = s["good"], s["all"] - s["good"], WEIGHT * s["all"]
+        model = {"prior": (g + w * PRIOR) / (g + b + w), "rules": {name: {
+            kind: ((s[f"{name}_{kind}_g"] + w * START[kind][0]) / (g + w),
+                   (s[f"{name}_{kind}"] - s[f"{name}_{kind}_g"] + w * START[kind][1]) / (b + w))
+            for kind in START} for name in names}}
     return model
 
 
@@ -136,19 +143,19 @@ def oracle(rounds: int = ROUNDS, keep: float = KEEP) -> str:
     """The same in DuckDB, EM written out round by round."""
     names = [name for name, *_ in RULES]
     odds = "ln(m.prior / (1 - m.prior))" + "".join(
-        f" + CASE {x} WHEN 1 THEN ln(m.{x}_a / (1 - m.{x}_b)) WHEN -1 THEN ln((1 - m.{x}_a) / m.{x}_b) ELSE 0 END"
+        f" + CASE {x} WHEN -1 THEN ln(m.{x}_bad_g / m.{x}_bad_b) WHEN 1 THEN ln(m.{x}_good_g / m.{x}_good_b) ELSE 0 END"
         for x in names)
     p = f"(1 / (1 + exp(-({odds}))))"
     votes = ", ".join(f"CASE WHEN {bad} THEN -1 WHEN {good} THEN 1 ELSE 0 END AS {x}" for x, bad, good in RULES)
-    steps = []
-    for k in range(rounds):
-        def share(x, v, q, other):
-            hit, miss = (f"sum(CASE WHEN {x} = {w} THEN n * {q} ELSE 0 END)" for w in (v, other))
-            return f"({hit} + {RIGHT}) / ({hit} + {miss} + {RIGHT + WRONG})"
-        cols = ", ".join(f"{share(x, 1, 'p', -1)} AS {x}_a, {share(x, -1, '(1 - p)', 1)} AS {x}_b" for x in names)
-        steps.append(f"m{k + 1} AS MATERIALIZED (SELECT (sum(n * p) + {RIGHT}) / (sum(n) + {RIGHT + WRONG}) AS prior, "
-                     f"{cols} FROM (SELECT c.*, {p} AS p FROM patterns c, m{k} m))")
-    first = ", ".join(f"0.8::DOUBLE AS {x}_a, 0.8::DOUBLE AS {x}_b" for x in names)
+    shares = ", ".join(
+        f"(sum(CASE WHEN {x} = {v} THEN n * {q} ELSE 0 END) + {WEIGHT * START[kind][k]} * sum(n)) / "
+        f"(sum(n * {q}) + {WEIGHT} * sum(n)) "
+        f"AS {x}_{kind}_{c}" for x in names for v, kind in ((-1, "bad"), (1, "good"))
+        for k, (q, c) in enumerate((("p", "g"), ("(1 - p)", "b"))))
+    steps = [f"m{k + 1} AS MATERIALIZED (SELECT (sum(n * p) + {WEIGHT * PRIOR} * sum(n)) / ({1 + WEIGHT} * sum(n)) AS prior, {shares} "
+             f"FROM (SELECT c.*, {p} AS p FROM patterns c, m{k} m))" for k in range(rounds)]
+    first = ", ".join(f"{START[kind][k]}::DOUBLE AS {x}_{kind}_{c}" for x in names for kind in START
+                      for k, c in enumerate("gb"))
     return rf"""
 WITH t AS (SELECT doc_id, coalesce(text, '') AS t, row_number() OVER () AS row FROM documents),
 w AS (SELECT *, regexp_extract_all(t, '[^\x20\x09-\x0D]+') AS w,
@@ -165,7 +172,7 @@ f AS (SELECT doc_id, row, len(w) AS n_words, length(regexp_replace(t, '[\x20\x09
       FROM w LEFT JOIN r USING (row)),
 v AS MATERIALIZED (SELECT *, {BASE_FAILED} AS base_failed, {votes} FROM f),
 patterns AS MATERIALIZED (SELECT {', '.join(names)}, count(*) AS n FROM v GROUP BY ALL),
-m0 AS MATERIALIZED (SELECT 0.8::DOUBLE AS prior, {first}),
+m0 AS MATERIALIZED (SELECT {PRIOR}::DOUBLE AS prior, {first}),
 {', '.join(steps)}
 SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
        NOT base_failed AND {p} >= {keep} AS kept
