@@ -31,9 +31,10 @@ from panelspark.llm.common import ready
 from panelspark.llm.labelled import fold, sample
 
 #: The training sample's bounds, the hash space, the vectors' length, how
-#: many training documents must have a term, passes, step and shrinkage.
+#: many training documents must have a term, passes, step, shrinkage, and how
+#: many standard errors a term's shares among the two kinds must differ by.
 TRAIN_ROWS, TRAIN_BYTES, BUCKETS, RANK, LEAST_DOCS = 6000, 65536, 1 << 18, 6, 4
-PASSES, STEP, SHRINK, THRESHOLD = 12, 0.12, 2e-3, 0.7
+PASSES, STEP, SHRINK, SIGMAS, THRESHOLD = 12, 0.2, 1e-4, 5.0, 0.7
 WORDS = re.compile(r"[^\W\d_]+")
 STEM = 5
 
@@ -79,11 +80,22 @@ def fit(rows: list[tuple[str, int]], seed: int = 11) -> Machine:
     for s in sets:
         for b in s:
             counts[b] = counts.get(b, 0) + 1
-    slot = {b: k for k, b in enumerate(sorted(b for b, n in counts.items() if n >= LEAST_DOCS))}
     rng = np.random.default_rng(seed)
-    model = Machine(bias, slot, np.zeros(len(slot)), rng.normal(0, 0.01, (len(slot), RANK)))
-    if not slot or y.min() == y.max():
+    if not len(y) or y.min() == y.max():
         return Machine(bias, {}, np.zeros(0), np.zeros((0, RANK)))
+    toxic: dict[int, int] = {}
+    for s, v in zip(sets, y):
+        for b in s if v else ():
+            toxic[b] = toxic.get(b, 0) + 1
+    ones, zeros = y.sum(), len(y) - y.sum()
+
+    def tells(b: int, n: int) -> bool:
+        """Do the kinds have this term differently, beyond chance?"""
+        k, p = toxic.get(b, 0), n / len(y)
+        return abs(k / ones - (n - k) / zeros) >= SIGMAS * (p * (1 - p) * (1 / ones + 1 / zeros)) ** 0.5
+
+    slot = {b: k for k, b in enumerate(sorted(b for b, n in counts.items() if n >= LEAST_DOCS and tells(b, n)))}
+    model = Machine(bias, slot, np.zeros(len(slot)), rng.normal(0, 0.01, (len(slot), RANK)))
     at = [model.slots(s) for s in sets]
     w, v = model.weight, model.vector
     gw, gv, gb = np.full(len(w), 1e-2), np.full(v.shape, 1e-2), 1e-2
@@ -102,10 +114,7 @@ def fit(rows: list[tuple[str, int]], seed: int = 11) -> Machine:
             dv = g * (x.sum(0) - x) + SHRINK * x
             gv[i] += dv * dv
             v[i] -= 0.3 * STEP * dv / np.sqrt(gv[i])
-    # terms that learned next to nothing would only add noise to long texts
-    strong = np.flatnonzero(np.abs(w) + np.abs(v).max(1) > 0.02)
-    place = {int(k): j for j, k in enumerate(strong)}
-    return Machine(model.bias, {b: place[k] for b, k in slot.items() if k in place}, w[strong], v[strong])
+    return model
 
 
 def trained(docs: DataFrame, labels: DataFrame, rows: int = TRAIN_ROWS) -> Machine:
