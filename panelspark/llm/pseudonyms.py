@@ -177,11 +177,12 @@ def pseudonymise(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     df = df.select("doc_id", "t", F.regexp_extract_all("t", F.lit(ANY), F.lit(0)).alias("found"))
     df = df.select("doc_id", "t", F.transform("found", lambda m: replaced(m, key)).alias("new"))
     gaps = F.split("t", ANY, -1)
-    text = F.when(F.size("new") == 0, F.col("t")).otherwise(F.concat(F.array_join(F.zip_with(
-        gaps, "new", lambda g, r: F.concat(g, F.coalesce(r["value"], F.lit("")))), ""), F.lit("")))
-    counts = [F.coalesce(F.size(F.filter("new", lambda r, k=name: r["kind"].eqNullSafe(F.lit(k)))), F.lit(0))
-              .cast("long").alias(f"n_{name}") for name, _ in KINDS]
-    df = df.select("doc_id", F.when(F.col("t").isNotNull(), text).alias("text"),
-                   *[F.when(F.col("t").isNull(), F.lit(0).cast("long")).otherwise(c).alias(f"n_{name}")
-                     for (name, _), c in zip(KINDS, counts)])
+    text = F.when(F.size("new") == 0, F.col("t")).otherwise(F.array_join(F.zip_with(
+        gaps, "new", lambda g, r: F.concat(g, F.coalesce(r["value"], F.lit("")))), ""))
+
+    def found(name: str) -> Column:
+        of_kind = F.size(F.filter("new", lambda r: r["kind"].eqNullSafe(F.lit(name))))
+        return F.when(F.col("t").isNull(), F.lit(0)).otherwise(of_kind).cast("long").alias(f"n_{name}")
+
+    df = df.select("doc_id", F.when(F.col("t").isNotNull(), text).alias("text"), *[found(name) for name, _ in KINDS])
     return df.withColumn("n_found", sum((F.col(f"n_{name}") for name, _ in KINDS), F.lit(0).cast("long")))
