@@ -8,7 +8,7 @@ document's posterior probability of being good then decides instead of all
 rules having to pass.
 The estimation needs only how often each pattern of votes occurs (one
 grouped count; at most 3 to the power of the number of rules), so its
-rounds run on that small table.  DataFrame functions throughout.
+rounds fold over one small row.  DataFrame functions throughout.
 
 Repeated 3-word windows are found inside the row: the windows' 64-bit
 hashes are sorted with their positions and neighbours compared, so a text
@@ -98,31 +98,68 @@ def posterior(model: dict) -> Column:
     return 1 / (1 + F.exp(-odds))
 
 
+def _let(value: Column, body) -> Column:
+    """``body`` of a value that is computed once."""
+    return F.transform(F.array(value), body)[0]
+
+
+def _sum(values: Column) -> Column:
+    return F.aggregate(values, F.lit(0.0), lambda s, x: s + x)
+
+
+def em_round(patterns: Column, state: Column, size: int) -> Column:
+    """One round of EM: ``patterns`` is an array of (v, n), ``state`` an array
+    of the prior and, per rule, the shares of good and of bad documents voted
+    bad, then of those voted good."""
+    rules = F.sequence(F.lit(0), F.lit(size - 1))
+
+    def evidence(p):
+        def one(s, j):
+            at = 4 * j
+            return s + F.when(F.get(p["v"], j) == -1, F.log(F.get(state, at + 1) / F.get(state, at + 2))).when(
+                F.get(p["v"], j) == 1, F.log(F.get(state, at + 3) / F.get(state, at + 4))).otherwise(0.0)
+        prior = F.get(state, F.lit(0))
+        return p["n"] / (1 + F.exp(-F.aggregate(rules, F.log(prior / (1 - prior)), one)))
+
+    weighed = F.transform(patterns, lambda p: F.struct(p["v"].alias("v"), p["n"].alias("n"), evidence(p).alias("g")))
+
+    def after(w):
+        everything = _sum(F.transform(w, lambda p: p["n"]))
+        good = _sum(F.transform(w, lambda p: p["g"]))
+
+        def shares(totals):
+            n, g = totals["n"], totals["g"]
+
+            def rule(j):
+                out = []
+                for v, kind in ((-1, "bad"), (1, "good")):
+                    here = F.filter(w, lambda p: F.get(p["v"], j) == v)  # noqa: B023
+                    as_good = _sum(F.transform(here, lambda p: p["g"]))
+                    as_bad = _sum(F.transform(here, lambda p: p["n"] - p["g"]))
+                    out += [(as_good + WEIGHT * START[kind][0] * n) / (g + WEIGHT * n),
+                            (as_bad + WEIGHT * START[kind][1] * n) / (n - g + WEIGHT * n)]
+                return F.array(*out)
+            return F.concat(F.array((g + WEIGHT * PRIOR * n) / ((1 + WEIGHT) * n)), F.flatten(F.transform(rules, rule)))
+        return _let(F.struct(everything.alias("n"), good.alias("g")), shares)
+    return _let(weighed, after)
+
+
 def fit(votes: DataFrame, rounds: int = ROUNDS) -> dict:
     """EM over the counts of vote patterns: the share of good documents, and
     per rule and kind of vote the shares of good and of bad documents that get
     it; their ratio is how far the vote can be trusted.  The starting values
-    stay in as pseudo-documents, which keeps the classes what they are named."""
+    stay in as pseudo-documents, which keeps the classes what they are named.
+    All rounds fold over one row that holds the patterns (3 to the power of
+    the number of rules at most)."""
     names = [name for name, *_ in RULES]
-    patterns = stored(votes.groupBy(*names).agg(F.count(F.lit(1)).alias("n")).coalesce(1), "votes")
-    model = {"prior": PRIOR, "rules": {name: dict(START) for name in names}}
-    for _ in range(rounds):
-        good = F.col("n") * posterior(model)
-        sums = [F.sum(good).alias("good"), F.sum("n").alias("all")]
-        for name in names:
-            for v, kind in ((-1, "bad"), (1, "good")):
-                here = F.col(name) == v
-                sums += [F.sum(F.when(here, good).otherwise(0.0)).alias(f"{name}_{kind}_g"),
-                         F.sum(F.when(here, F.col("n")).otherwise(0.0)).alias(f"{name}_{kind}")]
-        s = patterns.agg(*sums).first()
-        if not s["all"]:
-            return model
-        g, b, w = s["good"], s["all"] - s["good"], WEIGHT * s["all"]
-        model = {"prior": (g + w * PRIOR) / (g + b + w), "rules": {name: {
-            kind: ((s[f"{name}_{kind}_g"] + w * START[kind][0]) / (g + w),
-                   (s[f"{name}_{kind}"] - s[f"{name}_{kind}_g"] + w * START[kind][1]) / (b + w))
-            for kind in START} for name in names}}
-    return model
+    first = [PRIOR, *[share for _ in names for kind in ("bad", "good") for share in START[kind]]]
+    patterns = votes.groupBy(F.array(*names).alias("v")).agg(F.count(F.lit(1)).cast("double").alias("n"))
+    row = patterns.agg(F.sort_array(F.collect_list(F.struct("v", "n"))).alias("p"))
+    state = F.aggregate(F.sequence(F.lit(1), F.lit(rounds)), F.array(*[F.lit(x) for x in first]),
+                        lambda s, _: em_round(F.col("p"), s, len(names)))
+    got = row.select(F.when(F.size("p") > 0, state).alias("s")).first()["s"] or first
+    return {"prior": got[0], "rules": {name: {"bad": got[4 * j + 1:4 * j + 3], "good": got[4 * j + 3:4 * j + 5]}
+                                       for j, name in enumerate(names)}}
 
 
 def weak_quality(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
