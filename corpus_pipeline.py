@@ -10,20 +10,35 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from panelspark.llm import bpe, chunks
+from panelspark.llm import bpe, chunks, mixing, setjoin, toxicity
 from panelspark.llm.common import stored
 from panelspark.session import read_table
 
 
-def without(docs: DataFrame, gone: DataFrame) -> DataFrame:
-    """``docs`` less the rows whose doc_id is in ``gone``."""
-    return docs.join(gone.select(F.col("doc_id").alias("gone_")).distinct(),
-                     F.col("doc_id").eqNullSafe(F.col("gone_")), "left_anti")
+def toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the factorization machine rejects go."""
+    return toxicity.without_toxic(docs, read_table(spark, sf_dir, "labels"))
 
 
 def exact_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of equal texts one document stays."""
-    return without(docs, chunks.exact_dedup(docs).where(~F.col("kept")))
+    """Of equal texts one row stays.  ``docs`` is read from files, so the
+    rows' numbers are the same each time they are read."""
+    numbered = docs.withColumn("row_", F.monotonically_increasing_id())
+    gone = chunks.exact_dedup(numbered, row_col="row_").where(~F.col("kept"))
+    return numbered.join(gone.select(F.col("row").alias("row_")), "row_", "left_anti").select(*docs.columns)
+
+
+def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Of each component of near copies the document with the smallest id
+    stays; documents without an id stay too."""
+    groups = setjoin.near_duplicates(docs)
+    gone = groups.where(F.col("doc_id") != F.col("component_id")).select(F.col("doc_id").alias("gone_")).distinct()
+    return docs.join(gone, F.col("doc_id") == F.col("gone_"), "left_anti")
+
+
+def mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Each document as often as the mix takes it, up to three times."""
+    return mixing.repeated(docs, mixing.mix(docs))
 
 
 def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -31,7 +46,8 @@ def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return bpe.digests(docs, str(public_tokenizers.path("byte_bpe_50k.json")))
 
 
-STAGES = [("exact_dedup", exact_duplicates), ("bpe", tokens)]
+STAGES = [("toxicity", toxic), ("exact_dedup", exact_duplicates), ("near_duplicates", near_duplicates),
+          ("mixing", mixed), ("bpe", tokens)]
 
 #: Stages that fit a model or sample have no SQL.
 ORACLE_SQL = None

@@ -23,7 +23,7 @@ def query(name: str, oracle: str | None = None):
 @query("op4_exact_dedup", chunks.ORACLE)
 def op4_exact_dedup(spark, sf_dir):
     """Copies of every document, by chunk recipes."""
-    return chunks.exact_dedup(read_table(spark, sf_dir, "documents"))
+    return chunks.exact_dedup(read_table(spark, sf_dir, "documents")).drop("row")
 
 
 @query("op8_bpe")

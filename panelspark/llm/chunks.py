@@ -120,40 +120,40 @@ def clashes(docs: DataFrame, text_col: str, width: int, **cut) -> int:
             .where("variants > 1").count())
 
 
-def recipes(docs: DataFrame, id_col: str, text_col: str, width: int, **cut) -> DataFrame:
-    """(doc_id, n_points, recipe, text_sha256): the identifiers of a text in
-    order, packed into one binary of ``width`` bytes each."""
+def recipes(docs: DataFrame, id_col: str, text_col: str, width: int, row_col: str | None = None, **cut) -> DataFrame:
+    """(doc_id, n_points, row, recipe, text_sha256): the identifiers of a text
+    in order, packed into one binary of ``width`` bytes each."""
     id_type = docs.schema[id_col].dataType.simpleString()
 
     def lists(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             recipe, digest = [], []
-            for text in _binary(batch.column(2)):
+            for text in _binary(batch.column(3)):
                 data = normalised(text)
                 recipe.append(b"".join(i for i, _ in chunk_ids(data, width, **cut)))
                 digest.append(hashlib.sha256(data).hexdigest())
-            yield pa.record_batch([batch.column(0), batch.column(1),
-                                   pa.array(recipe, pa.binary()), pa.array(digest, pa.string())],
-                                  names=["doc_id", "n_points", "recipe", "text_sha256"])
+            yield pa.record_batch([*batch.columns[:3], pa.array(recipe, pa.binary()), pa.array(digest, pa.string())],
+                                  names=["doc_id", "n_points", "row", "recipe", "text_sha256"])
 
     t = F.col(text_col).cast("string")
     return docs.select(F.col(id_col).alias("doc_id"),
                        F.coalesce(F.length(t), F.lit(0)).cast("long").alias("n_points"),
+                       (F.col(row_col) if row_col else F.monotonically_increasing_id()).alias("row"),
                        t.alias("t")).mapInArrow(
-        lists, f"doc_id {id_type}, n_points long, recipe binary, text_sha256 string")
+        lists, f"doc_id {id_type}, n_points long, row long, recipe binary, text_sha256 string")
 
 
 def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
-                widths: tuple[int, ...] = ID_BYTES, **cut) -> DataFrame:
+                widths: tuple[int, ...] = ID_BYTES, row_col: str | None = None, **cut) -> DataFrame:
     """One row per row of ``docs``: doc_id, keep_id, group_size, kept,
-    text_sha256.  Of equal texts the row with the most code points in the
-    original text stays, then the smallest id."""
+    text_sha256 and row.  Of equal texts the row with the most code points in
+    the original text stays, then the smallest id, then the smallest row
+    number (``row_col``, or the rows' order as read)."""
     ready(docs)
     width = next((w for w in widths if not clashes(docs, text_col, w, **cut)), None)
     if width is None:
         raise ValueError(f"chunk identifiers of {widths} bytes all clash")
-    rows = stored(recipes(docs, id_col, text_col, width, **cut)
-                  .withColumn("row", F.monotonically_increasing_id()), "recipes")
+    rows = stored(recipes(docs, id_col, text_col, width, row_col, **cut), "recipes")
     first = F.min(F.struct((-F.col("n_points")).alias("p"), F.col("doc_id").isNull().alias("z"),
                            F.col("doc_id").alias("i"), F.col("row").alias("r")))
     groups = stored(rows.groupBy("recipe").agg(F.count(F.lit(1)).alias("n"), first.alias("first"))
@@ -162,7 +162,7 @@ def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     return rows.join(groups, "recipe", "left").select(
         "doc_id", F.when(F.col("n").isNull(), F.col("doc_id")).otherwise(F.col("keep")).alias("keep_id"),
         F.coalesce("n", F.lit(1)).cast("long").alias("group_size"),
-        F.coalesce(F.col("keep_row") == F.col("row"), F.lit(True)).alias("kept"), "text_sha256")
+        F.coalesce(F.col("keep_row") == F.col("row"), F.lit(True)).alias("kept"), "text_sha256", "row")
 
 
 ORACLE = r"""

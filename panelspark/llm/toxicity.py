@@ -22,8 +22,8 @@ import zlib
 from collections.abc import Iterator
 
 import numpy as np
-import pyarrow as pa
-from pyspark.sql import DataFrame
+import pandas as pd
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -122,36 +122,40 @@ def trained(docs: DataFrame, labels: DataFrame, rows: int = TRAIN_ROWS) -> Machi
     return fit(sample(docs, labels, "toxic", lambda c: fold(c, 3) != 1, rows, TRAIN_BYTES))
 
 
-def score(docs: DataFrame, model: Machine, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(doc_id, score) of every row."""
-    spark = ready(docs)
+def score_column(spark: SparkSession, model: Machine):
+    """A column function: text → score."""
     shipped = spark.sparkContext.broadcast(model)
-    out = T.StructType([T.StructField("doc_id", docs.schema[id_col].dataType), T.StructField("score", T.DoubleType())])
 
-    def scores(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        model, known = shipped.value, {}  # word → its slots, for words that have any
+    @F.pandas_udf(T.DoubleType())
+    def scores(texts: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        model, known = shipped.value, {}  # word → its slots
         get = model.slot.get
-        empty: tuple[int, ...] = ()
-        for batch in batches:
+        for batch in texts:
             result = []
-            for text in batch.column(1).to_pylist():
+            for text in batch:
                 found = set()
                 for w in set(WORDS.findall((text or "").lower())):
                     k = known.get(w)
                     if k is None:
                         if len(known) > 400_000:
                             known.clear()
-                        k = known[w] = tuple(s for s in map(get, buckets(w)) if s is not None) or empty
+                        k = known[w] = tuple(s for s in map(get, buckets(w)) if s is not None)
                     if k:
                         found.update(k)
                 result.append(model.score(np.array(sorted(found), np.int64)))
-            yield pa.record_batch([batch.column(0), pa.array(result, pa.float64())], names=out.names)
+            yield pd.Series(result, dtype=float)
 
-    return docs.select(F.col(id_col), F.col(text_col).cast("string")).mapInArrow(scores, out)
+    return lambda text: scores(F.coalesce(text.cast("string"), F.lit("")))
 
 
 def toxicity(docs: DataFrame, labels: DataFrame, rows: int = TRAIN_ROWS, threshold: float = THRESHOLD) -> DataFrame:
     """doc_id, held_out, score, predicted of every document."""
-    return score(docs, trained(docs, labels, rows)).select(
-        "doc_id", (fold("doc_id", 3) == 1).alias("held_out"), "score",
-        (F.col("score") >= threshold).cast("int").alias("predicted"))
+    score = score_column(ready(docs), trained(docs, labels, rows))
+    return docs.select("doc_id", (fold("doc_id", 3) == 1).alias("held_out"), score(F.col("text")).alias("score")).select(
+        "*", (F.col("score") >= threshold).cast("int").alias("predicted"))
+
+
+def without_toxic(docs: DataFrame, labels: DataFrame, rows: int = TRAIN_ROWS, threshold: float = THRESHOLD) -> DataFrame:
+    """``docs`` without the rows that the machine rejects."""
+    score = score_column(ready(docs), trained(docs, labels, rows))
+    return docs.where(score(F.col("text")) < threshold)
