@@ -27,10 +27,11 @@ from pyspark.sql import types as T
 from panelspark.llm.common import ready
 from panelspark.llm.labelled import fold, sample
 
-#: The training sample's bounds; half a chunk, filter width, stride, filters.
+#: The training sample's bounds; half a chunk, filter width, stride, filters;
+#: documents seen in training (with repeats), batch, step size, shrinkage.
 TRAIN_ROWS, TRAIN_BYTES = 3000, 32768
 HALF, WIDTH, STRIDE, FILTERS = 256, 8, 2, 16
-PASSES, BATCH, STEP, SHRINK, THRESHOLD = 8, 32, 0.02, 1e-4, 0.3
+SEEN, BATCH, STEP, SHRINK, THRESHOLD = 24_000, 32, 0.02, 1e-4, 0.3
 #: Bytes per block of texts scored at once.
 BLOCK_BYTES = 512 << 10
 
@@ -96,7 +97,7 @@ def fit(rows: list[tuple[bytes, int]], seed: int = 5) -> Network:
         net.head[:] = 0
         return net
     adam, offset = Adam(STEP), np.array([net.offset], np.float32)
-    for _ in range(PASSES):
+    for _ in range(-(-SEEN // len(y))):
         order = rng.permutation(len(y))
         for b in range(0, len(order), BATCH):
             pick = order[b:b + BATCH]

@@ -31,10 +31,10 @@ from panelspark.llm.common import ready
 from panelspark.llm.labelled import fold, sample
 
 #: The training sample's bounds, the hash space, the vectors' length, how
-#: many training documents must have a term, passes, step, shrinkage, and how
+#: many training documents must have a term, steps, step size, shrinkage, and how
 #: many standard errors a term's shares among the two kinds must differ by.
 TRAIN_ROWS, TRAIN_BYTES, BUCKETS, RANK, LEAST_DOCS = 6000, 65536, 1 << 18, 6, 4
-PASSES, STEP, SHRINK, SIGMAS, THRESHOLD = 12, 0.2, 1e-4, 5.0, 0.7
+STEPS, STEP, SHRINK, SIGMAS, THRESHOLD = 72_000, 0.2, 1e-4, 5.0, 0.7
 WORDS = re.compile(r"[^\W\d_]+")
 STEM = 5
 
@@ -99,7 +99,7 @@ def fit(rows: list[tuple[str, int]], seed: int = 11) -> Machine:
     at = [model.slots(s) for s in sets]
     w, v = model.weight, model.vector
     gw, gv, gb = np.full(len(w), 1e-2), np.full(v.shape, 1e-2), 1e-2
-    for _ in range(PASSES):
+    for _ in range(-(-STEPS // len(y))):
         for k in rng.permutation(len(y)):
             i = at[k]
             g = model.score(i) - y[k]
