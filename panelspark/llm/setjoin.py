@@ -56,7 +56,7 @@ from panelspark.operators.components import connected_components
 #: Bands grow by this factor; spare segments, so that empty ones need not be
 #: indexed; the assumed share of a set's shingles that an unrelated set has;
 #: what verifying a pair costs in signatures.
-GROWTH, SPARE, SHARED, PAIR_COST = 4, 1.15, 0.02, 4.0
+GROWTH, SPARE, SHARED, PAIR_COST = 4, 1.15, 0.001, 4.0
 #: A signature is dealt over several tasks when about so many rows have it.
 HOT_ROWS, SALTS, SAMPLE = 200_000, 64, 64
 _LEVEL, _SEGMENT, _NEAR = (np.uint64(c) for c in (0xD6E8FEB86659FD93, 0x9E3779B97F4A7C15, 0xA0761D6478BD642F))
