@@ -49,13 +49,17 @@ class Network:
     def __init__(self, table: np.ndarray, bias: np.ndarray, head: np.ndarray, offset: float):
         self.table, self.bias, self.head, self.offset = table, bias, head, offset
 
-    def responses(self, flat: np.ndarray, n: int) -> np.ndarray:
-        """(half-chunks, places, filters)."""
+    def responses(self, flat: np.ndarray, starts: np.ndarray) -> np.ndarray:
+        """(half-chunks, places, filters); a text's last places, whose bytes
+        earlier places cover, are left out as they reach into the next text."""
+        n = int(starts[-1])
         places = n * HALF // STRIDE
         out = self.table[0][flat[0:n * HALF:STRIDE]]
         for k in range(1, WIDTH):
             out += self.table[k][flat[k:n * HALF + k:STRIDE]]
-        return out.reshape(n, places // n, -1)
+        out = out.reshape(n, places // n, -1)
+        out[starts[1:] - 1, 1 - WIDTH // STRIDE:] = -np.inf
+        return out
 
     def pooled(self, halves: np.ndarray, starts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Maxima of the overlapping chunks (two half-chunks each; the last
@@ -73,7 +77,7 @@ class Network:
         if not texts:
             return np.zeros(0)
         flat, starts = laid_out(texts)
-        halves = self.responses(flat, int(starts[-1])).max(1)
+        halves = self.responses(flat, starts).max(1)
         return 1 / (1 + np.exp(-np.clip(self.pooled(halves, starts)[1] @ self.head + self.offset, -30, 30)))
 
 
@@ -103,7 +107,7 @@ def fit(rows: list[tuple[bytes, int]], seed: int = 5) -> Network:
             pick = order[b:b + BATCH]
             flat, starts = laid_out([rows[i][0] for i in pick])
             n = int(starts[-1])
-            all_ = net.responses(flat, n)
+            all_ = net.responses(flat, starts)
             where = all_.argmax(1)
             halves = np.take_along_axis(all_, where[:, None], 1)[:, 0]
             chunk, feats = net.pooled(halves, starts)
