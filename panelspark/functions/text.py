@@ -25,7 +25,7 @@ def clean_label(col: str | Column, prefix: str = "") -> Column:
     """Strip a prefix, '_' → ' ', title case ('avg_median_aqi' → 'Median Aqi')."""
     c = _c(col)
     if prefix:
-        c = F.when(c.startswith(prefix), F.substring(c, len(prefix) + 1, 1 << 20)).otherwise(c)
+        c = F.when(c.startswith(prefix), F.substr(c, F.lit(len(prefix) + 1))).otherwise(c)
     return F.initcap(F.replace(c, F.lit("_"), F.lit(" ")))
 
 

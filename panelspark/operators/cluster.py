@@ -2,13 +2,8 @@
 
 * PCA and k-means are Spark ML jobs over an assembled vector column.
 * Calinski–Harabasz comes from per-cluster sums (one grouped aggregate).
-* The exact (Euclidean) silhouette needs every pairwise distance; it is
-  computed block-wise: points are hashed into ``blocks`` groups, every
-  block meets every other block once in an equi-join on the block id, and
-  per-(point, cluster) distance sums are aggregated map-side, so the
-  shuffle carries O(n · clusters · blocks) rows, never the n² pairs.
-  Above ``exact_limit`` rows the scalable squared-Euclidean silhouette of
-  ``ClusteringEvaluator`` (O(n · clusters)) is returned under its own name.
+* The silhouette uses squared Euclidean distances, which per-cluster sums
+  give exactly; a Euclidean one would need every pair of points.
 """
 
 from __future__ import annotations
@@ -16,9 +11,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.ml.clustering import KMeans
-from pyspark.ml.evaluation import ClusteringEvaluator
 from pyspark.ml.feature import PCA, VectorAssembler
-from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -74,85 +67,59 @@ def kmeans(df: DataFrame, feats: Sequence[str], k: int, restarts: int = 25, seed
     return best.transform(vec).drop("_v"), best_cost
 
 
+def _centred(df: DataFrame, feats: Sequence[str]) -> DataFrame:
+    """``df`` with ``_x``, the features less their means, so that sums of
+    squares keep their digits."""
+    means = df.agg(F.array(*[F.avg(F.col(c).cast("double")) for c in feats]).alias("m")).scalar()
+    x = F.array(*[F.col(c).cast("double") for c in feats])
+    return df.withColumn("_m", means).withColumn("_x", F.zip_with(x, "_m", lambda v, m: v - m)).drop("_m")
+
+
+def _cluster_sums(df: DataFrame, label: str, size: int) -> DataFrame:
+    """(label, n, s, q): members, sums of ``_x`` and of its squares."""
+    per = df.groupBy(label).agg(
+        F.count(F.lit(1)).alias("n"), *[F.sum(F.col("_x")[k]).alias(f"s{k}") for k in range(size)],
+        F.sum(F.aggregate("_x", F.lit(0.0), lambda t, v: t + v * v)).alias("q"))
+    return per.select(label, "n", F.array(*[f"s{k}" for k in range(size)]).alias("s"), "q")
+
+
 def calinski_harabasz(df: DataFrame, feats: Sequence[str], label: str) -> DataFrame:
     """Between / within dispersion ratio from per-cluster sums."""
-    per = df.groupBy(label).agg(F.count(F.lit(1)).alias("n"),
-                                *[F.sum(c).alias(f"s_{c}") for c in feats],
-                                *[F.sum(F.col(c) * F.col(c)).alias(f"q_{c}") for c in feats])
-    tot = per.agg(F.count(F.lit(1)).alias("k"), F.sum("n").alias("n_total"),
-                  *[F.sum(f"s_{c}").alias(f"S_{c}") for c in feats],
-                  *[F.sum(F.col(f"s_{c}") * F.col(f"s_{c}") / F.col("n")).alias(f"B_{c}")
-                    for c in feats],
-                  *[F.sum(f"q_{c}").alias(f"Q_{c}") for c in feats])
-    n = F.col("n_total")
-    ssb = sum((F.col(f"B_{c}") - F.col(f"S_{c}") * F.col(f"S_{c}") / n) for c in feats)
-    ssw = sum((F.col(f"Q_{c}") - F.col(f"B_{c}")) for c in feats)
-    return tot.select("k", "n_total", ssb.alias("ssb"), ssw.alias("ssw"),
-                      F.when(F.col("k") >= 2, (ssb / (F.col("k") - 1))
-                             / F.nullif(ssw / (n - F.col("k")), F.lit(0.0))).alias("calinski_harabasz"))
-
-
-def silhouette_exact(df: DataFrame, feats: Sequence[str], label: str, id_col: str = "id",
-                     blocks: int = 8, exclude=(-1,)) -> DataFrame:
-    """K07 (exact, Euclidean): mean silhouette over rows not in ``exclude``.
-    s(i) = (b − a) / max(a, b); a point alone in its cluster scores 0."""
-    keep = df.where(~F.col(label).isin(list(exclude))) if exclude else df
-    n_f = len(feats)
-    wide = n_f > 16
-    if wide:  # one array column per side, distance by higher-order functions
-        va = [F.array(*[F.col(c).cast("double") for c in feats]).alias("va")]
-        vb = [F.array(*[F.col(c).cast("double") for c in feats]).alias("vb")]
-    else:  # plain columns: one code-generated expression per pair
-        va = [F.col(c).cast("double").alias(f"a{k}") for k, c in enumerate(feats)]
-        vb = [F.col(c).cast("double").alias(f"b{k}") for k, c in enumerate(feats)]
-    pts = keep.select(F.col(id_col).alias("i"), F.col(label).alias("li"), *va,
-                      F.pmod(F.xxhash64(F.col(id_col)), F.lit(blocks)).alias("blk"))
-    other = keep.select(F.col(id_col).alias("j"), F.col(label).alias("lj"), *vb,
-                        F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))).alias("blk"))
-    pairs = pts.join(other, "blk")
-    if wide:
-        dist = F.sqrt(F.aggregate(F.zip_with("va", "vb", lambda a, b: (a - b) * (a - b)),
-                                  F.lit(0.0), lambda acc, v: acc + v))
-    else:
-        sq = None
-        for k in range(n_f):
-            t = (F.col(f"a{k}") - F.col(f"b{k}")) * (F.col(f"a{k}") - F.col(f"b{k}"))
-            sq = t if sq is None else sq + t
-        dist = F.sqrt(sq)
-    sums = (pairs.where(F.col("i") != F.col("j"))
-                 .groupBy("i", "li", "lj").agg(F.sum(dist).alias("dsum"),
-                                               F.count(F.lit(1)).alias("cnt")))
-    sizes = pts.groupBy(F.col("li").alias("lj")).agg(F.count(F.lit(1)).alias("size"))
-    per = (sums.join(sizes, "lj")
-               .select("i", "li", "lj", "size",
-                       F.when(F.col("li") == F.col("lj"), F.col("dsum") / (F.col("size") - 1))
-                        .alias("a_part"),
-                       F.when(F.col("li") != F.col("lj"), F.col("dsum") / F.col("size"))
-                        .alias("b_part")))
-    pt = per.groupBy("i", "li").agg(F.max("a_part").alias("a"), F.min("b_part").alias("b"))
-    own = pts.select("i", "li").join(sizes.withColumnRenamed("lj", "li"), "li")
-    pt = own.join(pt, ["i", "li"], "left")
-    s = F.when(F.col("size") <= 1, F.lit(0.0)).otherwise(
-        (F.col("b") - F.coalesce("a", F.lit(0.0)))
-        / F.greatest(F.coalesce("a", F.lit(0.0)), F.col("b")))
-    return pt.agg(F.count(F.lit(1)).alias("n"), F.avg(s).alias("silhouette"))
-
-
-def silhouette(df: DataFrame, feats: Sequence[str], label: str, id_col: str = "id",
-               exact_limit: int = 50000, exclude=(-1,)) -> tuple[str, float | None]:
-    """Exact Euclidean silhouette up to ``exact_limit`` rows, else the
-    squared-Euclidean one; returns (metric name, value).  Needs ≥ 2
-    clusters."""
-    keep = df.where(~F.col(label).isin(list(exclude))) if exclude else df
-    st = keep.agg(F.count(F.lit(1)).alias("n"), F.count_distinct(label).alias("k")).first()
-    if st["k"] is None or st["k"] < 2 or st["n"] <= st["k"]:
-        return "silhouette", None
-    if st["n"] <= exact_limit:
-        return "silhouette", silhouette_exact(keep, feats, label, id_col, exclude=()).first()[1]
-    ev = ClusteringEvaluator(featuresCol="_v", predictionCol=label,
-                             distanceMeasure="squaredEuclidean")
-    v = ev.evaluate(assemble(keep.withColumn(label, F.col(label).cast("double")), feats, "_v"))
-    return "silhouette_sq", v
+    per = _cluster_sums(_centred(df, feats), label, len(feats)).withColumn(
+        "between", F.aggregate("s", F.lit(0.0), lambda t, v: t + v * v) / F.col("n"))
+    tot = per.agg(F.count(F.lit(1)).alias("k"), F.sum("n").alias("n_total"), F.sum("between").alias("ssb"),
+                  F.sum(F.col("q") - F.col("between")).alias("ssw"))
+    spread = F.col("ssw") / F.nullif(F.col("n_total") - F.col("k"), F.lit(0))
+    return tot.select("*", F.when(F.col("k") >= 2, F.col("ssb") / (F.col("k") - 1)
+                                  / F.nullif(spread, F.lit(0.0))).alias("calinski_harabasz"))
+
+
+def silhouette(df: DataFrame, feats: Sequence[str], label: str, exclude=(-1,)) -> DataFrame:
+    """(n, silhouette) over rows whose label is not in ``exclude``, with
+    squared Euclidean distances.
+
+    The mean squared distance of a point to a cluster follows from the
+    cluster's size, sum and sum of squares, so the exact value takes one
+    aggregate and one pass over the points: O(rows · clusters), the same
+    definition at every size, and no pairs.  s = (b − a) / max(a, b); a point
+    alone in its cluster, or with a = b = 0, scores 0; with fewer than two
+    clusters the mean is NULL."""
+    keep = _centred(df.where(~F.col(label).isin(list(exclude))) if exclude else df, feats)
+    sums = _cluster_sums(keep, label, len(feats))
+    table = sums.agg(F.sort_array(F.collect_list(F.struct(F.col(label).alias("l"), "n", "s", "q")))).scalar()
+    far = lambda x, c: F.greatest(F.lit(0.0), (  # noqa: E731  sum of squared distances to the members
+        c["n"] * F.aggregate(x, F.lit(0.0), lambda t, v: t + v * v) + c["q"]
+        - 2 * F.aggregate(F.zip_with(x, c["s"], lambda u, v: u * v), F.lit(0.0), lambda t, v: t + v)))
+    each = keep.withColumn("_c", table).select(F.col(label).alias("_l"), F.transform("_c", lambda c: F.struct(
+        c["l"].alias("l"), c["n"].alias("n"), far(F.col("_x"), c).alias("d"))).alias("_d"))
+    own = F.filter("_d", lambda c: c["l"] == F.col("_l"))[0]
+    others = F.transform(F.filter("_d", lambda c: c["l"] != F.col("_l")), lambda c: c["d"] / c["n"])
+    each = each.select(own["n"].alias("n"), (own["d"] / F.nullif(own["n"] - 1, F.lit(0))).alias("a"),
+                       F.array_min(others).alias("b"))
+    score = F.when(F.col("b").isNull(), F.lit(None).cast("double")).when(
+        (F.col("n") <= 1) | (F.greatest("a", "b") == 0), F.lit(0.0)).otherwise(
+        (F.col("b") - F.col("a")) / F.greatest("a", "b"))
+    return each.agg(F.count(F.lit(1)).alias("n"), F.avg(score).alias("silhouette"))
 
 
 def cluster_summary(df: DataFrame, label: str) -> DataFrame:

@@ -13,9 +13,6 @@ the checkpoint instead of recomputing the round.
 
 from __future__ import annotations
 
-import os
-import time
-
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -30,19 +27,17 @@ def _jump(lab: DataFrame) -> DataFrame:
 
 
 def connected_components(nodes: DataFrame, edges: DataFrame, node: str = "id",
-                         src: str = "src", dst: str = "dst", max_rounds: int = 200
-                         ) -> DataFrame:
+                         src: str = "src", dst: str = "dst") -> DataFrame:
     """(node) + directed or undirected edges → (node, component) where the
-    component is the smallest node id in it."""
+    component is the smallest node id in it.  Rounds go on until no label
+    changes; labels only ever fall, so they end."""
     e = edges.select(F.col(src).alias("u"), F.col(dst).alias("v")).where(F.col("u") != F.col("v"))
     e = cut_lineage(e.unionByName(e.select(F.col("v").alias("u"), F.col("u").alias("v"))).distinct())
     first = e.groupBy("u").agg(F.min("v").alias("m"))
     lab = (nodes.select(F.col(node).alias("id")).join(first, F.col("id") == F.col("u"), "left")
                 .select("id", F.least("id", F.coalesce("m", "id")).alias("lab")))
     lab = cut_lineage(lab)
-    debug = os.environ.get("PANELSPARK_DEBUG")
-    for rnd in range(max_rounds):
-        t0 = time.time()
+    while True:
         # hook: every edge offers its far label to the near node and to the
         # near node's current root (Shiloach–Vishkin style), so whole trees
         # move in one round
@@ -58,8 +53,6 @@ def connected_components(nodes: DataFrame, edges: DataFrame, node: str = "id",
         new = cut_lineage(new.withColumn("changed", F.col("lab") != F.col("old")))
         more = not new.where("changed").isEmpty()
         lab = new.select("id", "lab")
-        if debug:
-            print("cc round", rnd, more, round(time.time() - t0, 2))
         if not more:
             break
     return lab.select(F.col("id").alias(node), F.col("lab").alias("component"))

@@ -40,8 +40,8 @@ def _betacf(a: float, b: float, x: float, eps: float = 1e-15, itmax: int = 500)
         de = d * c
         h *= de
         if abs(de - 1.0) < eps:
-            break
-    return h
+            return h
+    raise ArithmeticError("the incomplete beta function did not converge")
 
 
 def betainc(a: float, b: float, x: float) -> float:
@@ -84,12 +84,13 @@ def anova(df: DataFrame, value: str, group: str, exclude=(-1,), with_p: bool = T
     keep = v.isNotNull() & g.isNotNull()
     if exclude:
         keep = keep & ~g.isin(list(exclude))
-    per = df.where(keep).groupBy(group).agg(
-        F.count(v).alias("n"), F.avg(v).alias("m"),
+    kept = df.where(keep)
+    centre = kept.agg(F.avg(v)).scalar()  # sums around the mean keep their digits
+    per = kept.groupBy(group).agg(
+        F.count(v).alias("n"), F.avg(v - centre).alias("m"),
         F.coalesce(F.var_samp(v), F.lit(0.0)).alias("var"))
     tot = per.agg(F.count(F.lit(1)).alias("groups"), F.sum("n").alias("n_total"),
-                  (F.sum(F.col("n") * F.col("m") * F.col("m"))
-                   - F.pow(F.sum(F.col("n") * F.col("m")), 2) / F.sum("n")).alias("ssb"),
+                  F.sum(F.col("n") * F.col("m") * F.col("m")).alias("ssb"),
                   F.sum((F.col("n") - 1) * F.col("var")).alias("ssw"))
     d1 = F.col("groups") - 1
     d2 = F.col("n_total") - F.col("groups")

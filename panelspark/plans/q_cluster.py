@@ -58,7 +58,7 @@ def q_eps_degree(spark, sf_dir):
 
 
 FEATS = [f"f{i}" for i in range(64)]
-_DIST = "sqrt(" + " + ".join(f"(a.f{i} - b.f{i}) * (a.f{i} - b.f{i})" for i in range(64)) + ")"
+_DIST = " + ".join(f"(a.f{i} - b.f{i}) * (a.f{i} - b.f{i})" for i in range(64))
 
 _SIL_SQL = f"""
 WITH pairs AS (SELECT a.id AS i, a.label AS li, b.label AS lj, {_DIST} AS d
@@ -71,14 +71,14 @@ ab AS (SELECT per.i, per.li,
        FROM per JOIN sizes s ON s.label = per.lj GROUP BY 1, 2)
 SELECT count(*) AS n,
        avg(CASE WHEN s.size <= 1 THEN 0.0
-                ELSE (ab.b - coalesce(ab.a, 0)) / greatest(coalesce(ab.a, 0), ab.b) END) AS silhouette
+                ELSE coalesce((ab.b - ab.a) / nullif(greatest(ab.a, ab.b), 0), 0) END) AS silhouette
 FROM vectors v JOIN sizes s ON s.label = v.label LEFT JOIN ab ON ab.i = v.id"""
 
 
 @register("silhouette_exact", with_views(finalize(_SIL_SQL), ["vectors"]))
 def q_silhouette_exact(spark, sf_dir):
-    """Exact Euclidean silhouette of the given labels (block-wise)."""
-    return CL.silhouette_exact(fx.vectors(spark, sf_dir), FEATS, "label", "id", exclude=())
+    """Silhouette (squared Euclidean) of the given labels."""
+    return CL.silhouette(fx.vectors(spark, sf_dir), FEATS, "label", exclude=())
 
 
 _CH_SQL = f"""
@@ -145,65 +145,59 @@ EPS_GRID = [0.5, 1.5]
 MIN_GRID = [5, 20]
 K_GRID = [2, 3]
 RESTARTS = 3
-_UN: dict = {}
 
-_SEARCH_SCHEMA = ("method string, params string, clusters long, noise_pct double, "
-                  "silhouette_embedding double, silhouette_scaled_features double, "
-                  "calinski_harabasz double")
 
+def _embedded(spark, sf_dir):
+    """Latest cross-section of the enriched panel with its embedding."""
+    x, feats = UN.cross_section(_enriched(spark, sf_dir))
+    return cut_lineage(CL.pca_embed(x, feats, 2)[0]), feats
 
-def _unsup(spark, sf_dir):
-    key = (id(spark), sf_dir)
-    if key not in _UN:
-        x, feats = UN.cross_section(_enriched(spark, sf_dir))
-        emb, loadings, var = CL.pca_embed(x, feats, 2)
-        emb = cut_lineage(emb)
-        db_rows, db_best, db_lab = UN.search_dbscan(emb, feats, EPS_GRID, MIN_GRID)
-        km_rows, km_best, km_lab = UN.search_kmeans(emb, feats, K_GRID, RESTARTS)
-        assign = (emb.join(db_lab.withColumnRenamed("cluster", "dbscan_cluster"), "id")
-                     .join(km_lab.withColumnRenamed("cluster", "kmeans_cluster"), "id"))
-        _UN[key] = dict(x=x, feats=feats, emb=emb, var=var, db_rows=db_rows, km_rows=km_rows,
-                        db_best=db_best, km_best=km_best, assign=cut_lineage(assign))
-    return _UN[key]
 
+def _searched(spark, sf_dir):
+    """(DBSCAN search, k-means search) over one embedding."""
+    emb, feats = _embedded(spark, sf_dir)
+    return (UN.search_dbscan(emb, feats, EPS_GRID, MIN_GRID),
+            UN.search_kmeans(emb, feats, K_GRID, RESTARTS), emb)
 
-def _search_df(spark, rows):
-    cols = ["method", "params", "clusters", "noise_pct", "silhouette_embedding",
-            "silhouette_scaled_features", "calinski_harabasz"]
-    return spark.createDataFrame([tuple(r[c] for c in cols) for r in rows], _SEARCH_SCHEMA)
+
+def _assigned(spark, sf_dir):
+    db, km, emb = _searched(spark, sf_dir)
+    return cut_lineage(emb.join(db.labels.withColumnRenamed("cluster", "dbscan_cluster"), "id")
+                          .join(km.labels.withColumnRenamed("cluster", "kmeans_cluster"), "id"))
 
 
 @register("pca_embed")
 def q_pca_embed(spark, sf_dir):
     """Latest cross-section of the enriched panel, imputed and
     standardised, projected on 2 principal components."""
-    u = _unsup(spark, sf_dir)
-    return u["emb"].select("geoid", "pca_1", "pca_2")
+    return _embedded(spark, sf_dir)[0].select("geoid", "pca_1", "pca_2")
 
 
 @register("dbscan_search")
 def q_dbscan_search(spark, sf_dir):
     """DBSCAN over an (eps × min_samples) grid on the PCA embedding."""
-    return _search_df(spark, _unsup(spark, sf_dir)["db_rows"])
+    emb, feats = _embedded(spark, sf_dir)
+    return UN.search_dbscan(emb, feats, EPS_GRID, MIN_GRID).table
 
 
 @register("kmeans_search")
 def q_kmeans_search(spark, sf_dir):
     """K-means per k with restarts; silhouettes and CH."""
-    return _search_df(spark, _unsup(spark, sf_dir)["km_rows"])
+    emb, feats = _embedded(spark, sf_dir)
+    return UN.search_kmeans(emb, feats, K_GRID, RESTARTS).table
 
 
 @register("method_comparison")
 def q_method_comparison(spark, sf_dir):
     """The chosen setting of each method side by side."""
-    u = _unsup(spark, sf_dir)
-    return _search_df(spark, [u["db_best"], u["km_best"]])
+    db, km, _ = _searched(spark, sf_dir)
+    return db.best.unionByName(km.best)
 
 
 @register("cluster_assignments")
 def q_cluster_assignments(spark, sf_dir):
     """Keys, outcome, embedding and both cluster labels."""
-    return _unsup(spark, sf_dir)["assign"].select(
+    return _assigned(spark, sf_dir).select(
         "geoid", "county_name", "state_name", "outcome", "pca_1", "pca_2",
         "dbscan_cluster", "kmeans_cluster")
 
@@ -212,7 +206,7 @@ def q_cluster_assignments(spark, sf_dir):
 def q_cluster_anova(spark, sf_dir):
     """A27 on clusters: one-way ANOVA of the outcome per method, noise
     excluded, F and p."""
-    a = _unsup(spark, sf_dir)["assign"]
+    a = _assigned(spark, sf_dir)
     d = ST.anova(a, "outcome", "dbscan_cluster").withColumn("method", F.lit("DBSCAN"))
     k = ST.anova(a, "outcome", "kmeans_cluster").withColumn("method", F.lit("KMeans"))
     return d.unionByName(k).select("method", "f_stat", "p_value", "groups")
@@ -222,7 +216,7 @@ def q_cluster_anova(spark, sf_dir):
 def q_cluster_profiles(spark, sf_dir):
     """A19 + K12: per-cluster profile of each method, z-scored across
     clusters."""
-    a = _unsup(spark, sf_dir)["assign"]
+    a = _assigned(spark, sf_dir)
     spec = {"avg_outcome": ("mean", "outcome"), "avg_aqi_median": ("mean", "aqi_median"),
             "avg_aqi_max": ("mean", "aqi_max"), "avg_population": ("mean", "population")}
     out = None

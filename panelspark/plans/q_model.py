@@ -155,10 +155,8 @@ def q_error_by_region(spark, sf_dir):
 
 
 _FAIL_SQL = f"""
-SELECT *, CASE WHEN state_name = 'NATION_3' THEN 'Regional underprediction'
-               WHEN residual > 4 THEN 'High tail underprediction'
-               WHEN residual < -2 THEN 'Overprediction / low outcome'
-               ELSE 'Large residual outlier' END AS failure_category
+SELECT *, CASE WHEN abs_residual >= 6 THEN 'far off' WHEN residual >= 1.5 THEN 'too low'
+               WHEN residual <= -1.5 THEN 'too high' ELSE 'close' END AS failure_category
 FROM ({_PREDS_SQL}) ORDER BY abs_residual DESC NULLS LAST, geoid, year LIMIT 12"""
 
 
@@ -167,10 +165,9 @@ FROM ({_PREDS_SQL}) ORDER BY abs_residual DESC NULLS LAST, geoid, year LIMIT 12"
     ["panel"], _CTES))
 def q_failure_examples(spark, sf_dir):
     """M20 + P24: 12 largest absolute residuals with a rule-ladder category."""
-    rules = [(F.col("state_name") == "NATION_3", "Regional underprediction"),
-             (F.col("residual") > 4, "High tail underprediction"),
-             (F.col("residual") < -2, "Overprediction / low outcome")]
-    return MD.failure_examples(_preds(spark, sf_dir), rules)
+    rules = [(F.abs("residual") >= 6, "far off"), (F.col("residual") >= 1.5, "too low"),
+             (F.col("residual") <= -1.5, "too high")]
+    return MD.failure_examples(_preds(spark, sf_dir), rules, "close")
 
 
 @register("random_split_sizes")

@@ -5,8 +5,9 @@ assignments, ANOVA of the held-out outcome and cluster profiles."""
 from __future__ import annotations
 
 from collections.abc import Sequence
+from dataclasses import dataclass
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from panelspark.operators import cluster as CL
@@ -17,7 +18,6 @@ from panelspark.session import cut_lineage
 
 # Columns never used as clustering features.
 EXCLUDE = ["outcome", "lower_ci", "upper_ci", "year", "source_year", "next_year", "next_outcome"]
-NULL_SIL = -99.0
 
 
 def cross_section(panel: DataFrame, key: str = "geoid", period: str = "year"
@@ -35,57 +35,62 @@ def cross_section(panel: DataFrame, key: str = "geoid", period: str = "year"
     return cut_lineage(x), used
 
 
+@dataclass
+class Search:
+    """All settings (one row each), the chosen row, and its labels."""
+    table: DataFrame
+    best: DataFrame
+    labels: DataFrame
+
+
+def _setting(joined: DataFrame, method: str, params: str, scaled: Sequence[str], dispersion: bool) -> DataFrame:
+    """One row of a search table, from rows with their ``cluster``."""
+    row = CL.cluster_summary(joined, "cluster").select(
+        F.lit(method).alias("method"), F.lit(params).alias("params"), "clusters", "noise_pct")
+    for feats, name in ((["pca_1", "pca_2"], "silhouette_embedding"), (scaled, "silhouette_scaled_features")):
+        row = row.withColumn(name, CL.silhouette(joined, feats, "cluster").select("silhouette").scalar())
+    spread = (CL.calinski_harabasz(joined, scaled, "cluster").select("calinski_harabasz").scalar() if dispersion
+              else F.lit(None).cast("double"))
+    return row.withColumn("calinski_harabasz", spread)
+
+
+def _searched(settings: list[tuple[str, DataFrame, DataFrame]], order: Sequence[Column]) -> Search:
+    """Stacks the settings' rows; the first in ``order`` is chosen."""
+    table = settings[0][1]
+    for _, row, _ in settings[1:]:
+        table = table.unionByName(row)
+    table = cut_lineage(table)
+    best = table.orderBy(*order, "params").limit(1)  # one row per setting: the choice is a top-1
+    chosen = best.first()["params"]
+    return Search(table, best, next(labels for name, _, labels in settings if name == chosen))
+
+
 def search_dbscan(emb: DataFrame, scaled_feats: Sequence[str], eps_grid: Sequence[float],
-                  min_grid: Sequence[int], exact_limit: int = 50000):
+                  min_grid: Sequence[int]) -> Search:
     """Every (eps, min_samples) setting → clusters, noise share and
-    silhouettes (embedding, scaled features) of non-noise rows.  Choice:
-    2–12 clusters with the best silhouette pair (NULL counts as −99); if
-    none qualifies, most clusters then least noise."""
-    rows, labels = [], {}
+    silhouettes (embedding, scaled features) of the rows in clusters.  A
+    setting with 2 to 12 clusters goes before others, there the better pair
+    of silhouettes; among the others more clusters, then less noise."""
+    settings = []
     for eps in eps_grid:
-        for m in min_grid:
-            lab = cut_lineage(dbscan(emb, eps, m, "id", "pca_1", "pca_2")
-                              .select("id", F.col("label").alias("cluster")))
-            j = emb.join(lab, "id")
-            s = CL.cluster_summary(lab, "cluster").first()
-            sil_e = sil_s = None
-            if s["clusters"] >= 2:
-                sil_e = CL.silhouette(j, ["pca_1", "pca_2"], "cluster", "id", exact_limit)[1]
-                sil_s = CL.silhouette(j, scaled_feats, "cluster", "id", exact_limit)[1]
-            key = f"eps={eps}, min_samples={m}"
-            rows.append({"method": "DBSCAN", "params": key, "clusters": s["clusters"],
-                         "noise_pct": s["noise_pct"], "silhouette_embedding": sil_e,
-                         "silhouette_scaled_features": sil_s, "calinski_harabasz": None})
-            labels[key] = lab
-    ok = [r for r in rows if 2 <= r["clusters"] <= 12]
-    nz = lambda v: NULL_SIL if v is None else v
-    if ok:
-        best = max(ok, key=lambda r: (nz(r["silhouette_embedding"]),
-                                      nz(r["silhouette_scaled_features"])))
-    else:
-        best = max(rows, key=lambda r: (r["clusters"], -r["noise_pct"]))
-    return rows, best, labels[best["params"]]
+        for least in min_grid:
+            labels = cut_lineage(dbscan(emb, eps, least, "id", "pca_1", "pca_2")
+                                 .select("id", F.col("label").alias("cluster")))
+            name = f"eps={eps}, min_samples={least}"
+            settings.append((name, _setting(emb.join(labels, "id"), "DBSCAN", name, scaled_feats, False), labels))
+    fits = F.col("clusters").between(2, 12)
+    return _searched(settings, [
+        fits.desc(), F.when(fits, F.col("silhouette_embedding")).desc_nulls_last(),
+        F.when(fits, F.col("silhouette_scaled_features")).desc_nulls_last(),
+        F.when(~fits, F.col("clusters")).desc_nulls_last(), F.when(~fits, F.col("noise_pct")).asc_nulls_last()])
 
 
 def search_kmeans(x: DataFrame, feats: Sequence[str], ks: Sequence[int], restarts: int,
-                  seed: int = 42, exact_limit: int = 50000):
+                  seed: int = 42) -> Search:
     """K05 + K06: k-means per k (best of ``restarts`` seeds); silhouettes
-    and Calinski–Harabasz; choice = best silhouette on scaled features."""
-    rows, labels = [], {}
+    and Calinski–Harabasz; the best silhouette on scaled features is chosen."""
+    settings = []
     for k in ks:
-        lab_df, _ = CL.kmeans(x.select("id", "pca_1", "pca_2", *feats), feats, k, restarts, seed)
-        lab_df = cut_lineage(lab_df)
-        sil_e = CL.silhouette(lab_df, ["pca_1", "pca_2"], "cluster", "id", exact_limit, ())[1]
-        sil_s = CL.silhouette(lab_df, feats, "cluster", "id", exact_limit, ())[1]
-        ch = CL.calinski_harabasz(lab_df, feats, "cluster").first()["calinski_harabasz"]
-        key = f"k={k}"
-        rows.append({"method": "KMeans", "params": key, "clusters": k, "noise_pct": 0.0,
-                     "silhouette_embedding": sil_e, "silhouette_scaled_features": sil_s,
-                     "calinski_harabasz": ch})
-        labels[key] = lab_df.select("id", "cluster")
-    best = None
-    for r in rows:
-        if best is None or (r["silhouette_scaled_features"] or NULL_SIL) > \
-                (best["silhouette_scaled_features"] or NULL_SIL):
-            best = r
-    return rows, best, labels[best["params"]]
+        rows = cut_lineage(CL.kmeans(x.select("id", "pca_1", "pca_2", *feats), feats, k, restarts, seed)[0])
+        settings.append((f"k={k}", _setting(rows, "KMeans", f"k={k}", feats, True), rows.select("id", "cluster")))
+    return _searched(settings, [F.col("silhouette_scaled_features").desc_nulls_last()])

@@ -73,7 +73,8 @@ def test_feature_family_matches_python_rules(spark):
              "median_income", "acs_employed_total", "Days PM2.5", "Good Days", "Max AQI",
              "population", "source_rows", "unhealthy_days"]
     got = one(spark, R.feature_family("n"), [(n,) for n in names], "n string")
-    assert got == [R.feature_family_py(n) for n in names]
+    by_name = R.families(spark, names)
+    assert got == [by_name[n] for n in names]
     assert got[:6] == ["Daily AQI exposure", "Climate", "Industry composition",
                        "Education and health access", "Socioeconomic scale", "Socioeconomic scale"]
     assert got[6:9] == ["Annual AQI"] * 3 and got[10] == "Other"

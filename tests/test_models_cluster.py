@@ -132,22 +132,33 @@ def blobs(spark):
 
 def test_silhouette_and_ch_match_numpy(blobs):
     df, X, lab = blobs
-    D = np.sqrt(((X[:, None] - X[None]) ** 2).sum(-1))
+    D = ((X[:, None] - X[None]) ** 2).sum(-1)
     s = []
     for i in range(len(X)):
         own = lab == lab[i]
         a = D[i, own].sum() / (own.sum() - 1)
         b = min(D[i, lab == c].mean() for c in set(lab) if c != lab[i])
         s.append((b - a) / max(a, b))
-    got = CL.silhouette_exact(df, ["x", "y", "z"], "label", exclude=()).first()
+    got = CL.silhouette(df, ["x", "y", "z"], "label", exclude=()).first()
     assert math.isclose(got.silhouette, float(np.mean(s)), rel_tol=1e-9)
     mu = X.mean(0)
     ssb = sum((lab == c).sum() * ((X[lab == c].mean(0) - mu) ** 2).sum() for c in range(3))
     ssw = sum(((X[lab == c] - X[lab == c].mean(0)) ** 2).sum() for c in range(3))
     ch = CL.calinski_harabasz(df, ["x", "y", "z"], "label").first().calinski_harabasz
     assert math.isclose(ch, (ssb / 2) / (ssw / (len(X) - 3)), rel_tol=1e-9)
-    name, val = CL.silhouette(df, ["x", "y", "z"], "label", exact_limit=10)
-    assert name == "silhouette_sq" and 0 < val <= 1
+    far = df.select("id", "label", *[(F.col(c) + 1e7).alias(c) for c in "xyz"])
+    assert math.isclose(CL.silhouette(far, ["x", "y", "z"], "label").first().silhouette, float(np.mean(s)), rel_tol=1e-6)
+
+
+def test_silhouette_and_ch_edges(spark):
+    def both(rows):
+        df = spark.createDataFrame(rows, "label int, x double")
+        return (CL.silhouette(df, ["x"], "label").first().silhouette,
+                CL.calinski_harabasz(df, ["x"], "label").first().calinski_harabasz)
+    assert both([(0, 1.0), (1, 2.0)]) == (0.0, None)  # each point alone, n = k
+    assert both([(0, 1.0), (0, 1.0), (1, 1.0), (1, 1.0)])[0] == 0.0  # all in one place
+    assert both([(0, 1.0), (0, 2.0)])[0] is None  # one cluster
+    assert both([(0, 0.0), (0, 0.0), (1, 5.0), (1, 5.0), (-1, 2.0)])[0] == 1.0  # noise left out
 
 
 def test_kmeans_pca_invariants(blobs):
