@@ -37,7 +37,10 @@ PHONE = (r"(?<![\w+])\+\d{1,3}[ -]?\(?\d{3}\)?[ -]?\d{3}[ -]\d{4}(?!\d)|(?<![\w(
 SOCIAL = r"(?<![\w-])\d{3}-\d{2}-\d{4}(?![\w-])"
 CARD = r"(?<![\w-])(?:\d{4}[ -]\d{4}[ -]\d{4}[ -]\d{1,7}|\d{13,19})(?!\d|-\d)"
 KINDS = [("mail", MAIL), ("date", DATE), ("address", ADDRESS), ("phone", PHONE), ("social", SOCIAL), ("card", CARD)]
-ANY = "|".join(f"(?:{p})" for _, p in KINDS)
+#: Every number starts with one of these characters: at any other the search
+#: fails at once.  Mail addresses are only looked for in texts with an @.
+NUMBERS = r"(?<!\d)(?=[\d(+])(?:" + "|".join(f"(?:{p})" for name, p in KINDS if name != "mail") + ")"
+ANY = f"(?:{MAIL})|{NUMBERS}"
 
 
 def _hash(key: str, kind: str, turn: Column, half: Column) -> Column:
@@ -174,9 +177,13 @@ def pseudonymise(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     """doc_id, the text with its pseudonyms, n_<kind> of each kind, n_found."""
     ready(docs)
     df = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).cast("string").alias("t"))
-    df = df.select("doc_id", "t", F.regexp_extract_all("t", F.lit(ANY), F.lit(0)).alias("found"))
+    has_mail, t = F.contains(F.col("t"), F.lit("@")), F.col("t")
+    found = (F.when(has_mail, F.regexp_extract_all(t, F.lit(ANY), F.lit(0)))
+             .when(t.rlike("[0-9]"), F.regexp_extract_all(t, F.lit(NUMBERS), F.lit(0)))
+             .when(t.isNotNull(), F.array().cast("array<string>")))
+    df = df.select("doc_id", "t", found.alias("found"))
     df = df.select("doc_id", "t", F.transform("found", lambda m: replaced(m, key)).alias("new"))
-    gaps = F.split("t", ANY, -1)
+    gaps = F.when(has_mail, F.split("t", ANY, -1)).otherwise(F.split("t", NUMBERS, -1))
     text = F.when(F.size("new") == 0, F.col("t")).otherwise(F.array_join(F.zip_with(
         gaps, "new", lambda g, r: F.concat(g, F.coalesce(r["value"], F.lit("")))), ""))
 
