@@ -3,7 +3,9 @@ display formatting (P29-P31, P35, P36)."""
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from collections.abc import Sequence
+
+from pyspark.sql import Column, SparkSession
 from pyspark.sql import functions as F
 
 
@@ -16,6 +18,12 @@ def slug(col: str | Column) -> Column:
     return F.regexp_replace(F.lower(_c(col)), "[ /]", "_")
 
 
+def slugs(spark: SparkSession, names: Sequence[str]) -> list[str]:
+    """``slug`` of each of a few names (schema-sized metadata)."""
+    rows = spark.createDataFrame(list(enumerate(names)), "k int, name string")
+    return [r["s"] for r in rows.select("k", slug("name").alias("s")).orderBy("k").collect()]
+
+
 def param_slug(col: str | Column) -> Column:
     """lower-case, drop '.', spaces → '_' (pollutant names: PM2.5 → pm25)."""
     return F.regexp_replace(F.replace(F.lower(_c(col)), F.lit("."), F.lit("")), " ", "_")

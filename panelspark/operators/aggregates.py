@@ -67,8 +67,11 @@ def crosstab_exprs(col: Column, values: Sequence[str], names: Sequence[str],
     Equivalent to ``groupBy.pivot(col, values).count().fillna(0)`` but it
     stays inside the same aggregate as the other statistics, so the whole
     feature row is one partial/final aggregate pair.  Rows whose pivot
-    value is NULL are not counted (pandas ``crosstab`` drops them).
+    value is NULL are not counted (pandas ``crosstab`` drops them); a value
+    that is not listed raises, as its rows would vanish.
     """
+    listed = F.concat(F.lit("value not listed for the crosstab: "), col.cast("string"))
+    col = F.when(col.isNull() | col.isin(list(values)), col).otherwise(F.raise_error(listed))
     return [F.count_if(F.coalesce(col == F.lit(v), F.lit(False))).alias(f"{prefix}{n}")
             for v, n in zip(values, names)]
 

@@ -74,7 +74,8 @@ def knn_candidates(missing: DataFrame, observed: DataFrame, cols: Sequence[str],
     values, the candidate count, the k-th distance and the guarantee."""
     ci, cj = _cells(F.col("lat"), F.col("lon"), size)
     _, ncols = _grid(size)
-    obs = observed.select(period, F.col("_oid"), F.col("lat").alias("olat"),
+    tie = F.col("_key") if "_key" in observed.columns else F.col("_oid")
+    obs = observed.select(period, F.col("_oid"), tie.alias("_tie"), F.col("lat").alias("olat"),
                           F.col("lon").alias("olon"), *[F.col(c).alias(f"_v_{c}") for c in cols],
                           ci.alias("ci"), cj.alias("cj"))
     offsets = F.array(*[F.struct(F.lit(a).alias("di"), F.lit(b).alias("dj"))
@@ -89,7 +90,7 @@ def knn_candidates(missing: DataFrame, observed: DataFrame, cols: Sequence[str],
     pairs = probe.join(obs, [period, "ci", "cj"])
     pairs = pairs.withColumn("d", haversine(F.col("lat"), F.col("lon"), F.col("olat"),
                                             F.col("olon")))
-    w = Window.partitionBy("_mid").orderBy("d", "_oid")
+    w = Window.partitionBy("_mid").orderBy("d", "_tie", "_oid")
     top = pairs.withColumn("_rn", F.row_number().over(w)).where(F.col("_rn") <= k)
     zero = F.col("d") == 0
     aggs = [F.count(F.lit(1)).alias("_n"), F.max("d").alias("_kth"),
@@ -150,15 +151,16 @@ def knn_impute(df: DataFrame, cols: Sequence[str], k: int = 10, period: str = "y
         all_present = all_present & F.col(c).isNotNull()
         all_missing = all_missing & F.col(c).isNull()
     geo_ok = F.col(lat).isNotNull() & F.col(lon).isNotNull()
-    base = df.withColumn("_rid", F.concat_ws("|", F.col(key).cast("string"),
-                                             F.col(period).cast("string")))
+    # rows are told apart by a row number that is fixed before it is used, so
+    # several rows of one (key, period) each get their own neighbours
+    base = cut_lineage(df.withColumn("_rid", F.monotonically_increasing_id()))
     observed = (base.where(all_present & geo_ok)
-                    .select(period, F.col("_rid").alias("_oid"), F.col(lat).alias("lat"),
+                    .select(period, F.col("_rid").alias("_oid"), F.col(key).alias("_key"), F.col(lat).alias("lat"),
                             F.col(lon).alias("lon"), *cols))
     # co-located observed rows tie on distance and are taken in id order,
     # so no more than k of them per exact location can ever be chosen:
     # keep those (exact) — a hot spot of identical coordinates shrinks to k
-    w = Window.partitionBy(period, "lat", "lon").orderBy("_oid")
+    w = Window.partitionBy(period, "lat", "lon").orderBy("_key", "_oid")
     observed = observed.withColumn("_dup", F.row_number().over(w)).where(F.col("_dup") <= k) \
                        .drop("_dup")
     todo = (base.where(all_missing & geo_ok)

@@ -20,10 +20,11 @@ SELECT s.geoid, s.year,
   s.daily_aqi_unhealthy_or_worse_days, s.daily_aqi_reporting_sites_mean,
   s.daily_aqi_defining_param_days_co, s.daily_aqi_defining_param_days_no2,
   s.daily_aqi_defining_param_days_ozone, s.daily_aqi_defining_param_days_pm10,
-  s.daily_aqi_defining_param_days_pm25,
+  s.daily_aqi_defining_param_days_pm25, s.daily_aqi_defining_param_days_nan,
   s.daily_aqi_category_days_good, s.daily_aqi_category_days_moderate,
   s.daily_aqi_category_days_unhealthy_for_sensitive_groups,
   s.daily_aqi_category_days_unhealthy, s.daily_aqi_category_days_very_unhealthy,
+  s.daily_aqi_category_days_hazardous,
   coalesce(m.daily_aqi_monthly_mean_std, 0) AS daily_aqi_monthly_mean_std,
   coalesce(m.daily_aqi_monthly_mean_max, 0) AS daily_aqi_monthly_mean_max,
   coalesce(m.daily_aqi_months_observed, 0) AS daily_aqi_months_observed
@@ -44,6 +45,8 @@ FROM (
     CNTIF(p = 'ozone') AS daily_aqi_defining_param_days_ozone,
     CNTIF(p = 'pm10') AS daily_aqi_defining_param_days_pm10,
     CNTIF(p = 'pm25') AS daily_aqi_defining_param_days_pm25,
+    CNTIF(p = 'nan') AS daily_aqi_defining_param_days_nan,
+    CNTIF(category = 'Hazardous') AS daily_aqi_category_days_hazardous,
     CNTIF(category = 'Good') AS daily_aqi_category_days_good,
     CNTIF(category = 'Moderate') AS daily_aqi_category_days_moderate,
     CNTIF(category = 'Unhealthy for Sensitive Groups')
@@ -171,7 +174,11 @@ def q_clipped_period_join(spark, sf_dir):
                                1997, 1999)
 
 
-CLIMATE_YEARS = [1999, 2000, 2001]
+def _years(spark, sf_dir):
+    """The panel's periods, a handful of values."""
+    return sorted(r["year"] for r in fx.panel(spark, sf_dir).select("year").distinct().collect())
+
+
 _SERIES_SQL = """
 SELECT geoid, parameter, TRY_CAST(k AS INTEGER) AS year,
        TRY_CAST(NULLIF(payload::JSON ->> k, 'nan') AS DOUBLE) AS value
@@ -188,11 +195,11 @@ FROM (SELECT e.geoid, CASE WHEN m.label IS NOT NULL THEN m.label || '-' || right
                AS location_id, yr.year
       FROM (SELECT DISTINCT geoid FROM climate_payloads) e
       LEFT JOIN code_map m ON m.code = substr(e.geoid, 1, 2)
-      CROSS JOIN (SELECT unnest([{", ".join(map(str, CLIMATE_YEARS))}]) AS year) yr) g
+      CROSS JOIN (SELECT DISTINCT CAST(year AS INTEGER) AS year FROM panel) yr) g
 LEFT JOIN (SELECT geoid, year,
                   max(CASE WHEN parameter = 'tavg' THEN value END) AS annual_avg_temp_f,
                   max(CASE WHEN parameter = 'pcp' THEN value END) AS annual_precip_inches
-           FROM series WHERE year IN ({", ".join(map(str, CLIMATE_YEARS))}) GROUP BY 1, 2) y
+           FROM series WHERE year IN (SELECT year FROM panel) GROUP BY 1, 2) y
   ON y.geoid = g.geoid AND y.year = g.year
 LEFT JOIN (SELECT geoid, avg(CASE WHEN parameter = 'tavg' THEN value END) AS temp_baseline_mean,
                   avg(CASE WHEN parameter = 'pcp' THEN value END) AS precip_baseline_mean
@@ -201,12 +208,12 @@ LEFT JOIN (SELECT geoid, avg(CASE WHEN parameter = 'tavg' THEN value END) AS tem
 
 
 def _climate(spark, sf_dir):
-    return en.climate_features(fx.climate_payloads(spark, sf_dir), CLIMATE_YEARS, 1995, 1998,
+    return en.climate_features(fx.climate_payloads(spark, sf_dir), _years(spark, sf_dir), 1995, 1998,
                                code_map=fx.code_map(spark, sf_dir))
 
 
 @register("climate_anomaly", with_views(finalize(_CLIMATE_SQL, ["geoid", "location_id"]),
-                                        ["climate_payloads", "code_map"],
+                                        ["panel", "climate_payloads", "code_map"],
                                         [("series", _SERIES_SQL)]))
 def q_climate_anomaly(spark, sf_dir):
     """JSON series → long rows, baseline mean

@@ -129,3 +129,18 @@ def test_components_chain_and_islands(spark):
     comp = {r.id: r.component for r in connected_components(n, e).collect()}
     assert all(comp[i] == 0 for i in range(41))
     assert comp[100] == comp[101] == comp[102] == 100 and comp[200] == 200
+
+
+def test_knn_rows_that_share_key_and_period(spark):
+    """Two missing rows of one key and period each get all k neighbours."""
+    rows = [("m", 2000, 0.0, 0.0, None), ("m", 2000, 0.0, 0.0, None), ("a", 2000, 0.0, 1.0, 0.0), ("b", 2000, 0.0, 2.0, 1.0)]
+    df = spark.createDataFrame(rows, "geoid string, year int, lat double, lon double, v double")
+    got = [r.v for r in knn_impute(df, ["v"], k=2).where("imputed").collect()]
+    assert len(got) == 2 and all(abs(v - 1 / 3) < 1e-6 for v in got)
+
+
+def test_knn_reaches_a_far_island(spark):
+    rows = [("m", 2000, -60.0, -170.0, None)] + [(f"a{k}", 2000, 40.0 + k / 100, 10.0, float(k)) for k in range(40)]
+    df = spark.createDataFrame(rows, "geoid string, year int, lat double, lon double, v double")
+    got = knn_impute(df, ["v"], k=3).where("imputed").collect()
+    assert len(got) == 1 and 0 <= got[0].v <= 39

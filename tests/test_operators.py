@@ -149,3 +149,11 @@ def test_clean_table_helpers(spark):
     assert C.filter_in(df, "MeasureId", ["x"], negate=True).count() == 1
     with pytest.raises(ValueError):
         C.filter_measure(df, "m", ["nope"])
+
+
+def test_crosstab_raises_on_a_value_not_listed(spark):
+    from panelspark.operators.aggregates import crosstab_counts
+    df = spark.createDataFrame([(1, "x"), (1, None), (1, "z")], "k int, c string")
+    assert crosstab_counts(df, ["k"], "c", ["x", "z"], "n_").collect()[0].n_z == 1
+    with pytest.raises(Exception, match="not listed"):
+        crosstab_counts(df, ["k"], "c", ["x"], "n_").collect()
