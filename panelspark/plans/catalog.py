@@ -37,4 +37,4 @@ def register(name: str, oracle: str | None = None):
     return deco
 
 
-from panelspark.plans import q_enrichment, q_clean, q_audit, q_windows, q_model, q_geo, q_charts, q_ml, q_cluster, q_sources  # noqa: E402,F401  (registers queries)
+from panelspark.plans import q_enrichment, q_clean, q_audit, q_windows, q_model, q_geo, q_charts, q_ml, q_cluster, q_sources, q_cover  # noqa: E402,F401  (registers queries)
