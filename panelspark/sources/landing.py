@@ -8,13 +8,14 @@ zipped CSVs are opened one archive per task.
 
 from __future__ import annotations
 
+import csv
 import io
+import itertools
 import os
-import re
 import zipfile
 from collections.abc import Callable, Mapping, Sequence
 
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -63,34 +64,35 @@ def read_bulk(spark: SparkSession, path: str, cols: Sequence[str], sep: str = "|
 # ------------------------------------------------------------------ S04
 def read_zipped_csv(spark: SparkSession, glob: str, schema: T.StructType,
                     path_col: str | None = "source_file") -> DataFrame:
-    """CSV members of zip archives.  ``binaryFile`` gives one row per
-    archive; ``mapInPandas`` opens each archive in its own task and
-    yields its first CSV member in Arrow batches, typed by ``schema``."""
-    names = [f.name for f in schema.fields]
-    out_schema = T.StructType(list(schema.fields) + ([T.StructField(path_col, T.StringType())]
-                                                     if path_col else []))
-
-    def unzip(batches):
-        for pdf in batches:
-            for path, content in zip(pdf["path"], pdf["content"]):
-                with zipfile.ZipFile(io.BytesIO(content)) as zf:
-                    members = [n for n in zf.namelist() if n.endswith(".csv")]
-                    if not members:
-                        continue
-                    with zf.open(members[0]) as fh:
-                        for chunk in pd.read_csv(fh, dtype=str, chunksize=50000,
-                                                 keep_default_na=False):
-                            part = pd.DataFrame({n: chunk[n] if n in chunk else None
-                                                 for n in names})
-                            for f in schema.fields:
-                                if not isinstance(f.dataType, T.StringType):
-                                    part[f.name] = pd.to_numeric(part[f.name], errors="coerce")
-                            part = part.replace({"": None})
-                            if path_col:
-                                part[path_col] = path
-                            yield part
-    raw = spark.read.format("binaryFile").load(glob).select("path", "content")
-    return raw.mapInPandas(unzip, out_schema)
+    """CSV members of zip archives, all of them.
+
+    ``binaryFile`` gives one row per archive; a task streams through its
+    archive's members line by line and passes the schema's fields on as text
+    (found by header name, so their order may differ); Spark then casts them,
+    and what does not parse is NULL.  An archive without CSV, or a member
+    without one of the schema's columns, fails the job and is named."""
+    fields = [f.name for f in schema.fields]
+    raw_schema = T.StructType([T.StructField(f"c{k}", T.StringType()) for k in range(len(fields))]
+                              + [T.StructField("path", T.StringType())])
+
+    def rows_of(batches):
+        for batch in batches:
+            for path, content in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+                archive = zipfile.ZipFile(io.BytesIO(content))
+                members = sorted(n for n in archive.namelist() if n.lower().endswith(".csv"))
+                if not members:
+                    raise ValueError(f"{path}: no CSV in the archive")
+                for member in members:
+                    lines = csv.DictReader(io.TextIOWrapper(archive.open(member), "utf-8-sig", newline=""))
+                    if lost := sorted(set(fields) - set(lines.fieldnames or ())):
+                        raise ValueError(f"{path}, {member}: without the columns {lost}")
+                    while part := list(itertools.islice(lines, 20_000)):
+                        columns = [pa.array([r[f] or None for r in part], pa.string()) for f in fields]
+                        yield pa.record_batch([*columns, pa.array([path] * len(part))], names=raw_schema.names)
+
+    raw = spark.read.format("binaryFile").load(glob).select("path", "content").mapInArrow(rows_of, raw_schema)
+    typed = [F.col(f"c{k}").try_cast(f.dataType).alias(f.name) for k, f in enumerate(schema.fields)]
+    return raw.select(*typed, *([F.col("path").alias(path_col)] if path_col else []))
 
 
 # ------------------------------------------------------------------ S05
@@ -179,7 +181,7 @@ def load_or_skip(loaders: Mapping[str, Callable[[], DataFrame]],
         try:
             df = load()
         except Exception as exc:  # noqa: BLE001 - a failed source is skipped, not fatal
-            skipped.append((name, f"failed: {type(exc).__name__}"))
+            skipped.append((name, f"failed: {type(exc).__name__}: {exc}"))
             continue
         missing = [c for c in required if c not in df.columns]
         if missing:

@@ -5,6 +5,7 @@ import json
 import os
 import zipfile
 
+import pytest
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -43,14 +44,25 @@ def test_zipped_csv(spark, tmpdir_fresh):
         buf = io.BytesIO()
         with zipfile.ZipFile(buf, "w") as zf:
             zf.writestr(f"daily_{year}.csv", "State Code,County Code,AQI\n1,1,50\n6,37,\n")
+            zf.writestr(f"more/daily_{year}.csv", "AQI,x,County Code,State Code\nbad,,3,1\n")
         with open(os.path.join(tmpdir_fresh, f"daily_aqi_by_county_{year}.zip"), "wb") as fh:
             fh.write(buf.getvalue())
     schema = T.StructType([T.StructField("State Code", T.StringType()),
                            T.StructField("County Code", T.StringType()),
                            T.StructField("AQI", T.DoubleType())])
     df = L.read_zipped_csv(spark, os.path.join(tmpdir_fresh, "*.zip"), schema)
-    assert df.count() == 4 and df.where("AQI is null").count() == 2
+    assert df.count() == 6 and df.where("AQI is null").count() == 4
     assert df.select("source_file").distinct().count() == 2
+    assert df.where("`State Code` = '1' and `County Code` = '3'").count() == 2  # every member, columns by name
+    for name, members, message in (("none", {"a.txt": "x"}, "no CSV"), ("less", {"a.csv": "AQI\n1\n"}, "without the columns")):
+        buf = io.BytesIO()
+        with zipfile.ZipFile(buf, "w") as zf:
+            for member, text in members.items():
+                zf.writestr(member, text)
+        with open(os.path.join(tmpdir_fresh, f"{name}.bin"), "wb") as fh:
+            fh.write(buf.getvalue())
+        with pytest.raises(Exception, match=message):
+            L.read_zipped_csv(spark, os.path.join(tmpdir_fresh, f"{name}.bin"), schema).collect()
 
 
 def test_json_rows_and_pages(spark, tmpdir_fresh):
