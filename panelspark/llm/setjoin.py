@@ -23,10 +23,11 @@ on some segments:
 Sets that are equal form one class before all this, so copies cost nothing.
 Classes that share a signature are candidates, verified exactly on their
 shingles.  Groups are not expanded into pairs: within a signature's classes
-each is first compared with one of them; what that links becomes a
-component, and only classes of one signature that are still in different
-components are compared with each other.  Every pair that could add a link
-between components is tested, so the components are those of all links.
+each is first compared with one of them, some rounds over; what that links becomes
+a component, and only classes of one signature that are still in different
+components are compared with each other, after a parity sketch has ruled out
+what differs too much (it never rules out a link).  Every pair that could
+join two components is tested, so the components are those of all links.
 
 A signature that an unusual share of all rows has (found on a fixed sample
 of documents; it changes the dealing only, never the result) is dealt over
@@ -59,6 +60,9 @@ from panelspark.operators.components import connected_components
 GROWTH, SPARE, SHARED, PAIR_COST = 4, 1.15, 0.001, 4.0
 #: A signature is dealt over several tasks when about so many rows have it.
 HOT_ROWS, SALTS, SAMPLE = 200_000, 64, 64
+#: Places of the parity sketch; rounds in which a signature's classes are
+#: compared with one of them before all that remain are.
+PARITY, STARS = 512, 2
 _LEVEL, _SEGMENT, _NEAR = (np.uint64(c) for c in (0xD6E8FEB86659FD93, 0x9E3779B97F4A7C15, 0xA0761D6478BD642F))
 
 
@@ -192,8 +196,8 @@ def _columns(sigs, classes) -> pa.RecordBatch:
 
 
 def shingle_sets(docs: DataFrame, id_col: str, text_col: str, wanted: DataFrame, seed: int) -> DataFrame:
-    """(cls, tokens) of the wanted (cls, first): the text of each class's
-    first document is read again."""
+    """(cls, n, bits, tokens) of the wanted (cls, first): the text of each
+    class's first document is read again."""
     def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         words = Words()
         for batch in batches:
@@ -201,15 +205,35 @@ def shingle_sets(docs: DataFrame, id_col: str, text_col: str, wanted: DataFrame,
                 found = [shingle_set(t, words) for t in _texts(batch.slice(at, 256), 0)]
                 found = [t for t in found if len(t)]
                 yield pa.record_batch([pa.array([set_class(t, seed)[1] for t in found], pa.int64()),
+                                       pa.array([len(t) for t in found], pa.int32()),
+                                       pa.array([parity(t) for t in found], pa.list_(pa.int64())),
                                        pa.array([t.view(np.int64) for t in found], pa.list_(pa.int64()))],
-                                      names=["cls", "tokens"])
+                                      names=["cls", "n", "bits", "tokens"])
 
     rows = docs.select(F.col(id_col).alias("i_"), F.col(text_col).cast("string").alias("t_")).join(
         wanted.select("first").distinct(), F.col("i_").eqNullSafe(F.col("first")), "left_semi")
-    got = rows.select("t_").mapInArrow(sets, "cls long, tokens array<bigint>")
+    got = rows.select("t_").mapInArrow(sets, "cls long, n int, bits array<bigint>, tokens array<bigint>")
     return got.join(wanted.select("cls"), "cls", "left_semi").dropDuplicates(["cls"])
 
 
+def parity(tokens: np.ndarray) -> np.ndarray:
+    """Whether an odd number of shingles falls on each of PARITY places, as
+    64-bit numbers.  Two sets' parities differ in at most as many places as
+    the sets differ in shingles."""
+    odd = (np.bincount((tokens >> np.uint64(40)) % np.uint64(PARITY), minlength=PARITY) & 1).astype(np.uint8)
+    return np.packbits(odd).view(np.int64)
+
+
+def may_link(a: str, b: str):
+    """Sizes and parities of two sides (n, bits with these prefixes) leave a
+    similarity of 0.8 possible; never false for sets that link."""
+    x, y = F.col(f"{a}bits"), F.col(f"{b}bits")
+    apart = F.lit(0)
+    for k in range(PARITY // 64):
+        apart = apart + F.bit_count(x[k].bitwiseXOR(y[k]))
+    return near(f"{a}n", f"{b}n") & (9 * apart <= F.col(f"{a}n") + F.col(f"{b}n"))
+
+
 def near(n: str, m: str):
     return (5 * F.col(n) >= 4 * F.col(m)) & (5 * F.col(m) >= 4 * F.col(n))
 
@@ -266,38 +290,56 @@ def linked_classes(docs: DataFrame, id_col: str, text_col: str, classes: DataFra
     total = sum(tokens for _, tokens in counts.values()) // 3
     hot = hot_signatures(docs, id_col, text_col, plan, seed, rows, total, hot_rows)
     members, pairs = members_of(signature_rows(docs, text_col, plan, seed), hot)
-    sized = classes.select("cls", "n", "first")
-    wanted = stored(members.select("cls").distinct().join(sized, "cls"), "wanted")
+    wanted = stored(members.select("cls").distinct().join(classes.select("cls", "n", "first"), "cls"), "wanted")
     sets = stored(shingle_sets(docs, id_col, text_col, wanted, seed), "sets")
     size = wanted.select("cls", "n")
-
-    def comparable(p: DataFrame) -> DataFrame:
-        return (p.join(size.select(F.col("cls").alias("a"), F.col("n").alias("na")), "a")
-                .join(size.select(F.col("cls").alias("b"), F.col("n").alias("nb")), "b")
-                .where(near("na", "nb")).select("a", "b"))
-
-    first = stored(comparable(pairs), "star_pairs")
+    first = (pairs.join(size.withColumnsRenamed({"cls": "a", "n": "an"}), "a")
+             .join(size.withColumnsRenamed({"cls": "b", "n": "bn"}), "b").where(near("an", "bn")).select("a", "b"))
     links = stored(verified(first, sets), "star_links")
-    nodes = wanted.select("cls")
-    parts = stored(connected_components(nodes, links, "cls", "a", "b"), "star_parts")
-    # signatures whose classes are still in several components
-    placed = members.join(parts, "cls").join(size, "cls")
+    parts = stored(connected_components(wanted.select("cls"), links, "cls", "a", "b"), "star_parts")
+    sketch = sets.select("cls", "n", "bits")
+    for turn in range(STARS):
+        open_ = still_open(members, parts, sketch)
+        parts = merged(parts, verified(star(open_, turn), sets))
+        members = open_.select("sig", "cls")  # the others are in one component
+    open_ = still_open(members, parts, sketch)
+    side = lambda k: open_.select("sig", *[F.col(c).alias(k + c) for c in ("cls", "component", "n", "bits")])
+    cross = (side("a").join(side("b"), "sig")
+             .where((F.col("acls") < F.col("bcls")) & (F.col("acomponent") != F.col("bcomponent")) & may_link("a", "b"))
+             .select(F.col("acls").alias("a"), F.col("bcls").alias("b")).distinct())
+    return merged(parts, verified(cross, sets))
+
+
+def still_open(members: DataFrame, parts: DataFrame, sketch: DataFrame) -> DataFrame:
+    """Rows (sig, cls, component, n, bits) of the signatures whose classes
+    are still in several components."""
+    placed = members.join(parts, "cls")
     split = placed.groupBy("sig").agg(F.min("component").alias("lo"), F.max("component").alias("hi"))
-    open_ = stored(placed.join(split.where("lo < hi").select("sig"), "sig", "left_semi"), "open")
-    left = open_.select("sig", F.col("cls").alias("a"), F.col("component").alias("ca"), F.col("n").alias("na"))
-    right = open_.select("sig", F.col("cls").alias("b"), F.col("component").alias("cb"), F.col("n").alias("nb"))
-    cross = (left.join(right, "sig").where((F.col("a") < F.col("b")) & (F.col("ca") != F.col("cb"))
-                                           & near("na", "nb")).select("a", "b").distinct()
-             .join(first, ["a", "b"], "left_anti"))
-    more = stored(verified(stored(cross, "cross_pairs"), sets), "cross_links")
-    parts2 = parts.select(F.col("cls").alias("x"), F.col("component").alias("cx"))
-    joins = (more.join(parts2.withColumnsRenamed({"x": "a", "cx": "ca"}), "a")
-             .join(parts2.withColumnsRenamed({"x": "b", "cx": "cb"}), "b").select("ca", "cb").distinct())
-    merged = connected_components(parts.select("component").distinct(), stored(joins, "merges"),
-                                  "component", "ca", "cb")
-    # connected_components names the result column like its input: keep both apart
-    merged = merged.toDF("component", "whole")
-    return parts.join(merged, "component").select("cls", F.col("whole").alias("component"))
+    return stored(placed.join(split.where("lo < hi").select("sig"), "sig", "left_semi").join(sketch, "cls"), "open")
+
+
+def star(open_: DataFrame, turn: int) -> DataFrame:
+    """Pairs (a, b) of each class with one class of its signature, another one
+    each turn, where they are in different components and may link."""
+    fields = ["cls", "component", "n", "bits"]
+    centre = open_.groupBy("sig").agg(F.min(F.struct(
+        F.xxhash64("cls", F.lit(turn)).alias("k"), *fields)).alias("m")).select(
+        "sig", *[F.col(f"m.{c}").alias("a" + c) for c in fields])
+    both = open_.select("sig", *[F.col(c).alias("b" + c) for c in fields]).join(stored(centre, "centres"), "sig")
+    return both.where((F.col("acomponent") != F.col("bcomponent")) & may_link("a", "b")).select(
+        F.col("acls").alias("a"), F.col("bcls").alias("b")).distinct()
+
+
+def merged(parts: DataFrame, links: DataFrame) -> DataFrame:
+    """``parts`` with the components joined that ``links`` (a, b) connect."""
+    links = stored(links, "links")
+    joins = (links.join(parts.select(F.col("cls").alias("a"), F.col("component").alias("ca")), "a")
+             .join(parts.select(F.col("cls").alias("b"), F.col("component").alias("cb")), "b")
+             .select("ca", "cb").distinct())
+    whole = connected_components(parts.select("component").distinct(), stored(joins, "joins"), "component", "ca", "cb")
+    whole = whole.toDF("part", "whole")
+    return stored(parts.join(whole, F.col("component") == F.col("part"))
+                  .select("cls", F.col("whole").alias("component")), "parts")
 
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",

@@ -94,3 +94,22 @@ def test_shingles():
     assert len(shingle_set(b"a b c", w)) == 1 and len(shingle_set(b"a b c d e f", w)) == 2
     assert (shingle_set(b"A B c d e", w) == shingle_set(b"a\nb  c d e ", w)).all()
     assert (shingle_set("É b".encode(), w) != shingle_set("é b".encode(), w)).all()
+
+
+def test_parity_never_rules_out_a_link(spark):
+    rng = np.random.default_rng(9)
+    rows = []
+    for n in (1, 5, 40, 300, 2000):
+        for _ in range(6):
+            base = np.unique(rng.integers(0, 2 ** 63, n).astype(np.uint64))
+            other = base.copy()
+            drop = n // 9
+            other = np.unique(np.concatenate([other[drop:], rng.integers(0, 2 ** 63, n // 10).astype(np.uint64)]))
+            both = len(np.intersect1d(base, other))
+            rows.append((len(base), setjoin.parity(base).tolist(), len(other), setjoin.parity(other).tolist(),
+                         9 * both >= 4 * (len(base) + len(other))))
+    far = rng.integers(0, 2 ** 63, (2, 200)).astype(np.uint64)
+    rows.append((200, setjoin.parity(far[0]).tolist(), 200, setjoin.parity(far[1]).tolist(), False))
+    df = spark.createDataFrame(rows, "an int, abits array<bigint>, bn int, bbits array<bigint>, linked boolean")
+    got = df.select("linked", setjoin.may_link("a", "b").alias("may")).collect()
+    assert any(r["linked"] for r in got) and all(r["may"] for r in got if r["linked"]) and not got[-1]["may"]
