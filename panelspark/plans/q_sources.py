@@ -4,8 +4,8 @@ back with the key columns pinned to text."""
 
 from __future__ import annotations
 
-import hashlib
 import os
+import uuid
 
 from pyspark.sql import functions as F
 
@@ -13,15 +13,13 @@ from panelspark.functions.keys import composite_key
 from panelspark.plans import fixtures as fx
 from panelspark.plans.catalog import register
 from panelspark.plans.fixture_sql import finalize, with_views
-from panelspark.sources.landing import _exists, read_years, stage_root, write_table
+from panelspark.sources.landing import read_years, stage_root, write_table
 
 
 def landed_daily(spark, sf_dir):
-    root = os.path.join(stage_root(spark),
-                        "daily_csv_" + hashlib.sha1(os.path.abspath(sf_dir).encode()).hexdigest()[:12])
-    if not _exists(spark, root):
-        d = fx.daily_raw(spark, sf_dir).withColumn("year", F.year("date"))
-        write_table(d, root, partition_by="year", fmt="csv")
+    root = os.path.join(stage_root(spark), f"daily_csv_{uuid.uuid4().hex}")  # written anew: never stale
+    d = fx.daily_raw(spark, sf_dir).withColumn("year", F.year("date"))
+    write_table(d, root, partition_by="year", fmt="csv")
     return read_years(spark, os.path.join(root, "year=*", "*.csv"), "year",
                       pattern=r"year=([0-9]{4})", on="file_path",
                       key=["state_code", "county_code"])
