@@ -333,6 +333,8 @@ def star(open_: DataFrame, turn: int) -> DataFrame:
 def merged(parts: DataFrame, links: DataFrame) -> DataFrame:
     """``parts`` with the components joined that ``links`` (a, b) connect."""
     links = stored(links, "links")
+    if links.isEmpty():
+        return parts
     joins = (links.join(parts.select(F.col("cls").alias("a"), F.col("component").alias("ca")), "a")
              .join(parts.select(F.col("cls").alias("b"), F.col("component").alias("cb")), "b")
              .select("ca", "cb").distinct())
