@@ -292,17 +292,18 @@ def linked_classes(docs: DataFrame, id_col: str, text_col: str, classes: DataFra
     members, pairs = members_of(signature_rows(docs, text_col, plan, seed), hot)
     wanted = stored(members.select("cls").distinct().join(classes.select("cls", "n", "first"), "cls"), "wanted")
     sets = stored(shingle_sets(docs, id_col, text_col, wanted, seed), "sets")
-    size = wanted.select("cls", "n")
-    first = (pairs.join(size.withColumnsRenamed({"cls": "a", "n": "an"}), "a")
-             .join(size.withColumnsRenamed({"cls": "b", "n": "bn"}), "b").where(near("an", "bn")).select("a", "b"))
+    sketch = sets.select("cls", "n", "bits")
+    side = lambda k: sketch.select(*[F.col(c).alias(k + c) for c in ("cls", "n", "bits")])
+    first = (pairs.join(side("a"), F.col("a") == F.col("acls")).join(side("b"), F.col("b") == F.col("bcls"))
+             .where(may_link("a", "b")).select("a", "b"))
     links = stored(verified(first, sets), "star_links")
     parts = stored(connected_components(wanted.select("cls"), links, "cls", "a", "b"), "star_parts")
-    sketch = sets.select("cls", "n", "bits")
-    for turn in range(STARS):
-        open_ = still_open(members, parts, sketch)
-        parts = merged(parts, verified(star(open_, turn), sets))
-        members = open_.select("sig", "cls")  # the others are in one component
     open_ = still_open(members, parts, sketch)
+    stars = star(open_, 0)
+    for turn in range(1, STARS):
+        stars = stars.unionByName(star(open_, turn))
+    parts = merged(parts, verified(stars.distinct(), sets))
+    open_ = still_open(open_.select("sig", "cls"), parts, sketch)  # the others are in one component
     side = lambda k: open_.select("sig", *[F.col(c).alias(k + c) for c in ("cls", "component", "n", "bits")])
     cross = (side("a").join(side("b"), "sig")
              .where((F.col("acls") < F.col("bcls")) & (F.col("acomponent") != F.col("bcomponent")) & may_link("a", "b"))
