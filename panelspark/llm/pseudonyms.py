@@ -43,6 +43,12 @@ NUMBERS = r"(?<!\d)(?=[\d(+])(?:" + "|".join(f"(?:{p})" for name, p in KINDS if
 ANY = f"(?:{MAIL})|{NUMBERS}"
 
 
+def _let(value: Column, body) -> Column:
+    """``body`` of a value that is computed once (a plain Column used twice is
+    computed twice)."""
+    return F.transform(F.array(value), body)[0]
+
+
 def _hash(key: str, kind: str, turn: Column, half: Column) -> Column:
     return F.sha2(F.concat_ws("|", F.lit(key), F.lit(kind), turn.cast("string"), half.cast("string")), 256)
 
@@ -74,13 +80,13 @@ def permuted_text(s: Column, key: str, kind: str) -> Column:
             F.array_join(F.transform(F.sequence(F.lit(1), F.length(half)), one), ""))
 
     def turn(acc, i):
-        return F.struct(acc["y"].alias("x"),
-                        shifted(acc["x"], _hash(key, f"{kind}", i, acc["y"])).alias("y"))
+        return F.struct(acc["y"].alias("x"), _let(
+            _hash(key, kind, i, acc["y"]), lambda drawn: shifted(acc["x"], drawn)).alias("y"))
 
     middle = F.floor(F.length(s) / 2).cast("int")
     halves = F.struct(F.substr(s, F.lit(1), middle).alias("x"), F.substr(s, middle + 1, F.length(s)).alias("y"))
     done = F.aggregate(F.array(*[F.lit(i) for i in range(TURNS)]), halves, turn)
-    return F.concat(done["x"], done["y"])
+    return _let(done, lambda d: F.concat(d["x"], d["y"]))
 
 
 def digits(s: Column) -> Column:
@@ -105,17 +111,22 @@ def poured(shape: Column, d: Column) -> Column:
 
 
 def new_card(m: Column, key: str) -> Column:
-    d = digits(m)
-    body = permuted_text(F.substr(d, F.lit(1), F.length(d) - 1), key, "card")
-    check = (10 - check_sum(F.concat(body, F.lit("0"))) % 10) % 10
-    return F.when((check_sum(d) % 10 == 0) & F.length(d).between(13, 19),
-                  poured(m, F.concat(body, check.cast("string"))))
+    def whole(body):
+        check = (10 - check_sum(F.concat(body, F.lit("0"))) % 10) % 10
+        return _let(F.concat(body, check.cast("string")), lambda made: poured(m, made))
+
+    def of(d):
+        made = _let(permuted_text(F.substr(d, F.lit(1), F.length(d) - 1), key, "card"), whole)
+        return F.when(F.length(d).between(13, 19) & (check_sum(d) % 10 == 0), made)
+    return _let(digits(m), of)
 
 
 def new_phone(m: Column, key: str) -> Column:
-    d = digits(m)
-    country = F.substr(d, F.lit(1), F.length(d) - 10)
-    return poured(m, F.concat(country, permuted_text(F.substr(d, F.length(d) - 9, F.lit(10)), key, "phone")))
+    def of(d):
+        last = permuted_text(F.substr(d, F.length(d) - 9, F.lit(10)), key, "phone")
+        made = F.concat(F.substr(d, F.lit(1), F.length(d) - 10), last)
+        return _let(made, lambda made: poured(m, made))
+    return _let(digits(m), of)
 
 
 def new_social(m: Column, key: str) -> Column:
@@ -162,13 +173,16 @@ MAKERS = {"mail": new_mail, "date": new_date, "address": new_address, "phone": n
           "social": new_social, "card": new_card}
 
 
+def _found(name: str, m: Column):
+    return lambda v: F.struct(F.when(v.isNotNull(), F.lit(name)).alias("kind"), F.coalesce(v, m).alias("value"))
+
+
 def replaced(m: Column, key: str) -> Column:
     """(kind, value) of a candidate; the kind is null where it does not validate."""
     out, kind = None, None
     for name, pattern in KINDS:
         here = m.rlike(f"^(?:{pattern})$")
-        value = MAKERS[name](m, key)
-        one = F.struct(F.when(value.isNotNull(), F.lit(name)).alias("kind"), F.coalesce(value, m).alias("value"))
+        one = _let(MAKERS[name](m, key), _found(name, m))
         out = F.when(here, one) if out is None else out.when(here, one)
     return out.otherwise(F.struct(F.lit(None).cast("string").alias("kind"), m.alias("value")))
 
