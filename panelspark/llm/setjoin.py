@@ -20,14 +20,19 @@ on some segments:
   first (difference + 1) meet.  The order puts large segments first, and
   empty ones last.
 
-Sets that are equal form one class before all this, so copies cost nothing.
+Sets that are equal form one class before all this: each task emits a
+class's signatures once, and what several tasks emit is made distinct before
+classes are compared, so copies are never compared with each other.
 Classes that share a signature are candidates, verified exactly on their
 shingles.  Groups are not expanded into pairs: within a signature's classes
 each is first compared with one of them, some rounds over; what that links becomes
 a component, and only classes of one signature that are still in different
 components are compared with each other, after a parity sketch has ruled out
-what differs too much (it never rules out a link).  Every pair that could
-join two components is tested, so the components are those of all links.
+what differs too much (it never rules out a link).  Of a signature that many
+classes still have then, only those are compared that also share a signature
+in a second, independently hashed universe partition, where linked sets meet
+as well.  Every pair that could join two components is tested, so the
+components are those of all links.
 
 A signature that an unusual share of all rows has (found on a fixed sample
 of documents; it changes the dealing only, never the result) is dealt over
@@ -43,6 +48,7 @@ empty result; further columns are not read.
 from __future__ import annotations
 
 import hashlib
+import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -63,17 +69,27 @@ HOT_ROWS, SALTS, SAMPLE = 200_000, 64, 64
 #: Places of the parity sketch; rounds in which a signature's classes are
 #: compared with one of them before all that remain are.
 PARITY, STARS = 512, 2
+#: Groups of open classes above this size are split by further partitions of the
+#: universe, at most so often, and dealt over tasks; classes that a task remembers.
+GROUP, SPLITS, REMEMBERED = 256, 3, 500_000
+#: Bands of the further partitions are narrow: fewer, larger segments agree by chance less.
+NARROW = 1.25
 _LEVEL, _SEGMENT, _NEAR = (np.uint64(c) for c in (0xD6E8FEB86659FD93, 0x9E3779B97F4A7C15, 0xA0761D6478BD642F))
 
 
-def band(n: int) -> int:
-    """Band of a set size: band b holds sizes from GROWTH**b on."""
+def band(n: int, growth: float = GROWTH) -> int:
+    """Band of a set size: band b holds sizes from growth**b on."""
     b = 0
-    while n >= GROWTH ** (b + 1):
+    while n >= growth ** (b + 1):
         b += 1
     return b
 
 
+def largest(b: int, growth: float = GROWTH) -> int:
+    """The largest size of band ``b``."""
+    return math.ceil(growth ** (b + 1)) - 1
+
+
 def difference(n: int, other: int) -> int:
     """The most shingles in which linked sets of these sizes differ."""
     return (n + other) // 9
@@ -97,21 +113,21 @@ def allocate(b: int, sets: int, shared: float = SHARED) -> tuple[int, int]:
     return (max(exact, round(exact * SPARE + 0.49)) if exact > 0 else 0), near
 
 
-def roles(n: int) -> list[tuple[int, int]]:
+def roles(n: int, growth: float = GROWTH) -> list[tuple[int, int]]:
     """(band, allowed difference) of each band a set of ``n`` is indexed in."""
-    out = [(band(n), difference(n, 5 * n // 4))]
+    out = [(band(n, growth), difference(n, 5 * n // 4))]
     for b in range(out[0][0] - 1, -1, -1):
-        top = GROWTH ** (b + 1) - 1
+        top = largest(b, growth)
         if 5 * top < 4 * n:
             break
         out.append((b, difference(n, top)))
     return out
 
 
-def signatures(tokens: np.ndarray, plan: dict[int, tuple[int, int]]) -> np.ndarray:
+def signatures(tokens: np.ndarray, plan: dict[int, tuple[int, int]], growth: float = GROWTH) -> np.ndarray:
     """The set's signatures, as 64-bit numbers; ``plan`` has each band's segments."""
     out, weight = [], mixed(tokens)
-    for b, allowed in roles(len(tokens)):
+    for b, allowed in roles(len(tokens), growth):
         exact, near = plan[b]
         total = exact + near
         segment = (tokens >> np.uint64(7)) % np.uint64(total)
@@ -171,16 +187,20 @@ def summary(docs: DataFrame, id_col: str, text_col: str, seed: int) -> DataFrame
 
 
 def signature_rows(docs: DataFrame, text_col: str, plan: dict[int, tuple[int, int]], seed: int) -> DataFrame:
-    """(sig, cls) of every row's set."""
+    """(sig, cls) of every class, once from each task that has rows of it."""
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        words = Words()
+        words, seen = Words(), set()
         for batch in batches:
             sigs, classes, held = [], [], 0
             for text in _texts(batch, 0):
                 tokens = shingle_set(text, words)
-                if len(tokens):
+                cls = set_class(tokens, seed)[1] if len(tokens) else None
+                if cls is not None and cls not in seen:
+                    if len(seen) >= REMEMBERED:
+                        seen.clear()  # what comes again is made distinct later
+                    seen.add(cls)
                     sigs.append(signatures(tokens, plan).view(np.int64))
-                    classes.append(np.full(len(sigs[-1]), set_class(tokens, seed)[1]))
+                    classes.append(np.full(len(sigs[-1]), cls))
                     held += len(sigs[-1])
                 if held > 200_000:
                     yield _columns(sigs, classes)
@@ -256,13 +276,13 @@ def hot_signatures(docs: DataFrame, id_col: str, text_col: str, plan, seed: int,
     if rows < least:
         return None  # no signature can have more rows than there are documents
     some = docs.where(F.pmod(F.xxhash64(F.col(id_col).cast("string")), F.lit(SAMPLE)) == 0)
-    return stored(signature_rows(some, text_col, plan, seed).groupBy("sig").agg(F.count(F.lit(1)).alias("n"))
+    return stored(signature_rows(some, text_col, plan, seed).distinct().groupBy("sig").agg(F.count(F.lit(1)).alias("n"))
                   .where(F.col("n") * SAMPLE >= least).orderBy(F.desc("n")).limit(4 * parts).select("sig"), "hot")
 
 
 def members_of(rows: DataFrame, hot: DataFrame | None) -> tuple[DataFrame, DataFrame]:
-    """Rows of signatures that several classes have, as (sig, cls), and the
-    pairs (a, b) of each with its signature's first class."""
+    """Distinct rows of signatures that several classes have, as (sig, cls),
+    and the pairs (a, b) of each with its signature's first class."""
     if hot is None:
         rows = rows.withColumn("salt", F.lit(0))
     else:
@@ -270,6 +290,7 @@ def members_of(rows: DataFrame, hot: DataFrame | None) -> tuple[DataFrame, DataF
         rows = rows.join(hot, F.col("sig") == F.col("h_"), "left").withColumn("salt", F.when(
             F.col("h_").isNull(), F.lit(0)).otherwise(1 + F.pmod(F.xxhash64("cls"), F.lit(SALTS)))).drop("h_")
     w = Window.partitionBy("sig", "salt")
+    rows = rows.repartition("sig", "salt").dropDuplicates(["sig", "salt", "cls"])  # one exchange with the window's
     rows = rows.withColumns({"first": F.min("cls").over(w), "last": F.max("cls").over(w)})
     rows = stored(rows.where("first < last or salt > 0").select("sig", "salt", "cls", "first"), "members")
     pairs = rows.where("first < cls").select(F.col("first").alias("a"), F.col("cls").alias("b"))
@@ -304,10 +325,7 @@ def linked_classes(docs: DataFrame, id_col: str, text_col: str, classes: DataFra
         stars = stars.unionByName(star(open_, turn))
     parts = merged(parts, verified(stars.distinct(), sets))
     open_ = still_open(open_.select("sig", "cls"), parts, sketch)  # the others are in one component
-    side = lambda k: open_.select("sig", *[F.col(c).alias(k + c) for c in ("cls", "component", "n", "bits")])
-    cross = (side("a").join(side("b"), "sig")
-             .where((F.col("acls") < F.col("bcls")) & (F.col("acomponent") != F.col("bcomponent")) & may_link("a", "b"))
-             .select(F.col("acls").alias("a"), F.col("bcls").alias("b")).distinct())
+    cross = crossed(narrowed(open_.select(F.col("sig").alias("key"), "cls", "component"), sets), sketch)
     return merged(parts, verified(cross, sets))
 
 
@@ -331,6 +349,72 @@ def star(open_: DataFrame, turn: int) -> DataFrame:
         F.col("acls").alias("a"), F.col("bcls").alias("b")).distinct()
 
 
+def sized(rows: DataFrame) -> DataFrame:
+    """Rows (key, cls, component, size) of the keys that several components have."""
+    keys = rows.groupBy("key").agg(F.count(F.lit(1)).alias("size"), F.min("component").alias("lo"),
+                                   F.max("component").alias("hi")).where("lo < hi").select("key", "size")
+    return stored(rows.select("key", "cls", "component").join(keys, "key"), "sized")
+
+
+def finer(sets: DataFrame, turn: int) -> DataFrame:
+    """(cls, fine): signatures in another partition of the universe, all exact;
+    linked sets share one."""
+    def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        plan: dict[int, tuple[int, int]] = {}
+        for batch in batches:
+            for at in range(0, batch.num_rows, 256):
+                part, out = batch.slice(at, 256), []
+                for tokens in part.column(1):
+                    t = mixed(tokens.values.to_numpy(zero_copy_only=False).view(np.uint64) + np.uint64(turn + 1) * _SEGMENT)
+                    plan.update({b: exact_only(b, NARROW) for b, _ in roles(len(t), NARROW) if b not in plan})
+                    out.append(np.unique(signatures(t, plan, NARROW)).view(np.int64))
+                yield pa.record_batch([part.column(0), pa.array(out, pa.list_(pa.int64()))], names=["cls", "fine"])
+
+    return sets.select("cls", "tokens").mapInArrow(rows, "cls long, fine array<bigint>")
+
+
+def exact_only(b: int, growth: float) -> tuple[int, int]:
+    """As allocate(), without neighbourhoods."""
+    top = largest(b, growth)
+    exact = difference(top, 5 * top // 4) + 1
+    return max(exact, round(exact * SPARE + 0.49)), 0
+
+
+def narrowed(rows: DataFrame, sets: DataFrame) -> DataFrame:
+    """Rows (key, cls, component, size) such that linked classes of one key
+    and different components in ``rows`` (key, cls, component) still share a
+    key.  A large group's key is replaced by keys of it and each finer
+    signature, while that at least halves the pairs of large groups."""
+    rows, done = sized(rows), []
+    for turn in range(SPLITS):
+        large = rows.where(F.col("size") > GROUP)
+        pairs = large.agg(F.sum("size")).first()[0]
+        if not pairs:
+            break
+        wanted = sets.join(large.select("cls").distinct(), "cls", "left_semi")
+        fine = sized(large.join(finer(wanted, turn), "cls").select("key", "cls", "component", F.explode("fine").alias("f"))
+                     .select(F.xxhash64("key", "f").alias("key"), "cls", "component"))
+        if 2 * (fine.agg(F.sum("size")).first()[0] or 0) > pairs:
+            break
+        done.append(rows.where(F.col("size") <= GROUP))
+        rows = fine
+    for small in done:
+        rows = rows.unionByName(small)
+    return rows
+
+
+def crossed(rows: DataFrame, sketch: DataFrame) -> DataFrame:
+    """Pairs (a, b) of one key's classes that are in different components and
+    may link; a large group's first sides are dealt over tasks."""
+    rows = rows.join(sketch, "cls").withColumn("deals", F.ceil(F.col("size") / GROUP).cast("int"))
+    side = lambda df, k: df.select("key", "deal", *[F.col(c).alias(k + c) for c in ("cls", "component", "n", "bits")])
+    a = rows.withColumn("deal", F.pmod(F.xxhash64("cls"), F.col("deals")).cast("int"))
+    b = rows.withColumn("deal", F.explode(F.sequence(F.lit(0), F.col("deals") - 1)))
+    return (side(a, "a").join(side(b, "b"), ["key", "deal"])
+            .where((F.col("acls") < F.col("bcls")) & (F.col("acomponent") != F.col("bcomponent")) & may_link("a", "b"))
+            .select(F.col("acls").alias("a"), F.col("bcls").alias("b")).distinct())
+
+
 def merged(parts: DataFrame, links: DataFrame) -> DataFrame:
     """``parts`` with the components joined that ``links`` (a, b) connect."""
     links = stored(links, "links")

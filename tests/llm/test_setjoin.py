@@ -113,3 +113,66 @@ def test_parity_never_rules_out_a_link(spark):
     df = spark.createDataFrame(rows, "an int, abits array<bigint>, bn int, bbits array<bigint>, linked boolean")
     got = df.select("linked", setjoin.may_link("a", "b").alias("may")).collect()
     assert any(r["linked"] for r in got) and all(r["may"] for r in got if r["linked"]) and not got[-1]["may"]
+
+
+def test_copies_are_one_member_of_a_signature(spark):
+    """Copies in one task emit a class once; what several tasks emit is made distinct."""
+    texts = ["a b c d e f g h"] * 30 + ["one two three four five six"] * 2
+    docs = spark.createDataFrame([(k, t) for k, t in enumerate(texts)], "doc_id long, text string")
+    plan = {b: setjoin.allocate(b, 1) for b in range(3)}
+    alone = setjoin.signature_rows(docs.coalesce(1), "text", plan, 0)
+    assert alone.count() == alone.distinct().count() > 0
+    rows = spark.createDataFrame([(1, 5), (1, 5), (1, 5), (1, 7), (2, 5), (2, 5)], "sig long, cls long").repartition(3)
+    for hot in (None, spark.createDataFrame([(1,)], "sig long")):
+        members, _ = setjoin.members_of(rows, hot)
+        assert sorted(map(tuple, members.collect())) == [(1, 5), (1, 7)]
+
+
+def passages(seed, n=120):
+    """Texts that share a passage, some with a near copy that no first comparison finds."""
+    rng = random.Random(seed)
+    words = [f"v{k}" for k in range(4000)]
+    passage = " ".join(rng.choice(words) for _ in range(30))
+    rows = []
+    for k in range(n):
+        own = [rng.choice(words) for _ in range(70)]
+        rows.append((len(rows), " ".join(own) + " " + passage))
+        if k % 4 == 0:
+            own[rng.randrange(70)] = "changed"
+            rows.append((len(rows), " ".join(own) + " " + passage))
+    return rows
+
+
+def test_linked_sets_share_a_finer_signature():
+    rng = np.random.default_rng(7)
+    plan = {b: setjoin.exact_only(b, setjoin.NARROW) for b in range(45)}
+    linked = 0
+    for n in [1, 2, 3, 4, 5, 6, 9, 10, 15, 16, 24, 25, 63, 64, 65, 100, 156, 300, 1200, 4000]:
+        for _ in range(40):
+            base = np.unique(rng.integers(0, 2 ** 63, n).astype(np.uint64))
+            grow = int(rng.integers(0, len(base) // 4 + 1))
+            drop = int(rng.integers(0, max(1, (len(base) * 2) // 9 - grow + 1)))
+            other = np.unique(np.concatenate([base[drop:], rng.integers(0, 2 ** 63, grow).astype(np.uint64)]))
+            if 9 * len(np.intersect1d(base, other)) >= 4 * (len(base) + len(other)):
+                linked += 1
+                a, b = (set(setjoin.signatures(x, plan, setjoin.NARROW).tolist()) for x in (base, other))
+                assert a & b
+    assert linked > 200
+
+
+@pytest.mark.parametrize("seed", [5])
+def test_large_open_groups_are_split_without_loss(spark, seed, monkeypatch):
+    monkeypatch.setattr(setjoin, "GROUP", 8)
+    monkeypatch.setattr(setjoin, "STARS", 1)
+    rows = passages(seed)
+    narrow, sizes = setjoin.narrowed, []
+
+    def watched(open_, sets):
+        got = narrow(open_, sets)
+        sizes.append((open_.join(open_.groupBy("key").count(), "key").groupBy().sum("count").first()[0] or 0,
+                      got.groupBy().sum("size").first()[0] or 0))
+        return got
+    monkeypatch.setattr(setjoin, "narrowed", watched)
+    got = setjoin.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert sorted(map(tuple, got), key=str) == brute(rows)
+    assert sizes[0][1] < sizes[0][0] / 2
