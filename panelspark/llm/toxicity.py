@@ -5,9 +5,12 @@ ones, hashed into a fixed number of buckets; presence counts, not number.
 The score adds a weight per term and, for every pair of terms, the product
 of their learned vectors: pairs such as an insult with the mention of a
 group count more (or less) than the two alone.  The model is fitted in
-numpy on a bounded sample of labelled documents; only buckets that a few of
-them have are kept, so the model shipped to the tasks has a fixed greatest
-size.  Scoring reads every whole text, block by block.
+numpy on a bounded sample of labelled documents, once on the terms that tell
+the kinds apart by themselves and once, with stronger shrinkage, on all that
+two documents have, whatever their own rates, so that terms which matter only
+together are learned too; the one with the smaller loss on a part of the sample
+kept back is fitted on the whole sample.  Its size is bounded by the hash space.
+Scoring reads every whole text, block by block.
 
 Defined results: null and empty texts score as the model's constant; rows
 keep their number and repeats; without labels of both kinds every score is
@@ -32,9 +35,12 @@ from panelspark.llm.labelled import fold, sample
 
 #: The training sample's bounds, the hash space, the vectors' length, how
 #: many training documents must have a term, steps, step size, shrinkage, and how
-#: many standard errors a term's shares among the two kinds must differ by.
+#: many standard errors a term's shares among the two kinds must differ by, where
+#: terms are screened; where not, how many documents must have a term, its
+#: shrinkage in documents; the part of the sample that decides between the two.
 TRAIN_ROWS, TRAIN_BYTES, BUCKETS, RANK, LEAST_DOCS = 6000, 65536, 1 << 18, 6, 4
 STEPS, STEP, SHRINK, SIGMAS, THRESHOLD = 72_000, 0.2, 1e-4, 5.0, 0.7
+ALL_DOCS, PRIOR, DECIDES = 2, 1.0, 4
 WORDS = re.compile(r"[^\W\d_]+")
 STEM = 5
 
@@ -72,6 +78,21 @@ class Machine:
 
 
 def fit(rows: list[tuple[str, int]], seed: int = 11) -> Machine:
+    """The machine on screened or on all terms, whichever has the smaller loss
+    on one example in DECIDES when fitted on the others."""
+    held = np.random.default_rng(seed).permutation(len(rows)) % DECIDES == 0
+    part, test = ([r for r, h in zip(rows, held) if h == k] for k in (False, True))
+    few = loss(machine(part, True, seed), test)
+    return machine(rows, loss(machine(part, False, seed), test) >= few, seed)
+
+
+def loss(model: Machine, rows: list[tuple[str, int]]) -> float:
+    """Sum of the logistic losses."""
+    p = [model.score(model.slots(terms(t))) for t, _ in rows]
+    return -sum(float(np.log(s if v else 1 - s)) for s, (_, v) in zip(p, rows))
+
+
+def machine(rows: list[tuple[str, int]], screened: bool, seed: int) -> Machine:
     """AdaGrad on the logistic loss, examples in a fixed random order."""
     sets, y = [terms(t) for t, _ in rows], np.array([float(v) for _, v in rows])
     share = (y.sum() + 1) / (len(y) + 2)
@@ -90,11 +111,14 @@ def fit(rows: list[tuple[str, int]], seed: int = 11) -> Machine:
     ones, zeros = y.sum(), len(y) - y.sum()
 
     def tells(b: int, n: int) -> bool:
-        """Do the kinds have this term differently, beyond chance?"""
+        """Is the term kept; if screened: do the kinds have it differently, beyond chance?"""
+        if not screened:
+            return n >= ALL_DOCS
         k, p = toxic.get(b, 0), n / len(y)
-        return abs(k / ones - (n - k) / zeros) >= SIGMAS * (p * (1 - p) * (1 / ones + 1 / zeros)) ** 0.5
+        return n >= LEAST_DOCS and abs(k / ones - (n - k) / zeros) >= SIGMAS * (p * (1 - p) * (1 / ones + 1 / zeros)) ** 0.5
 
-    slot = {b: k for k, b in enumerate(sorted(b for b, n in counts.items() if n >= LEAST_DOCS and tells(b, n)))}
+    slot = {b: k for k, b in enumerate(sorted(b for b, n in counts.items() if tells(b, n)))}
+    shrink = np.full(len(slot), SHRINK) if screened else PRIOR / np.array([counts[b] for b in slot])
     model = Machine(bias, slot, np.zeros(len(slot)), rng.normal(0, 0.01, (len(slot), RANK)))
     at = [model.slots(s) for s in sets]
     w, v = model.weight, model.vector
@@ -107,11 +131,11 @@ def fit(rows: list[tuple[str, int]], seed: int = 11) -> Machine:
             model.bias -= STEP * g / gb ** 0.5
             if not len(i) or abs(g) < 1e-3:
                 continue
-            dw = g + SHRINK * w[i]
+            dw = g + shrink[i] * w[i]
             gw[i] += dw * dw
             w[i] -= STEP * dw / np.sqrt(gw[i])
             x = v[i]
-            dv = g * (x.sum(0) - x) + SHRINK * x
+            dv = g * (x.sum(0) - x) + shrink[i][:, None] * x
             gv[i] += dv * dv
             v[i] -= 0.3 * STEP * dv / np.sqrt(gv[i])
     return model

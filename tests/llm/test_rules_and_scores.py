@@ -107,6 +107,21 @@ def test_pairs_of_terms_are_learned():
     assert score("grumble neighbour") > 0.7 > 0.5 > max(score("grumble"), score("neighbour"))
 
 
+def test_variants_without_a_rate_of_their_own_are_learned():
+    """Many variants of two kinds of word, each as frequent among toxic as among
+    clean texts: only whether both kinds or none occur tells."""
+    rng = np.random.default_rng(5)
+    one, two, other = ([''.join(chr(97 + c) for c in rng.integers(0, 26, 5)) for _ in range(n)] for n in (10, 10, 30))
+
+    def texts(n):
+        for _ in range(n):
+            a, b = rng.random() < 0.5, rng.random() < 0.5
+            yield (" ".join([*rng.choice(other, 4), *rng.choice(one, 1)[:a], *rng.choice(two, 1)[:b]]), int(a == b))
+    model = toxicity.fit(list(texts(2500)))
+    right = [(model.score(model.slots(toxicity.terms(t))) >= 0.5) == bool(v) for t, v in texts(300)]
+    assert np.mean(right) > 0.95
+
+
 def test_network_gradient_learns_a_byte_pattern():
     rng = np.random.default_rng(6)
     rows = []
