@@ -140,11 +140,11 @@ from panelspark.plans import unsupervised as UN  # noqa: E402
 from panelspark.plans.q_enrichment import _enriched  # noqa: E402
 from panelspark.session import cut_lineage  # noqa: E402
 
-# search grids of the registered queries (the library takes any grid)
-EPS_GRID = [0.5, 1.5]
-MIN_GRID = [5, 20]
-K_GRID = [2, 3]
-RESTARTS = 3
+# search grids of the registered queries: the reference's (the library takes any grid)
+EPS_GRID = [round(0.15 + 1.85 * k / 13, 2) for k in range(14)]
+MIN_GRID = [5, 10, 20, 35, 50]
+K_GRID = [2, 3, 4, 5, 6]
+RESTARTS = 25
 
 
 def _embedded(spark, sf_dir):
