@@ -29,11 +29,15 @@ def exact_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each component of near copies the document with the smallest id
-    stays; documents without an id stay too."""
-    groups = setjoin.near_duplicates(docs)
-    gone = groups.where(F.col("doc_id") != F.col("component_id")).select(F.col("doc_id").alias("gone_")).distinct()
-    return docs.join(gone, F.col("doc_id") == F.col("gone_"), "left_anti")
+    """Of each component of near copies one row stays: the one with the smallest
+    id, one without an id last, and among equal ids the first row.  ``docs`` is
+    read from files, so the rows' numbers are the same each time they are read."""
+    numbered = docs.withColumn("row_", F.monotonically_increasing_id())
+    groups = setjoin.near_duplicates(numbered, row_col="row_").where("component is not null")
+    first = groups.groupBy("component").agg(F.min(F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "row"))
+                                            .alias("first")).select("first.row")
+    gone = groups.join(first, "row", "left_anti").select(F.col("row").alias("row_"))
+    return numbered.join(gone, "row_", "left_anti").select(*docs.columns)
 
 
 def mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -165,8 +165,8 @@ def _texts(batch: pa.RecordBatch, column: int) -> list[bytes | None]:
     return batch.column(column).cast(pa.binary()).to_pylist()
 
 
-def summary(docs: DataFrame, id_col: str, text_col: str, seed: int) -> DataFrame:
-    """(doc_id, n_shingles, digest, cls) of every row; no class without shingles."""
+def summary(docs: DataFrame, id_col: str, text_col: str, seed: int, row_col: str | None = None) -> DataFrame:
+    """(doc_id, n_shingles, digest, cls, row) of every row; no class without shingles."""
     kind = docs.schema[id_col].dataType.simpleString()
 
     def sizes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -180,10 +180,12 @@ def summary(docs: DataFrame, id_col: str, text_col: str, seed: int) -> DataFrame
                 digests.append(d)
                 classes.append(c)
             yield pa.record_batch([batch.column(0), pa.array(n, pa.int64()), pa.array(digests, pa.binary()),
-                                   pa.array(classes, pa.int64())], names=["doc_id", "n_shingles", "digest", "cls"])
+                                   pa.array(classes, pa.int64()), batch.column(2)],
+                                  names=["doc_id", "n_shingles", "digest", "cls", "row"])
 
-    return docs.select(F.col(id_col), F.col(text_col).cast("string")).mapInArrow(
-        sizes, f"doc_id {kind}, n_shingles long, digest binary, cls long")
+    row = F.col(row_col) if row_col else F.lit(None)
+    return docs.select(F.col(id_col), F.col(text_col).cast("string"), row.cast("long").alias("row_of_")).mapInArrow(
+        sizes, f"doc_id {kind}, n_shingles long, digest binary, cls long, row long")
 
 
 def signature_rows(docs: DataFrame, text_col: str, plan: dict[int, tuple[int, int]], seed: int) -> DataFrame:
@@ -430,11 +432,13 @@ def merged(parts: DataFrame, links: DataFrame) -> DataFrame:
 
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
-                    shared: float = SHARED, hot_rows: int = HOT_ROWS) -> DataFrame:
-    """One row per row of ``docs``: doc_id, n_shingles, component_id."""
+                    shared: float = SHARED, hot_rows: int = HOT_ROWS, row_col: str | None = None) -> DataFrame:
+    """One row per row of ``docs``: doc_id, n_shingles, component_id; with
+    ``row_col``, which numbers the rows, also row and component (a number that
+    does not depend on ids; null without shingles)."""
     ready(docs)
     for seed in range(8):
-        rows = stored(summary(docs, id_col, text_col, seed), "shingle_counts")
+        rows = stored(summary(docs, id_col, text_col, seed, row_col), "shingle_counts")
         classes = stored(rows.where("n_shingles > 0").groupBy("digest", "cls").agg(
             F.min("doc_id").alias("first"), F.first("n_shingles").alias("n"), F.count(F.lit(1)).alias("copies")),
             "classes")
@@ -448,10 +452,10 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     named = classes.select("cls", "first").join(parts, "cls", "left").withColumn(
         "component", F.coalesce("component", "cls"))
     ids = named.groupBy("component").agg(F.min("first").alias("component_id"))
-    named = stored(named.join(ids, "component").select("cls", "component_id"), "components")
+    named = stored(named.join(ids, "component").select("cls", "component_id", "component"), "components")
     return rows.join(named, "cls", "left").select(
         "doc_id", "n_shingles", F.when(F.col("cls").isNull(), F.col("doc_id")).otherwise(
-            F.col("component_id")).alias("component_id"))
+            F.col("component_id")).alias("component_id"), *(["row", "component"] if row_col else []))
 
 
 ORACLE = r"""
