@@ -7,10 +7,7 @@ import pytest
 ROOT = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
 sys.path.insert(0, ROOT)
 
-SF_SMALL = "/root/testdata/sf0.001"
-SF_MID = "/root/testdata/sf0.01"
-TABLES = ("region nation customer supplier part orders lineitem events documents "
-          "embeddings pages benchmark labels conversations").split()
+from fixture_paths import SF_SMALL, TABLES  # noqa: E402
 
 
 @pytest.fixture(scope="session")

@@ -4,6 +4,7 @@ order-insensitive values rounded to 6 digits) on the smallest tables."""
 import math
 
 import pytest
+from fixture_paths import SF_SMALL
 
 import __spark_entry__ as se
 
@@ -26,7 +27,6 @@ def _canon(cols, rows):
 
 @pytest.mark.parametrize("name", sorted(ORACLES))
 def test_query_matches_oracle(spark, duck, name):
-    from conftest import SF_SMALL
     df = se.queries()[name](spark, SF_SMALL)
     s_cols, s_rows = _canon(df.columns, [tuple(r) for r in df.collect()])
     res = duck.execute(ORACLES[name])
@@ -37,7 +37,6 @@ def test_query_matches_oracle(spark, duck, name):
 
 
 def test_every_query_has_doc_and_runs_lazily(spark):
-    from conftest import SF_SMALL
     qs = se.queries()
     assert len(qs) >= 80
     for name in ["daily_exposure_features", "enriched_panel", "knn_impute", "dbscan_labels"]:

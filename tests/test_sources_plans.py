@@ -6,6 +6,7 @@ import os
 import zipfile
 
 import pytest
+from fixture_paths import SF_SMALL
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -135,7 +136,6 @@ def _plan(df):
 
 
 def test_core_plans_stay_in_the_jvm(spark):
-    from conftest import SF_SMALL
     qs = se.queries()
     for name in ["daily_exposure_features", "enriched_panel", "knn_impute", "share_features",
                  "rates", "zscore_within", "top3_per_group", "eps_degree"]:
@@ -145,7 +145,6 @@ def test_core_plans_stay_in_the_jvm(spark):
 
 
 def test_pushdown_and_pruning(spark):
-    from conftest import SF_SMALL
     from panelspark.plans import fixtures as fx
     df = fx.period_features(spark, SF_SMALL)
     plan = df._jdf.queryExecution().executedPlan().toString()
