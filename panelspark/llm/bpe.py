@@ -22,6 +22,7 @@ table gives an empty one; further columns are not read unless kept.
 from __future__ import annotations
 
 import functools
+import hashlib
 import json
 from collections.abc import Iterator
 
@@ -41,7 +42,7 @@ SPLIT = (r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^" + SPACE + r"\p{L}\p{N
          + SPACE + r"]+(?![^" + SPACE + r"])|[" + SPACE + r"]+")
 #: Texts are worked through in blocks of about so many characters, and the
 #: words remembered between blocks take about so many bytes at most.
-BLOCK_CHARS, MEMO_BYTES, MEMO_PAIRS = 1_000_000, 64_000_000, 400_000
+BLOCK_CHARS, MEMO_BYTES, MEMO_PAIRS = 1_000_000, 48_000_000, 200_000
 
 
 def byte_letters() -> dict[str, int]:
@@ -246,9 +247,18 @@ def _pieces(spec: str) -> list[bytes]:
     return token_bytes(json.loads(spec))
 
 
-def _blocks(texts: list[str]) -> Iterator[list[str]]:
+def _encoded(encoder: TextEncoder, batch: pa.RecordBatch) -> Iterator[tuple[list[bytes], list[pa.Array]]]:
+    """(packed ids, other columns) of each block of a batch whose last column is the text."""
+    at = 0
+    for block in _blocks(batch.column(batch.num_columns - 1)):
+        yield encoder.encode(block), [c.slice(at, len(block)) for c in batch.columns[:-1]]
+        at += len(block)
+
+
+def _blocks(texts: pa.Array) -> Iterator[list[str]]:
     block, size = [], 0
     for t in texts:
+        t = t.as_py() or ""
         block.append(t)
         size += len(t)
         if size >= BLOCK_CHARS:
@@ -277,11 +287,7 @@ def encode(docs: DataFrame, path: str, text_col: str = "text", keep: tuple[str,
     def ids_of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = _encoder(spec.value)
         for batch in batches:
-            at = 0
-            for block in _blocks([t or "" for t in batch.column(len(keep)).to_pylist()]):
-                ids = encoder.encode(block)
-                kept = [c.slice(at, len(block)) for c in batch.columns[:len(keep)]]
-                at += len(block)
+            for ids, kept in _encoded(encoder, batch):
                 yield pa.record_batch([*kept, pa.array([len(x) // 4 for x in ids], pa.int64()),
                                        pa.array(ids, pa.binary())], names=out.names)
 
@@ -310,8 +316,24 @@ def decode(encoded: DataFrame, path: str, keep: tuple[str, ...] = ("doc_id", "n_
     return encoded.select(*[F.col(c) for c in keep], F.col("ids").alias("ids_")).mapInArrow(texts_of, out)
 
 
-def digests(docs: DataFrame, path: str) -> DataFrame:
-    """doc_id, n_tokens, ids_sha256, decoded_sha256 of every text."""
-    return decode(encode(docs, path), path).select(
-        "doc_id", "n_tokens", F.sha2("ids", 256).alias("ids_sha256"),
-        F.sha2(F.col("decoded").cast("binary"), 256).alias("decoded_sha256"))
+def digests(docs: DataFrame, path: str, text_col: str = "text") -> DataFrame:
+    """doc_id, n_tokens, ids_sha256, decoded_sha256 of every text: encoded and
+    decoded block by block in one worker, as encode() and decode() do, so that
+    neither ids nor decoded texts leave it."""
+    spark = ready(docs)
+    spec = spark.sparkContext.broadcast(read_vocabulary(path))
+    out = T.StructType([docs.schema["doc_id"], T.StructField("n_tokens", T.LongType()),
+                        T.StructField("ids_sha256", T.StringType()), T.StructField("decoded_sha256", T.StringType())])
+
+    def both(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        encoder = _encoder(spec.value)
+        piece = encoder.trie.v.bytes_of.__getitem__
+        for batch in batches:
+            for ids, (doc_id,) in _encoded(encoder, batch):
+                texts = (b"".join(map(piece, np.frombuffer(x, "<u4").tolist())).decode("utf-8", "replace") for x in ids)
+                yield pa.record_batch([
+                    doc_id, pa.array([len(x) // 4 for x in ids], pa.int64()),
+                    pa.array([hashlib.sha256(x).hexdigest() for x in ids], pa.string()),
+                    pa.array([hashlib.sha256(t.encode()).hexdigest() for t in texts], pa.string())], names=out.names)
+
+    return docs.select("doc_id", F.col(text_col).cast("string").alias("text_")).mapInArrow(both, out)

@@ -61,7 +61,7 @@ def op5_factorization_toxicity(spark, sf_dir):
 @query("op6_cube_mixing")
 def op6_cube_mixing(spark, sf_dir):
     """All documents mixed to their sources' target weights."""
-    return mixing.mix(read_table(spark, sf_dir, "documents")).drop("h")
+    return mixing.mix(read_table(spark, sf_dir, "documents")).drop("row")
 
 
 @query("op7_pseudonyms")

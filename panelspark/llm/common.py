@@ -39,3 +39,17 @@ def n_words(text):
     """Words of a text column (null: 0)."""
     return F.coalesce(F.regexp_count(text, F.lit(WORD)), F.lit(0)).cast("long")
 
+
+def free_name(df: DataFrame, name: str) -> str:
+    """``name``, or with underscores appended, such that no column of ``df`` has it."""
+    taken = {c.lower() for c in df.columns}
+    while name in taken:
+        name += "_"
+    return name
+
+
+def numbered(df: DataFrame) -> tuple[DataFrame, str]:
+    """``df`` with a row number in a column of a free name, and that name.  Of a
+    frame read from files the numbers are the same each time it is read."""
+    row = free_name(df, "row")
+    return df.withColumn(row, F.monotonically_increasing_id()), row

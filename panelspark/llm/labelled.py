@@ -14,7 +14,8 @@ def fold(id_col, folds: int):
 def sample(docs: DataFrame, labels: DataFrame, label: str, keep, rows: int, most_bytes: int) -> list:
     """At most ``rows`` (text, label) of labelled documents that ``keep``
     holds for and whose text has at most ``most_bytes`` bytes, the first in
-    the order of a hash of their id: the same ones in every run."""
+    the order of a hash of their id: the same ones in every run.  Of a repeated
+    id one text counts, the one with the smallest hash."""
     marks = (labels.where(F.col(label).isNotNull()).groupBy("doc_id").agg(F.max(label).alias("y_")))
     marks = marks.select(F.col("doc_id").alias("id_"), "y_").where(keep("id_"))
     # only ids are ordered; the texts of those chosen are fetched afterwards
@@ -23,5 +24,6 @@ def sample(docs: DataFrame, labels: DataFrame, label: str, keep, rows: int, most
     got = (docs.select(F.col("doc_id").alias("d_"), t.alias("t_"))
            .where(F.octet_length("t_") <= most_bytes)
            .join(F.broadcast(chosen), F.col("d_") == F.col("id_"))
-           .select("id_", "t_", F.col("y_").cast("int").alias("y_")))
+           .groupBy("id_").agg(F.min_by("t_", F.struct(F.xxhash64("t_"), "t_")).alias("t_"),
+                               F.max("y_").cast("int").alias("y_")))
     return [(r["t_"], r["y_"]) for r in sorted(got.collect(), key=lambda r: (r["id_"], r["t_"]))]

@@ -6,11 +6,14 @@ probability of one more.  Which documents get that one more is a balanced
 sample: within blocks of a source, three documents at a time, the
 probabilities move along the null space of the balancing constraints
 (documents and words), so that their sums stay as they are while one
-probability after another lands on 0 or 1.  A block ends with at most two
-open documents; the open ones of all blocks form new blocks, until a source
-has one block.  There the landing decides the last two documents so that
-the words come as near as they can.  Blocks hold a bounded number of
-documents whatever a source's size, and every random choice follows from
+probability after another lands on 0 or 1.  A few documents of each block, of
+all its sizes, do not take part, and at most two others are still open at its
+end; the open ones of all blocks form new blocks, until a source has one block.
+There the landing decides the few that are left: of all choices the one whose
+words come nearest to their expectation, then whose number does (the number's
+constraint is dropped first).  Blocks hold a bounded number of documents
+whatever a source's size: documents are dealt by their hash and, where several
+rows have one hash, by an ordinal among them.  Every random choice follows from
 the documents' own hashes, so reruns agree.
 
 Defined results: null or empty texts have size 0 and take 0; a null source
@@ -26,9 +29,11 @@ import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from panelspark.llm.common import n_words, ready, stored
+from panelspark.llm.common import free_name, n_words, numbered, ready, stored
 
 WEIGHTS, MOST_TIMES, BLOCK = (1, 2, 3), 3.0, 1000
+#: Documents of a block that are left for the landing.
+LANDING = 12
 NEAR = 1e-9
 
 
@@ -91,48 +96,69 @@ def flight(p: np.ndarray, size: np.ndarray, rng: np.random.Generator) -> np.ndar
 
 
 def landing(p: np.ndarray, size: np.ndarray) -> np.ndarray:
-    """Decides the open documents (two at most): the choice whose words come
-    nearest to their expectation, then whose number does."""
-    open_ = [i for i in range(len(p)) if 0 < p[i] < 1]
-    best = min(((abs(sum((z >> j & 1) * size[i] - p[i] * size[i] for j, i in enumerate(open_))),
-                 abs(sum((z >> j & 1) - p[i] for j, i in enumerate(open_))), z)
-                for z in range(1 << len(open_))), default=(0, 0, 0))[2]
+    """Decides the open documents (LANDING + 2 at most): of all choices the one whose
+    words come nearest to their expectation, then whose number does."""
+    open_ = np.flatnonzero((p > 0) & (p < 1))
+    choices = (np.arange(1 << len(open_))[:, None] >> np.arange(len(open_))) & 1
+    off = choices - p[open_]
+    words, number = np.abs(off @ size[open_].astype(float)), np.abs(off.sum(1))
     out = p.copy()
-    for j, i in enumerate(open_):
-        out[i] = best >> j & 1
+    out[open_] = choices[np.lexsort((number, np.round(words, 6)))[0]]
     return out
 
 
+def set_aside(n: int, keep: int = LANDING) -> np.ndarray:
+    """Which of ``n`` documents in order of size are left for the landing: evenly
+    spaced ones, the smallest among them."""
+    aside = np.zeros(n, bool)
+    aside[np.unique(n - 1 - np.arange(min(n, keep)) * n // max(1, min(n, keep)))] = True
+    return aside
+
+
 def fly_block(rows: pd.DataFrame) -> pd.DataFrame:
-    rows = rows.sort_values(["size", "h", "row"], ascending=[False, True, True], kind="stable")
-    size, p = rows["size"].to_numpy(), rows["p"].to_numpy()
+    rows = rows.sort_values(["size", "h", "k"], ascending=[False, True, True], kind="stable")
+    size, p = rows["size"].to_numpy(), rows["p"].to_numpy().copy()
     seed = [int(rows[c].iloc[0]) for c in ("src", "turn", "block")]
-    p = flight(p, size, np.random.default_rng(seed))
+    flies = ~set_aside(len(rows))
+    p[flies] = flight(p[flies], size[flies], np.random.default_rng(seed))
     if rows["blocks"].iloc[0] == 1:
         p = landing(p, size)
-    rows = rows[["row", "src", "size", "h"]].copy()
+    rows = rows[["row", "src", "size", "h", "k"]].copy()
     rows["p"] = p
     return rows
 
 
+def ordinals(rows: DataFrame) -> DataFrame:
+    """``rows`` (with h and part, the partition they were stored from) with k, a number
+    among the rows of one h, from 0.  Rows are numbered within each part and the
+    parts' counts are added up, so that no task holds all rows of a frequent h."""
+    per = rows.groupBy("h", "part").agg(F.count(F.lit(1)).alias("n"))
+    several = per.groupBy("h").agg(F.sum("n").alias("rows")).where("rows > 1").select("h")
+    start = F.sum("n").over(Window.partitionBy("h").orderBy("part")) - F.col("n")
+    starts = stored(per.join(several, "h", "left_semi").select("h", "part", start.alias("start")), "repeats")
+    alone = rows.join(starts.select("h").distinct(), "h", "left_anti").withColumn("k", F.lit(0).cast("long"))
+    own = F.row_number().over(Window.partitionBy("h", "part").orderBy("row")) - 1
+    more = rows.join(starts, ["h", "part"]).withColumn("k", F.col("start") + own).drop("start")
+    return alone.unionByName(more).drop("part")
+
+
 def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source",
-        weights=WEIGHTS, most: float = MOST_TIMES, block: int = BLOCK) -> DataFrame:
+        weights=WEIGHTS, most: float = MOST_TIMES, block: int = BLOCK, row_col: str | None = None) -> DataFrame:
     """One row per row of ``docs``: doc_id, size, source_size, target, taken,
-    and times (how often the document is taken) and h (its row's hash)."""
+    times (how often the document is taken) and row (``row_col``, or the rows' order as read)."""
     ready(docs)
     sizes = stored(docs.select(F.col(id_col).alias("doc_id"), F.col(source_col).cast("string").alias("source"),
                                n_words(F.col(text_col).cast("string")).alias("size"),
-                               row_hash(id_col, text_col).alias("h")), "sizes")
+                               row_hash(id_col, text_col).alias("h"), F.spark_partition_id().alias("part"),
+                               (F.col(row_col) if row_col else F.monotonically_increasing_id()).alias("row")), "sizes")
     per = stored(targets(sizes, weights, most).withColumn(
         "rate", F.coalesce(F.col("target") / F.nullif(F.col("source_size"), F.lit(0)), F.lit(0.0))), "targets")
     base = F.floor(F.col("rate") + NEAR)
     rows = stored(
         sizes.join(per.withColumnRenamed("source", "s_"), F.col("source").eqNullSafe(F.col("s_")))
-        .select("doc_id", "size", "h", "src", "source_size", "target", base.alias("base"),
-                F.greatest(F.col("rate") - base, F.lit(0.0)).alias("p"),
-                F.monotonically_increasing_id().alias("row")), "rates")
-    # ``row`` only tells rows apart; among equal (size, h) it orders equal rows
-    open_ = rows.where(F.col("p") > NEAR).select("row", "src", "size", "h", "p")
+        .select("doc_id", "size", "h", "part", "src", "source_size", "target", base.alias("base"),
+                F.greatest(F.col("rate") - base, F.lit(0.0)).alias("p"), "row"), "rates")
+    open_ = ordinals(rows.where(F.col("p") > NEAR).select("row", "part", "src", "size", "h", "p"))
     decided, turn = None, 0
     while True:
         blocks = open_.groupBy("src").agg(F.ceil(F.count(F.lit(1)) / block).cast("int").alias("blocks"))
@@ -141,9 +167,9 @@ def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_
         if most_blocks is None:
             break
         dealt = open_.join(blocks, "src").withColumns({
-            "turn": F.lit(turn), "block": F.pmod(F.xxhash64("h", F.lit(turn)), "blocks").cast("long")})
+            "turn": F.lit(turn), "block": F.pmod(F.xxhash64("h", "k", F.lit(turn)), "blocks").cast("long")})
         flown = stored(dealt.groupBy("src", "block").applyInPandas(
-            fly_block, "row long, src int, size long, h long, p double"), f"flight{turn}")
+            fly_block, "row long, src int, size long, h long, k long, p double"), f"flight{turn}")
         done = flown.where("p = 0 or p = 1").select("row", F.col("p").cast("int").alias("more"))
         decided = done if decided is None else decided.unionByName(done)
         open_ = flown.where("p > 0 and p < 1")
@@ -156,22 +182,15 @@ def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_
         rows = rows.join(decided, "row", "left")
     times = (F.col("base") + F.coalesce("more", F.lit(0))).cast("int")
     return rows.withColumn("times", times).select(
-        "doc_id", "size", "source_size", "target", (F.col("size") * F.col("times")).alias("taken"),
-        "times", "h")
-
-
-def repeated(docs: DataFrame, mixed: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """``docs`` with each row as often as ``mixed`` takes it.  Equal rows are
-    told apart by their ordinal on both sides."""
-    key = Window.partitionBy("id_", "h_").orderBy("h_")
-    left = docs.withColumns({"id_": F.col(id_col), "h_": row_hash(id_col, text_col)}).withColumn(
-        "k_", F.row_number().over(key))
-    right = mixed.select(F.col("doc_id").alias("id_"), F.col("h").alias("h_"), "times").withColumn(
-        "k_", F.row_number().over(Window.partitionBy("id_", "h_").orderBy(F.col("times").desc()))
-    ).select(F.col("id_").alias("i2_"), F.col("h_").alias("h2_"), F.col("k_").alias("k2_"),
-             F.col("times").alias("times_"))
-    got = left.join(right, F.col("id_").eqNullSafe(F.col("i2_")) & (F.col("h_") == F.col("h2_"))
-                    & (F.col("k_") == F.col("k2_")))
-    return (got.where("times_ > 0")
-            .withColumn("again_", F.explode(F.array_repeat(F.lit(0), F.col("times_"))))
-            .select(*[F.col(c) for c in docs.columns]))
+        "doc_id", "size", "source_size", "target", (F.col("size") * F.col("times")).alias("taken"), "times", "row")
+
+
+def repeated(docs: DataFrame, **options) -> DataFrame:
+    """``docs``, read from files, with each row as often as the mix takes it (options
+    as in mix()); further columns stay, whatever their names."""
+    rowed, row = numbered(docs)
+    times = free_name(rowed, "times")
+    taken = mix(rowed, row_col=row, **options).where("times > 0").select(
+        F.col("row").alias(row), F.col("times").alias(times))
+    again = F.explode(F.array_repeat(F.lit(0), F.col(times))).alias(free_name(rowed, "again"))
+    return rowed.join(taken, row).select(*docs.columns, again).select(*docs.columns)

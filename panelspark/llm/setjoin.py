@@ -17,26 +17,29 @@ on some segments:
   from the number of sets in the band;
 - of the exact segments a set indexes a subset: linked sets share at least
   (segments - difference) of them, so in any order that all sets use, their
-  first (difference + 1) meet.  The order puts large segments first, and
-  empty ones last.
+  first (difference + 1) meet.  The order puts large segments first, then
+  those whose content is frequent (a bounded list, counted on a fixed sample
+  of documents), and empty ones last, so that a passage which many documents
+  share is indexed only where little else is left.
 
 Sets that are equal form one class before all this: each task emits a
 class's signatures once, and what several tasks emit is made distinct before
-classes are compared, so copies are never compared with each other.
+classes are compared, so copies are never compared with each other.  Every
+text is cut into shingles once for this, in the pass that also indexes it.
 Classes that share a signature are candidates, verified exactly on their
 shingles.  Groups are not expanded into pairs: within a signature's classes
 each is first compared with one of them, some rounds over; what that links becomes
 a component, and only classes of one signature that are still in different
 components are compared with each other, after a parity sketch has ruled out
-what differs too much (it never rules out a link).  Of a signature that many
-classes still have then, only those are compared that also share a signature
-in a second, independently hashed universe partition, where linked sets meet
-as well.  Every pair that could join two components is tested, so the
-components are those of all links.
+what differs too much (it never rules out a link).  Classes that are still in
+large groups then are grouped anew by the signatures of a second, independently
+hashed universe partition, each class once, where linked sets meet as well.
+Every pair that could join two components is tested, so the components are
+those of all links.
 
-A signature that an unusual share of all rows has (found on a fixed sample
-of documents; it changes the dealing only, never the result) is dealt over
-several tasks, whose first classes are then compared with each other.
+A signature that an unusual share of all rows has (found on the same sample;
+it changes the dealing only, never the result) is dealt over several tasks,
+whose first classes are then compared with each other.
 
 Defined results: null and empty texts, and texts of white space, have no
 shingles, link with nothing and are their own component; fewer than five
@@ -56,16 +59,18 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from panelspark.llm.common import ready, stored
-from panelspark.llm.shingles import Words, mixed, shingle_set
+from panelspark.llm.common import n_words, ready, stored
+from panelspark.llm.shingles import WIDTH, Words, mixed, shingle_set
 from panelspark.operators.components import connected_components
 
 #: Bands grow by this factor; spare segments, so that empty ones need not be
 #: indexed; the assumed share of a set's shingles that an unrelated set has;
 #: what verifying a pair costs in signatures.
 GROWTH, SPARE, SHARED, PAIR_COST = 4, 1.15, 0.001, 4.0
-#: A signature is dealt over several tasks when about so many rows have it.
-HOT_ROWS, SALTS, SAMPLE = 200_000, 64, 64
+#: A signature is dealt over several tasks when about so many rows have it; one
+#: document in SAMPLE is counted; a content that FREQUENT of those have is indexed
+#: late, and the list of them is at most so long.
+HOT_ROWS, SALTS, SAMPLE, FREQUENT, LISTED = 200_000, 64, 16, 12, 16_384
 #: Places of the parity sketch; rounds in which a signature's classes are
 #: compared with one of them before all that remain are.
 PARITY, STARS = 512, 2
@@ -124,8 +129,11 @@ def roles(n: int, growth: float = GROWTH) -> list[tuple[int, int]]:
     return out
 
 
-def signatures(tokens: np.ndarray, plan: dict[int, tuple[int, int]], growth: float = GROWTH) -> np.ndarray:
-    """The set's signatures, as 64-bit numbers; ``plan`` has each band's segments."""
+def signatures(tokens: np.ndarray, plan: dict[int, tuple[int, int]], growth: float = GROWTH,
+               late: np.ndarray | None = None, whole: bool = False) -> np.ndarray:
+    """The set's signatures, as 64-bit numbers; ``plan`` has each band's segments,
+    ``late`` the sorted signatures that come last among those that are not empty.
+    ``whole``: all exact ones that are not empty, instead of the first."""
     out, weight = [], mixed(tokens)
     for b, allowed in roles(len(tokens), growth):
         exact, near = plan[b]
@@ -147,7 +155,13 @@ def signatures(tokens: np.ndarray, plan: dict[int, tuple[int, int]], growth: flo
         if need > 0:
             at = ids >= near
             sig = mixed(base[ids[at].astype(int)] + sums[at])
-            sig = sig[np.lexsort((sig, -counts[at]))][:need]
+            if whole:
+                out.append(sig)
+                continue
+            order = (sig, -counts[at])
+            if late is not None and len(late):
+                order += (late[np.minimum(np.searchsorted(late, sig), len(late) - 1)] == sig,)
+            sig = sig[np.lexsort(order)][:need]
             out.append(sig)
             if len(sig) < need:  # too few that are not empty: empty ones join, in their order
                 empty = np.setdiff1d(np.arange(near, total), ids[at].astype(int), assume_unique=True)
@@ -165,50 +179,51 @@ def _texts(batch: pa.RecordBatch, column: int) -> list[bytes | None]:
     return batch.column(column).cast(pa.binary()).to_pylist()
 
 
-def summary(docs: DataFrame, id_col: str, text_col: str, seed: int, row_col: str | None = None) -> DataFrame:
-    """(doc_id, n_shingles, digest, cls, row) of every row; no class without shingles."""
+def indexed(docs: DataFrame, id_col: str, text_col: str, plan: dict[int, tuple[int, int]], late: np.ndarray, seed: int,
+            row_col: str | None = None) -> DataFrame:
+    """(doc_id, n_shingles, digest, cls, row, sigs) of every row; no class without
+    shingles, and signatures only where a task meets a class for the first time."""
     kind = docs.schema[id_col].dataType.simpleString()
 
-    def sizes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        words = Words()
-        for batch in batches:
-            n, digests, classes = [], [], []
-            for text in _texts(batch, 1):
-                tokens = shingle_set(text, words)
-                d, c = set_class(tokens, seed) if len(tokens) else (None, None)
-                n.append(len(tokens))
-                digests.append(d)
-                classes.append(c)
-            yield pa.record_batch([batch.column(0), pa.array(n, pa.int64()), pa.array(digests, pa.binary()),
-                                   pa.array(classes, pa.int64()), batch.column(2)],
-                                  names=["doc_id", "n_shingles", "digest", "cls", "row"])
+    def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        words, seen = Words(), set()
+        for whole in batches:
+            for at in range(0, whole.num_rows, 512):
+                batch = whole.slice(at, 512)
+                n, digests, classes, sigs = [], [], [], []
+                for text in _texts(batch, 1):
+                    tokens = shingle_set(text, words)
+                    d, c = set_class(tokens, seed) if len(tokens) else (None, None)
+                    n.append(len(tokens))
+                    digests.append(d)
+                    classes.append(c)
+                    if c is None or c in seen:
+                        sigs.append(None)
+                        continue
+                    if len(seen) >= REMEMBERED:
+                        seen.clear()  # what comes again is made distinct later
+                    seen.add(c)
+                    sigs.append(signatures(tokens, plan, late=late).view(np.int64))
+                yield pa.record_batch([
+                    batch.column(0), pa.array(n, pa.int64()), pa.array(digests, pa.binary()), pa.array(classes, pa.int64()),
+                    batch.column(2), pa.array(sigs, pa.list_(pa.int64()))],
+                    names=["doc_id", "n_shingles", "digest", "cls", "row", "sigs"])
 
     row = F.col(row_col) if row_col else F.lit(None)
     return docs.select(F.col(id_col), F.col(text_col).cast("string"), row.cast("long").alias("row_of_")).mapInArrow(
-        sizes, f"doc_id {kind}, n_shingles long, digest binary, cls long, row long")
+        sets, f"doc_id {kind}, n_shingles long, digest binary, cls long, row long, sigs array<bigint>")
 
 
-def signature_rows(docs: DataFrame, text_col: str, plan: dict[int, tuple[int, int]], seed: int) -> DataFrame:
-    """(sig, cls) of every class, once from each task that has rows of it."""
+def contents(docs: DataFrame, text_col: str, plan: dict[int, tuple[int, int]], seed: int) -> DataFrame:
+    """(sig, cls) of every exact segment of every row that is not empty."""
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        words, seen = Words(), set()
+        words = Words()
         for batch in batches:
-            sigs, classes, held = [], [], 0
-            for text in _texts(batch, 0):
-                tokens = shingle_set(text, words)
-                cls = set_class(tokens, seed)[1] if len(tokens) else None
-                if cls is not None and cls not in seen:
-                    if len(seen) >= REMEMBERED:
-                        seen.clear()  # what comes again is made distinct later
-                    seen.add(cls)
-                    sigs.append(signatures(tokens, plan).view(np.int64))
-                    classes.append(np.full(len(sigs[-1]), cls))
-                    held += len(sigs[-1])
-                if held > 200_000:
-                    yield _columns(sigs, classes)
-                    sigs, classes, held = [], [], 0
-            if held:
-                yield _columns(sigs, classes)
+            for at in range(0, batch.num_rows, 512):
+                sets = [t for t in (shingle_set(t, words) for t in _texts(batch.slice(at, 512), 0)) if len(t)]
+                sigs = [signatures(t, plan, whole=True).view(np.int64) for t in sets]
+                if sigs:
+                    yield _columns(sigs, [np.full(len(x), set_class(t, seed)[1]) for t, x in zip(sets, sigs)])
 
     return docs.select(F.col(text_col).cast("string")).mapInArrow(rows, "sig long, cls long")
 
@@ -269,17 +284,21 @@ def verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
         9 * both >= 4 * (F.size("ta") + F.size("tb"))).select("a", "b")
 
 
-def hot_signatures(docs: DataFrame, id_col: str, text_col: str, plan, seed: int, rows: int, total: int,
-                   hot_rows: int) -> DataFrame | None:
+def frequent(docs: DataFrame, id_col: str, text_col: str, plan, seed: int) -> list:
+    """(sig, n) of the most frequent contents of segments among the documents of the
+    sample, LISTED at most."""
+    some = docs.where(F.pmod(F.xxhash64(F.col(id_col).cast("string")), F.lit(SAMPLE)) == 0)
+    return (contents(some, text_col, plan, seed).distinct().groupBy("sig").agg(F.count(F.lit(1)).alias("n"))
+            .where(F.col("n") >= FREQUENT).orderBy(F.desc("n"), "sig").limit(LISTED).collect())
+
+
+def hot_signatures(spark, found: list, rows: int, total: int, hot_rows: int) -> DataFrame | None:
     """Signatures of an unusual share of rows: at most four for each shuffle
     partition, whatever the input's size."""
-    parts = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
     least = max(hot_rows, total // (4 * parts))
-    if rows < least:
-        return None  # no signature can have more rows than there are documents
-    some = docs.where(F.pmod(F.xxhash64(F.col(id_col).cast("string")), F.lit(SAMPLE)) == 0)
-    return stored(signature_rows(some, text_col, plan, seed).distinct().groupBy("sig").agg(F.count(F.lit(1)).alias("n"))
-                  .where(F.col("n") * SAMPLE >= least).orderBy(F.desc("n")).limit(4 * parts).select("sig"), "hot")
+    hot = [(r["sig"],) for r in found[:4 * parts] if r["n"] * SAMPLE >= least]
+    return spark.createDataFrame(hot, "sig long") if hot and rows >= least else None
 
 
 def members_of(rows: DataFrame, hot: DataFrame | None) -> tuple[DataFrame, DataFrame]:
@@ -303,16 +322,21 @@ def members_of(rows: DataFrame, hot: DataFrame | None) -> tuple[DataFrame, DataF
     return rows.select("sig", "cls"), pairs.distinct()
 
 
-def linked_classes(docs: DataFrame, id_col: str, text_col: str, classes: DataFrame, rows: int, seed: int,
-                   shared: float = SHARED, hot_rows: int = HOT_ROWS) -> DataFrame:
-    """(cls, component) of the classes that link with another."""
-    band_of = F.floor(F.log(F.col("n").cast("double")) / F.log(F.lit(float(GROWTH))) + 1e-9)
-    counts = {int(r["b"]): (r["sets"], r["tokens"]) for r in classes.groupBy(band_of.alias("b")).agg(
-        F.count(F.lit(1)).alias("sets"), F.sum("n").alias("tokens")).collect()}  # a row per band
-    plan = {b: allocate(b, counts.get(b, (1, 0))[0], shared) for b in range(max(counts, default=0) + 1)}
-    total = sum(tokens for _, tokens in counts.values()) // 3
-    hot = hot_signatures(docs, id_col, text_col, plan, seed, rows, total, hot_rows)
-    members, pairs = members_of(signature_rows(docs, text_col, plan, seed), hot)
+def planned(docs: DataFrame, text_col: str, shared: float) -> dict[int, tuple[int, int]]:
+    """Each band's segments, from the numbers of words in the texts."""
+    size = F.greatest(n_words(F.col(text_col).cast("string")) - (WIDTH - 1), F.lit(1)).cast("double")
+    band_of = F.floor(F.log(size) / F.log(F.lit(float(GROWTH))) + 1e-9)
+    counts = {int(r["b"]): r["sets"] for r in docs.groupBy(band_of.alias("b")).agg(
+        F.count(F.lit(1)).alias("sets")).collect()}  # a row per band
+    return {b: allocate(b, counts.get(b, 1), shared) for b in range(max(counts, default=0) + 1)}
+
+
+def linked_classes(docs: DataFrame, id_col: str, text_col: str, rows: DataFrame, classes: DataFrame, found: list,
+                   seed: int, hot_rows: int = HOT_ROWS) -> DataFrame:
+    """(cls, component) of the classes that link with another; ``rows`` as indexed() has them."""
+    whole = classes.agg(F.sum("n").alias("tokens"), F.sum("copies").alias("rows")).first()
+    hot = hot_signatures(docs.sparkSession, found, whole["rows"] or 0, (whole["tokens"] or 0) // 3, hot_rows)
+    members, pairs = members_of(rows.where("sigs is not null").select(F.explode("sigs").alias("sig"), "cls"), hot)
     wanted = stored(members.select("cls").distinct().join(classes.select("cls", "n", "first"), "cls"), "wanted")
     sets = stored(shingle_sets(docs, id_col, text_col, wanted, seed), "sets")
     sketch = sets.select("cls", "n", "bits")
@@ -385,17 +409,17 @@ def exact_only(b: int, growth: float) -> tuple[int, int]:
 def narrowed(rows: DataFrame, sets: DataFrame) -> DataFrame:
     """Rows (key, cls, component, size) such that linked classes of one key
     and different components in ``rows`` (key, cls, component) still share a
-    key.  A large group's key is replaced by keys of it and each finer
-    signature, while that at least halves the pairs of large groups."""
+    key.  The classes of large groups are grouped anew, each once, by finer
+    signatures, while that at least halves the pairs of large groups."""
     rows, done = sized(rows), []
     for turn in range(SPLITS):
         large = rows.where(F.col("size") > GROUP)
         pairs = large.agg(F.sum("size")).first()[0]
         if not pairs:
             break
-        wanted = sets.join(large.select("cls").distinct(), "cls", "left_semi")
-        fine = sized(large.join(finer(wanted, turn), "cls").select("key", "cls", "component", F.explode("fine").alias("f"))
-                     .select(F.xxhash64("key", "f").alias("key"), "cls", "component"))
+        wanted = stored(large.select("cls", "component").distinct(), "large")
+        fine = sized(finer(sets.join(wanted, "cls", "left_semi"), turn).join(wanted, "cls").select(
+            F.explode("fine").alias("key"), "cls", "component"))
         if 2 * (fine.agg(F.sum("size")).first()[0] or 0) > pairs:
             break
         done.append(rows.where(F.col("size") <= GROUP))
@@ -437,18 +461,20 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     ``row_col``, which numbers the rows, also row and component (a number that
     does not depend on ids; null without shingles)."""
     ready(docs)
+    plan = planned(docs, text_col, shared)
     for seed in range(8):
-        rows = stored(summary(docs, id_col, text_col, seed, row_col), "shingle_counts")
+        found = frequent(docs, id_col, text_col, plan, seed)
+        late = np.sort(np.array([r["sig"] for r in found], np.int64).view(np.uint64))
+        rows = stored(indexed(docs, id_col, text_col, plan, late, seed, row_col), "indexed")
         classes = stored(rows.where("n_shingles > 0").groupBy("digest", "cls").agg(
             F.min("doc_id").alias("first"), F.first("n_shingles").alias("n"), F.count(F.lit(1)).alias("copies")),
             "classes")
-        seen = classes.agg(F.count("cls").alias("n"), F.count_distinct("cls").alias("k"),
-                           F.sum("copies").alias("rows")).first()
+        seen = classes.agg(F.count("cls").alias("n"), F.count_distinct("cls").alias("k")).first()
         if seen["n"] == seen["k"]:  # no two different sets share a class number
             break
     else:
         raise ValueError("class numbers clash under every seed")
-    parts = linked_classes(docs, id_col, text_col, classes, seen["rows"] or 0, seed, shared, hot_rows)
+    parts = linked_classes(docs, id_col, text_col, rows, classes, found, seed, hot_rows)
     named = classes.select("cls", "first").join(parts, "cls", "left").withColumn(
         "component", F.coalesce("component", "cls"))
     ids = named.groupBy("component").agg(F.min("first").alias("component_id"))
@@ -458,6 +484,16 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
             F.col("component_id")).alias("component_id"), *(["row", "component"] if row_col else []))
 
 
+def superfluous(docs: DataFrame, row_col: str, **options) -> DataFrame:
+    """(row) of the rows that go when one row of each component stays: the one with the
+    smallest id, one without an id last, and among equal ids the first row.  Rows
+    without shingles all stay."""
+    groups = near_duplicates(docs, row_col=row_col, **options).where("component is not null")
+    first = groups.groupBy("component").agg(F.min(F.struct(
+        F.col("doc_id").isNull().alias("no_id"), "doc_id", "row")).alias("first")).select("first.row")
+    return groups.join(first, "row", "left_anti").select("row")
+
+
 ORACLE = r"""
 WITH RECURSIVE
 w AS (SELECT doc_id, list_filter(regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',

@@ -25,12 +25,12 @@ import zlib
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
-from pyspark.sql import DataFrame, SparkSession
+import pyarrow as pa
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from panelspark.llm.common import ready
+from panelspark.llm.common import numbered, ready, stored
 from panelspark.llm.labelled import fold, sample
 
 #: The training sample's bounds, the hash space, the vectors' length, how
@@ -43,6 +43,8 @@ STEPS, STEP, SHRINK, SIGMAS, THRESHOLD = 72_000, 0.2, 1e-4, 5.0, 0.7
 ALL_DOCS, PRIOR, DECIDES = 2, 1.0, 4
 WORDS = re.compile(r"[^\W\d_]+")
 STEM = 5
+#: Words of a text are remembered by each task: so many, of at most so many letters.
+REMEMBERED, LONGEST = 100_000, 64
 
 
 def buckets(word: str) -> tuple[int, ...]:
@@ -146,40 +148,47 @@ def trained(docs: DataFrame, labels: DataFrame, rows: int = TRAIN_ROWS) -> Machi
     return fit(sample(docs, labels, "toxic", lambda c: fold(c, 3) != 1, rows, TRAIN_BYTES))
 
 
-def score_column(spark: SparkSession, model: Machine):
-    """A column function: text → score."""
-    shipped = spark.sparkContext.broadcast(model)
+def scored(docs: DataFrame, model: Machine, keep: tuple[str, ...], text_col: str = "text") -> DataFrame:
+    """The ``keep`` columns and the score of every row's text; nothing else passes
+    through Python."""
+    shipped = ready(docs).sparkContext.broadcast(model)
+    out = T.StructType([*[docs.schema[c] for c in keep], T.StructField("score", T.DoubleType())])
 
-    @F.pandas_udf(T.DoubleType())
-    def scores(texts: Iterator[pd.Series]) -> Iterator[pd.Series]:
+    def scores(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model, known = shipped.value, {}  # word → its slots
         get = model.slot.get
-        for batch in texts:
+        for batch in batches:
             result = []
-            for text in batch:
+            for text in batch.column(len(keep)):
                 found = set()
-                for w in set(WORDS.findall((text or "").lower())):
+                for w in set(WORDS.findall((text.as_py() or "").lower())):
                     k = known.get(w)
                     if k is None:
-                        if len(known) > 400_000:
+                        if len(known) >= REMEMBERED:
                             known.clear()
-                        k = known[w] = tuple(s for s in map(get, buckets(w)) if s is not None)
+                        k = tuple(s for s in map(get, buckets(w)) if s is not None)
+                        if len(w) <= LONGEST:
+                            known[w] = k
                     if k:
                         found.update(k)
                 result.append(model.score(np.array(sorted(found), np.int64)))
-            yield pd.Series(result, dtype=float)
+            yield pa.record_batch([*batch.columns[:len(keep)], pa.array(result, pa.float64())], names=out.names)
 
-    return lambda text: scores(F.coalesce(text.cast("string"), F.lit("")))
+    text = F.col(text_col).cast("string").alias("text_of_")
+    return docs.select(*[F.col(c) for c in keep], text).mapInArrow(scores, out)
 
 
 def toxicity(docs: DataFrame, labels: DataFrame, rows: int = TRAIN_ROWS, threshold: float = THRESHOLD) -> DataFrame:
     """doc_id, held_out, score, predicted of every document."""
-    score = score_column(ready(docs), trained(docs, labels, rows))
-    return docs.select("doc_id", (fold("doc_id", 3) == 1).alias("held_out"), score(F.col("text")).alias("score")).select(
-        "*", (F.col("score") >= threshold).cast("int").alias("predicted"))
+    return scored(docs, trained(docs, labels, rows), ("doc_id",)).select(
+        "doc_id", (fold("doc_id", 3) == 1).alias("held_out"), "score",
+        (F.col("score") >= threshold).cast("int").alias("predicted"))
 
 
 def without_toxic(docs: DataFrame, labels: DataFrame, rows: int = TRAIN_ROWS, threshold: float = THRESHOLD) -> DataFrame:
-    """``docs`` without the rows that the machine rejects."""
-    score = score_column(ready(docs), trained(docs, labels, rows))
-    return docs.where(score(F.col("text")) < threshold)
+    """``docs``, read from files, without the rows that the machine rejects.  Only
+    row numbers and texts pass through Python; the numbers of rejected rows are
+    stored, and the rows themselves are read again."""
+    rowed, row = numbered(docs)
+    gone = scored(rowed, trained(docs, labels, rows), (row,)).where(F.col("score") >= threshold).select(row)
+    return rowed.join(stored(gone, "rejected"), row, "left_anti").select(*docs.columns)

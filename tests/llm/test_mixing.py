@@ -74,12 +74,39 @@ def test_flight_keeps_sums_and_is_unbiased():
     assert abs(seen / 300 - 0.3).max() < 0.15
 
 
-def test_repeated_takes_each_row_its_times(odd_docs):
-    mixed = mixing.mix(odd_docs).cache()
-    out = mixing.repeated(odd_docs, mixed)
-    assert out.columns == odd_docs.columns
-    want = sum(r["times"] for r in mixed.collect())
-    assert out.count() == want
+def test_repeated_takes_each_row_its_times(spark, odd_docs, tmpdir_fresh):
+    """Columns named as the operator's own stay as they are."""
+    clash = ["row_", "id_", "h_", "k_", "i2_", "times_", "times", "again", "h", "k"]
+    for c in clash:
+        odd_docs = odd_docs.selectExpr("*", f"'{c}' as {c}")
+    odd_docs.write.parquet(f"{tmpdir_fresh}/d")
+    docs = spark.read.parquet(f"{tmpdir_fresh}/d")
+    want = sum(r["times"] for r in mixing.mix(docs).collect())
+    out = mixing.repeated(docs)
+    assert out.columns == docs.columns
+    rows = out.collect()
+    assert len(rows) == want and all(r[c] == c for r in rows for c in clash)
+
+
+def test_equal_rows_are_dealt_over_blocks(spark):
+    """Thousands of equal rows of one source: blocks stay bounded, targets are met."""
+    rows = [(1, "a b c", "s1")] * 3000 + [(k, "w " * (k % 50 + 1), "s2") for k in range(2, 500)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string").repartition(4)
+    part = mixing.ordinals(docs.selectExpr("1L as h", "spark_partition_id() as part",
+                                           "monotonically_increasing_id() as row").where("h = 1"))
+    ks = [r["k"] for r in part.collect()]
+    assert sorted(ks) == list(range(len(rows)))
+    got = mixing.mix(docs, block=200)
+    for r in got.groupBy("source_size", "target").agg({"taken": "sum"}).collect():
+        assert abs(r["sum(taken)"] - r["target"]) < 0.005 * r["target"]
+
+
+def test_landing_is_the_best_choice():
+    rng = np.random.default_rng(4)
+    p, size = rng.random(9), rng.integers(1, 90, 9)
+    z = mixing.landing(p, size)
+    best = min(abs(sum((k >> j & 1) * size[j] for j in range(9)) - p @ size) for k in range(512))
+    assert set(z) <= {0.0, 1.0} and abs(abs(z @ size - p @ size) - best) < 1e-6
 
 
 def test_empty_table(no_docs):

@@ -86,6 +86,9 @@ def test_linked_sets_share_a_signature(shared):
             both = len(np.intersect1d(base, other))
             if 9 * both >= 4 * (len(base) + len(other)):
                 assert set(setjoin.signatures(base, plan).tolist()) & set(setjoin.signatures(other, plan).tolist())
+                late = np.sort(rng.permutation(setjoin.signatures(base, plan, whole=True))[:len(base) // 3])
+                assert set(setjoin.signatures(base, plan, late=late).tolist()) & set(
+                    setjoin.signatures(other, plan, late=late).tolist())
 
 
 def test_shingles():
@@ -120,7 +123,8 @@ def test_copies_are_one_member_of_a_signature(spark):
     texts = ["a b c d e f g h"] * 30 + ["one two three four five six"] * 2
     docs = spark.createDataFrame([(k, t) for k, t in enumerate(texts)], "doc_id long, text string")
     plan = {b: setjoin.allocate(b, 1) for b in range(3)}
-    alone = setjoin.signature_rows(docs.coalesce(1), "text", plan, 0)
+    alone = setjoin.indexed(docs.coalesce(1), "doc_id", "text", plan, np.zeros(0, np.uint64), 0)
+    alone = alone.where("sigs is not null").selectExpr("explode(sigs) as sig", "cls")
     assert alone.count() == alone.distinct().count() > 0
     rows = spark.createDataFrame([(1, 5), (1, 5), (1, 5), (1, 7), (2, 5), (2, 5)], "sig long, cls long").repartition(3)
     for hot in (None, spark.createDataFrame([(1,)], "sig long")):
@@ -164,6 +168,7 @@ def test_linked_sets_share_a_finer_signature():
 def test_large_open_groups_are_split_without_loss(spark, seed, monkeypatch):
     monkeypatch.setattr(setjoin, "GROUP", 8)
     monkeypatch.setattr(setjoin, "STARS", 1)
+    monkeypatch.setattr(setjoin, "FREQUENT", 10 ** 6)  # no content comes late
     rows = passages(seed)
     narrow, sizes = setjoin.narrowed, []
 
@@ -176,3 +181,20 @@ def test_large_open_groups_are_split_without_loss(spark, seed, monkeypatch):
     got = setjoin.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string")).collect()
     assert sorted(map(tuple, got), key=str) == brute(rows)
     assert sizes[0][1] < sizes[0][0] / 2
+
+
+def test_frequent_contents_are_indexed_late(spark, monkeypatch):
+    """With the passage's contents listed, no signature has nearly all texts; the links are the same."""
+    monkeypatch.setattr(setjoin, "SAMPLE", 1)
+    rows, largest = passages(6), []
+    members_of = setjoin.members_of
+
+    def watched(rows_, hot):
+        largest.append(rows_.distinct().groupBy("sig").count().groupBy().max("count").first()[0])
+        return members_of(rows_, hot)
+    monkeypatch.setattr(setjoin, "members_of", watched)
+    for least in (10 ** 6, 12):
+        monkeypatch.setattr(setjoin, "FREQUENT", least)
+        got = setjoin.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+        assert sorted(map(tuple, got), key=str) == brute(rows)
+    assert 4 * largest[1] < largest[0]
