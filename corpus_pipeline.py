@@ -11,42 +11,42 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from panelspark.llm import bpe, chunks, mixing, setjoin, toxicity
-from panelspark.llm.common import stored
+from panelspark.llm.common import numbered, stored
 from panelspark.session import read_table
 
 
 def toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the factorization machine rejects go."""
+    """Documents that the factorization machine rejects go; null and empty texts
+    score as the model's constant, rows keep their repeats."""
     return toxicity.without_toxic(docs, read_table(spark, sf_dir, "labels"))
 
 
 def exact_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of equal texts one row stays.  ``docs`` is read from files, so the
-    rows' numbers are the same each time they are read."""
-    numbered = docs.withColumn("row_", F.monotonically_increasing_id())
-    gone = chunks.exact_dedup(numbered, row_col="row_").where(~F.col("kept"))
-    return numbered.join(gone.select(F.col("row").alias("row_")), "row_", "left_anti").select(*docs.columns)
+    """Of equal texts (null counts as empty) one row stays.  ``docs`` is read from
+    files, so the rows' numbers are the same each time they are read."""
+    rowed, row = numbered(docs)
+    gone = chunks.exact_dedup(rowed, row_col=row).where(~F.col("kept"))
+    return rowed.join(gone.select(F.col("row").alias(row)), row, "left_anti").select(*docs.columns)
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of each component of near copies one row stays: the one with the smallest
     id, one without an id last, and among equal ids the first row.  ``docs`` is
     read from files, so the rows' numbers are the same each time they are read."""
-    numbered = docs.withColumn("row_", F.monotonically_increasing_id())
-    groups = setjoin.near_duplicates(numbered, row_col="row_").where("component is not null")
-    first = groups.groupBy("component").agg(F.min(F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "row"))
-                                            .alias("first")).select("first.row")
-    gone = groups.join(first, "row", "left_anti").select(F.col("row").alias("row_"))
-    return numbered.join(gone, "row_", "left_anti").select(*docs.columns)
+    rowed, row = numbered(docs)
+    gone = setjoin.superfluous(rowed, row).select(F.col("row").alias(row))
+    return rowed.join(gone, row, "left_anti").select(*docs.columns)
 
 
 def mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Each document as often as the mix takes it, up to three times."""
-    return mixing.repeated(docs, mixing.mix(docs))
+    """Each document as often as the mix takes it, up to three times; texts without
+    words have no size and are taken as often as their source's rate says."""
+    return mixing.repeated(docs)
 
 
 def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Token ids of what is left, with the digests of ids and decoded text."""
+    """Token ids of what is left, with the digests of ids and decoded text; null
+    texts count as empty."""
     return bpe.digests(docs, str(public_tokenizers.path("byte_bpe_50k.json")))
 
 
