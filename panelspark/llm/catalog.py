@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 
 from panelspark.llm import (
-    bpe, byte_cnn, chunks, language, mixing, pseudonyms, setjoin, toxicity, warc, weak_rules)
+    bpe, byte_cnn, chunks, language, mixing, pseudonyms, setjoin, spelling, topk, toxicity, warc, weak_rules, whitening)
 from panelspark.session import read_table
 
 QUERIES, ORACLES = {}, {}
@@ -81,3 +81,21 @@ def op9_warc(spark, sf_dir):
 def op10_ngram_jaccard(spark, sf_dir):
     """Near-duplicate components of all documents."""
     return setjoin.near_duplicates(read_table(spark, sf_dir, "documents"))
+
+
+@query("op11_pivotal_grams")
+def op11_pivotal_grams(spark, sf_dir):
+    """Spelling variants among the words of all documents."""
+    return spelling.variants(read_table(spark, sf_dir, "documents"))
+
+
+@query("op12_qdwh_whitening")
+def op12_qdwh_whitening(spark, sf_dir):
+    """Every embedding whitened on its first components."""
+    return whitening.whiten(read_table(spark, sf_dir, "embeddings"))
+
+
+@query("op13_block_topk", topk.ORACLE)
+def op13_block_topk(spark, sf_dir):
+    """The five nearest of every fiftieth embedding among all."""
+    return topk.top_k(read_table(spark, sf_dir, "embeddings"))
