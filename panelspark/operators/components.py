@@ -1,14 +1,19 @@
 """Connected components of an edge DataFrame (used by DBSCAN).
 
-Min-label hooking with pointer jumping: every node starts with the
-smallest id among itself and its neighbours; each round every edge offers
-its far end's label to its near end and to the near end's current label
-(the root it points to), so whole label trees are re-hooked at once, then
-labels jump twice to their label's label (path compression).  Rounds are
-distributed joins on the edge and label tables; the label table, carrying
-a "changed" flag, is written with a reliable checkpoint every round, so a
-lost executor never replays earlier rounds and the convergence test reads
-the checkpoint instead of recomputing the round.
+Large-star and small-star steps: a large-star step hangs every larger
+neighbour of a node on the smallest of the node and its neighbours, a
+small-star step does the same with the smaller neighbours and the node
+itself.  Alternating them turns every component into one star around its
+smallest node.  The smallest neighbour of each node is a partial aggregate,
+so a hub costs nothing there; only the join that brings it back to the
+node's edges puts all edges of a node into one task.  That join is split:
+the edges of hubs, whose number is bounded by the number of edges over the
+size that makes a hub, take their hub's value from a broadcast table of just
+those hubs; all other nodes have few edges and are joined by shuffling.
+
+Rounds are distributed jobs on the edge table, which is written with a
+reliable checkpoint every round, so a lost executor never replays earlier
+rounds and the convergence test reads the checkpoint.
 """
 
 from __future__ import annotations
@@ -18,41 +23,54 @@ from pyspark.sql import functions as F
 
 from panelspark.session import cut_lineage
 
+#: A node with more edges than this many times an even share of a task is a hub.
+HUB_SHARES = 0.5
+
+
+def split_join(rows: DataFrame, key: str, table: DataFrame, hub_rows: int) -> DataFrame:
+    """``rows`` joined with ``table`` (one row per ``key``, with ``degree``, its number
+    of ``rows``): hubs by broadcast, which holds at most rows / hub_rows of them, the others
+    by a shuffle."""
+    hubs = F.broadcast(table.where(F.col("degree") > hub_rows).drop("degree"))
+    few = table.where(F.col("degree") <= hub_rows).drop("degree")
+    return rows.join(hubs, key).unionByName(rows.join(hubs.select(key), key, "left_anti").join(few, key))
+
+
+def _star(neighbours: DataFrame, hub_rows: int) -> DataFrame:
+    """(u, v, m) of (u, v): with the smallest of u and its v."""
+    least = neighbours.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m"), F.count(F.lit(1)).alias("degree"))
+    return split_join(neighbours, "u", least, hub_rows)
+
 
-def _jump(lab: DataFrame) -> DataFrame:
-    """lab(u) ← min(lab(u), lab(lab(u)))."""
-    b = lab.select(F.col("id").alias("_t"), F.col("lab").alias("_tl"))
-    return (lab.join(b, lab.lab == b._t, "left")
-               .select("id", "old", F.least("lab", F.coalesce("_tl", "lab")).alias("lab")))
+def _folded(edges: DataFrame) -> tuple[int, int]:
+    """Number of edges and a sum of their hashes: equal sets fold alike."""
+    r = edges.agg(F.count(F.lit(1)).alias("n"), F.sum(F.xxhash64("u", "v").cast("decimal(20,0)")).alias("h")).first()
+    return r["n"], r["h"]
 
 
 def connected_components(nodes: DataFrame, edges: DataFrame, node: str = "id",
                          src: str = "src", dst: str = "dst") -> DataFrame:
     """(node) + directed or undirected edges → (node, component) where the
-    component is the smallest node id in it.  Rounds go on until no label
-    changes; labels only ever fall, so they end."""
-    e = edges.select(F.col(src).alias("u"), F.col(dst).alias("v")).where(F.col("u") != F.col("v"))
-    e = cut_lineage(e.unionByName(e.select(F.col("v").alias("u"), F.col("u").alias("v"))).distinct())
-    first = e.groupBy("u").agg(F.min("v").alias("m"))
-    lab = (nodes.select(F.col(node).alias("id")).join(first, F.col("id") == F.col("u"), "left")
-                .select("id", F.least("id", F.coalesce("m", "id")).alias("lab")))
-    lab = cut_lineage(lab)
-    while True:
-        # hook: every edge offers its far label to the near node and to the
-        # near node's current root (Shiloach–Vishkin style), so whole trees
-        # move in one round
-        pl = (e.join(lab.select(F.col("id").alias("u"), F.col("lab").alias("lu")), "u")
-               .join(lab.select(F.col("id").alias("v"), F.col("lab").alias("lv")), "v"))
-        offers = pl.select(F.col("u").alias("t"), "lv").unionByName(
-            pl.select(F.col("lu").alias("t"), "lv"))
-        nb = offers.groupBy(F.col("t").alias("u")).agg(F.min("lv").alias("m"))
-        step = (lab.join(nb, lab.id == nb.u, "left")
-                   .select("id", F.col("lab").alias("old"),
-                           F.least("lab", F.coalesce("m", "lab")).alias("lab")))
-        new = _jump(_jump(step))
-        new = cut_lineage(new.withColumn("changed", F.col("lab") != F.col("old")))
-        more = not new.where("changed").isEmpty()
-        lab = new.select("id", "lab")
-        if not more:
+    component is the smallest node id in it.  Rounds go on until the edges
+    are stars and no longer change."""
+    parts = int(edges.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    u, v = F.col(src).alias("u"), F.col(dst).alias("v")
+    pairs = edges.select(F.greatest(u, v).alias("u"), F.least(u, v).alias("v")).where("u > v").distinct()
+    pairs = cut_lineage(pairs)  # every edge once, the larger node first
+    state = _folded(pairs)
+    while state[0]:
+        hub_rows = max(1, int(HUB_SHARES * 2 * state[0] / parts))
+        both = pairs.unionByName(pairs.select(F.col("v").alias("u"), F.col("u").alias("v")))
+        large = _star(both, hub_rows).where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v"))
+        large = cut_lineage(large.distinct())
+        starred = _star(large, hub_rows)
+        small = starred.where("v > m").select(F.col("v").alias("u"), F.col("m").alias("v")).unionByName(
+            starred.select("u", F.col("m").alias("v")))
+        pairs = cut_lineage(small.where("u > v").distinct())
+        before, state = state, _folded(pairs)
+        if state == before:
             break
-    return lab.select(F.col("id").alias(node), F.col("lab").alias("component"))
+    roots = pairs.groupBy(F.col("u").alias("_u")).agg(F.min("v").alias("_m"))
+    ids = nodes.select(F.col(node))
+    return ids.join(roots, F.col(node) == F.col("_u"), "left").select(
+        node, F.coalesce("_m", node).alias("component"))

@@ -129,6 +129,39 @@ def test_components_chain_and_islands(spark):
     comp = {r.id: r.component for r in connected_components(n, e).collect()}
     assert all(comp[i] == 0 for i in range(41))
     assert comp[100] == comp[101] == comp[102] == 100 and comp[200] == 200
+    alone = connected_components(n, e.where("src < 0"), "id")
+    assert all(r.id == r.component for r in alone.collect())
+
+
+def test_components_of_random_graphs_with_hubs(spark):
+    """Stars around hubs, random trees and chains against union-find."""
+    rng = np.random.default_rng(8)
+    edges = [(int(rng.integers(0, 400)), int(rng.integers(0, 400))) for _ in range(150)]
+    edges += [(500, k) for k in range(501, 900)] + [(899, 20), (950, 949), (949, 951), (5, 5)]
+    up = list(range(1000))
+
+    def root(k):
+        while up[k] != k:
+            k = up[k]
+        return k
+    for a, b in edges:
+        a, b = sorted((root(a), root(b)))
+        up[b] = a
+    n = spark.range(1000)
+    e = spark.createDataFrame(edges, "src long, dst long")
+    comp = {r.id: r.component for r in connected_components(n, e).collect()}
+    assert comp == {k: root(k) for k in range(1000)}
+
+
+def test_hub_edges_do_not_meet_in_one_task(spark):
+    """The join that follows the smallest-neighbour aggregate shuffles no hub."""
+    from panelspark.operators.components import split_join
+    rows = spark.range(4000).selectExpr("case when id < 3000 then 1 else id end as u", "id as v")
+    least = rows.groupBy("u").agg({"v": "min", "*": "count"}).toDF("u", "m", "degree")
+    got = split_join(rows, "u", least, 100)
+    assert got.count() == 4000 and got.where("u = 1 and m = 0").count() == 3000
+    plan = got._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("strategy=broadcast") >= 2
 
 
 def test_knn_rows_that_share_key_and_period(spark):
