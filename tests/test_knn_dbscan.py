@@ -6,7 +6,7 @@ import numpy as np
 import pytest
 
 from panelspark.operators.components import connected_components
-from panelspark.operators.dbscan import dbscan, eps_degree
+from panelspark.operators.dbscan import dbscan, dbscan_many, eps_degree
 from panelspark.operators.knn import knn_impute
 
 
@@ -121,6 +121,33 @@ def test_dbscan_matches_brute_force(spark, eps, m):
     assert [d[p[0]] for p in pts] == deg
 
 
+def test_dbscan_many_settings_in_one_run(spark):
+    pts = sorted(_blobs(5), key=lambda p: p[0])
+    df = spark.createDataFrame(pts, "id long, x double, y double")
+    epses, least = [0.03, 0.08, 0.15, 0.4, 1.5], [2, 5, 20, 41]
+    got = {}
+    for r in dbscan_many(df, epses, least).collect():
+        got.setdefault((r.eps, r.min_samples), {})[r.id] = (r.label, r.is_core)
+    assert set(got) == {(e, m) for e in epses for m in least}
+    for (e, m), labels in got.items():
+        assert labels == brute_dbscan(pts, e, m)[0], (e, m)
+
+
+@pytest.mark.parametrize("gap,linked", [(0.9, True), (1.0, True), (1.02, False)])
+def test_dbscan_two_dense_clumps_about_eps_apart(spark, gap, linked):
+    """Thousands of points on each side: whether any two reach decides, without their pairs."""
+    rng = np.random.default_rng(11)
+    eps = 0.25
+    a = np.c_[-rng.uniform(0, 0.2, 1500), rng.uniform(0, 0.2, 1500)]
+    b = np.c_[gap * eps + rng.uniform(0, 0.2, 1500), rng.uniform(0, 0.2, 1500)]
+    a[0], b[0] = (0.0, 0.1), (gap * eps, 0.1)  # the nearest pair
+    a[1:, 0] -= 0.004
+    b[1:, 0] += 0.004
+    pts = [(k, float(x), float(y)) for k, (x, y) in enumerate(np.r_[a, b])]
+    got = dbscan(spark.createDataFrame(pts, "id long, x double, y double"), eps, 5).collect()
+    assert len({r.label for r in got}) == (1 if linked else 2) and all(r.is_core for r in got)
+
+
 def test_components_chain_and_islands(spark):
     edges = [(i, i + 1) for i in range(0, 40)] + [(100, 101), (102, 101)]
     nodes = sorted({x for e in edges for x in e} | {200})
