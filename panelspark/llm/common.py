@@ -29,10 +29,19 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+#: Rows of an Arrow batch, unless the session says otherwise: Spark's own 10,000 are
+#: tens of megabytes of text on both sides of every Python worker.
+BATCH_ROWS, SPARKS_OWN = "1000", "10000"
+
+
 def ready(df: DataFrame) -> SparkSession:
-    """The frame's session, with this package importable on its executors."""
-    ship_package(df.sparkSession)
-    return df.sparkSession
+    """The frame's session, with this package importable on its executors and
+    Arrow batches of a size that suits whole texts."""
+    spark, setting = df.sparkSession, "spark.sql.execution.arrow.maxRecordsPerBatch"
+    ship_package(spark)
+    if spark.conf.get(setting) == SPARKS_OWN:
+        spark.conf.set(setting, BATCH_ROWS)
+    return spark
 
 
 def n_words(text):
