@@ -1,6 +1,7 @@
 """Clustering and cluster evaluation.
 
-* PCA and k-means are Spark ML jobs over an assembled vector column.
+* PCA is a Spark ML job over an assembled vector column; k-means runs all its
+  restarts in the same passes over the rows.
 * Calinski–Harabasz comes from per-cluster sums (one grouped aggregate).
 * The silhouette uses squared Euclidean distances, which per-cluster sums
   give exactly; a Euclidean one would need every pair of points.
@@ -8,13 +9,16 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 
-from pyspark.ml.clustering import KMeans
+import numpy as np
+import pyarrow as pa
 from pyspark.ml.feature import PCA, VectorAssembler
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from panelspark.session import cut_lineage
+
 
 def latest(df: DataFrame, period: str = "year") -> DataFrame:
     """Rows of the last period (scalar subquery, partition-prunable)."""
@@ -53,18 +57,115 @@ def pca_embed(df: DataFrame, feats: Sequence[str], k: int = 2, prefix: str = "pc
 def kmeans(df: DataFrame, feats: Sequence[str], k: int, restarts: int = 25, seed: int = 42,
            max_iter: int = 300, out: str = "cluster") -> tuple[DataFrame, float]:
     """K-means with several seeds, keeping the lowest within-cluster
-    sum of squares (scikit-learn ``n_init``).  The assembled vectors are
-    checkpointed once and reused by every restart."""
-    from panelspark.session import cut_lineage
-    vec = cut_lineage(assemble(df, feats, "_v"))
-    best, best_cost = None, None
-    for r in range(restarts):
-        m = KMeans(k=k, seed=seed + r, maxIter=max_iter, featuresCol="_v",
-                   predictionCol=out, tol=1e-6).fit(vec)
-        cost = m.summary.trainingCost
-        if best_cost is None or cost < best_cost:
-            best, best_cost = m, cost
-    return best.transform(vec).drop("_v"), best_cost
+    sum of squares (scikit-learn ``n_init``)."""
+    rows = cut_lineage(df)
+    best = kmeans_many(rows, feats, [k], restarts, seed, max_iter)
+    return assigned(rows, feats, best[k][0], out), best[k][1]
+
+
+#: Rows from which the first centres are drawn, at most; entries of a task's distance
+#: table; centres that move less than this share of the variance stand still.
+INIT_ROWS, TABLE, STILL = 4000, 4_000_000, 1e-10
+
+
+def kmeans_many(rows: DataFrame, feats: Sequence[str], ks: Sequence[int], restarts: int, seed: int = 42,
+                max_iter: int = 300) -> dict[int, tuple[np.ndarray, float]]:
+    """(centres, cost) of the best of ``restarts`` runs for each k.
+
+    All runs of all k advance together: one pass over the rows per iteration
+    adds up, in each task, the members and sums of every run's clusters, and
+    only those reach the driver.  ``rows`` should be stored."""
+    sample = rows.select(_features(feats).alias("x")).orderBy(F.xxhash64("x"), "x").limit(INIT_ROWS).collect()
+    sample = np.array([r["x"] for r in sample], float).reshape(-1, len(feats))
+    if not len(sample):
+        return {k: (np.zeros((k, len(feats))), 0.0) for k in ks}
+    runs = [(k, _first_centres(sample, k, np.random.default_rng([seed, k, r]))) for k in ks for r in range(restarts)]
+    cost, moving = [float("inf")] * len(runs), list(range(len(runs)))
+    still = STILL * max(float(sample.var(0).sum()), 1e-300)
+    for _ in range(max_iter):
+        sums = _lloyd(rows, feats, [runs[i][1] for i in moving])
+        left = []
+        for i, (n, s, q) in zip(moving, sums):
+            k, old = runs[i]
+            new = np.where(n[:, None] > 0, s / np.maximum(n, 1)[:, None], old)
+            runs[i], cost[i] = (k, new), q
+            if ((new - old) ** 2).sum() > still:
+                left.append(i)
+        moving = left
+        if not moving:
+            break
+    best = {}
+    for i, (k, centres) in enumerate(runs):
+        if k not in best or cost[i] < best[k][1]:
+            best[k] = (centres, cost[i])
+    return best
+
+
+def _features(feats: Sequence[str]):
+    return F.array(*[F.col(c).cast("double") for c in feats])
+
+
+def _first_centres(x: np.ndarray, k: int, rng: np.random.Generator) -> np.ndarray:
+    """k-means++ on the sample."""
+    centres = [x[rng.integers(len(x))]]
+    far = ((x - centres[0]) ** 2).sum(1)
+    while len(centres) < k:
+        at = rng.choice(len(x), p=far / far.sum()) if far.sum() > 0 else rng.integers(len(x))
+        centres.append(x[at])
+        far = np.minimum(far, ((x - x[at]) ** 2).sum(1))
+    return np.array(centres)
+
+
+def _matrices(batches: Iterator[pa.RecordBatch], column: int, dims: int, wide: int):
+    """(batch slice, matrix) of bounded size."""
+    step = max(1, TABLE // max(1, wide))
+    for batch in batches:
+        for at in range(0, batch.num_rows, step):
+            part = batch.slice(at, step)
+            yield part, part.column(column).flatten().to_numpy(zero_copy_only=False).reshape(-1, dims)
+
+
+def _distances(x: np.ndarray, centres: np.ndarray) -> np.ndarray:
+    return np.maximum((x * x).sum(1)[:, None] - 2 * x @ centres.T + (centres * centres).sum(1), 0.0)
+
+
+def _lloyd(rows: DataFrame, feats: Sequence[str], runs: list[np.ndarray]) -> list:
+    """(members, sums, cost) of every run's clusters, in one pass."""
+    dims, sizes = len(feats), [len(c) for c in runs]
+    starts = np.cumsum([0, *sizes])
+    shipped = rows.sparkSession.sparkContext.broadcast(np.vstack(runs))
+
+    def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        centres = shipped.value
+        total, cost = np.zeros((len(centres), dims + 1)), np.zeros(len(sizes))
+        for _, x in _matrices(batches, 0, dims, len(centres)):
+            far = _distances(x, centres)
+            mine = np.zeros(far.shape)
+            for r, (a, b) in enumerate(zip(starts, starts[1:])):
+                at = far[:, a:b].argmin(1)
+                mine[np.arange(len(x)), a + at] = 1.0
+                cost[r] += far[np.arange(len(x)), a + at].sum()
+            total += mine.T @ np.hstack([x, np.ones((len(x), 1))])
+        flat = np.concatenate([total.ravel(), cost])
+        yield pa.record_batch([pa.array(np.arange(len(flat)), pa.int32()), pa.array(flat)], names=["cell", "v"])
+
+    got = rows.select(_features(feats).alias("x")).mapInArrow(add, "cell int, v double").groupBy("cell").agg(
+        F.sum("v").alias("v")).collect()  # as many rows as the centres have coordinates
+    flat = np.zeros(starts[-1] * (dims + 1) + len(sizes))
+    for r in got:
+        flat[r["cell"]] = r["v"]
+    total = flat[:starts[-1] * (dims + 1)].reshape(-1, dims + 1)
+    return [(total[a:b, -1], total[a:b, :-1], flat[starts[-1] * (dims + 1) + r])
+            for r, (a, b) in enumerate(zip(starts, starts[1:]))]
+
+
+def assigned(rows: DataFrame, feats: Sequence[str], centres: np.ndarray, out: str) -> DataFrame:
+    """``rows`` with the number of the nearest centre, the first of equally near ones."""
+    x = _features(feats)
+    apart = [F.aggregate(F.zip_with(x, F.array(*[F.lit(float(v)) for v in c]), lambda u, w: (u - w) * (u - w)),
+                         F.lit(0.0), lambda t, v: t + v) for c in centres]
+    return rows.withColumn("_d", F.array(*apart)).withColumn(
+        out, (F.array_position("_d", F.array_min("_d")) - 1).cast("int")).drop("_d")
 
 
 def _centred(df: DataFrame, feats: Sequence[str]) -> DataFrame:
@@ -122,6 +223,49 @@ def silhouette(df: DataFrame, feats: Sequence[str], label: str, exclude=(-1,)) -
     return each.agg(F.count(F.lit(1)).alias("n"), F.avg(score).alias("silhouette"))
 
 
+#: Bytes of all settings' cluster sums up to which they are broadcast.
+BROADCAST_SUMS = 8_000_000
+
+
+def search_scores(rows: DataFrame, labels: DataFrame, feats: Sequence[str], key: str = "id", setting: str = "params",
+                  label: str = "cluster", noise: int = -1) -> DataFrame:
+    """(setting, silhouette, calinski_harabasz) of every setting in ``labels`` (setting, key,
+    label), as silhouette() and calinski_harabasz() have them for one, without noise.  The
+    features meet the labels once: a row brings all its labels along."""
+    per_row = labels.groupBy(key).agg(F.collect_list(F.struct(setting, label)).alias("_s"))
+    wide = cut_lineage(_centred(rows, feats).select(key, "_x").join(per_row, key).select("_x", "_s"))
+    each = wide.select("_x", F.explode("_s").alias("_s")).select("_x", f"_s.{setting}", F.col(f"_s.{label}").alias("_l"))
+    each = each.where(F.col("_l") != noise)
+    size = len(feats)
+    sums = each.groupBy(setting, "_l").agg(
+        F.count(F.lit(1)).alias("n"), *[F.sum(F.col("_x")[k]).alias(f"s{k}") for k in range(size)],
+        F.sum(F.aggregate("_x", F.lit(0.0), lambda t, v: t + v * v)).alias("q"))
+    sums = cut_lineage(sums.select(setting, "_l", "n", F.array(*[f"s{k}" for k in range(size)]).alias("s"), "q"))
+    between = F.aggregate("s", F.lit(0.0), lambda t, v: t + v * v) / F.col("n")
+    spread = sums.withColumn("b", between).groupBy(setting).agg(
+        F.count(F.lit(1)).alias("k"), F.sum("n").alias("rows"), F.sum("b").alias("ssb"), F.sum(F.col("q") - F.col("b")).alias("ssw"),
+        F.aggregate(F.array(*[F.sum(F.col("s")[k]) for k in range(size)]), F.lit(0.0), lambda t, v: t + v * v).alias("off"))
+    ssb = F.col("ssb") - F.col("off") / F.col("rows")  # the rows' own mean, noise left out
+    inner = F.col("ssw") / F.nullif(F.col("rows") - F.col("k"), F.lit(0))
+    ch = spread.select(setting, F.when(F.col("k") >= 2, ssb / (F.col("k") - 1) / F.nullif(inner, F.lit(0.0))).alias("calinski_harabasz"))
+    table = sums.groupBy(setting).agg(F.collect_list(F.struct(F.col("_l").alias("l"), "n", "s", "q")).alias("_c"))
+    if sums.count() * (size + 3) * 8 <= BROADCAST_SUMS:
+        table = F.broadcast(table)
+    far = lambda x, c: F.greatest(F.lit(0.0), (  # noqa: E731  sum of squared distances to the members
+        c["n"] * F.aggregate(x, F.lit(0.0), lambda t, v: t + v * v) + c["q"]
+        - 2 * F.aggregate(F.zip_with(x, c["s"], lambda u, v: u * v), F.lit(0.0), lambda t, v: t + v)))
+    near = each.join(table, setting).select(setting, "_l", F.transform("_c", lambda c: F.struct(
+        c["l"].alias("l"), c["n"].alias("n"), far(F.col("_x"), c).alias("d"))).alias("_d"))
+    own = F.filter("_d", lambda c: c["l"] == F.col("_l"))[0]
+    others = F.transform(F.filter("_d", lambda c: c["l"] != F.col("_l")), lambda c: c["d"] / c["n"])
+    near = near.select(setting, own["n"].alias("n"), (own["d"] / F.nullif(own["n"] - 1, F.lit(0))).alias("a"),
+                       F.array_min(others).alias("b"))
+    score = F.when(F.col("b").isNull(), F.lit(None).cast("double")).when(
+        (F.col("n") <= 1) | (F.greatest("a", "b") == 0), F.lit(0.0)).otherwise(
+        (F.col("b") - F.col("a")) / F.greatest("a", "b"))
+    return near.groupBy(setting).agg(F.avg(score).alias("silhouette")).join(ch, setting)
+
+
 def cluster_summary(df: DataFrame, label: str) -> DataFrame:
     """Number of clusters (noise excluded) and noise share."""
     return df.agg(F.count_distinct(F.when(F.col(label) >= 0, F.col(label))).alias("clusters"),

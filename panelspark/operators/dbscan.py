@@ -36,10 +36,11 @@ from __future__ import annotations
 import math
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from panelspark.operators.components import connected_components
+from panelspark.operators.windows import ordinal
 from panelspark.session import cut_lineage
 
 RING = 3
@@ -141,11 +142,11 @@ def dbscan_many(df: DataFrame, epses: Sequence[float], min_samples: Sequence[int
     nodes = cores.groupBy("e", "m", "cx", "cy").agg(
         F.min("id").alias("first"), F.min(F.struct("x", "y")).alias("p"), F.first("eps").alias("eps"),
         F.min("x").alias("x0"), F.max("x").alias("x1"), F.min("y").alias("y0"), F.max("y").alias("y1"))
-    nodes = cut_lineage(_ordinal(nodes, ["e", "m", "first"], "node"))
+    nodes = cut_lineage(ordinal(nodes, ["e", "m", "first"], "node"))
     parts = _clusters(nodes, cores)
     # numbered by smallest id within each setting
     firsts = parts.groupBy("e", "m", "component").agg(F.min("first").alias("first"))
-    ranks = _ordinal(firsts, ["e", "m", "first"], "k")
+    ranks = ordinal(firsts, ["e", "m", "first"], "k")
     ranks = cut_lineage(ranks)
     start = ranks.groupBy("e", "m").agg(F.min("k").alias("k0"))
     named = ranks.join(F.broadcast(start), ["e", "m"]).select(  # a row per setting
@@ -163,17 +164,6 @@ def _offsets(ring: int):
                      for a in range(-ring, ring + 1) for b in range(-ring, ring + 1)])
 
 
-def _ordinal(df: DataFrame, order: Sequence[str], out: str) -> DataFrame:
-    """``df`` with its rows' positions in ``order``, from 0: sorted by range, then each
-    partition's start is the number of rows before it (one row per partition)."""
-    df = cut_lineage(df.repartitionByRange(*order).sortWithinPartitions(*order).withColumn("_m", F.monotonically_increasing_id()))
-    part = F.shiftright("_m", 33)
-    sizes = df.groupBy(part.alias("_p")).agg(F.count(F.lit(1)).alias("_n"))
-    start = sizes.select("_p", (F.sum("_n").over(Window.orderBy("_p")) - F.col("_n")).alias("_start"))
-    return df.withColumn("_p", part).join(F.broadcast(start), "_p").withColumn(
-        out, F.col("_start") + F.col("_m").bitwiseAND(F.lit((1 << 33) - 1))).drop("_m", "_p", "_start")
-
-
 def _clusters(nodes: DataFrame, cores: DataFrame) -> DataFrame:
     """``nodes`` (cells with core points) with their component."""
     ahead = F.array(*[F.struct(F.lit(a).cast("long").alias("a"), F.lit(b).cast("long").alias("b"))

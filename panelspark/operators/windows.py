@@ -7,6 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from panelspark.session import cut_lineage
+
 
 def lead_target(df: DataFrame, key: str, order: str, cols: dict[str, str]) -> DataFrame:
     """Value of the next period within the entity.
@@ -93,3 +95,16 @@ def preview(df: DataFrame, order: Sequence[tuple[str, bool]], n: int, tail: bool
     if tail:
         order = [(c, not asc) for c, asc in order]
     return top_k(df, order, n)
+
+
+def ordinal(df: DataFrame, order: Sequence[str], out: str) -> DataFrame:
+    """``df`` with its rows' positions in ``order``, from 0, without a window over all
+    rows: sorted by range, then each partition's start is the number of rows before it
+    (one row per partition)."""
+    df = cut_lineage(df.repartitionByRange(*order).sortWithinPartitions(*order).withColumn(
+        "_m", F.monotonically_increasing_id()))
+    part = F.shiftright("_m", 33)
+    sizes = df.groupBy(part.alias("_p")).agg(F.count(F.lit(1)).alias("_n"))
+    start = sizes.select("_p", (F.sum("_n").over(Window.orderBy("_p")) - F.col("_n")).alias("_start"))
+    return df.withColumn("_p", part).join(F.broadcast(start), "_p").withColumn(
+        out, F.col("_start") + F.col("_m").bitwiseAND(F.lit((1 << 33) - 1))).drop("_m", "_p", "_start")

@@ -12,8 +12,9 @@ from pyspark.sql import functions as F
 
 from panelspark.operators import cluster as CL
 from panelspark.operators.clean import null_sentinels, numeric_columns
-from panelspark.operators.dbscan import dbscan
+from panelspark.operators.dbscan import dbscan_many
 from panelspark.operators.features import MedianImputer, Standardiser
+from panelspark.operators.windows import ordinal
 from panelspark.session import cut_lineage
 
 # Columns never used as clustering features.
@@ -31,8 +32,7 @@ def cross_section(panel: DataFrame, key: str = "geoid", period: str = "year"
     used = [f for f in feats if imp.values.get(f) is not None]
     x = imp.transform(latest)
     x = Standardiser(used).fit(x).transform(x)
-    x = x.withColumn("id", F.col(key).cast("long"))
-    return cut_lineage(x), used
+    return cut_lineage(ordinal(x, [key], "id")), used
 
 
 @dataclass
@@ -43,26 +43,24 @@ class Search:
     labels: DataFrame
 
 
-def _setting(joined: DataFrame, method: str, params: str, scaled: Sequence[str], dispersion: bool) -> DataFrame:
-    """One row of a search table, from rows with their ``cluster``."""
-    row = CL.cluster_summary(joined, "cluster").select(
-        F.lit(method).alias("method"), F.lit(params).alias("params"), "clusters", "noise_pct")
+def _searched(emb: DataFrame, labels: DataFrame, method: str, scaled: Sequence[str], dispersion: bool,
+              order: Sequence[Column]) -> Search:
+    """One row per setting of ``labels`` (params, id, cluster); the first in ``order`` is chosen."""
+    table = labels.groupBy("params").agg(
+        F.count_distinct(F.when(F.col("cluster") >= 0, F.col("cluster"))).alias("clusters"),
+        F.avg((F.col("cluster") == -1).cast("double")).alias("noise_pct"))
     for feats, name in ((["pca_1", "pca_2"], "silhouette_embedding"), (scaled, "silhouette_scaled_features")):
-        row = row.withColumn(name, CL.silhouette(joined, feats, "cluster").select("silhouette").scalar())
-    spread = (CL.calinski_harabasz(joined, scaled, "cluster").select("calinski_harabasz").scalar() if dispersion
-              else F.lit(None).cast("double"))
-    return row.withColumn("calinski_harabasz", spread)
-
-
-def _searched(settings: list[tuple[str, DataFrame, DataFrame]], order: Sequence[Column]) -> Search:
-    """Stacks the settings' rows; the first in ``order`` is chosen."""
-    table = settings[0][1]
-    for _, row, _ in settings[1:]:
-        table = table.unionByName(row)
-    table = cut_lineage(table)
+        scores = CL.search_scores(emb, labels, feats).withColumnRenamed("silhouette", name)
+        if not (dispersion and feats is scaled):
+            scores = scores.drop("calinski_harabasz")
+        table = table.join(scores, "params", "left")
+    if not dispersion:
+        table = table.withColumn("calinski_harabasz", F.lit(None).cast("double"))
+    table = cut_lineage(table.select(F.lit(method).alias("method"), "params", "clusters", "noise_pct", "silhouette_embedding",
+                                     "silhouette_scaled_features", "calinski_harabasz"))
     best = table.orderBy(*order, "params").limit(1)  # one row per setting: the choice is a top-1
     chosen = best.first()["params"]
-    return Search(table, best, next(labels for name, _, labels in settings if name == chosen))
+    return Search(table, best, labels.where(F.col("params") == chosen).select("id", "cluster"))
 
 
 def search_dbscan(emb: DataFrame, scaled_feats: Sequence[str], eps_grid: Sequence[float],
@@ -70,16 +68,13 @@ def search_dbscan(emb: DataFrame, scaled_feats: Sequence[str], eps_grid: Sequenc
     """Every (eps, min_samples) setting → clusters, noise share and
     silhouettes (embedding, scaled features) of the rows in clusters.  A
     setting with 2 to 12 clusters goes before others, there the better pair
-    of silhouettes; among the others more clusters, then less noise."""
-    settings = []
-    for eps in eps_grid:
-        for least in min_grid:
-            labels = cut_lineage(dbscan(emb, eps, least, "id", "pca_1", "pca_2")
-                                 .select("id", F.col("label").alias("cluster")))
-            name = f"eps={eps}, min_samples={least}"
-            settings.append((name, _setting(emb.join(labels, "id"), "DBSCAN", name, scaled_feats, False), labels))
+    of silhouettes; among the others more clusters, then less noise.  All
+    settings run in the jobs of one."""
+    params = F.concat(F.lit("eps="), F.col("eps").cast("string"), F.lit(", min_samples="), F.col("min_samples").cast("string"))
+    labels = cut_lineage(dbscan_many(emb, eps_grid, min_grid, "id", "pca_1", "pca_2").select(
+        params.alias("params"), "id", F.col("label").alias("cluster")))
     fits = F.col("clusters").between(2, 12)
-    return _searched(settings, [
+    return _searched(emb, labels, "DBSCAN", scaled_feats, False, [
         fits.desc(), F.when(fits, F.col("silhouette_embedding")).desc_nulls_last(),
         F.when(fits, F.col("silhouette_scaled_features")).desc_nulls_last(),
         F.when(~fits, F.col("clusters")).desc_nulls_last(), F.when(~fits, F.col("noise_pct")).asc_nulls_last()])
@@ -89,8 +84,10 @@ def search_kmeans(x: DataFrame, feats: Sequence[str], ks: Sequence[int], restart
                   seed: int = 42) -> Search:
     """K05 + K06: k-means per k (best of ``restarts`` seeds); silhouettes
     and Calinski–Harabasz; the best silhouette on scaled features is chosen."""
-    settings = []
+    best = CL.kmeans_many(x, feats, ks, restarts, seed)
+    rows = x
     for k in ks:
-        rows = cut_lineage(CL.kmeans(x.select("id", "pca_1", "pca_2", *feats), feats, k, restarts, seed)[0])
-        settings.append((f"k={k}", _setting(rows, "KMeans", f"k={k}", feats, True), rows.select("id", "cluster")))
-    return _searched(settings, [F.col("silhouette_scaled_features").desc_nulls_last()])
+        rows = CL.assigned(rows, feats, best[k][0], f"_k{k}")
+    each = F.explode(F.array(*[F.struct(F.lit(f"k={k}").alias("params"), F.col(f"_k{k}").alias("cluster")) for k in ks]))
+    labels = cut_lineage(rows.select("id", each.alias("s")).select("s.params", "id", "s.cluster"))
+    return _searched(x, labels, "KMeans", feats, True, [F.col("silhouette_scaled_features").desc_nulls_last()])

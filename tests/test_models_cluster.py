@@ -174,3 +174,38 @@ def test_kmeans_pca_invariants(blobs):
     assert np.allclose(e, (X - X.mean(0)) @ L, atol=1e-9)
     s = CL.cluster_summary(spark_df := df.withColumn("label", F.when(F.col("id") < 3, -1).otherwise(F.col("label"))), "label").first()
     assert s.clusters == 3 and math.isclose(s.noise_pct, 3 / 120)
+
+
+def test_search_scores_equal_the_single_settings(spark, blobs):
+    df = blobs[0]
+    rows = df.select(F.xxhash64("x", "y", "z").alias("id"), "x", "y", "z").dropDuplicates(["id"])
+    cut = {"a": "cast(pmod(id, 4) as int)", "b": "cast(pmod(id, 3) as int) - 1", "c": "0", "d": "-1"}
+    labels = None
+    for name, rule in cut.items():
+        one = rows.selectExpr(f"'{name}' as params", "id", f"{rule} as cluster")
+        labels = one if labels is None else labels.unionByName(one)
+    got = {r.params: r for r in CL.search_scores(rows, labels, ["x", "y", "z"]).collect()}
+    assert set(got) == {"a", "b", "c"}
+    for name in got:
+        each = rows.join(labels.where(F.col("params") == name), "id").where("cluster >= 0")
+        want = CL.silhouette(each, ["x", "y", "z"], "cluster").first().silhouette
+        ch = CL.calinski_harabasz(each, ["x", "y", "z"], "cluster").first().calinski_harabasz
+        assert got[name].silhouette == pytest.approx(want) and got[name].calinski_harabasz == pytest.approx(ch)
+
+
+def test_all_restarts_in_the_same_passes(spark, blobs):
+    """Costs equal Lloyd's in numpy from the same starts, and the best one is kept."""
+    df = blobs[0]
+    feats = ["x", "y", "z"]
+    x = np.array([[r.x, r.y, r.z] for r in df.collect()])
+    best = CL.kmeans_many(df, feats, [2, 3, 5], 4, 7)
+    for k, (centres, cost) in best.items():
+        far = ((x[:, None] - centres[None]) ** 2).sum(-1)
+        assert cost == pytest.approx(far.min(1).sum(), rel=1e-6)
+        at = far.argmin(1)
+        for c in range(k):
+            assert np.allclose(centres[c], x[at == c].mean(0), atol=1e-4)
+        got = [r.c for r in CL.assigned(df, feats, centres, "c").collect()]
+        assert sorted(np.bincount(got)) == sorted(np.bincount(at))
+    assert best[5][1] < best[3][1] < best[2][1]
+    assert CL.kmeans_many(df.where("false"), feats, [2], 2)[2][1] == 0.0
