@@ -12,9 +12,11 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from panelspark.operators.quantiles import quantiles, wide
+
 
 def temporal_split(df: DataFrame, period: str = "year") -> tuple[DataFrame, DataFrame]:
     """Last period = test, earlier periods = train."""
@@ -33,15 +35,17 @@ def random_split(df: DataFrame, key: str | Sequence[str], test_pct: int = 20, se
 
 class MedianImputer:
     """Exact per-column medians learned on the training rows only
-    (``Imputer`` uses a different median: 2.0 for {1, 2, 3, 10})."""
+    (``Imputer`` uses a different median: 2.0 for {1, 2, 3, 10}), selected by rank."""
 
     def __init__(self, cols: Sequence[str], approx: bool = False, accuracy: int = 100000):
         self.cols, self.approx, self.accuracy = list(cols), approx, accuracy
         self.stats: DataFrame | None = None
 
     def fit(self, train: DataFrame) -> "MedianImputer":
-        agg = (lambda c: F.percentile_approx(c, 0.5, self.accuracy)) if self.approx else F.median
-        self.stats = train.agg(*[agg(F.col(c)).cast("double").alias(c) for c in self.cols])
+        if self.approx:
+            self.stats = train.agg(*[F.percentile_approx(c, 0.5, self.accuracy).cast("double").alias(c) for c in self.cols])
+        else:
+            self.stats = wide(quantiles(train, self.cols, [0.5]), self.cols)
         self.values = self.stats.first().asDict()
         return self
 
@@ -79,13 +83,14 @@ class Standardiser:
 
 def regression_metrics(df: DataFrame, y: str, yhat: str, by: Sequence[str] = ()) -> DataFrame:
     """RMSE, MAE, R² (1 − SSE / SST around the evaluated rows' mean)
-    and n, optionally per group, in one aggregate pass (sums of y, y², e²)."""
+    and n, optionally per group, in one aggregate pass; the spread of y comes from
+    a centred aggregate, which keeps its digits for large means."""
     e = F.col(y) - F.col(yhat)
     g = df.groupBy(*by) if by else df
     agg = g.agg(F.count(F.lit(1)).alias("n"),
                 F.sum(e * e).alias("_sse"), F.sum(F.abs(e)).alias("_sae"),
-                F.sum(F.col(y)).alias("_sy"), F.sum(F.col(y) * F.col(y)).alias("_syy"))
-    sst = F.col("_syy") - F.col("_sy") * F.col("_sy") / F.col("n")
+                (F.var_pop(y) * F.count(y)).alias("_sst"))
+    sst = F.col("_sst")
     return agg.select(*by, "n",
                       F.sqrt(F.col("_sse") / F.col("n")).alias("rmse"),
                       (F.col("_sae") / F.col("n")).alias("mae"),
@@ -106,8 +111,8 @@ def grouped_cv_mean_baseline(train: DataFrame, y: str, group: str = "year") -> D
     their own fold's model and metrics are aggregated per fold."""
     sums = train.groupBy(group).agg(F.sum(y).alias("_gs"), F.count(y).alias("_gn"))
     tot = sums.agg(F.sum("_gs").alias("s"), F.sum("_gn").alias("n"))
-    folds = sums.select(group, ((tot.select("s").scalar() - F.col("_gs"))
-                                / (tot.select("n").scalar() - F.col("_gn"))).alias("prediction"))
+    folds = sums.select(group, ((tot.select("s").scalar() - F.col("_gs"))  # one fold alone: no model, null
+                                / F.nullif(tot.select("n").scalar() - F.col("_gn"), F.lit(0))).alias("prediction"))
     scored = train.join(folds, group)
     return regression_metrics(scored, y, "prediction", [group])
 

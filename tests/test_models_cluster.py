@@ -209,3 +209,55 @@ def test_all_restarts_in_the_same_passes(spark, blobs):
         assert sorted(np.bincount(got)) == sorted(np.bincount(at))
     assert best[5][1] < best[3][1] < best[2][1]
     assert CL.kmeans_many(df.where("false"), feats, [2], 2)[2][1] == 0.0
+
+
+def test_fold_statistics_equal_single_fits(spark):
+    """Ridge and elastic net with missing values, a constant and an empty feature: metrics of
+    every fold equal numpy's on the side's own medians and scaling."""
+    rng = np.random.default_rng(4)
+    n, feats = 240, list("abcde")
+    x = rng.normal(size=(n, 5)) * [1, 50, 0.01, 1, 1] + [0, 1e6, 3, 0, 0]
+    x[:, 3] = 7.0
+    x[rng.random((n, 5)) < 0.2] = np.nan
+    x[:, 4] = np.nan
+    y = np.nan_to_num(x[:, 0]) * 2 - np.nan_to_num(x[:, 1] - 1e6) / 30 + rng.normal(size=n)
+    fold = np.arange(n) % 4
+    rows = [(int(fold[i]) + 2000, *[None if np.isnan(v) else float(v) for v in x[i]], float(y[i])) for i in range(n)]
+    df = spark.createDataFrame(rows, "year int, a double, b double, c double, d double, e double, y double").repartition(3)
+    specs = [ML.ridge(a) for a in (0.01, 1.0, 100.0)] + [ML.elastic_net(0.05, 0.5), ML.elastic_net(0.5, 0.9)]
+    got = ML.cross_validated(specs, df, feats, "y", "year")
+    for f in range(4):
+        tr, te = fold != f, fold == f
+        med = np.nanmedian(x[tr][:, :4], 0)
+        xt, xe = (np.where(np.isnan(v[:, :4]), med, v[:, :4]) for v in (x[tr], x[te]))
+        mu, sd = xt.mean(0), np.where(xt.std(0) < 1e-12, 1.0, xt.std(0))
+        zt, ze = (xt - mu) / sd, (xe - mu) / sd
+        for k, s in enumerate(specs):
+            if s.kind == "ridge":
+                w = np.linalg.solve(zt.T @ zt + s.params["alpha"] * np.eye(4), zt.T @ (y[tr] - y[tr].mean()))
+            else:
+                keep = [0, 1, 2]
+                w = np.zeros(4)
+                w[keep] = _cd(zt[:, keep], y[tr], s.params["alpha"], s.params["l1_ratio"])
+            off = y[te] - ze @ w - y[tr].mean()
+            r = got[k][f]
+            assert r["fold"] == str(2000 + f) and r["n"] == te.sum()
+            assert r["rmse"] == pytest.approx(np.sqrt((off ** 2).mean()), rel=1e-8)
+            assert r["mae"] == pytest.approx(np.abs(off).mean(), rel=1e-8)
+            assert r["r2"] == pytest.approx(1 - (off ** 2).sum() / ((y[te] - y[te].mean()) ** 2).sum(), rel=1e-8)
+    one = ML.cross_validated(specs[:1], df.where("year = 2000"), feats, "y", "year")[0]
+    assert [r["rmse"] for r in one] == [None]
+
+
+def test_predictions_follow_each_other_on_one_frame(spark, reg_data):
+    df, X, y = reg_data
+    feats, out = list("abcd"), df
+    for name, spec in [("m", ML.mean_spec()), ("l", ML.ridge(1e-9)), ("t", ML.random_forest(10, "sqrt", 1, max_depth=4))]:
+        out = ML.fit(spec, df, feats, "y").predict(out, f"p_{name}")
+    assert out.columns == [*df.columns, "p_m", "p_l", "p_t"]
+    rows = out.orderBy("id").collect()
+    w = np.linalg.lstsq(np.c_[X, np.ones(len(X))], y, rcond=None)[0]
+    assert np.allclose([r.p_l for r in rows], np.c_[X, np.ones(len(X))] @ w, atol=1e-6)
+    assert [r.a for r in rows] == X[:, 0].tolist()
+    cv = ML.cross_validated([ML.mean_spec(), ML.random_forest(5, "sqrt", 1, max_depth=3), ML.ridge(1.0)], df, feats, "y", "year")
+    assert [len(c) for c in cv] == [5, 5, 5] and cv[2][0]["rmse"] < cv[0][0]["rmse"]
