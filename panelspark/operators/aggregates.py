@@ -16,6 +16,8 @@ from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+
+from panelspark.operators.quantiles import quantiles, wide
 from pyspark.sql import types as T
 
 from panelspark.functions.numbers import round_half_even
@@ -99,33 +101,44 @@ def baseline_mean(series: DataFrame, keys: Sequence[str], period: str, value: st
                   .groupBy(*keys).agg(F.avg(value).alias(alias)))
 
 
+def value_table(df: DataFrame, cols: Sequence[str]) -> DataFrame:
+    """(k, value, n): how often each value (as text, null included) occurs in column
+    number ``k``.  One partial aggregate for all columns, so a frequent value is folded
+    in each task; counts, distinct counts and modes follow from it."""
+    kinds = dict(df.dtypes)
+
+    def text(c: str) -> Column:
+        v = F.col(f"`{c}`")
+        if kinds[c] in ("double", "float"):
+            v = v + F.lit(0.0).cast(kinds[c])  # 0.0 and -0.0 are one value
+        return F.hex(v) if kinds[c] == "binary" else v.cast("string")
+
+    each = F.explode(F.array(*[F.struct(F.lit(k).alias("k"), text(c).alias("value")) for k, c in enumerate(cols)]))
+    return df.select(each.alias("_s")).select("_s.k", "_s.value").groupBy("k", "value").agg(F.count(F.lit(1)).alias("n"))
+
+
 def profile_columns(df: DataFrame, cols: Sequence[str] | None = None,
                     approx_distinct: bool = False) -> DataFrame:
-    """Per column — missing count, missing %, type, distinct count.
-
-    One aggregate pass over the table computes every column's counters;
-    the single result row is then unpivoted to one row per column.
-    ``count(distinct)`` is exact (one shuffle on the value per column);
-    ``approx_distinct=True`` swaps in HyperLogLog++ for very wide tables.
-    """
+    """Per column — missing count, missing %, type, distinct count, from one
+    value table of all columns; ``approx_distinct=True`` takes HyperLogLog++ instead,
+    for very wide tables.  A table without rows gives zeros."""
     cols = list(cols or df.columns)
     types = dict(df.dtypes)
-    aggs = []
-    for i, c in enumerate(cols):
-        col = F.col(f"`{c}`")
-        aggs.append(F.count_if(col.isNull()).alias(f"m{i}"))
-        d = F.approx_count_distinct(col) if approx_distinct else F.count_distinct(col)
-        aggs.append(d.alias(f"d{i}"))
-    row = df.agg(F.count(F.lit(1)).alias("_n"), *aggs)
-    stacked = F.inline(F.array(*[
-        F.struct(F.lit(c).alias("feature"), F.lit(types[c]).alias("dtype"),
-                 F.col(f"m{i}").alias("missing"), F.col(f"d{i}").alias("n_distinct"))
-        for i, c in enumerate(cols)]))
-    return (row.select("_n", stacked)
-               .select("feature", "dtype", "missing",
-                       (F.col("missing") * 100.0 / F.nullif(F.col("_n"), F.lit(0)))
-                       .alias("missing_pct"),
-                       "n_distinct"))
+    if approx_distinct:
+        row = df.agg(F.count(F.lit(1)).alias("_n"), *[x for i, c in enumerate(cols) for x in (
+            F.count_if(F.col(f"`{c}`").isNull()).alias(f"missing{i}"), F.approx_count_distinct(F.col(f"`{c}`")).alias(f"n_distinct{i}"))])
+        found = row.select("_n", F.inline(F.array(*[F.struct(F.lit(i).alias("k"), F.col(f"missing{i}").alias("missing"),
+                                                             F.col(f"n_distinct{i}").alias("n_distinct")) for i in range(len(cols))])))
+    else:
+        found = value_table(df, cols).groupBy("k").agg(
+            F.sum("n").alias("_n"), F.coalesce(F.sum(F.when(F.col("value").isNull(), F.col("n"))), F.lit(0)).alias("missing"),
+            F.count("value").alias("n_distinct"))
+    names = df.sparkSession.createDataFrame([(i, c, types[c]) for i, c in enumerate(cols)], "k int, feature string, dtype string")
+    zero = F.lit(0).cast("long")
+    return names.join(F.broadcast(found), "k", "left").select(  # a row per column
+        "feature", "dtype", F.coalesce("missing", zero).alias("missing"),
+        (F.col("missing") * 100.0 / F.nullif(F.col("_n"), F.lit(0))).alias("missing_pct"),
+        F.coalesce("n_distinct", zero).alias("n_distinct"))
 
 
 def count_any_missing(cols: Sequence[str]) -> Column:
@@ -183,6 +196,19 @@ def count_duplicates(df: DataFrame, keys: Sequence[str]) -> DataFrame:
 SUMMARY_STATS = ["count", "missing", "mean", "std", "min", "p25", "p50", "p75", "max"]
 
 
+def _stacked(row: DataFrame, cols: Sequence[str], stats: Sequence[str]) -> DataFrame:
+    """One row of columns named statistic and number → one row per column."""
+    return row.select(F.inline(F.array(*[
+        F.struct(F.lit(c).alias("feature"), *[F.col(f"{s}{i}").alias(s) for s in stats]) for i, c in enumerate(cols)])))
+
+
+def _with_quantiles(stacked: DataFrame, df: DataFrame, cols: Sequence[str], names: dict[str, float]) -> DataFrame:
+    """``stacked`` with exact quantiles, one row per column on both sides."""
+    q = quantiles(df, cols, list(names.values()))
+    q = q.select(F.col("column").alias("feature"), *[F.col("q")[k].alias(n) for k, n in enumerate(names)])
+    return stacked.join(F.broadcast(q), "feature", "left")
+
+
 def describe(df: DataFrame, cols: Sequence[str]) -> DataFrame:
     """A14 + R03: pandas-style ``describe`` (exact quartiles) plus missing,
     transposed to one row per column."""
@@ -192,30 +218,20 @@ def describe(df: DataFrame, cols: Sequence[str]) -> DataFrame:
         aggs += [F.count(v).cast("double").alias(f"count{i}"),
                  F.count_if(v.isNull()).cast("double").alias(f"missing{i}"),
                  F.avg(v).alias(f"mean{i}"), F.stddev_samp(v).alias(f"std{i}"),
-                 F.min(v).cast("double").alias(f"min{i}"),
-                 F.percentile(v, 0.25).alias(f"p25{i}"), F.percentile(v, 0.5).alias(f"p50{i}"),
-                 F.percentile(v, 0.75).alias(f"p75{i}"), F.max(v).cast("double").alias(f"max{i}")]
-    row = df.agg(*aggs)
-    stacked = F.inline(F.array(*[
-        F.struct(F.lit(c).alias("feature"),
-                 *[F.col(f"{s}{i}").alias(s) for s in SUMMARY_STATS])
-        for i, c in enumerate(cols)]))
-    return row.select(stacked)
+                 F.min(v).cast("double").alias(f"min{i}"), F.max(v).cast("double").alias(f"max{i}")]
+    base = _stacked(df.agg(*aggs), cols, ["count", "missing", "mean", "std", "min", "max"])
+    return _with_quantiles(base, df, cols, {"p25": 0.25, "p50": 0.5, "p75": 0.75}).select("feature", *SUMMARY_STATS)
 
 
 def spread(df: DataFrame, cols: Sequence[str]) -> DataFrame:
     """Range, sample variance and inter-quartile range per column."""
     aggs = []
     for i, c in enumerate(cols):
-        v = F.col(c)
-        aggs += [(F.max(v) - F.min(v)).cast("double").alias(f"range{i}"),
-                 F.var_samp(v).alias(f"variance{i}"),
-                 (F.percentile(v, 0.75) - F.percentile(v, 0.25)).alias(f"iqr{i}")]
-    row = df.agg(*aggs)
-    return row.select(F.inline(F.array(*[
-        F.struct(F.lit(c).alias("feature"), F.col(f"range{i}").alias("value_range"),
-                 F.col(f"variance{i}").alias("variance"), F.col(f"iqr{i}").alias("iqr"))
-        for i, c in enumerate(cols)])))
+        v = F.col(f"`{c}`")
+        aggs += [(F.max(v) - F.min(v)).cast("double").alias(f"value_range{i}"), F.var_samp(v).alias(f"variance{i}")]
+    base = _stacked(df.agg(*aggs), cols, ["value_range", "variance"])
+    return _with_quantiles(base, df, cols, {"_q1": 0.25, "_q3": 0.75}).select(
+        "feature", "value_range", "variance", (F.col("_q3") - F.col("_q1")).alias("iqr"))
 
 
 def column_totals(df: DataFrame, cols: Sequence[str]) -> DataFrame:
@@ -269,8 +285,14 @@ def overview(df: DataFrame, key: str, period: str, region: str,
 
 def cluster_profile(df: DataFrame, label: str, spec: Mapping[str, tuple[str, str]],
                     count_col: str = "entities") -> DataFrame:
-    """Per-cluster count and aggregates ``{alias: (func, col)}``."""
-    funcs = {"mean": F.avg, "median": F.median, "max": F.max, "min": F.min,
-             "sum": F.sum, "count": F.count}
-    return df.groupBy(label).agg(F.count(F.lit(1)).alias(count_col),
-                                 *[funcs[f](c).alias(a) for a, (f, c) in spec.items()])
+    """Per-cluster count and aggregates ``{alias: (func, col)}``; medians are
+    selected by rank."""
+    funcs = {"mean": F.avg, "max": F.max, "min": F.min, "sum": F.sum, "count": F.count}
+    out = df.groupBy(label).agg(F.count(F.lit(1)).alias(count_col),
+                                *[funcs[f](c).alias(a) for a, (f, c) in spec.items() if f != "median"])
+    medians = sorted({c for f, c in spec.values() if f == "median"})
+    if medians:
+        found = wide(quantiles(df, medians, [0.5], by=[label]), medians, [label], prefix="_m_").withColumnRenamed(label, "_l")
+        out = out.join(found, F.col(label).eqNullSafe(F.col("_l")), "left")
+    return out.select(label, count_col, *[(F.col(f"_m_{c}") if f == "median" else F.col(a)).alias(a)
+                                          for a, (f, c) in spec.items()])

@@ -1,4 +1,4 @@
-"""Data behind the reference's charts (A23-A26): histogram bins, kernel
+"""Data behind the charts (A23-A26): histogram bins, kernel
 density on a grid, box-plot statistics and least-squares lines.
 
 Drawing is out of scope; these return the numbers a chart shows.
@@ -12,6 +12,8 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from panelspark.operators.quantiles import quantiles
+
 
 def histogram(df: DataFrame, col: str, bins: int = 30, by: Sequence[str] = ()) -> DataFrame:
     """Equal-width bins between the column's min and max (per group
@@ -42,42 +44,29 @@ def histogram(df: DataFrame, col: str, bins: int = 30, by: Sequence[str] = ()) -
                       F.coalesce(F.col("count"), F.lit(0)).cast("bigint").alias("count"))
 
 
-def density(df: DataFrame, col: str, points: int = 200, cut: float = 3.0,
-            prebin: int | None = None) -> DataFrame:
+def density(df: DataFrame, col: str, points: int = 200, cut: float = 3.0) -> DataFrame:
     """Gaussian kernel density (Scott's bandwidth n^(-1/5)·std) on
     ``points`` grid values from min − cut·h to max + cut·h.
 
-    Each row adds its kernel to every grid point through a fixed fan-out
-    of ``points`` values and a partial aggregate per grid index, so the
-    work is linear in rows and a task holds only ``points`` sums.  With
-    ``prebin`` rows are first reduced to that many weighted bin centres
-    (approximate, for very large inputs).
+    Every grid point is a sum of its own in one aggregate, so a task folds each of
+    its rows into ``points`` running sums; no rows are made and none are shuffled
+    but one per task.
     """
     v = F.col(col)
     clean = df.where(v.isNotNull() & ~F.isnan(v)).select(v.cast("double").alias("x"))
     st = clean.agg(F.count(F.lit(1)).alias("n"), F.stddev_samp("x").alias("sd"),
                    F.min("x").alias("lo"), F.max("x").alias("hi")).first()
     n, sd, lo, hi = st["n"], st["sd"], st["lo"], st["hi"]
-    spark = df.sparkSession
-    if not n or sd is None or sd == 0:
-        return spark.createDataFrame([], "point int, x double, density double")
+    if not n or not sd:
+        return df.sparkSession.createDataFrame([], "point int, x double, density double")
     h = sd * n ** (-0.2)
-    g0, g1 = lo - cut * h, hi + cut * h
-    step = (g1 - g0) / (points - 1)
-    if prebin:
-        w = (hi - lo) / prebin or 1.0
-        clean = (clean.groupBy(F.least(F.floor((F.col("x") - lo) / w), F.lit(prebin - 1))
-                               .alias("_b")).agg(F.count(F.lit(1)).alias("wt"))
-                      .select((F.lit(lo) + (F.col("_b") + 0.5) * w).alias("x"), "wt"))
-    else:
-        clean = clean.withColumn("wt", F.lit(1))
-    grid = F.sequence(F.lit(0), F.lit(points - 1))
-    fan = clean.select("x", "wt", F.explode(grid).alias("point"))
-    gx = F.lit(g0) + F.col("point") * F.lit(step)
-    k = F.exp(-0.5 * F.pow((gx - F.col("x")) / h, 2)) * F.col("wt")
-    dens = fan.groupBy("point").agg(F.sum(k).alias("_s"))
-    return dens.select("point", (F.lit(g0) + F.col("point") * F.lit(step)).alias("x"),
-                       (F.col("_s") / (n * h * math.sqrt(2 * math.pi))).alias("density"))
+    step = (hi - lo + 2 * cut * h) / (points - 1)
+    at = [lo - cut * h + k * step for k in range(points)]
+    kernel = [F.sum(F.exp(-0.5 * F.pow((F.lit(x) - F.col("x")) / h, 2))).alias(f"s{k}") for k, x in enumerate(at)]
+    scale = n * h * math.sqrt(2 * math.pi)
+    return clean.agg(*kernel).select(F.inline(F.array(*[
+        F.struct(F.lit(k).alias("point"), F.lit(x).alias("x"), (F.col(f"s{k}") / scale).alias("density"))
+        for k, x in enumerate(at)])))
 
 
 def box_stats(df: DataFrame, col: str, by: Sequence[str] = (), whis: float = 1.5) -> DataFrame:
@@ -85,9 +74,10 @@ def box_stats(df: DataFrame, col: str, by: Sequence[str] = (), whis: float = 1.5
     the 1.5·IQR fences) and the outlier count per group."""
     by = list(by)
     v = F.col(col)
-    q = df.where(v.isNotNull()).groupBy(*by).agg(
-        F.count(v).alias("n"), F.percentile(v, 0.25).alias("q1"), F.median(v).alias("median"),
-        F.percentile(v, 0.75).alias("q3"))
+    q = quantiles(df, [col], [0.25, 0.5, 0.75], by)
+    if not by:  # a row without values, too
+        q = q.agg(F.coalesce(F.max("n"), F.lit(0)).alias("n"), F.max("q").alias("q"))
+    q = q.select(*by, "n", *[F.col("q")[k].alias(name) for k, name in enumerate(("q1", "median", "q3"))])
     q = q.withColumn("iqr", F.col("q3") - F.col("q1"))
     lo_f = F.col("q1") - whis * F.col("iqr")
     hi_f = F.col("q3") + whis * F.col("iqr")

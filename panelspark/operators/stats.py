@@ -1,78 +1,79 @@
 """One-way ANOVA (A27) and the F distribution tail.
 
 The F statistic is one grouped aggregate (count, mean, variance per group)
-folded into one row.  The p-value needs the regularised incomplete beta
-function, evaluated on that single result row with a vectorised pandas UDF
-(SciPy is not available; the continued fraction below is the standard
-Lentz evaluation).
+folded into one row.  The p-value is the regularised incomplete beta function of
+that row, as Column expressions: Stirling's series for the gamma functions and
+Lentz's evaluation of the continued fraction as a fold over its steps, which
+stands still once a step no longer changes the result.
 """
 
 from __future__ import annotations
 
 import math
 
-import numpy as np
-import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
-
-
-def _betacf(a: float, b: float, x: float, eps: float = 1e-15, itmax: int = 500) -> float:
-    tiny = 1e-300
-    qab, qap, qam = a + b, a + 1.0, a - 1.0
-    c, d = 1.0, 1.0 - qab * x / qap
-    d = 1.0 / (d if abs(d) > tiny else tiny)
-    h = d
-    for m in range(1, itmax + 1):
-        m2 = 2 * m
-        aa = m * (b - m) * x / ((qam + m2) * (a + m2))
-        d = 1.0 + aa * d
-        d = 1.0 / (d if abs(d) > tiny else tiny)
-        c = 1.0 + aa / c
-        c = c if abs(c) > tiny else tiny
-        h *= d * c
-        aa = -(a + m) * (qab + m) * x / ((a + m2) * (qap + m2))
-        d = 1.0 + aa * d
-        d = 1.0 / (d if abs(d) > tiny else tiny)
-        c = 1.0 + aa / c
-        c = c if abs(c) > tiny else tiny
-        de = d * c
-        h *= de
-        if abs(de - 1.0) < eps:
-            return h
-    raise ArithmeticError("the incomplete beta function did not converge")
-
-
-def betainc(a: float, b: float, x: float) -> float:
+
+#: Steps of the continued fraction at most (about the square root of the greater
+#: parameter is needed), and the relative change that ends it.
+STEPS, SMALL, TINY = 20_000, 1e-15, 1e-300
+# Bernoulli numbers B(2k) / (2k (2k - 1)) of Stirling's series
+STIRLING = [1 / 12, -1 / 360, 1 / 1260, -1 / 1680, 1 / 1188, -691 / 360360, 1 / 156]
+
+
+def log_gamma(x: Column) -> Column:
+    """ln Γ(x) for positive x: shifted up by 10, where Stirling's series is exact to
+    the last digits."""
+    z = x + 10
+    series = sum((F.lit(c) / F.pow(z, 2 * k + 1) for k, c in enumerate(STIRLING)), F.lit(0.0))
+    shift = sum((F.log(x + k) for k in range(10)), F.lit(0.0))
+    return (z - 0.5) * F.log(z) - z + 0.5 * math.log(2 * math.pi) + series - shift
+
+
+def _away(x: Column) -> Column:
+    return F.when(F.abs(x) < TINY, F.lit(TINY)).otherwise(x)
+
+
+def _fraction(a: Column, b: Column, x: Column) -> Column:
+    """Continued fraction of the incomplete beta function; null if it does not settle."""
+    start = F.lit(1.0) / _away(1.0 - (a + b) * x / (a + 1.0))
+
+    def half(state: Column, term: Column) -> list[Column]:
+        """(c, d, h) after a term of the fraction."""
+        d = 1.0 / _away(1.0 + term * state["d"])
+        c = _away(1.0 + term / state["c"])
+        return [c, d, state["h"] * c * d]
+
+    def step(state: Column, m: Column) -> Column:
+        m = m.cast("double")
+        even = m * (b - m) * x / ((a + 2 * m - 1.0) * (a + 2 * m))
+        c, d, h = half(state, even)
+        odd = -(a + m) * (a + b + m) * x / ((a + 2 * m) * (a + 2 * m + 1.0))
+        middle = F.struct(c.alias("c"), d.alias("d"), h.alias("h"))
+        c, d, h = half(middle, odd)
+        new = F.struct(c.alias("c"), d.alias("d"), h.alias("h"), (F.abs(c * d - 1.0) < SMALL).alias("done"))
+        return F.when(state["done"], state).otherwise(new)
+
+    first = F.struct(F.lit(1.0).alias("c"), start.alias("d"), start.alias("h"), F.lit(False).alias("done"))
+    return F.aggregate(F.sequence(F.lit(1), F.lit(STEPS)), first, step,
+                       lambda state: F.when(state["done"], state["h"]))
+
+
+def beta_cdf(a: Column, b: Column, x: Column) -> Column:
     """Regularised incomplete beta I_x(a, b)."""
-    if x <= 0.0:
-        return 0.0
-    if x >= 1.0:
-        return 1.0
-    lbt = (math.lgamma(a + b) - math.lgamma(a) - math.lgamma(b)
-           + a * math.log(x) + b * math.log1p(-x))
-    if x < (a + 1.0) / (a + b + 2.0):
-        return math.exp(lbt) * _betacf(a, b, x) / a
-    return 1.0 - math.exp(lbt) * _betacf(b, a, 1.0 - x) / b
-
-
-def f_sf(f: float, d1: float, d2: float) -> float:
-    """Survival function of the F distribution: P(F' > f)."""
-    if f is None or d1 is None or d2 is None or not (d1 > 0 and d2 > 0):
-        return float("nan")
-    if f <= 0:
-        return 1.0
-    if math.isinf(f):
-        return 0.0
-    return betainc(d2 / 2.0, d1 / 2.0, d2 / (d2 + d1 * f))
-
-
-@F.pandas_udf(T.DoubleType())
-def f_pvalue(f: pd.Series, d1: pd.Series, d2: pd.Series) -> pd.Series:
-    out = [f_sf(a, b, c) if not (pd.isna(a) or pd.isna(b) or pd.isna(c)) else np.nan
-           for a, b, c in zip(f, d1, d2)]
-    return pd.Series(out, dtype="float64")
+    front = F.exp(log_gamma(a + b) - log_gamma(a) - log_gamma(b) + a * F.log(x) + b * F.log1p(-x))
+    # the fraction is evaluated once, on the side where it settles quickly
+    low = x < (a + 1.0) / (a + b + 2.0)
+    p, q, t = F.when(low, a).otherwise(b), F.when(low, b).otherwise(a), F.when(low, x).otherwise(1.0 - x)
+    part = front * _fraction(p, q, t) / p
+    return F.when(x <= 0, F.lit(0.0)).when(x >= 1, F.lit(1.0)).otherwise(F.when(low, part).otherwise(1.0 - part))
+
+
+def f_tail(f: Column, d1: Column, d2: Column) -> Column:
+    """Survival function of the F distribution: P(F' > f); null without degrees of freedom."""
+    inside = beta_cdf(d2 / 2.0, d1 / 2.0, d2 / (d2 + d1 * f))
+    return F.when((d1 > 0) & (d2 > 0) & f.isNotNull(), F.when(f <= 0, F.lit(1.0)).when(
+        f == float("inf"), F.lit(0.0)).otherwise(inside))
 
 
 def anova(df: DataFrame, value: str, group: str, exclude=(-1,), with_p: bool = True
@@ -99,8 +100,5 @@ def anova(df: DataFrame, value: str, group: str, exclude=(-1,), with_p: bool = T
     out = tot.select("groups", "n_total", "ssb", "ssw", fstat.alias("f_stat"),
                      d1.cast("double").alias("df_between"), d2.cast("double").alias("df_within"))
     if with_p:
-        from panelspark.session import ship_package
-        ship_package(df.sparkSession)
-        out = out.withColumn("p_value", F.when(F.col("f_stat").isNotNull(),
-                                               f_pvalue("f_stat", "df_between", "df_within")))
+        out = out.withColumn("p_value", f_tail(F.col("f_stat"), F.col("df_between"), F.col("df_within")))
     return out

@@ -92,7 +92,16 @@ def q_anova_f(spark, sf_dir):
     return ST.anova(fx.panel(spark, sf_dir), "outcome", "state_name", exclude=(), with_p=False)
 
 
-@register("anova_p")
+# P(F' > f) in closed form for an even number of degrees of freedom between groups (24)
+_ANOVA_P_SQL = f"""
+SELECT *, (SELECT sum(exp(lgamma(df_within / 2 + j) - lgamma(df_within / 2) - lgamma(j + 1)
+                  + df_within / 2 * ln(df_within / (df_within + df_between * f_stat))
+                  + j * ln(df_between * f_stat / (df_within + df_between * f_stat))))
+           FROM range(0, CAST(df_between / 2 AS BIGINT)) t(j)) AS p_value
+FROM ({_ANOVA_SQL})"""
+
+
+@register("anova_p", with_views(finalize(_ANOVA_P_SQL), ["panel"]))
 def q_anova_p(spark, sf_dir):
     """A27 (p): F survival function via the regularised incomplete beta."""
     return ST.anova(fx.panel(spark, sf_dir), "outcome", "state_name", exclude=())

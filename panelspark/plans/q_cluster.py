@@ -101,16 +101,15 @@ def q_calinski_harabasz(spark, sf_dir):
     return CL.calinski_harabasz(fx.vectors(spark, sf_dir), FEATS, "label")
 
 
-_PROFILE_COLS = ["avg_f0", "avg_f1", "median_f2", "max_f3"]
-_PROFILE_SQL = """
-SELECT label, count(*) AS entities, avg(f0) AS avg_f0, avg(f1) AS avg_f1, median(f2) AS median_f2,
-       max(f3) AS max_f3 FROM vectors GROUP BY label"""
+_PROFILE_SPEC = {f"{name}_{c}": (func, c) for c in FEATS for name, func in (("avg", "mean"), ("median", "median"), ("max", "max"))}
+_PROFILE_COLS = list(_PROFILE_SPEC)
+_PROFILE_SQL = f"""
+SELECT label, count(*) AS entities, {", ".join(f"avg({c}) AS avg_{c}, median({c}) AS median_{c}, max({c}) AS max_{c}" for c in FEATS)}
+FROM vectors GROUP BY label"""
 
 
 def _profile(spark, sf_dir):
-    spec = {"avg_f0": ("mean", "f0"), "avg_f1": ("mean", "f1"), "median_f2": ("median", "f2"),
-            "max_f3": ("max", "f3")}
-    return ag.cluster_profile(fx.vectors(spark, sf_dir), "label", spec)
+    return ag.cluster_profile(fx.vectors(spark, sf_dir), "label", _PROFILE_SPEC)
 
 
 @register("cluster_profile", with_views(finalize(_PROFILE_SQL), ["vectors"]))
@@ -140,7 +139,7 @@ from panelspark.plans import unsupervised as UN  # noqa: E402
 from panelspark.plans.q_enrichment import _enriched  # noqa: E402
 from panelspark.session import cut_lineage  # noqa: E402
 
-# search grids of the registered queries: the reference's (the library takes any grid)
+# The grids searched by the registered queries (the library takes any grid)
 EPS_GRID = [round(0.15 + 1.85 * k / 13, 2) for k in range(14)]
 MIN_GRID = [5, 10, 20, 35, 50]
 K_GRID = [2, 3, 4, 5, 6]

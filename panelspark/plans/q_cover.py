@@ -82,35 +82,46 @@ def q_clean_headers(spark, sf_dir):
     return C.normalise_columns(p)
 
 
-_NAME_SQL = """SELECT DISTINCT CASE l_linenumber % 6 WHEN 0 THEN 'daily_aqi_x' WHEN 1 THEN 'annual_avg_temp_f'
-  WHEN 2 THEN 'pct_band_1' WHEN 3 THEN 'pct_insured' WHEN 4 THEN 'median_income' ELSE 'Days Ozone' END || '' AS name
-FROM lineitem"""
+# The name of the panel's measure that each line number stands for here
+_NAMES = ["daily_aqi_mean", "annual_avg_temp_f", "pct_construction", "pct_insured", "median_income", "Days CO",
+          "Days with AQI"]
 
 
-def _names(spark, sf_dir):
-    k = F.col("l_linenumber") % 6
+def _named(spark, sf_dir):
+    """Lines with the measure they stand for."""
+    names = F.array(*[F.lit(n) for n in _NAMES])
     return read_table(spark, sf_dir, "lineitem").select(
-        F.when(k == 0, "daily_aqi_x").when(k == 1, "annual_avg_temp_f").when(k == 2, "pct_band_1")
-        .when(k == 3, "pct_insured").when(k == 4, "median_income").otherwise("Days Ozone").alias("name")).distinct()
+        "l_quantity", names[F.col("l_linenumber") - 1].alias("measure"), F.concat_ws(" ", F.lit("flag"), F.col("l_returnflag")).alias("other"))
+
+
+_FAMILY_SQL = """CASE measure WHEN 'daily_aqi_mean' THEN 'Daily AQI exposure' WHEN 'annual_avg_temp_f' THEN 'Climate'
+  WHEN 'pct_construction' THEN 'Industry composition' WHEN 'pct_insured' THEN 'Education and health access'
+  WHEN 'median_income' THEN 'Socioeconomic scale' ELSE 'Annual AQI' END"""
+_NAMED_SQL = f"""SELECT l_quantity, list_extract({_NAMES!r}, CAST(l_linenumber AS INTEGER)) AS measure,
+  'flag ' || l_returnflag AS other FROM lineitem"""
 
 
 @register("family_classify", f"""
-SELECT name, CASE name WHEN 'daily_aqi_x' THEN 'Daily AQI exposure' WHEN 'annual_avg_temp_f' THEN 'Climate'
-  WHEN 'pct_band_1' THEN 'Industry composition' WHEN 'pct_insured' THEN 'Education and health access'
-  WHEN 'median_income' THEN 'Socioeconomic scale' ELSE 'Annual AQI' END AS family FROM ({_NAME_SQL})""")
+SELECT family, count(*) AS n, CAST(sum(l_quantity) AS BIGINT) AS quantity FROM (
+  SELECT l_quantity, {_FAMILY_SQL} AS family FROM ({_NAMED_SQL}) UNION ALL
+  SELECT l_quantity, 'Other' FROM ({_NAMED_SQL})) GROUP BY family""")
 def q_family_classify(spark, sf_dir):
-    """P25: feature family by ordered rules."""
-    return _names(spark, sf_dir).select("name", R.feature_family("name").alias("family"))
+    """P25: every line's measure and flag, classified by ordered rules and added up by family."""
+    named = _named(spark, sf_dir)
+    both = named.select("l_quantity", F.explode(F.array("measure", "other")).alias("name"))
+    return both.groupBy(R.feature_family("name").alias("family")).agg(
+        F.count(F.lit(1)).alias("n"), F.sum("l_quantity").cast("long").alias("quantity"))
 
 
 @register("token_split", f"""
-SELECT name, contains(lower(name), 'aqi') OR contains(lower(name), 'co') AS somewhere,
-       regexp_matches(lower(name), '(^|[_ ])(aqi|co)($|[_ ])') AS as_token FROM ({_NAME_SQL})""")
+SELECT measure, contains(lower(measure), 'aqi') OR contains(lower(measure), 'co') AS somewhere,
+       regexp_matches(lower(measure), '(^|[_ ])(aqi|co)($|[_ ])') AS as_token, count(*) AS n
+FROM ({_NAMED_SQL}) GROUP BY ALL""")
 def q_token_split(spark, sf_dir):
-    """A token anywhere in the name, and as a whole token."""
-    return _names(spark, sf_dir).select(
-        "name", R.match_any_token("name", ["aqi", "co"]).alias("somewhere"),
-        R.match_any_token("name", ["aqi", "co"], whole_token=True).alias("as_token"))
+    """Lines by measure, a token anywhere in its name, and as a whole token."""
+    return _named(spark, sf_dir).groupBy(
+        "measure", R.match_any_token("measure", ["aqi", "co"]).alias("somewhere"),
+        R.match_any_token("measure", ["aqi", "co"], whole_token=True).alias("as_token")).agg(F.count(F.lit(1)).alias("n"))
 
 
 @register("attached_predictions", with_views(finalize("""
@@ -145,16 +156,16 @@ def _written(spark, name: str) -> str:
 
 
 @register("bulk_table", with_views(finalize(
-    "SELECT '0500000US' || geoid AS GEO_ID, right(geoid, 5) AS geoid, CAST(population AS DOUBLE) AS population, "
-    "aqi_max FROM panel WHERE year = 1996", ["GEO_ID", "geoid"]), ["panel"]))
+    "SELECT '0500000US' || geoid AS GEO_ID, right(geoid, 5) AS geoid, CAST(year AS DOUBLE) AS year, "
+    "CAST(population AS DOUBLE) AS population, aqi_max FROM panel", ["GEO_ID", "geoid"]), ["panel"]))
 def q_bulk_table(spark, sf_dir):
     """A pipe-delimited bulk table that Spark writes from the panel, read back by key prefix."""
-    p = fx.panel(spark, sf_dir).where("year = 1996")
-    path = _written(spark, "bulk")
-    other = p.select(F.concat(F.lit("0400000US"), "geoid").alias("GEO_ID"), "population", "aqi_max")
-    p.select(F.concat(F.lit("0500000US"), "geoid").alias("GEO_ID"), "population", "aqi_max").unionByName(other).write.option(
+    p = fx.panel(spark, sf_dir)
+    path, cols = _written(spark, "bulk"), ["year", "population", "aqi_max"]
+    levels = F.explode(F.array(F.lit("0500000US"), F.lit("0400000US"))).alias("level")  # rows of another level, too
+    p.select("geoid", *cols, levels).select(F.concat("level", "geoid").alias("GEO_ID"), *cols).write.option(
         "header", True).option("sep", "|").csv(path)
-    return L.read_bulk(spark, path, ["population", "aqi_max"])
+    return L.read_bulk(spark, path, cols)
 
 
 @register("header_row_json", with_views(finalize(

@@ -97,7 +97,7 @@ def q_zscore_within(spark, sf_dir):
     return W.zscore_within(p, ["year"], "outcome")
 
 
-DRIVER_FEATURES = [f"f{i}" for i in range(8)]
+DRIVER_FEATURES = [f"f{i}" for i in range(64)]
 
 
 def top_drivers(df, label, feats, k=6):
@@ -184,9 +184,9 @@ UNION ALL
 SELECT 'by_region' AS method, state_name AS key, count(*) AS n,
        NULL::DOUBLE AS mean_outcome, max(outcome) AS max_outcome FROM panel GROUP BY state_name
 UNION ALL
-SELECT 'early' AS method, CAST(year AS VARCHAR) AS key, count(*) AS n,
+SELECT 'by_entity' AS method, geoid AS key, count(*) AS n,
        avg(outcome) AS mean_outcome, NULL::DOUBLE AS max_outcome
-FROM panel WHERE year < 1998 GROUP BY year"""
+FROM panel GROUP BY geoid"""
 
 
 @register("union_loose", with_views(finalize(_UNION_SQL, ["method", "key"]), ["panel"]))
@@ -199,9 +199,9 @@ def q_union_loose(spark, sf_dir):
     b = p.groupBy(F.col("state_name").alias("key")).agg(
         F.count(F.lit(1)).alias("n"), F.max("outcome").alias("max_outcome")) \
         .withColumn("method", F.lit("by_region"))
-    c = p.where(F.col("year") < 1998).groupBy(F.col("year").cast("string").alias("key")).agg(
+    c = p.groupBy(F.col("geoid").alias("key")).agg(
         F.count(F.lit(1)).alias("n"), F.avg("outcome").alias("mean_outcome")) \
-        .withColumn("method", F.lit("early"))
+        .withColumn("method", F.lit("by_entity"))
     return RS.union_loose([RS.union_all([a, c]), b])
 
 

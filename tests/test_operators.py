@@ -133,10 +133,19 @@ def test_anova_known_values(spark):
     assert one.f_stat is None and one.p_value is None
 
 
-def test_f_tail_reference_values():
-    # published ANOVA rows of the reference: F 8.6341 → p 0.0033, F 3.6457 → p 0.0563
-    assert round(ST.f_sf(8.6341, 1, 2810), 4) == 0.0033
-    assert round(ST.f_sf(3.6457, 1, 2749), 4) == 0.0563
+def test_f_tail_known_values(spark):
+    # published ANOVA rows: F 8.6341 → p 0.0033, F 3.6457 → p 0.0563
+    rows = [(8.6341, 1.0, 2810.0, 0.0033), (3.6457, 1.0, 2749.0, 0.0563), (0.0, 3.0, 5.0, 1.0), (float("inf"), 3.0, 5.0, 0.0),
+            (1.0, 7.0, 7.0, 0.5), (2.0, 2.0, 10.0, (1 + 2 * 2 / 10) ** -5), (None, 1.0, 1.0, None),
+            (1.0, 0.0, 4.0, None), (3.0, 1.0, 1.0, 1 - 2 / math.pi * math.atan(3 ** 0.5))]
+    got = spark.createDataFrame(rows, "f double, a double, b double, want double").select(
+        "want", ST.f_tail(F.col("f"), F.col("a"), F.col("b")).alias("p")).collect()
+    assert all(r.p is None if r.want is None else abs(r.p - r.want) < 6e-5 for r in got)
+    exact = [(k, 4.0, 2.0 * k + 1) for k in range(1, 60, 7)]
+    for r in spark.createDataFrame([(float(f), a, b) for f, a, b in exact], "f double, a double, b double").select(
+            "*", ST.f_tail(F.col("f"), F.col("a"), F.col("b")).alias("p")).collect():
+        x, a = r.b / (r.b + r.a * r.f), r.b / 2
+        assert math.isclose(r.p, x ** a * (1 + a * (1 - x)), rel_tol=1e-11)  # closed form for 4 degrees
 
 
 def test_clean_table_helpers(spark):
