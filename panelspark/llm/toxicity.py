@@ -74,7 +74,7 @@ class Machine:
     def score(self, at: np.ndarray) -> float:
         return float(1 / (1 + np.exp(-np.clip(self.raw(at), -30, 30))))
 
-    def slots(self, found: set[int]) -> np.ndarray:
+    def slots(self, found) -> np.ndarray:
         get = self.slot.get
         return np.array(sorted(k for k in map(get, found) if k is not None), np.int64)
 
@@ -82,47 +82,47 @@ class Machine:
 def fit(rows: list[tuple[str, int]], seed: int = 11) -> Machine:
     """The machine on screened or on all terms, whichever has the smaller loss
     on one example in DECIDES when fitted on the others."""
+    sets = [np.array(sorted(terms(t)), np.int64) for t, _ in rows]
+    y = np.array([float(v) for _, v in rows])
     held = np.random.default_rng(seed).permutation(len(rows)) % DECIDES == 0
-    part, test = ([r for r, h in zip(rows, held) if h == k] for k in (False, True))
-    few = loss(machine(part, True, seed), test)
-    return machine(rows, loss(machine(part, False, seed), test) >= few, seed)
+    part, test = ([s for s, h in zip(sets, held) if h == k] for k in (False, True))
+    few, all_ = (loss(machine(part, y[~held], screened, seed), test, y[held]) for screened in (True, False))
+    return machine(sets, y, all_ >= few, seed)
 
 
-def loss(model: Machine, rows: list[tuple[str, int]]) -> float:
+def loss(model: Machine, sets: list[np.ndarray], y: np.ndarray) -> float:
     """Sum of the logistic losses."""
-    p = [model.score(model.slots(terms(t))) for t, _ in rows]
-    return -sum(float(np.log(s if v else 1 - s)) for s, (_, v) in zip(p, rows))
+    p = [model.score(model.slots(s.tolist())) for s in sets]
+    return -sum(float(np.log(q if v else 1 - q)) for q, v in zip(p, y))
 
 
-def machine(rows: list[tuple[str, int]], screened: bool, seed: int) -> Machine:
-    """AdaGrad on the logistic loss, examples in a fixed random order."""
-    sets, y = [terms(t) for t, _ in rows], np.array([float(v) for _, v in rows])
+def counted(sets: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+    """The terms of all sets, and how many sets have each."""
+    return np.unique(np.concatenate([np.zeros(0, np.int64), *sets]), return_counts=True)
+
+
+def machine(sets: list[np.ndarray], y: np.ndarray, screened: bool, seed: int) -> Machine:
+    """AdaGrad on the logistic loss, examples (sorted terms) in a fixed random order."""
     share = (y.sum() + 1) / (len(y) + 2)
     bias = float(np.log(share / (1 - share)))
-    counts: dict[int, int] = {}
-    for s in sets:
-        for b in s:
-            counts[b] = counts.get(b, 0) + 1
     rng = np.random.default_rng(seed)
     if not len(y) or y.min() == y.max():
         return Machine(bias, {}, np.zeros(0), np.zeros((0, RANK)))
-    toxic: dict[int, int] = {}
-    for s, v in zip(sets, y):
-        for b in s if v else ():
-            toxic[b] = toxic.get(b, 0) + 1
-    ones, zeros = y.sum(), len(y) - y.sum()
-
-    def tells(b: int, n: int) -> bool:
-        """Is the term kept; if screened: do the kinds have it differently, beyond chance?"""
-        if not screened:
-            return n >= ALL_DOCS
-        k, p = toxic.get(b, 0), n / len(y)
-        return n >= LEAST_DOCS and abs(k / ones - (n - k) / zeros) >= SIGMAS * (p * (1 - p) * (1 / ones + 1 / zeros)) ** 0.5
-
-    slot = {b: k for k, b in enumerate(sorted(b for b, n in counts.items() if tells(b, n)))}
-    shrink = np.full(len(slot), SHRINK) if screened else PRIOR / np.array([counts[b] for b in slot])
-    model = Machine(bias, slot, np.zeros(len(slot)), rng.normal(0, 0.01, (len(slot), RANK)))
-    at = [model.slots(s) for s in sets]
+    kept, n = counted(sets)
+    if screened:  # do the kinds have a term differently, beyond chance?
+        some, among = counted([s for s, v in zip(sets, y) if v])
+        toxic = np.zeros(len(kept))
+        toxic[np.searchsorted(kept, some)] = among
+        ones, zeros = y.sum(), len(y) - y.sum()
+        p = n / len(y)
+        apart = np.abs(toxic / ones - (n - toxic) / zeros)
+        keep = (n >= LEAST_DOCS) & (apart >= SIGMAS * (p * (1 - p) * (1 / ones + 1 / zeros)) ** 0.5)
+    else:
+        keep = n >= ALL_DOCS
+    kept, n = kept[keep], n[keep]
+    shrink = np.full(len(kept), SHRINK) if screened else PRIOR / n
+    model = Machine(bias, dict(zip(kept.tolist(), range(len(kept)))), np.zeros(len(kept)), rng.normal(0, 0.01, (len(kept), RANK)))
+    at = [np.searchsorted(kept, s[np.isin(s, kept, assume_unique=True)]) for s in sets]
     w, v = model.weight, model.vector
     gw, gv, gb = np.full(len(w), 1e-2), np.full(v.shape, 1e-2), 1e-2
     for _ in range(-(-STEPS // len(y))):
