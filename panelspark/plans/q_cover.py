@@ -7,6 +7,7 @@ from __future__ import annotations
 import uuid
 
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from panelspark.functions import rules as R
 from panelspark.operators import clean as C
@@ -15,7 +16,7 @@ from panelspark.plans import enrichment as en
 from panelspark.plans import fixtures as fx
 from panelspark.plans.catalog import register
 from panelspark.plans.fixture_sql import finalize, with_views
-from panelspark.session import read_table
+from panelspark.session import cut_lineage, read_table
 from panelspark.sources import landing as L
 
 
@@ -193,3 +194,79 @@ def q_sources_loaded(spark, sf_dir):
         out = out.unionByName(df.agg(F.lit(name).alias("source"), F.count(F.lit(1)).alias("n"),
                                      F.lit("loaded").alias("status")))
     return out
+
+
+_LANDED = ["geoid", "year", "outcome", "population", "total_population"]
+
+
+@register("zipped_csv", with_views(finalize(
+    "SELECT geoid, year, outcome, CAST(population AS BIGINT) AS population, total_population FROM panel",
+    ["geoid", "total_population"]), ["panel"]))
+def q_zipped_csv(spark, sf_dir):
+    """The panel in zip archives of several CSV members, read back member by member."""
+    folder = _written(spark, "zipped")
+    L.write_zipped_csv(fx.panel(spark, sf_dir).select(*_LANDED), folder, member_rows=1000)
+    schema = T.StructType([T.StructField(n, t) for n, t in (
+        ("total_population", T.StringType()), ("geoid", T.StringType()), ("year", T.IntegerType()),
+        ("outcome", T.DoubleType()), ("population", T.LongType()))])
+    return L.read_zipped_csv(spark, f"{folder}/*.zip", schema, path_col=None).select(*_LANDED)
+
+
+_PAGE = "CAST(geoid AS BIGINT) % 40"
+
+
+def _paged(spark, sf_dir, where: str) -> tuple[str, str]:
+    """(folder, schema) of the panel as pages: files that hold one JSON array each."""
+    rows = fx.panel(spark, sf_dir).select("geoid", "year", "population", F.expr(_PAGE).alias("page")).where(where)
+    record = F.struct(F.col("geoid").alias("GeoID"), F.col("year").alias("Year"), F.col("population").alias("Population"))
+    folder = _written(spark, "pages")
+    rows.groupBy("page").agg(F.to_json(F.collect_list(record)).alias("value")).repartition("page").write.partitionBy(
+        "page").text(folder)
+    return folder, "GeoID string, Year int, Population long, page long"
+
+
+@register("json_pages", with_views(finalize(
+    f"SELECT geoid, year, CAST(population AS BIGINT) AS population, {_PAGE} AS page FROM panel", ["geoid"]), ["panel"]))
+def q_json_pages(spark, sf_dir):
+    """A table landed as pages of JSON records, read as one."""
+    return L.read_json_pages(spark, *_paged(spark, sf_dir, "true"))
+
+
+@register("missing_pages", with_views(finalize(f"""
+SELECT page, count(*) AS lost FROM (SELECT {_PAGE} AS page FROM panel) WHERE page % 7 = 3 GROUP BY page"""), ["panel"]))
+def q_missing_pages(spark, sf_dir):
+    """Pages that were never landed, with the rows of the panel that they would have."""
+    lost = L.missing_pages(L.read_json_pages(spark, *_paged(spark, sf_dir, "page % 7 <> 3")))
+    rows = fx.panel(spark, sf_dir).select(F.expr(_PAGE).alias("page"))
+    return rows.join(lost, "page").groupBy("page").agg(F.count(F.lit(1)).alias("lost"))
+
+
+@register("stage_reuse", with_views(finalize("""
+SELECT 'built' AS step, year, count(*) AS n, true AS fresh FROM panel GROUP BY year UNION ALL
+SELECT 'reused', year, count(*), false FROM panel GROUP BY year UNION ALL
+SELECT 'input rewritten', year, 2 * count(*), true FROM panel GROUP BY year UNION ALL
+SELECT 'plan changed', year, 2 * count(*), true FROM panel WHERE year > 1995 GROUP BY year""", ["step", "fresh"]), ["panel"]))
+def q_stage_reuse(spark, sf_dir):
+    """A stage table is reused while its inputs and its plan are the same, and built anew
+    when either changes."""
+    root, source = _written(spark, "reuse"), _written(spark, "source")
+    p = fx.panel(spark, sf_dir).select("geoid", "year")
+    out, before = None, None
+
+    def step(name, build):
+        nonlocal out, before
+        got = L.materialise(spark, "by_year", build, root=root)
+        folder = got.inputFiles()[0].rsplit("/table-", 1)[1].split("/")[0]
+        rows = cut_lineage(got.withColumns({"step": F.lit(name), "fresh": F.lit(folder != before)}))
+        out, before = rows if out is None else out.unionByName(rows), folder
+
+    def build():
+        return spark.read.parquet(source).groupBy("year").agg(F.count(F.lit(1)).alias("n"))
+
+    p.write.parquet(source)
+    step("built", build)
+    step("reused", build)
+    p.unionByName(p).write.mode("overwrite").parquet(source)
+    step("input rewritten", build)
+    step("plan changed", lambda: build().where("year > 1995"))
+    return out.select("step", "year", "n", "fresh")

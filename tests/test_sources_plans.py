@@ -96,9 +96,39 @@ def test_read_years_sink_and_materialise(spark, tmpdir_fresh):
     root = os.path.join(tmpdir_fresh, "stages")
     a = L.materialise(spark, "places", build, root=root, partition_by="year")
     b = L.materialise(spark, "places", build, root=root, partition_by="year")
-    assert a.count() == b.count() == 2 and len(calls) == 1
-    L.materialise(spark, "places", build, root=root, force=True)
-    assert len(calls) == 2
+    assert a.count() == b.count() == 2 and a.inputFiles() == b.inputFiles()
+    c = L.materialise(spark, "places", build, root=root, force=True)
+    assert not set(c.inputFiles()) & set(a.inputFiles()) and a.count() == 2  # readers of the last one go on
+    _write(os.path.join(tmpdir_fresh, "in", "places_2020.csv"), "geoid,v\n01001,20\n01002,21\n")
+    df = L.read_years(spark, os.path.join(tmpdir_fresh, "in", "*.csv"), key="geoid")
+    assert L.materialise(spark, "places", build, root=root).count() == 4
+    rows = spark.createDataFrame([(1,)], "a int")  # rows of this session have no fingerprint
+    assert L.fingerprint(rows) is None and L.fingerprint(df) == L.fingerprint(df) != L.fingerprint(df.where("v > 1"))
+    one, two = (L.materialise(spark, "rows", lambda: rows, root=root).inputFiles() for _ in range(2))
+    assert one != two
+
+
+def test_zip_members_are_checked(spark, tmpdir_fresh):
+    """Stored and deflated members, and damage that the directory's size or checksum shows."""
+    schema = T.StructType([T.StructField("a", T.IntegerType()), T.StructField("b", T.StringType())])
+    text = "a,b\n" + "".join(f"{k},x{k}\n" for k in range(5000))
+    for name, method in (("stored", zipfile.ZIP_STORED), ("deflated", zipfile.ZIP_DEFLATED)):
+        buf = io.BytesIO()
+        with zipfile.ZipFile(buf, "w", method) as zf:
+            for k in range(3):
+                zf.writestr(f"m{k}.csv", text)
+        with open(os.path.join(tmpdir_fresh, f"{name}.zip"), "wb") as fh:
+            fh.write(buf.getvalue())
+        df = L.read_zipped_csv(spark, os.path.join(tmpdir_fresh, f"{name}.zip"), schema)
+        assert df.count() == 15000 and df.where("b = 'x7'").count() == 3
+        bad = bytearray(buf.getvalue())
+        bad[2000] ^= 1
+        with open(os.path.join(tmpdir_fresh, f"{name}.bad"), "wb") as fh:
+            fh.write(bytes(bad))
+        with pytest.raises(Exception, match="m0.csv"):
+            L.read_zipped_csv(spark, os.path.join(tmpdir_fresh, f"{name}.bad"), schema).collect()
+    assert L.missing_pages(spark.createDataFrame([(0,), (2,), (5,), (2,)], "page int")).count() == 3
+    assert L.missing_pages(spark.createDataFrame([], "page int")).count() == 0
 
 
 def test_load_or_skip_and_split_errors(spark):
