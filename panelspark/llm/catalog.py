@@ -9,6 +9,8 @@ from panelspark.llm import (
 from panelspark.session import read_table
 
 QUERIES, ORACLES = {}, {}
+#: The session's setting that holds the key of op7's pseudonyms.
+PSEUDONYM_KEY = "panelspark.pseudonyms.key"
 
 
 def query(name: str, oracle: str | None = None):
@@ -67,7 +69,8 @@ def op6_cube_mixing(spark, sf_dir):
 @query("op7_pseudonyms")
 def op7_pseudonyms(spark, sf_dir):
     """Every document with pseudonyms for its personal numbers."""
-    return pseudonyms.pseudonymise(read_table(spark, sf_dir, "documents"))
+    key = spark.conf.get(PSEUDONYM_KEY, "for the synthetic test tables only")
+    return pseudonyms.pseudonymise(read_table(spark, sf_dir, "documents"), key)
 
 
 @query("op9_warc", warc.ORACLE)

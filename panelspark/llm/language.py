@@ -37,7 +37,9 @@ from panelspark.llm.common import ready, stored
 #: many trigrams at most; weight of the level above; smoothing counts.
 BUCKETS, TEMPER, MOST_TRIGRAMS, ABOVE, SMOOTH = 1 << 14, 0.08, 400, 10.0, 0.5
 
-HIDDEN = re.compile(r"<(script|style|nav|footer)\b.*?</\1\s*>|<!--.*?-->|<[^>]*>", re.S | re.I)
+#: Elements whose content is not seen.
+OPENED = re.compile(r"<(script|style|nav|footer)\b", re.I)
+CLOSED = re.compile(r"</(script|style|nav|footer)\s*>", re.I)
 DECLARED = r"(?i)<html\b[^>]*?\blang\s*=\s*[\"']?([a-zA-Z]{2,8})"
 HOST = r"(?i)^[a-z][a-z0-9+.-]*://(?:[^/?#@]*@)?([^/?#:]+)"
 
@@ -51,8 +53,40 @@ def trigrams(data: bytes) -> np.ndarray:
     return ((key * np.uint32(2654435761)) >> np.uint32(18)).astype(np.int64)
 
 
+def without_markup(page: str) -> str:
+    """The page with tags, comments and unseen elements replaced by spaces, in one pass:
+    whatever is never closed is looked for once only."""
+    ends: dict[str, list[tuple[int, int]]] = {}
+    for m in CLOSED.finditer(page):
+        ends.setdefault(m[1].lower(), []).append(m.span())
+    for spans in ends.values():
+        spans.reverse()  # the next one last
+    out, at, comments = [], 0, True
+    while (k := page.find("<", at)) >= 0:
+        out.append(page[at:k])
+        end = -1
+        if m := OPENED.match(page, k):
+            left = ends.get(m[1].lower(), [])
+            while left and left[-1][0] < m.end():
+                left.pop()
+            end = left[-1][1] if left else -1
+        elif comments and page.startswith("<!--", k):
+            end = page.find("-->", k + 4) + 3
+            comments = end > 2
+            end = end if comments else -1
+        if end < 0:
+            end = page.find(">", k) + 1
+        if not end:  # no tag ends any more
+            out.append(page[k:])
+            return "".join(out)
+        out.append(" ")
+        at = end
+    out.append(page[at:])
+    return "".join(out)
+
+
 def visible(page: str) -> bytes:
-    return " ".join(entities.unescape(HIDDEN.sub(" ", page)).lower().split()).encode("utf-8", "replace")
+    return " ".join(entities.unescape(without_markup(page)).lower().split()).encode("utf-8", "replace")
 
 
 def trigram_counts(docs: DataFrame, text_col: str = "text", lang_col: str = "lang") -> DataFrame:

@@ -8,7 +8,8 @@ different values different ones, and whoever holds the key can invert it.
 DataFrame functions only: every value is computed inside its row.
 
 Kinds: card numbers (13 to 19 digits with a right check digit, which is
-made right again), phone numbers (the ten national digits), social security
+made right again), phone numbers (the ten national digits, area and exchange from 200
+on in North American ones), social security
 numbers, IPv4 addresses, dates (yyyy-mm-dd, dd/mm/yyyy, dd.mm.yyyy; years
 1800 to 2199, as days of one 400-year cycle) and the local part of mail
 addresses (each letter stays a letter of its case, each digit a digit).
@@ -26,7 +27,7 @@ from pyspark.sql import functions as F
 
 from panelspark.llm.common import ready
 
-KEY, TURNS = "panel-key-1", 8
+TURNS = 8
 
 MAIL = r"(?<![\w.+-])[A-Za-z0-9](?:[\w.+-]{0,63}+)(?<=\w)@(?:[A-Za-z0-9-]{1,63}\.){1,8}[A-Za-z]{2,24}"
 DATE = (r"(?<![\d./-])(?:(?:1[89]|2[01])\d\d-[01]\d-[0-3]\d|[0-3]\d/[01]\d/(?:1[89]|2[01])\d\d"
@@ -35,7 +36,7 @@ ADDRESS = r"(?<![\d.])\d{1,3}\.\d{1,3}\.\d{1,3}\.\d{1,3}(?!\d|\.\d)"
 PHONE = (r"(?<![\w+])\+\d{1,3}[ -]?\(?\d{3}\)?[ -]?\d{3}[ -]\d{4}(?!\d)|(?<![\w(])\(\d{3}\) ?\d{3}-\d{4}(?!\d)"
          r"|(?<![\w-])\d{3}-\d{3}-\d{4}(?![\w-])")
 SOCIAL = r"(?<![\w-])\d{3}-\d{2}-\d{4}(?![\w-])"
-CARD = r"(?<![\w-])(?:\d{4}[ -]\d{4}[ -]\d{4}[ -]\d{1,7}|\d{13,19})(?!\d|-\d)"
+CARD = r"(?<![\w-])(?:\d{4}[ -]\d{4}[ -]\d{4}[ -]\d{1,7}|\d{4}[ -]\d{6}[ -]\d{5}|\d{13,19})(?!\d|-\d)"
 KINDS = [("mail", MAIL), ("date", DATE), ("address", ADDRESS), ("phone", PHONE), ("social", SOCIAL), ("card", CARD)]
 #: Every number starts with one of these characters: at any other the search
 #: fails at once.  Mail addresses are only looked for in texts with an @.
@@ -122,10 +123,19 @@ def new_card(m: Column, key: str) -> Column:
 
 
 def new_phone(m: Column, key: str) -> Column:
+    """North American numbers (no country, or 1) have area and exchange from 200 on, and
+    stay so; of others it is known that the first of the ten digits is not 0."""
     def of(d):
-        last = permuted_text(F.substr(d, F.length(d) - 9, F.lit(10)), key, "phone")
-        made = F.concat(F.substr(d, F.lit(1), F.length(d) - 10), last)
-        return _let(made, lambda made: poured(m, made))
+        country, own = F.substr(d, F.lit(1), F.length(d) - 10), F.substr(d, F.length(d) - 9, F.lit(10))
+        area, exchange, line = (F.substr(own, F.lit(k), F.lit(n)).cast("int") for k, n in ((1, 3), (4, 3), (7, 4)))
+        first, rest = F.substr(own, F.lit(1), F.lit(1)).cast("int"), F.substr(own, F.lit(2), F.lit(9)).cast("long")
+        home = permuted_pair(area - 200, (exchange - 200) * 10_000 + line, 800, 8_000_000, key, "phone")
+        abroad = permuted_pair(first - 1, rest, 9, 10 ** 9, key, "phone abroad")
+        pour = lambda text: _let(F.concat(country, text), lambda made: poured(m, made))
+        north = country.isin("", "1")
+        return F.when(north & (area >= 200) & (exchange >= 200), F.transform(F.array(home), lambda p: pour(F.format_string(
+            "%03d%03d%04d", p["x"] + 200, F.floor(p["y"] / 10_000) + 200, p["y"] % 10_000)))[0]).when(
+            ~north & (first > 0), F.transform(F.array(abroad), lambda p: pour(F.format_string("%d%09d", p["x"] + 1, p["y"])))[0])
     return _let(digits(m), of)
 
 
@@ -187,8 +197,11 @@ def replaced(m: Column, key: str) -> Column:
     return out.otherwise(F.struct(F.lit(None).cast("string").alias("kind"), m.alias("value")))
 
 
-def pseudonymise(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", key: str = KEY) -> DataFrame:
-    """doc_id, the text with its pseudonyms, n_<kind> of each kind, n_found."""
+def pseudonymise(docs: DataFrame, key: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """doc_id, the text with its pseudonyms, n_<kind> of each kind, n_found.  Whoever has
+    the key can invert the pseudonyms: it is the caller's to keep."""
+    if not key:
+        raise ValueError("pseudonyms need a key")
     ready(docs)
     df = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).cast("string").alias("t"))
     has_mail, t = F.contains(F.col("t"), F.lit("@")), F.col("t")

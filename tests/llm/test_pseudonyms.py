@@ -36,8 +36,8 @@ def test_kinds_keep_their_format_and_validity(spark):
 def test_invalid_values_and_odd_rows_stay(spark, odd_docs, no_docs):
     same = ["", "4111111111111112", "2023-02-29", "31.02.2024", "300.1.1.1", "000-12-3456", "1.2.3.4.5", "v1.2.3", "a@b", "12345"]
     assert [r["text"] for r in one(spark, same)] == same
-    got = ps.pseudonymise(odd_docs).collect()
-    assert len(got) == odd_docs.count() and ps.pseudonymise(no_docs).collect() == []
+    got = ps.pseudonymise(odd_docs, "k").collect()
+    assert len(got) == odd_docs.count() and ps.pseudonymise(no_docs, "k").collect() == []
     for r in got:
         if r["doc_id"] == 8:
             assert r["text"] is None and r["n_found"] == 0
@@ -55,10 +55,39 @@ def test_permutations_are_one_to_one(spark):
 
 
 def test_no_python_in_the_plan(spark, odd_docs):
-    plan = ps.pseudonymise(odd_docs)._jdf.queryExecution().toString()
+    plan = ps.pseudonymise(odd_docs, "k")._jdf.queryExecution().toString()
     assert not re.search("Python|Pandas|Arrow", plan)
 
 
 @pytest.mark.parametrize("n", [40_000])
 def test_long_unbroken_text_is_linear(spark, n):
     assert one(spark, ["a" * n, "1" * n, "1." * n, "@" * n])[0]["text"] == "a" * n
+
+
+def feistel(x, y, a, b, key, kind, turns=8):
+    """The permutation written anew, value by value."""
+    import hashlib
+    for i in range(turns):
+        h = hashlib.sha256(f"{key}|{kind}|{i}|{y}".encode()).hexdigest()
+        x, y = y, (x + int(h[:14], 16)) % (a if i % 2 == 0 else b)
+    return x, y
+
+
+def test_phones_are_validated_and_permuted_among_valid_ones(spark):
+    texts = ["call 000-000-0000 or 212-155-0000", "call +1 (212) 555-0187 now", "call 212-555-0187 now", "ring +49 301 555 0187",
+             "ring +49 001 555 0187", "card 3782 822463 10005 here", "card 3782 822463 10006 here"]
+    got = [r["text"] for r in one(spark, texts)]
+    assert got[0] == texts[0] and got[4] == texts[4] and got[6] == texts[6]
+    x, y = feistel(12, 355 * 10_000 + 187, 800, 8_000_000, "k", "phone")
+    area, exchange, line = x + 200, y // 10_000 + 200, y % 10_000
+    assert got[1] == f"call +1 ({area:03d}) {exchange:03d}-{line:04d} now" and got[2] == f"call {area:03d}-{exchange:03d}-{line:04d} now"
+    x, y = feistel(2, 15550187, 9, 10 ** 9, "k", "phone abroad")
+    made = f"{x + 1}{y:09d}"
+    assert got[3] == f"ring +49 {made[:3]} {made[3:6]} {made[6:]}"
+    digits = [int(c) for c in got[5] if c.isdigit()]
+    assert got[5] != texts[5] and sum(d if k % 2 == 0 else (2 * d - 9 if d > 4 else 2 * d) for k, d in enumerate(digits[::-1])) % 10 == 0
+
+
+def test_a_key_is_required(odd_docs):
+    with pytest.raises(ValueError):
+        ps.pseudonymise(odd_docs, "")

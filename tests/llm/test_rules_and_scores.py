@@ -172,3 +172,39 @@ def test_trigram_counts_equal_brute_force(spark):
         for b in language.trigrams(t.encode()):
             want[k, int(b)] = want.get((k, int(b)), 0) + 1
     assert got == want
+
+
+def test_markup_is_removed_as_by_the_pattern_and_in_linear_time():
+    import random
+    import re
+    import time
+    pattern = re.compile(r"<(script|style|nav|footer)\b.*?</\1\s*>|<!--.*?-->|<[^>]*>", re.S | re.I)
+    rng = random.Random(2)
+    parts = ["<script>", "<SCRIPT x='1'>", "</script>", "</Script >", "<nav", ">", "<", "</nav>", "<!--", "-->", "<!-->", "text ", "é",
+             "<footer>", "</footer>", "<style>", "</style>", "<p>", "<scripts>", "--", "</script"]
+    for _ in range(3000):
+        page = "".join(rng.choice(parts) for _ in range(rng.randrange(1, 14)))
+        assert language.without_markup(page) == pattern.sub(" ", page), page
+    begun = time.time()
+    for piece in ("<script>", "<!--", "<", "<nav></script>", "<!-- <style>"):
+        language.without_markup(piece * 200_000)
+    assert time.time() - begun < 20
+
+
+def test_posterior_equals_brute_force(spark):
+    """Text evidence of a long page and of a short one, from the counts of all documents."""
+    docs = spark.createDataFrame([("the cat and the dog " * 30, "en"), ("le chat et le chien " * 30, "fr")], "text string, lang string")
+    langs, logp = language.text_model(language.trigram_counts(docs))
+    counts = {k: np.full(language.BUCKETS, language.SMOOTH) for k in ("en", "fr")}
+    for t, k in (("the cat and the dog " * 30, "en"), ("le chat et le chien " * 30, "fr")):
+        np.add.at(counts[k], language.trigrams(t.encode()), 1)
+    assert langs == ["en", "fr"]
+    for j, k in enumerate(langs):
+        assert np.allclose(logp[j], np.log(counts[k] / counts[k].sum()))
+    html = ["<p>the cat</p>", "<p>" + "le chat et " * 500 + "</p>", ""]
+    pages = spark.createDataFrame([(n, "http://a.b.c/x", h) for n, h in enumerate(html)], "page_id long, url string, html string")
+    got = {r["page_id"]: r["ll"] for r in language.page_evidence(pages, langs, logp, "page_id", "url", "html").collect()}
+    for n, h in enumerate(html):
+        at = language.trigrams(language.visible(h))
+        share = language.TEMPER * min(1, language.MOST_TRIGRAMS / max(1, len(at)))
+        assert np.allclose(got[n], [sum(logp[j][b] for b in at) * share for j in range(2)])
