@@ -144,9 +144,9 @@ def keys(word: str, at: int, lengths) -> Iterator[int]:
                 continue
             near, far = n // 2, n - n // 2
             if near <= m:
-                yield mixed(f"{tag}{at if tag == '<' else ''},{n},n,{equal},{edited[:near]}".encode()) - (1 << 63)
+                yield mixed(f"{tag}{n},n,{equal},{edited[:near]}".encode()) - (1 << 63)
             if far <= m:
-                yield mixed(f"{tag}{at if tag == '<' else ''},{n},f,{equal},{edited[m - far:]}".encode()) - (1 << 63)
+                yield mixed(f"{tag}{n},f,{equal},{edited[m - far:]}".encode()) - (1 << 63)
 
 
 def gram_keys(words: DataFrame, order: list[str], pivotal: bool) -> DataFrame:
@@ -176,6 +176,8 @@ def gram_keys(words: DataFrame, order: list[str], pivotal: bool) -> DataFrame:
 def near_words(words: DataFrame) -> DataFrame:
     """(word, n, other, other_n) of all words exactly one edit apart, in both directions."""
     order = gram_order(words)
+    parts = int(words.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    words = words.repartition(parts, "word")  # a word makes dozens of keys: small files are much work
     s = gram_keys(words, order, True).toDF("key", "s", "s_n", "s_last")
     r = gram_keys(words, order, False).toDF("key", "r", "r_n", "r_last")
     pairs = s.join(r, (s["key"] == r["key"]) & (F.col("s_last") <= F.col("r_last")) & (F.col("s") != F.col("r"))
