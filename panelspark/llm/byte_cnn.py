@@ -1,8 +1,9 @@
 """Quality by a byte-level convolutional network in numpy.
 
 A text's UTF-8 bytes are covered whole by chunks of 512 bytes that overlap
-by half.  Learned filters of eight bytes slide over them (a filter is a
-table of weights per place and byte, so a convolution is eight look-ups);
+by half.  Learned filters of eight bytes slide over them byte by byte (a filter
+is a table of weights per place and byte, so a convolution is eight look-ups),
+a bounded number of half-chunks at a time, however long the text;
 each filter's greatest response in a chunk is kept, and the chunks' maxima
 are combined, as greatest and as mean over the chunks, by a logistic layer
 into one probability.  The network is fitted by gradient descent (through
@@ -27,13 +28,13 @@ from pyspark.sql import types as T
 from panelspark.llm.common import ready
 from panelspark.llm.labelled import fold, sample
 
-#: The training sample's bounds; half a chunk, filter width, stride, filters;
+#: The training sample's bounds; half a chunk, filter width, filters;
 #: documents seen in training (with repeats), batch, step size, shrinkage.
 TRAIN_ROWS, TRAIN_BYTES = 3000, 32768
-HALF, WIDTH, STRIDE, FILTERS = 256, 8, 2, 16
+HALF, WIDTH, FILTERS = 256, 8, 16
 SEEN, BATCH, STEP, SHRINK, THRESHOLD = 24_000, 32, 0.02, 1e-4, 0.3
-#: Bytes per block of texts scored at once.
-BLOCK_BYTES = 512 << 10
+#: Bytes per block of texts scored at once, half-chunks of them convolved at once.
+BLOCK_BYTES, SLICE = 512 << 10, 1024
 
 
 def laid_out(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
@@ -49,18 +50,26 @@ class Network:
     def __init__(self, table: np.ndarray, bias: np.ndarray, head: np.ndarray, offset: float):
         self.table, self.bias, self.head, self.offset = table, bias, head, offset
 
-    def responses(self, flat: np.ndarray, starts: np.ndarray) -> np.ndarray:
-        """(half-chunks, places, filters); a text's last places, whose bytes
-        earlier places cover, are left out as they reach into the next text."""
-        n = int(starts[-1])
-        places = n * HALF // STRIDE
-        out = self.table[0][flat[0:n * HALF:STRIDE]]
+    def responses(self, flat: np.ndarray, last: np.ndarray) -> np.ndarray:
+        """(half-chunks, places, filters) of whole half-chunks and the bytes that follow them;
+        ``last`` marks the last one of a text, whose last places, which reach into the next
+        text, are left out."""
+        n = len(last)
+        out = self.table[0][flat[:n * HALF]]
         for k in range(1, WIDTH):
-            out += self.table[k][flat[k:n * HALF + k:STRIDE]]
-        out = out.reshape(n, places // n, -1)
-        out[starts[1:] - 1, 1 - WIDTH // STRIDE:] = -np.inf
+            out += self.table[k][flat[k:n * HALF + k]]
+        out = out.reshape(n, HALF, -1)
+        out[last, 1 - WIDTH:] = -np.inf
         return out
 
+    def maxima(self, flat: np.ndarray, starts: np.ndarray) -> np.ndarray:
+        """Greatest response of each filter in each half-chunk, a slice at a time."""
+        last = np.zeros(int(starts[-1]), bool)
+        last[starts[1:] - 1] = True
+        return np.concatenate([
+            self.responses(flat[at * HALF:(at + SLICE) * HALF + WIDTH], last[at:at + SLICE]).max(1)
+            for at in range(0, len(last), SLICE)])
+
     def pooled(self, halves: np.ndarray, starts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Maxima of the overlapping chunks (two half-chunks each; the last
         half of a text stands alone), and the features of the texts."""
@@ -77,7 +86,7 @@ class Network:
         if not texts:
             return np.zeros(0)
         flat, starts = laid_out(texts)
-        halves = self.responses(flat, starts).max(1)
+        halves = self.maxima(flat, starts)
         return 1 / (1 + np.exp(-np.clip(self.pooled(halves, starts)[1] @ self.head + self.offset, -30, 30)))
 
 
@@ -107,7 +116,9 @@ def fit(rows: list[tuple[bytes, int]], seed: int = 5) -> Network:
             pick = order[b:b + BATCH]
             flat, starts = laid_out([rows[i][0] for i in pick])
             n = int(starts[-1])
-            all_ = net.responses(flat, starts)
+            last = np.zeros(n, bool)
+            last[starts[1:] - 1] = True
+            all_ = net.responses(flat, last)
             where = all_.argmax(1)
             halves = np.take_along_axis(all_, where[:, None], 1)[:, 0]
             chunk, feats = net.pooled(halves, starts)
@@ -123,13 +134,11 @@ def fit(rows: list[tuple[bytes, int]], seed: int = 5) -> Network:
                 first[starts[d] + top[s].argmax(0), np.arange(FILTERS)] = True
             dchunk = (dchunk + np.where(first, dfeat[text, :FILTERS], 0)) * (chunk > 0)
             # a chunk's maximum stands in its first half or in the following one
-            end = np.zeros(n, bool)
-            end[starts[1:] - 1] = True
-            second = ~end[:, None] & (halves[np.minimum(np.arange(1, n + 1), n - 1)] > halves)
+            second = ~last[:, None] & (halves[np.minimum(np.arange(1, n + 1), n - 1)] > halves)
             dhalf = np.where(second, 0, dchunk)
             dhalf[1:] += np.where(second, dchunk, 0)[:-1]
             h, f = np.nonzero(dhalf)
-            at = h * HALF + where[h, f] * STRIDE
+            at = h * HALF + where[h, f]
             dtable = np.zeros_like(net.table)
             for k in range(WIDTH):
                 np.add.at(dtable[k], (flat[at + k], f), dhalf[h, f])

@@ -208,3 +208,35 @@ def test_posterior_equals_brute_force(spark):
         at = language.trigrams(language.visible(h))
         share = language.TEMPER * min(1, language.MOST_TRIGRAMS / max(1, len(at)))
         assert np.allclose(got[n], [sum(logp[j][b] for b in at) * share for j in range(2)])
+
+
+def test_network_equals_a_plain_convolution(monkeypatch):
+    """Every filter at every byte of every chunk, written as loops; slices do not matter."""
+    rng = np.random.default_rng(9)
+    net = byte_cnn.Network(rng.normal(0, 1, (8, 256, 16)).astype(np.float32), rng.normal(0, 1, 16).astype(np.float32),
+                           rng.normal(0, 0.05, 32).astype(np.float32), 0.1)
+    texts = [b"", b"abc", bytes(rng.integers(1, 255, 700).astype(np.uint8)), b"xyz" * 300]
+
+    def plain(text):
+        data = text.ljust(max(1, -(-len(text) // 256)) * 256, b"\0")
+        chunks = []
+        for at in range(0, len(data), 256):
+            places = range(at, min(at + 512, len(data) - 7))
+            r = [[sum(net.table[k, data[p + k], f] for k in range(8)) for f in range(16)] for p in places]
+            chunks.append(np.maximum(np.max(r, 0) + net.bias, 0))
+        feats = np.concatenate([np.max(chunks, 0), np.mean(chunks, 0)])
+        return 1 / (1 + np.exp(-(feats @ net.head + 0.1)))
+    want = [plain(t) for t in texts]
+    assert np.allclose(net.scores(texts), want, atol=1e-5)
+    monkeypatch.setattr(byte_cnn, "SLICE", 2)
+    assert np.allclose(net.scores(texts), want, atol=1e-5)
+
+
+def test_machine_equals_a_plain_sum_over_pairs():
+    rng = np.random.default_rng(10)
+    model = toxicity.Machine(0.3, {b: k for k, b in enumerate(range(0, 50, 2))}, rng.normal(0, 1, 25), rng.normal(0, 1, (25, 6)))
+    found = {0, 4, 7, 20, 48, 99}
+    at = [model.slot[b] for b in sorted(found) if b in model.slot]
+    want = 0.3 + sum(model.weight[i] for i in at) + sum(
+        model.vector[i] @ model.vector[j] for n, i in enumerate(at) for j in at[:n])
+    assert abs(model.raw(model.slots(found)) - want) < 1e-9
