@@ -8,18 +8,19 @@ infinite weight; then the mean of the zero-distance neighbours is used.  A
 period with fewer than ``k`` observed rows uses all of them; a period with
 none leaves its missing rows missing.
 
-Execution is exact without an all-pairs join.  Observed rows are bucketed
-into lat/lon cells; each missing row probes its own cell and the 8
-neighbours (an equi-join on (period, cell)), keeps its ``k`` nearest
-candidates (``row_number() <= k`` is planned as a window group limit, so
-each task trims to ``k`` rows per missing point before the shuffle), and
-accepts the answer only when the k-th distance is within the radius the
-3×3 block is guaranteed to cover.  Rows not yet proven exact move to the
-next level, whose cells are twice as large; the coarsest level covers the
-globe.  Dense regions finish at fine levels with few candidates, sparse
-regions at coarse levels, so candidate pairs per missing row stay near
-``k`` instead of the period's size.  Each level's remainder is cut from
-the lineage with a reliable checkpoint.
+Execution is exact without an all-pairs join.  Observed rows are counted in
+lat/lon cells of every level at once, each level's cells twice as large as the
+last one's, and the counts of every 3×3 block are added up (a pyramid of counts).
+They choose each missing row's level before any candidate is joined: the finest
+one whose block around the row holds enough observed rows that the ``k`` nearest
+are very likely among them, and not many more.  The row then meets the rows of
+that block (an equi-join on (period, level, cell)), keeps its ``k`` nearest
+(``row_number() <= k`` is planned as a window group limit, so each task trims to
+``k`` rows per missing point before the shuffle), and the answer is accepted when
+the k-th distance is within the radius that the block is guaranteed to cover.  The
+few rows for which it is not go one level up; the coarsest level covers the globe.
+The levels start fine enough that no cell holds a large share of the rows, unless
+they stand at one place, where no more than ``k`` of them count.
 """
 
 from __future__ import annotations
@@ -67,27 +68,37 @@ def _guarantee(lat: Column, lon: Column, size: float) -> Column:
     return F.least(dlat, F.asin(F.cos(F.radians(lat)) * F.sin(dlon)))
 
 
+def _leveled(lat: Column, lon: Column, sizes: Sequence[float]) -> Column:
+    """Array of the (ci, cj) cells of a place on every level."""
+    return F.array(*[F.struct(ci.alias("ci"), cj.alias("cj")) for ci, cj in (_cells(lat, lon, s) for s in sizes)])
+
+
+def _around(sizes: Sequence[float]) -> Column:
+    """The 3×3 block of the cell (ci, cj) of level ``lvl``, each cell once; columns wrap
+    round the globe."""
+    ncols = F.array(*[F.lit(_grid(s)[1]) for s in sizes])[F.col("lvl")]
+    block = F.array(*[F.struct((F.col("ci") + a).alias("ci"), F.pmod(F.col("cj") + b, ncols).cast("int").alias("cj"))
+                      for a in (-1, 0, 1) for b in (-1, 0, 1)])
+    return F.explode(F.array_distinct(block)).alias("c")
+
+
 def knn_candidates(missing: DataFrame, observed: DataFrame, cols: Sequence[str], k: int,
-                   size: float, period: str) -> DataFrame:
-    """Top-k observed candidates for every missing row from its 3×3 block
-    at one cell size; returns one row per missing id with the weighted
+                   sizes: Sequence[float], period: str) -> DataFrame:
+    """Top-k observed candidates for every missing row (period, _mid, lat, lon, lvl) from
+    its 3×3 block on its level; returns one row per missing id with the weighted
     values, the candidate count, the k-th distance and the guarantee."""
-    ci, cj = _cells(F.col("lat"), F.col("lon"), size)
-    _, ncols = _grid(size)
     tie = F.col("_key") if "_key" in observed.columns else F.col("_oid")
+    cells = F.posexplode(_leveled(F.col("lat"), F.col("lon"), sizes)).alias("lvl", "c")
+    probe = missing.select(period, "_mid", "lat", "lon", "lvl", _leveled(F.col("lat"), F.col("lon"), sizes)[
+        F.col("lvl")].alias("c")).select(period, "_mid", "lat", "lon", "lvl", "c.ci", "c.cj")
+    probe = probe.select(period, "_mid", "lat", "lon", "lvl", _around(sizes)).select(
+        period, "_mid", "lat", "lon", "lvl", "c.ci", "c.cj")
     obs = observed.select(period, F.col("_oid"), tie.alias("_tie"), F.col("lat").alias("olat"),
-                          F.col("lon").alias("olon"), *[F.col(c).alias(f"_v_{c}") for c in cols],
-                          ci.alias("ci"), cj.alias("cj"))
-    offsets = F.array(*[F.struct(F.lit(a).alias("di"), F.lit(b).alias("dj"))
-                        for a in (-1, 0, 1) for b in (-1, 0, 1)])
-    probe = (missing.select(period, "_mid", "lat", "lon", ci.alias("mci"), cj.alias("mcj"),
-                            F.explode(offsets).alias("o"))
-                    .select(period, "_mid", "lat", "lon",
-                            (F.col("mci") + F.col("o.di")).alias("ci"),
-                            F.pmod(F.col("mcj") + F.col("o.dj"), F.lit(ncols)).alias("cj")))
-    if ncols < 3:  # wrapped neighbour columns coincide only on the coarsest grids
-        probe = probe.dropDuplicates([period, "_mid", "ci", "cj"])
-    pairs = probe.join(obs, [period, "ci", "cj"])
+                          F.col("lon").alias("olon"), *[F.col(c).alias(f"_v_{c}") for c in cols], cells)
+    obs = obs.withColumns({"ci": F.col("c.ci"), "cj": F.col("c.cj")}).drop("c")
+    on = [period, "lvl", "ci", "cj"]
+    obs = obs.join(probe.select(*on).distinct(), on, "left_semi")  # only cells that are asked for
+    pairs = probe.join(obs, on)
     pairs = pairs.withColumn("d", haversine(F.col("lat"), F.col("lon"), F.col("olat"),
                                             F.col("olon")))
     w = Window.partitionBy("_mid").orderBy("d", "_tie", "_oid")
@@ -99,12 +110,11 @@ def knn_candidates(missing: DataFrame, observed: DataFrame, cols: Sequence[str],
     for c in cols:
         aggs.append(F.sum(F.when(~zero, F.col(f"_v_{c}") / F.col("d"))).alias(f"_ws_{c}"))
         aggs.append(F.avg(F.when(zero, F.col(f"_v_{c}"))).alias(f"_z_{c}"))
-    res = top.groupBy("_mid", "lat", "lon").agg(*aggs)
-    out = res.select("_mid", "_n", "_kth", _guarantee(F.col("lat"), F.col("lon"), size)
-                     .alias("_guard"),
-                     *[F.when(F.col("_nz") > 0, F.col(f"_z_{c}"))
-                        .otherwise(F.col(f"_ws_{c}") / F.col("_wsum")).alias(c) for c in cols])
-    return out
+    res = top.groupBy("_mid", "lat", "lon", "lvl").agg(*aggs)
+    guard = F.array(*[_guarantee(F.col("lat"), F.col("lon"), s) for s in sizes])[F.col("lvl")]
+    return res.select("_mid", "_n", "_kth", guard.alias("_guard"),
+                      *[F.when(F.col("_nz") > 0, F.col(f"_z_{c}"))
+                         .otherwise(F.col(f"_ws_{c}") / F.col("_wsum")).alias(c) for c in cols])
 
 
 def _start_cell(observed: DataFrame, k: int, period: str) -> float:
@@ -122,25 +132,33 @@ def _start_cell(observed: DataFrame, k: int, period: str) -> float:
     return float(min(180.0, max(0.001, math.sqrt(k / (math.pi * dens)) / 8)))
 
 
-def _useful_levels(observed: DataFrame, sizes: list[float], k: int, period: str) -> list[float]:
-    """Drop levels where no 3×3 block can hold ``k`` observed rows (no row
-    could be accepted there).  One aggregate over all levels at once: each
-    observed row is counted in its cell at every level; the driver gets one
-    number per level."""
-    lv = F.explode(F.array(*[F.struct(F.lit(i).alias("lvl"), c[0].alias("ci"), c[1].alias("cj"))
-                             for i, c in enumerate(_cells(F.col("lat"), F.col("lon"), s)
-                                                   for s in sizes)]))
-    counts = (observed.select(period, lv.alias("c"))
-                      .groupBy(period, "c.lvl", "c.ci", "c.cj").agg(F.count(F.lit(1)).alias("n"))
-                      .groupBy("lvl").agg(F.max("n").alias("m")).collect())
-    best = {r["lvl"]: r["m"] for r in counts}
-    keep = [s for i, s in enumerate(sizes) if 9 * best.get(i, 0) >= k or i == len(sizes) - 1]
-    return keep
+#: A block with this many times ``k`` rows very likely holds the k nearest within its
+#: guaranteed radius; halvings of the first cell size for places denser than others.
+ENOUGH, FINER = 4, 6
+
+
+def _counts(observed: DataFrame, sizes: Sequence[float], period: str) -> DataFrame:
+    """(period, lvl, ci, cj, n): observed rows in the cells of every level."""
+    cells = F.posexplode(_leveled(F.col("lat"), F.col("lon"), sizes)).alias("lvl", "c")
+    return observed.select(period, cells).groupBy(period, "lvl", F.col("c.ci").alias("ci"), F.col("c.cj").alias("cj")).agg(
+        F.count(F.lit(1)).alias("n"))
+
+
+def _at_levels(todo: DataFrame, counts: DataFrame, sizes: Sequence[float], k: int, period: str) -> DataFrame:
+    """``todo`` with ``lvl``, the finest level whose block around the row has enough
+    observed rows, or the coarsest."""
+    blocks = counts.select(period, "lvl", "n", _around(sizes)).groupBy(
+        period, "lvl", F.col("c.ci").alias("ci"), F.col("c.cj").alias("cj")).agg(F.sum("n").alias("n")).where(
+        F.col("n") >= ENOUGH * k)
+    cells = F.posexplode(_leveled(F.col("lat"), F.col("lon"), sizes)).alias("lvl", "c")
+    asked = todo.select(period, "_mid", cells).select(period, "_mid", "lvl", "c.ci", "c.cj")
+    first = asked.join(blocks, [period, "lvl", "ci", "cj"]).groupBy("_mid").agg(F.min("lvl").alias("lvl"))
+    return todo.join(first, "_mid", "left").withColumn("lvl", F.coalesce("lvl", F.lit(len(sizes) - 1)))
 
 
 def knn_impute(df: DataFrame, cols: Sequence[str], k: int = 10, period: str = "year",
                key: str = "geoid", lat: str = "lat", lon: str = "lon",
-               min_cell: float | None = None, checkpoint: bool = True) -> DataFrame:
+               min_cell: float | None = None) -> DataFrame:
     """Fill rows missing every column of ``cols`` from their ``k`` nearest
     observed rows of the same period (see module doc).  Adds a boolean
     ``imputed`` column."""
@@ -167,30 +185,25 @@ def knn_impute(df: DataFrame, cols: Sequence[str], k: int = 10, period: str = "y
                 .select(period, F.col("_rid").alias("_mid"), F.col(lat).alias("lat"),
                         F.col(lon).alias("lon")))
     if min_cell is None:
-        min_cell = _start_cell(observed, k, period)
+        min_cell = _start_cell(observed, k, period) / 2 ** FINER
     sizes = []
     s = min_cell
     while s < 180.0:
         sizes.append(s)
         s *= 2
     sizes.append(180.0)
-    sizes = _useful_levels(observed, sizes, k, period)
+    observed, last = cut_lineage(observed), len(sizes) - 1
+    todo = cut_lineage(_at_levels(todo, _counts(observed, sizes, period), sizes, k, period))
     done = []
-    for i, size in enumerate(sizes):
-        last = i == len(sizes) - 1
-        cand = knn_candidates(todo, observed, cols, k, size, period)
-        if last:
-            done.append(cand.select("_mid", *cols))
-            break
+    while True:
+        cand = cut_lineage(knn_candidates(todo, observed, cols, k, sizes, period))
+        rows = todo.select("_mid", "lvl")
         ok = (F.col("_n") >= k) & (F.col("_kth") <= F.col("_guard"))
-        if checkpoint:
-            cand = cut_lineage(cand)
-        done.append(cand.where(ok).select("_mid", *cols))
-        todo = todo.join(cand.where(ok).select("_mid"), "_mid", "left_anti")
-        if checkpoint:
-            todo = cut_lineage(todo)
-            if todo.isEmpty():
-                break
+        done.append(cand.join(rows, "_mid").where(ok | (F.col("lvl") == last)).select("_mid", *cols))
+        todo = cut_lineage(todo.where(F.col("lvl") < last).join(cand.where(ok).select("_mid"), "_mid", "left_anti")
+                           .withColumn("lvl", F.col("lvl") + 1))
+        if todo.isEmpty():
+            break
     filled = done[0]
     for d in done[1:]:
         filled = filled.unionByName(d)

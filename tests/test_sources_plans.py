@@ -186,6 +186,6 @@ def test_pushdown_and_pruning(spark):
 def test_knn_uses_window_group_limit(spark):
     from panelspark.operators.knn import knn_candidates
     obs = spark.createDataFrame([(2019, "a", 1.0, 1.0, 5.0)], "year int, _oid string, lat double, lon double, v double")
-    miss = spark.createDataFrame([(2019, "b", 1.1, 1.0)], "year int, _mid string, lat double, lon double")
-    plan = _plan(knn_candidates(miss, obs, ["v"], 3, 1.0, "year"))
+    miss = spark.createDataFrame([(2019, "b", 1.1, 1.0, 0)], "year int, _mid string, lat double, lon double, lvl int")
+    plan = _plan(knn_candidates(miss, obs, ["v"], 3, [1.0, 180.0], "year"))
     assert "WindowGroupLimit" in plan
