@@ -289,11 +289,11 @@ def top_k(df: DataFrame, id_col: str = "vec_id", vector_col: str = "embedding",
 
 
 ORACLE = r"""
-WITH v AS (SELECT row_number() OVER () AS r, vec_id, list_transform(embedding, c -> CAST(floor(256 * CAST(c AS DOUBLE)) AS BIGINT)) AS x
+WITH v AS (SELECT row_number() OVER () AS r, vec_id, list_transform(embedding, lambda c: CAST(floor(256 * CAST(c AS DOUBLE)) AS BIGINT)) AS x
            FROM embeddings WHERE embedding IS NOT NULL
-             AND len(list_filter(embedding, c -> c IS NULL OR NOT isfinite(c))) = 0),
+             AND len(list_filter(embedding, lambda c: c IS NULL OR NOT isfinite(c))) = 0),
 s AS (SELECT q.r, q.vec_id AS query_id, d.vec_id,
-             CAST(list_sum(list_transform(list_zip(q.x, d.x), p -> coalesce(p[1], 0) * coalesce(p[2], 0))) AS BIGINT) AS score
+             CAST(list_sum(list_transform(list_zip(q.x, d.x), lambda p: coalesce(p[1], 0) * coalesce(p[2], 0))) AS BIGINT) AS score
       FROM v q JOIN v d ON q.r <> d.r WHERE q.vec_id % 50 = 0),
 k AS (SELECT *, CAST(row_number() OVER (PARTITION BY r ORDER BY score DESC, vec_id NULLS LAST) AS INTEGER) AS rank FROM s)
 SELECT query_id, rank, vec_id, score FROM k WHERE rank <= 5
