@@ -17,7 +17,7 @@ from pyspark.ml.feature import PCA, VectorAssembler
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from panelspark.session import cut_lineage
+from panelspark.session import cut_lineage, ship_package
 
 
 def latest(df: DataFrame, period: str = "year") -> DataFrame:
@@ -80,10 +80,11 @@ def kmeans_many(rows: DataFrame, feats: Sequence[str], ks: Sequence[int], restar
     if not len(sample):
         return {k: (np.zeros((k, len(feats))), 0.0) for k in ks}
     runs = [(k, _first_centres(sample, k, np.random.default_rng([seed, k, r]))) for k in ks for r in range(restarts)]
+    packed = _packed(rows, feats)
     cost, moving = [float("inf")] * len(runs), list(range(len(runs)))
     still = STILL * max(float(sample.var(0).sum()), 1e-300)
     for _ in range(max_iter):
-        sums = _lloyd(rows, feats, [runs[i][1] for i in moving])
+        sums = _lloyd(packed, len(feats), [runs[i][1] for i in moving])
         left = []
         for i, (n, s, q) in zip(moving, sums):
             k, old = runs[i]
@@ -125,31 +126,66 @@ def _matrices(batches: Iterator[pa.RecordBatch], column: int, dims: int, wide: i
             yield part, part.column(column).flatten().to_numpy(zero_copy_only=False).reshape(-1, dims)
 
 
-def _distances(x: np.ndarray, centres: np.ndarray) -> np.ndarray:
-    return np.maximum((x * x).sum(1)[:, None] - 2 * x @ centres.T + (centres * centres).sum(1), 0.0)
+def _stretches(sizes: Sequence[int]) -> list[tuple[int, int]]:
+    """(from, to) of the stretches of equal sizes."""
+    ends = [i for i in range(1, len(sizes) + 1) if i == len(sizes) or sizes[i] != sizes[i - 1]]
+    return list(zip([0, *ends], ends))
 
 
-def _lloyd(rows: DataFrame, feats: Sequence[str], runs: list[np.ndarray]) -> list:
+#: Rows of a packed block; entries of its distance table that stay near the processor.
+BLOCK, NEAR_TABLE = 4096, 250_000
+
+
+def _packed(rows: DataFrame, feats: Sequence[str]) -> DataFrame:
+    """(x): the features as blocks of doubles, stored, so that a pass reads bytes instead of rows."""
+    dims = len(feats)
+
+    def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for _, x in _matrices(batches, 0, dims, TABLE // BLOCK):
+            if len(x):
+                yield pa.record_batch([pa.array([np.ascontiguousarray(x, dtype=float).tobytes()], pa.binary())], names=["x"])
+
+    spark = rows.sparkSession
+    ship_package(spark)
+    x = rows.select(_features(feats).alias("x"))
+    tasks = spark.sparkContext.defaultParallelism
+    if x.rdd.getNumPartitions() < tasks:
+        x = x.repartition(tasks)
+    return cut_lineage(x.mapInArrow(pack, "x binary"))
+
+
+def _lloyd(packed: DataFrame, dims: int, runs: list[np.ndarray]) -> list:
     """(members, sums, cost) of every run's clusters, in one pass."""
-    dims, sizes = len(feats), [len(c) for c in runs]
+    sizes = [len(c) for c in runs]
     starts = np.cumsum([0, *sizes])
-    shipped = rows.sparkSession.sparkContext.broadcast(np.vstack(runs))
+    shipped = packed.sparkSession.sparkContext.broadcast(np.vstack(runs))
+    alike = [(starts[i], starts[j], i, j) for i, j in _stretches(sizes)]  # runs of one size side by side
 
     def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         centres = shipped.value
+        square, turned = (centres * centres).sum(1), np.ascontiguousarray(-2 * centres.T)
         total, cost = np.zeros((len(centres), dims + 1)), np.zeros(len(sizes))
-        for _, x in _matrices(batches, 0, dims, len(centres)):
-            far = _distances(x, centres)
-            mine = np.zeros(far.shape)
-            for r, (a, b) in enumerate(zip(starts, starts[1:])):
-                at = far[:, a:b].argmin(1)
-                mine[np.arange(len(x)), a + at] = 1.0
-                cost[r] += far[np.arange(len(x)), a + at].sum()
-            total += mine.T @ np.hstack([x, np.ones((len(x), 1))])
+        step = max(1, NEAR_TABLE // max(1, len(centres)))
+        for batch in batches:
+            for block in batch.column(0):
+                whole = np.frombuffer(block.as_buffer(), float).reshape(-1, dims)
+                for at in range(0, len(whole), step):
+                    x = whole[at:at + step]
+                    far = x @ turned
+                    far += (x * x).sum(1)[:, None]
+                    far += square
+                    np.maximum(far, 0.0, out=far)
+                    mine = np.zeros(far.shape)
+                    for a, b, i, j in alike:
+                        table = far[:, a:b].reshape(len(x), j - i, -1)
+                        nearest = table.argmin(2)
+                        cost[i:j] += np.take_along_axis(table, nearest[:, :, None], 2)[:, :, 0].sum(0)
+                        mine[np.arange(len(x))[:, None], a + nearest + np.arange(j - i) * sizes[i]] = 1.0
+                    total += mine.T @ np.hstack([x, np.ones((len(x), 1))])
         flat = np.concatenate([total.ravel(), cost])
         yield pa.record_batch([pa.array(np.arange(len(flat)), pa.int32()), pa.array(flat)], names=["cell", "v"])
 
-    got = rows.select(_features(feats).alias("x")).mapInArrow(add, "cell int, v double").groupBy("cell").agg(
+    got = packed.mapInArrow(add, "cell int, v double").groupBy("cell").agg(
         F.sum("v").alias("v")).collect()  # as many rows as the centres have coordinates
     flat = np.zeros(starts[-1] * (dims + 1) + len(sizes))
     for r in got:
@@ -248,22 +284,78 @@ def search_scores(rows: DataFrame, labels: DataFrame, feats: Sequence[str], key:
     ssb = F.col("ssb") - F.col("off") / F.col("rows")  # the rows' own mean, noise left out
     inner = F.col("ssw") / F.nullif(F.col("rows") - F.col("k"), F.lit(0))
     ch = spread.select(setting, F.when(F.col("k") >= 2, ssb / (F.col("k") - 1) / F.nullif(inner, F.lit(0.0))).alias("calinski_harabasz"))
-    table = sums.groupBy(setting).agg(F.collect_list(F.struct(F.col("_l").alias("l"), "n", "s", "q")).alias("_c"))
-    if sums.count() * (size + 3) * 8 <= BROADCAST_SUMS:
-        table = F.broadcast(table)
-    far = lambda x, c: F.greatest(F.lit(0.0), (  # noqa: E731  sum of squared distances to the members
-        c["n"] * F.aggregate(x, F.lit(0.0), lambda t, v: t + v * v) + c["q"]
-        - 2 * F.aggregate(F.zip_with(x, c["s"], lambda u, v: u * v), F.lit(0.0), lambda t, v: t + v)))
-    near = each.join(table, setting).select(setting, "_l", F.transform("_c", lambda c: F.struct(
-        c["l"].alias("l"), c["n"].alias("n"), far(F.col("_x"), c).alias("d"))).alias("_d"))
-    own = F.filter("_d", lambda c: c["l"] == F.col("_l"))[0]
-    others = F.transform(F.filter("_d", lambda c: c["l"] != F.col("_l")), lambda c: c["d"] / c["n"])
-    near = near.select(setting, own["n"].alias("n"), (own["d"] / F.nullif(own["n"] - 1, F.lit(0))).alias("a"),
-                       F.array_min(others).alias("b"))
-    score = F.when(F.col("b").isNull(), F.lit(None).cast("double")).when(
-        (F.col("n") <= 1) | (F.greatest("a", "b") == 0), F.lit(0.0)).otherwise(
-        (F.col("b") - F.col("a")) / F.greatest("a", "b"))
-    return near.groupBy(setting).agg(F.avg(score).alias("silhouette")).join(ch, setting)
+    sizes = {r[setting]: r["k"] for r in spread.select(setting, "k").collect()}  # a row per setting
+    parts = [_silhouettes(wide, sums, group, size, setting, label) for group in _batched(sizes, BROADCAST_SUMS // (8 * (size + 3)))]
+    scores = parts[0] if parts else _silhouettes(wide, sums, [], size, setting, label)
+    for more in parts[1:]:
+        scores = scores.unionByName(more)
+    return scores.join(ch, setting)
+
+
+def _batched(sizes: dict, most: int) -> list[list]:
+    """The settings in lists of at most ``most`` clusters together; a setting with more
+    has a list of its own."""
+    out, room = [], 0
+    for name in sorted(sizes, key=str):
+        if not out or sizes[name] > room:
+            out.append([])
+            room = most
+        out[-1].append(name)
+        room -= sizes[name]
+    return out
+
+
+def _silhouettes(wide: DataFrame, sums: DataFrame, settings: list, size: int, setting: str, label: str) -> DataFrame:
+    """(setting, silhouette) of some settings: a task holds the sums of all their clusters and
+    finds its rows' distances to them as a product of matrices."""
+    table = sums.where(F.col(setting).isin(settings)).select(setting, "_l", "n", "s", "q").collect()
+    shipped = wide.sparkSession.sparkContext.broadcast([
+        (name, np.array([r["_l"] for r in mine], np.int64), np.array([r["n"] for r in mine], float),
+         np.array([r["s"] for r in mine], float).reshape(-1, size), np.array([r["q"] for r in mine], float))
+        for name in settings for mine in [sorted((r for r in table if r[setting] == name), key=lambda r: r["_l"])]])
+
+    def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        clusters = shipped.value
+        total, count = np.zeros(len(clusters)), np.zeros(len(clusters), np.int64)
+        for part, x in _matrices(batches, 0, size, max((len(c[1]) for c in clusters), default=1)):
+            if not len(x):
+                continue
+            held = part.column(1)
+            of = np.repeat(np.arange(len(x)), held.value_lengths().to_numpy(zero_copy_only=False))
+            flat = held.flatten()
+            names, labels = flat.field(0).to_pylist(), flat.field(1).to_numpy(zero_copy_only=False)
+            at: dict = {}
+            for k, name in enumerate(names):
+                at.setdefault(name, []).append(k)
+            square = (x * x).sum(1)
+            for j, (name, own, n, s, q) in enumerate(clusters):
+                mine = np.array(at.get(name, ()), np.int64)
+                place = np.searchsorted(own, labels[mine])
+                held_here = own[np.minimum(place, len(own) - 1)] == labels[mine] if len(own) else np.zeros(len(mine), bool)
+                mine, place = mine[held_here], place[held_here]  # without noise
+                if len(own) < 2 or not len(mine):
+                    continue
+                rows = of[mine]
+                far = np.maximum(square[rows][:, None] * n + q - 2 * x[rows] @ s.T, 0.0)
+                turn = np.arange(len(rows))
+                members = n[place]
+                with np.errstate(all="ignore"):
+                    a = far[turn, place] / (members - 1)
+                    far /= n
+                    far[turn, place] = np.inf
+                    b = np.fmin.reduce(far, axis=1)
+                    top = np.maximum(a, b)
+                    score = np.where((members <= 1) | (top == 0), 0.0, (b - a) / top)
+                known = ~np.isnan(x[rows]).any(axis=1)
+                total[j] += score[known].sum()
+                count[j] += known.sum()
+        yield pa.record_batch([pa.array([c[0] for c in clusters], kind), pa.array(total), pa.array(count)],
+                              names=[setting, "t", "k"])
+
+    kind = pa.string() if sums.schema[setting].dataType.simpleString() == "string" else pa.int64()
+    schema = f"{setting} {'string' if kind == pa.string() else 'long'}, t double, k long"
+    got = wide.select("_x", F.transform("_s", lambda c: F.struct(c[setting].alias("s"), c[label].cast("long").alias("l"))).alias("_s"))
+    return got.mapInArrow(add, schema).groupBy(setting).agg((F.sum("t") / F.nullif(F.sum("k"), F.lit(0))).alias("silhouette"))
 
 
 def cluster_summary(df: DataFrame, label: str) -> DataFrame:

@@ -193,6 +193,34 @@ def test_search_scores_equal_the_single_settings(spark, blobs):
         assert got[name].silhouette == pytest.approx(want) and got[name].calinski_harabasz == pytest.approx(ch)
 
 
+def test_search_scores_multiply_matrices(spark, blobs, monkeypatch):
+    """No expression per row and cluster: one product per task, in several lots of settings."""
+    rows = blobs[0].select(F.xxhash64("x", "y", "z").alias("id"), "x", "y", "z").dropDuplicates(["id"])
+    labels = rows.select(F.explode(F.sequence(F.lit(2), F.lit(5))).alias("k"), "id").select(
+        F.concat(F.lit("k="), F.col("k")).alias("params"), "id", F.pmod("id", "k").cast("int").alias("cluster"))
+    once = CL.search_scores(rows, labels, ["x", "y", "z"])
+    assert "MapInArrow" in once._jdf.queryExecution().executedPlan().toString()
+    monkeypatch.setattr(CL, "BROADCAST_SUMS", 7 * 8 * 6)  # 7 clusters a lot
+    lots = {r.params: r.silhouette for r in CL.search_scores(rows, labels, ["x", "y", "z"]).collect()}
+    assert CL._batched({"a": 3, "b": 4, "c": 9, "d": 1}, 7) == [["a", "b"], ["c"], ["d"]]
+    assert lots == {r.params: pytest.approx(r.silhouette) for r in once.collect()} and len(lots) == 4
+
+
+def test_kmeans_passes_read_packed_blocks(spark, blobs):
+    df = blobs[0]
+    packed = CL._packed(df, ["x", "y", "z"])
+    assert packed.dtypes == [("x", "binary")]
+    got = sorted(tuple(v) for r in packed.collect() for v in np.frombuffer(r.x).reshape(-1, 3))
+    assert got == sorted((r.x, r.y, r.z) for r in df.collect())
+    runs = [np.array(got[:2]), np.array(got[2:4]), np.array(got[4:7])]  # sizes 2, 2 and 3
+    x = np.array(got)
+    for (n, s, q), c in zip(CL._lloyd(packed, 3, runs), runs):
+        far = ((x[:, None] - c[None]) ** 2).sum(-1)
+        at = far.argmin(1)
+        assert q == pytest.approx(far.min(1).sum()) and list(n) == [(at == k).sum() for k in range(len(c))]
+        assert np.allclose(s, [x[at == k].sum(0) for k in range(len(c))])
+
+
 def test_all_restarts_in_the_same_passes(spark, blobs):
     """Costs equal Lloyd's in numpy from the same starts, and the best one is kept."""
     df = blobs[0]
