@@ -26,7 +26,8 @@ def cross_section(panel: DataFrame, key: str = "geoid", period: str = "year"
     """K01 + P10 + M03 + M04: latest period, sentinels nulled, numeric
     features median-imputed and standardised (population std); rows get a
     numeric ``id`` in key order (the visiting order of DBSCAN)."""
-    latest = null_sentinels(CL.latest(panel, period))
+    # stored: the period, the medians and the spreads each read it again
+    latest = cut_lineage(null_sentinels(CL.latest(panel, period)))
     feats = numeric_columns(latest, EXCLUDE)
     imp = MedianImputer(feats).fit(latest)
     used = [f for f in feats if imp.values.get(f) is not None]

@@ -5,6 +5,7 @@ import math
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
+from fixture_paths import SF_SMALL
 
 from panelspark.operators import cluster as CL
 from panelspark.operators import features as FE
@@ -289,3 +290,24 @@ def test_predictions_follow_each_other_on_one_frame(spark, reg_data):
     assert [r.a for r in rows] == X[:, 0].tolist()
     cv = ML.cross_validated([ML.mean_spec(), ML.random_forest(5, "sqrt", 1, max_depth=3), ML.ridge(1.0)], df, feats, "y", "year")
     assert [len(c) for c in cv] == [5, 5, 5] and cv[2][0]["rmse"] < cv[0][0]["rmse"]
+
+
+def test_the_panel_is_built_once_per_query(spark, monkeypatch):
+    """Of a panel read from files, only the first stored frame of a query reads the files."""
+    from panelspark.plans import q_ml, unsupervised
+    panel = q_ml._enriched(spark, SF_SMALL)
+    reads = []
+
+    def cut(df, real=q_ml.cut_lineage):
+        reads.append(bool(df.inputFiles()))
+        return real(df)
+
+    monkeypatch.setattr(q_ml, "_enriched", lambda *a: panel)
+    monkeypatch.setattr(q_ml, "cut_lineage", cut)
+    q_ml.prepared(spark, SF_SMALL)
+    assert reads == [True, False, False]
+    learned = []
+    fit = unsupervised.MedianImputer.fit
+    monkeypatch.setattr(unsupervised.MedianImputer, "fit", lambda self, df: learned.append(df.inputFiles()) or fit(self, df))
+    unsupervised.cross_section(panel)
+    assert learned == [[]]
