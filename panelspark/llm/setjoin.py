@@ -304,16 +304,16 @@ def hot_signatures(spark, found: list, rows: int, total: int, hot_rows: int) ->
 def members_of(rows: DataFrame, hot: DataFrame | None) -> tuple[DataFrame, DataFrame]:
     """Distinct rows of signatures that several classes have, as (sig, cls),
     and the pairs (a, b) of each with its signature's first class."""
-    if hot is None:
-        rows = rows.withColumn("salt", F.lit(0))
-    else:
+    keys = ["sig"]  # no constant beside it: Spark would leave it out of the window and deal the rows twice
+    if hot is not None:
+        keys = ["sig", "salt"]
         hot = F.broadcast(hot.select(F.col("sig").alias("h_")))  # its size is bounded
         rows = rows.join(hot, F.col("sig") == F.col("h_"), "left").withColumn("salt", F.when(
             F.col("h_").isNull(), F.lit(0)).otherwise(1 + F.pmod(F.xxhash64("cls"), F.lit(SALTS)))).drop("h_")
-    w = Window.partitionBy("sig", "salt")
-    rows = rows.repartition("sig", "salt").dropDuplicates(["sig", "salt", "cls"])  # one exchange with the window's
+    w = Window.partitionBy(*keys)
+    rows = rows.repartition(*keys).dropDuplicates([*keys, "cls"])  # one exchange with the window's
     rows = rows.withColumns({"first": F.min("cls").over(w), "last": F.max("cls").over(w)})
-    rows = stored(rows.where("first < last or salt > 0").select("sig", "salt", "cls", "first"), "members")
+    rows = stored(rows.where("first < last" if hot is None else "first < last or salt > 0").select(*keys, "cls", "first"), "members")
     pairs = rows.where("first < cls").select(F.col("first").alias("a"), F.col("cls").alias("b"))
     if hot is not None:
         firsts = rows.where("salt > 0").select("sig", "first").distinct()

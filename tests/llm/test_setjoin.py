@@ -198,3 +198,22 @@ def test_frequent_contents_are_indexed_late(spark, monkeypatch):
         got = setjoin.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string")).collect()
         assert sorted(map(tuple, got), key=str) == brute(rows)
     assert 4 * largest[1] < largest[0]
+
+
+def test_members_are_dealt_once(spark, monkeypatch):
+    """One exchange brings a signature's rows together, with and without hot signatures."""
+    plans = []
+
+    def keep(df, name):
+        plans.append(df._jdf.queryExecution().executedPlan().toString())
+        return df
+
+    monkeypatch.setattr(setjoin, "stored", keep)
+    rows = spark.createDataFrame([(1, 10), (1, 10), (1, 11), (2, 12), (3, 13), (3, 14), (3, 15)], "sig long, cls long")
+    for hot in (None, spark.createDataFrame([(3,)], "sig long")):
+        members, pairs = setjoin.members_of(rows, hot)
+        assert plans[-1].count("Exchange hashpartitioning") == 1
+        got = {tuple(r) for r in pairs.collect()}
+        if hot is None:
+            assert got == {(10, 11), (13, 14), (13, 15)}
+            assert sorted(map(tuple, members.collect())) == [(1, 10), (1, 11), (3, 13), (3, 14), (3, 15)]
