@@ -27,7 +27,10 @@ class's signatures once, and what several tasks emit is made distinct before
 classes are compared, so copies are never compared with each other.  Every
 text is cut into shingles once for this, in the pass that also indexes it.
 Classes that share a signature are candidates, verified exactly on their
-shingles.  Groups are not expanded into pairs: within a signature's classes
+shingles.  A class's text is read again for this, and only what may be needed is
+shuffled: a bitmap of bounded size screens the texts, which stay where they are, and the
+sets before they meet the pairs, and a parity sketch that grows with
+the set rules out nearly all pairs that are not links.  Groups are not expanded into pairs: within a signature's classes
 each is first compared with one of them, some rounds over; what that links becomes
 a component, and only classes of one signature that are still in different
 components are compared with each other, after a parity sketch has ruled out
@@ -71,9 +74,10 @@ GROWTH, SPARE, SHARED, PAIR_COST = 4, 1.15, 0.001, 4.0
 #: document in SAMPLE is counted; a content that FREQUENT of those have is indexed
 #: late, and the list of them is at most so long.
 HOT_ROWS, SALTS, SAMPLE, FREQUENT, LISTED = 200_000, 64, 16, 12, 16_384
-#: Places of the parity sketch; rounds in which a signature's classes are
+#: Places of the parity sketch, and the most of the one that grows with the set; bits
+#: of the bitmap that screens rows; rounds in which a signature's classes are
 #: compared with one of them before all that remain are.
-PARITY, STARS = 512, 2
+PARITY, MOST_PLACES, SCREEN, STARS = 512, 65_536, 1 << 25, 2
 #: Groups of open classes above this size are split by further partitions of the
 #: universe, at most so often, and dealt over tasks; classes that a task remembers.
 GROUP, SPLITS, REMEMBERED = 256, 3, 500_000
@@ -181,7 +185,7 @@ def _texts(batch: pa.RecordBatch, column: int) -> list[bytes | None]:
 
 def indexed(docs: DataFrame, id_col: str, text_col: str, plan: dict[int, tuple[int, int]], late: np.ndarray, seed: int,
             row_col: str | None = None) -> DataFrame:
-    """(doc_id, n_shingles, digest, cls, row, sigs) of every row; no class without
+    """(doc_id, n_shingles, digest, cls, row, text_hash, sigs) of every row; no class without
     shingles, and signatures only where a task meets a class for the first time."""
     kind = docs.schema[id_col].dataType.simpleString()
 
@@ -206,12 +210,13 @@ def indexed(docs: DataFrame, id_col: str, text_col: str, plan: dict[int, tuple[i
                     sigs.append(signatures(tokens, plan, late=late).view(np.int64))
                 yield pa.record_batch([
                     batch.column(0), pa.array(n, pa.int64()), pa.array(digests, pa.binary()), pa.array(classes, pa.int64()),
-                    batch.column(2), pa.array(sigs, pa.list_(pa.int64()))],
-                    names=["doc_id", "n_shingles", "digest", "cls", "row", "sigs"])
+                    batch.column(2), batch.column(3), pa.array(sigs, pa.list_(pa.int64()))],
+                    names=["doc_id", "n_shingles", "digest", "cls", "row", "text_hash", "sigs"])
 
     row = F.col(row_col) if row_col else F.lit(None)
-    return docs.select(F.col(id_col), F.col(text_col).cast("string"), row.cast("long").alias("row_of_")).mapInArrow(
-        sets, f"doc_id {kind}, n_shingles long, digest binary, cls long, row long, sigs array<bigint>")
+    text = F.col(text_col).cast("string")
+    return docs.select(F.col(id_col), text, row.cast("long").alias("row_of_"), F.xxhash64(text).alias("hash_of_")).mapInArrow(
+        sets, f"doc_id {kind}, n_shingles long, digest binary, cls long, row long, text_hash long, sigs array<bigint>")
 
 
 def contents(docs: DataFrame, text_col: str, plan: dict[int, tuple[int, int]], seed: int) -> DataFrame:
@@ -232,32 +237,67 @@ def _columns(sigs, classes) -> pa.RecordBatch:
     return pa.record_batch([pa.array(np.concatenate(sigs)), pa.array(np.concatenate(classes))], names=["sig", "cls"])
 
 
+def screened(rows: DataFrame, keys: list[str], wanted: DataFrame, names: list[str]) -> DataFrame:
+    """``rows`` without most of those whose ``keys`` are not among the ``names`` of ``wanted``;
+    none whose are is lost.  What is broadcast is a bitmap of SCREEN bits, whatever the sizes."""
+    at = F.pmod(F.xxhash64(*names), F.lit(SCREEN))
+    maps = wanted.groupBy(F.bitmap_bucket_number(at).alias("bucket_")).agg(
+        F.bitmap_construct_agg(F.bitmap_bit_position(at)).alias("map_"))
+    at = F.pmod(F.xxhash64(*keys), F.lit(SCREEN))
+    place = F.bitmap_bit_position(at).cast("int")
+    byte = F.conv(F.hex(F.substr("map_", F.floor(place / 8).cast("int") + 1, F.lit(1))), 16, 10).cast("int")
+    return rows.join(F.broadcast(maps), (F.bitmap_bucket_number(at) == F.col("bucket_")) & (
+        F.getbit(byte, place % 8) == 1), "left_semi")
+
+
 def shingle_sets(docs: DataFrame, id_col: str, text_col: str, wanted: DataFrame, seed: int) -> DataFrame:
-    """(cls, n, bits, tokens) of the wanted (cls, first): the text of each
-    class's first document is read again."""
+    """(cls, n, bits, fine, tokens) of the wanted (cls, first, text_hash): the text of each
+    class's first document is read again where it lies; no text is shuffled.  A class comes
+    once from each task that has it, and with the wanted ones a few others come."""
     def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        words = Words()
+        words, seen = Words(), set()
         for batch in batches:
             for at in range(0, batch.num_rows, 256):
-                found = [shingle_set(t, words) for t in _texts(batch.slice(at, 256), 0)]
-                found = [t for t in found if len(t)]
-                yield pa.record_batch([pa.array([set_class(t, seed)[1] for t in found], pa.int64()),
-                                       pa.array([len(t) for t in found], pa.int32()),
-                                       pa.array([parity(t) for t in found], pa.list_(pa.int64())),
-                                       pa.array([t.view(np.int64) for t in found], pa.list_(pa.int64()))],
-                                      names=["cls", "n", "bits", "tokens"])
-
-    rows = docs.select(F.col(id_col).alias("i_"), F.col(text_col).cast("string").alias("t_")).join(
-        wanted.select("first").distinct(), F.col("i_").eqNullSafe(F.col("first")), "left_semi")
-    got = rows.select("t_").mapInArrow(sets, "cls long, n int, bits array<bigint>, tokens array<bigint>")
-    return got.join(wanted.select("cls"), "cls", "left_semi").dropDuplicates(["cls"])
-
-
-def parity(tokens: np.ndarray) -> np.ndarray:
-    """Whether an odd number of shingles falls on each of PARITY places, as
+                found = {}
+                for text in _texts(batch.slice(at, 256), 0):
+                    tokens = shingle_set(text, words)
+                    c = set_class(tokens, seed)[1]
+                    if len(tokens) and c not in seen:
+                        found.setdefault(c, tokens)
+                if len(seen) >= REMEMBERED:
+                    seen.clear()
+                seen.update(found)
+                lists = lambda values: pa.array(values, pa.list_(pa.int64()))
+                yield pa.record_batch([pa.array(list(found), pa.int64()),
+                                       pa.array([len(t) for t in found.values()], pa.int32()),
+                                       lists([parity(t) for t in found.values()]),
+                                       lists([parity(t, places(len(t))) for t in found.values()]),
+                                       lists([t.view(np.int64) for t in found.values()])],
+                                      names=["cls", "n", "bits", "fine", "tokens"])
+
+    text = F.col(text_col).cast("string")
+    rows = docs.select(F.col(id_col).alias("i_"), F.xxhash64(text).alias("h_"), text.alias("t_"))
+    rows = screened(rows, ["i_", "h_"], wanted, ["first", "text_hash"])
+    return rows.select("t_").mapInArrow(
+        sets, "cls long, n int, bits array<bigint>, fine array<bigint>, tokens array<bigint>")
+
+
+def once(sets: DataFrame) -> DataFrame:
+    """``sets``, dealt by class only where several tasks had the same one."""
+    seen = sets.agg(F.count("cls").alias("n"), F.count_distinct("cls").alias("k")).first()
+    return sets if seen["n"] == seen["k"] else stored(sets.dropDuplicates(["cls"]), "sets")
+
+
+def places(n: int) -> int:
+    """Places of the sketch that grows with the set: twice as many as shingles, as a power of two."""
+    return min(MOST_PLACES, max(PARITY, 1 << (2 * n - 1).bit_length()))
+
+
+def parity(tokens: np.ndarray, most: int = PARITY) -> np.ndarray:
+    """Whether an odd number of shingles falls on each of ``most`` places, as
     64-bit numbers.  Two sets' parities differ in at most as many places as
     the sets differ in shingles."""
-    odd = (np.bincount((tokens >> np.uint64(40)) % np.uint64(PARITY), minlength=PARITY) & 1).astype(np.uint8)
+    odd = (np.bincount((tokens >> np.uint64(40)) % np.uint64(most), minlength=most) & 1).astype(np.uint8)
     return np.packbits(odd).view(np.int64)
 
 
@@ -275,12 +315,27 @@ def near(n: str, m: str):
     return (5 * F.col(n) >= 4 * F.col(m)) & (5 * F.col(m) >= 4 * F.col(n))
 
 
+def apart(a: str, b: str):
+    """Places in which two parities differ, the longer one folded to the length of the
+    shorter: sizes that may link differ by less than two, so lengths by two at most."""
+    words = F.least(F.size(a), F.size(b))
+    short = lambda c: F.transform(F.slice(c, F.lit(1), words), lambda x, k: F.when(
+        F.size(c) > words, x.bitwiseXOR(F.get(F.col(c), k + words))).otherwise(x))
+    return F.aggregate(F.zip_with(short(a), short(b), lambda x, y: F.bit_count(x.bitwiseXOR(y))), F.lit(0), lambda s, x: s + x)
+
+
 def verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
-    """The pairs (a, b) whose sets have similarity 0.8 or more."""
-    a = sets.select(F.col("cls").alias("a"), F.col("tokens").alias("ta"))
-    b = sets.select(F.col("cls").alias("b"), F.col("tokens").alias("tb"))
+    """The pairs (a, b) whose sets have similarity 0.8 or more.  The sketch that grows
+    with the set goes first; it never rules out a link."""
+    side = lambda k: sets.select(*[F.col(c).alias(k + c) for c in ("cls", "n", "fine")])
+    likely = stored(pairs.join(side("a"), F.col("a") == F.col("acls")).join(side("b"), F.col("b") == F.col("bcls"))
+                    .where(near("an", "bn") & (9 * apart("afine", "bfine") <= F.col("an") + F.col("bn")))
+                    .select("a", "b"), "likely")
+    both = likely.select(F.explode(F.array("a", "b")).alias("cls"))  # one for both sides: Spark deals the sets once
+    some = screened(sets.select("cls", "tokens"), ["cls"], both, ["cls"])
+    a, b = (some.select(F.col("cls").alias(k), F.col("tokens").alias(f"t{k}")) for k in "ab")
     both = F.size(F.array_intersect("ta", "tb"))
-    return pairs.join(a, "a").join(b, "b").where(
+    return likely.join(a, "a").join(b, "b").where(
         9 * both >= 4 * (F.size("ta") + F.size("tb"))).select("a", "b")
 
 
@@ -337,8 +392,8 @@ def linked_classes(docs: DataFrame, id_col: str, text_col: str, rows: DataFrame,
     whole = classes.agg(F.sum("n").alias("tokens"), F.sum("copies").alias("rows")).first()
     hot = hot_signatures(docs.sparkSession, found, whole["rows"] or 0, (whole["tokens"] or 0) // 3, hot_rows)
     members, pairs = members_of(rows.where("sigs is not null").select(F.explode("sigs").alias("sig"), "cls"), hot)
-    wanted = stored(members.select("cls").distinct().join(classes.select("cls", "n", "first"), "cls"), "wanted")
-    sets = stored(shingle_sets(docs, id_col, text_col, wanted, seed), "sets")
+    wanted = stored(members.select("cls").distinct().join(classes.select("cls", "first", "text_hash"), "cls"), "wanted")
+    sets = once(stored(shingle_sets(docs, id_col, text_col, wanted, seed), "sets"))
     sketch = sets.select("cls", "n", "bits")
     side = lambda k: sketch.select(*[F.col(c).alias(k + c) for c in ("cls", "n", "bits")])
     first = (pairs.join(side("a"), F.col("a") == F.col("acls")).join(side("b"), F.col("b") == F.col("bcls"))
@@ -418,7 +473,8 @@ def narrowed(rows: DataFrame, sets: DataFrame) -> DataFrame:
         if not pairs:
             break
         wanted = stored(large.select("cls", "component").distinct(), "large")
-        fine = sized(finer(sets.join(wanted, "cls", "left_semi"), turn).join(wanted, "cls").select(
+        some = screened(sets.select("cls", "tokens"), ["cls"], wanted, ["cls"])
+        fine = sized(finer(some.join(wanted, "cls", "left_semi"), turn).join(wanted, "cls").select(
             F.explode("fine").alias("key"), "cls", "component"))
         if 2 * (fine.agg(F.sum("size")).first()[0] or 0) > pairs:
             break
@@ -467,7 +523,8 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
         late = np.sort(np.array([r["sig"] for r in found], np.int64).view(np.uint64))
         rows = stored(indexed(docs, id_col, text_col, plan, late, seed, row_col), "indexed")
         classes = stored(rows.where("n_shingles > 0").groupBy("digest", "cls").agg(
-            F.min("doc_id").alias("first"), F.first("n_shingles").alias("n"), F.count(F.lit(1)).alias("copies")),
+            F.min("doc_id").alias("first"), F.coalesce(F.min_by("text_hash", "doc_id"), F.min("text_hash")).alias("text_hash"),
+            F.first("n_shingles").alias("n"), F.count(F.lit(1)).alias("copies")),
             "classes")
         seen = classes.agg(F.count("cls").alias("n"), F.count_distinct("cls").alias("k")).first()
         if seen["n"] == seen["k"]:  # no two different sets share a class number

@@ -217,3 +217,64 @@ def test_members_are_dealt_once(spark, monkeypatch):
         if hot is None:
             assert got == {(10, 11), (13, 14), (13, 15)}
             assert sorted(map(tuple, members.collect())) == [(1, 10), (1, 11), (3, 13), (3, 14), (3, 15)]
+
+
+def test_screen_loses_none_and_drops_most(spark):
+    rows = spark.range(20_000).selectExpr("if(id = 7, null, id) as i_", "xxhash64(id) as h_")
+    wanted = rows.where("i_ is null or i_ % 100 = 3").toDF("first", "text_hash")
+    got = {r["i_"] for r in setjoin.screened(rows, ["i_", "h_"], wanted, ["first", "text_hash"]).collect()}
+    want = {None, *range(3, 20_000, 100)}
+    assert want <= got and len(got) < len(want) + 100
+    assert setjoin.screened(rows, ["i_", "h_"], wanted.where("false"), ["first", "text_hash"]).collect() == []
+
+
+def test_texts_are_screened_and_not_dealt(spark):
+    """Of the texts only those of wanted classes become sets, and none is shuffled, also
+    where the ids repeat or are null."""
+    docs = spark.createDataFrame([(None if k % 3 else k % 12, f"a{k % 40} b c d e f{k % 40}") for k in range(400)],
+                                 "doc_id long, text string").coalesce(4)
+    plan = {b: setjoin.allocate(b, 1) for b in range(3)}
+    rows = setjoin.indexed(docs, "doc_id", "text", plan, np.zeros(0, np.uint64), 0)
+    classes = sorted({r["cls"]: r for r in rows.collect()}.values(), key=lambda r: r["cls"])[:5]
+    wanted = spark.createDataFrame([(r["cls"], r["doc_id"], r["text_hash"]) for r in classes], "cls long, first long, text_hash long")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        sets = setjoin.shingle_sets(docs, "doc_id", "text", wanted, 0)
+        text = sets._jdf.queryExecution().executedPlan().toString()
+        got = [r["cls"] for r in sets.collect()]
+        whole = [r["cls"] for r in setjoin.once(sets).collect()]
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert "SortMergeJoin" not in text and text.count("Exchange hashpartitioning") == 1  # the bitmap's own
+    assert len(got) <= 5 * 4 and set(got) == {r["cls"] for r in classes} and sorted(whole) == [r["cls"] for r in classes]
+
+
+def test_growing_sketch_never_rules_out_a_link_and_rules_out_most_others(spark, monkeypatch):
+    rng = np.random.default_rng(12)
+    sets, pairs, linked, stored = [], [], [], []
+    for n in (1, 5, 40, 250, 300, 511, 600, 1000, 2000, 5000):
+        for share in (0.0, 0.05, 0.1, 0.11, 0.15, 0.2, 0.4):
+            base = np.unique(rng.integers(0, 2 ** 63, n).astype(np.uint64))
+            other = np.unique(np.concatenate([base[int(n * share):], rng.integers(0, 2 ** 63, int(n * share)).astype(np.uint64)]))
+            a = len(sets)
+            for t in (base, other):
+                sets.append((len(sets), len(t), setjoin.parity(t, setjoin.places(len(t))).tolist(), t.view(np.int64).tolist()))
+            pairs.append((a, a + 1))
+            if 9 * len(np.intersect1d(base, other)) >= 4 * (len(base) + len(other)):
+                linked.append((a, a + 1))
+    monkeypatch.setattr(setjoin, "stored", lambda df, name: stored.append(df) or df)
+    frame = spark.createDataFrame(sets, "cls long, n int, fine array<bigint>, tokens array<bigint>")
+    got = setjoin.verified(spark.createDataFrame(pairs, "a long, b long"), frame).collect()
+    assert sorted(map(tuple, got)) == sorted(linked)
+    likely = sorted(map(tuple, stored[0].collect()))
+    assert set(linked) <= set(likely) and len(likely) < len(linked) + 10
+
+
+def test_repeated_rows_and_null_ids_are_read_once(spark):
+    """Copies with one id, and documents without any, link as their texts do."""
+    w = [f"w{k}" for k in range(60)]
+    a, near, other = " ".join(w), " ".join([*w[:30], "changed", *w[31:]]), " ".join(f"x{k}" for k in range(40))
+    rows = [(1, a)] * 6 + [(1, near)] * 5 + [(None, near), (None, other), (None, other + " more")] + [(None, other)] * 4
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    got = sorted(map(tuple, setjoin.near_duplicates(docs).collect()), key=str)
+    assert got == brute(rows)
