@@ -204,3 +204,18 @@ def test_knn_reaches_a_far_island(spark):
     df = spark.createDataFrame(rows, "geoid string, year int, lat double, lon double, v double")
     got = knn_impute(df, ["v"], k=3).where("imputed").collect()
     assert len(got) == 1 and 0 <= got[0].v <= 39
+
+
+def test_components_of_stars_take_no_round(spark, monkeypatch):
+    """Each round is several jobs and exchanges, which the driver pays for with threads."""
+    from panelspark.operators import components
+    cuts = []
+    monkeypatch.setattr(components, "cut_lineage", lambda df: cuts.append(df) or df.checkpoint())
+    e = spark.createDataFrame([(1, 2), (3, 1), (4, 1), (8, 9), (9, 8), (7, 7)], "src long, dst long")
+    n = spark.range(10).select("id")
+    comp = {r.id: r.component for r in components.connected_components(n, e).collect()}
+    assert comp == {0: 0, 1: 1, 2: 1, 3: 1, 4: 1, 5: 5, 6: 6, 7: 7, 8: 8, 9: 8}
+    assert len(cuts) == 1
+    chain = spark.createDataFrame([(k, k + 1) for k in range(40)], "src long, dst long")
+    assert {r.component for r in components.connected_components(spark.range(41), chain).collect()} == {0}
+    assert len(cuts) < 12
