@@ -28,8 +28,8 @@ classes are compared, so copies are never compared with each other.  Every
 text is cut into shingles once for this, in the pass that also indexes it.
 Classes that share a signature are candidates, verified exactly on their
 shingles.  A class's text is read again for this, and only what may be needed is
-shuffled: a bitmap of bounded size screens the texts, which stay where they are, and the
-sets before they meet the pairs, and a parity sketch that grows with
+shuffled: a bitmap of bounded size screens the texts, which stay where they are (a bounded list
+names those that pass without need), and the sets before they meet the pairs, and a parity sketch that grows with
 the set rules out nearly all pairs that are not links.  Groups are not expanded into pairs: within a signature's classes
 each is first compared with one of them, some rounds over; what that links becomes
 a component, and only classes of one signature that are still in different
@@ -53,6 +53,7 @@ empty result; further columns are not read.
 
 from __future__ import annotations
 
+import functools
 import hashlib
 import math
 from collections.abc import Iterator
@@ -75,9 +76,10 @@ GROWTH, SPARE, SHARED, PAIR_COST = 4, 1.15, 0.001, 4.0
 #: late, and the list of them is at most so long.
 HOT_ROWS, SALTS, SAMPLE, FREQUENT, LISTED = 200_000, 64, 16, 12, 16_384
 #: Places of the parity sketch, and the most of the one that grows with the set; bits
-#: of the bitmap that screens rows; rounds in which a signature's classes are
-#: compared with one of them before all that remain are.
-PARITY, MOST_PLACES, SCREEN, STARS = 512, 65_536, 1 << 25, 2
+#: of the bitmap that screens rows, of one of its buckets (as Spark has them), places of
+#: a row in its bucket, and the most rows that pass unwanted and are listed to be left out;
+#: rounds in which a signature's classes are compared with one of them before all that remain are.
+PARITY, MOST_PLACES, SCREEN, BUCKET, PLACES, STRANGERS, STARS = 512, 65_536, 1 << 25, 1 << 15, 3, 200_000, 2
 #: Groups of open classes above this size are split by further partitions of the
 #: universe, at most so often, and dealt over tasks; classes that a task remembers.
 GROUP, SPLITS, REMEMBERED = 256, 3, 500_000
@@ -239,21 +241,41 @@ def _columns(sigs, classes) -> pa.RecordBatch:
 
 def screened(rows: DataFrame, keys: list[str], wanted: DataFrame, names: list[str]) -> DataFrame:
     """``rows`` without most of those whose ``keys`` are not among the ``names`` of ``wanted``;
-    none whose are is lost.  What is broadcast is a bitmap of SCREEN bits, whatever the sizes."""
-    at = F.pmod(F.xxhash64(*names), F.lit(SCREEN))
-    maps = wanted.groupBy(F.bitmap_bucket_number(at).alias("bucket_")).agg(
-        F.bitmap_construct_agg(F.bitmap_bit_position(at)).alias("map_"))
-    at = F.pmod(F.xxhash64(*keys), F.lit(SCREEN))
-    place = F.bitmap_bit_position(at).cast("int")
-    byte = F.conv(F.hex(F.substr("map_", F.floor(place / 8).cast("int") + 1, F.lit(1))), 16, 10).cast("int")
-    return rows.join(F.broadcast(maps), (F.bitmap_bucket_number(at) == F.col("bucket_")) & (
-        F.getbit(byte, place % 8) == 1), "left_semi")
-
-
-def shingle_sets(docs: DataFrame, id_col: str, text_col: str, wanted: DataFrame, seed: int) -> DataFrame:
+    none whose are is lost.  What is broadcast is a bitmap of SCREEN bits, whatever the sizes;
+    each key has several places in one of its buckets, all of which must be set."""
+    buckets = SCREEN // BUCKET
+
+    def spots(columns: list[str]) -> list:
+        h = F.xxhash64(*columns)
+        bits = (buckets * BUCKET ** k for k in range(PLACES))
+        return [F.pmod(h, F.lit(buckets)), *[F.pmod(F.shiftrightunsigned(h, b.bit_length() - 1), F.lit(BUCKET)) for b in bits]]
+
+    bucket, *at = spots(names)
+    maps = wanted.select(bucket.alias("bucket_"), F.explode(F.array(*at)).alias("at_")).groupBy("bucket_").agg(
+        F.bitmap_construct_agg("at_").alias("map_"))
+    bucket, *at = spots(keys)
+
+    def is_set(place):
+        byte = F.conv(F.hex(F.substr("map_", F.floor(place / 8).cast("int") + 1, F.lit(1))), 16, 10).cast("int")
+        return F.getbit(byte, (place % 8).cast("int")) == 1
+
+    return rows.join(F.broadcast(maps), functools.reduce(lambda x, y: x & y, map(is_set, at), bucket == F.col("bucket_")), "left_semi")
+
+
+def strangers(rows: DataFrame, wanted: DataFrame) -> DataFrame:
+    """(key) of the ``rows`` (doc_id, text_hash) that pass the bitmap of the wanted (first, text_hash) without being wanted."""
+    keys = screened(rows, ["doc_id", "text_hash"], wanted, ["first", "text_hash"]).select(
+        F.xxhash64("doc_id", "text_hash").alias("key")).distinct()
+    return stored(keys.join(wanted.select(F.xxhash64("first", "text_hash").alias("key")), "key", "left_anti"), "strangers")
+
+
+def shingle_sets(docs: DataFrame, id_col: str, text_col: str, wanted: DataFrame, seed: int,
+                 rows: DataFrame | None = None) -> DataFrame:
     """(cls, n, bits, fine, tokens) of the wanted (cls, first, text_hash): the text of each
     class's first document is read again where it lies; no text is shuffled.  A class comes
-    once from each task that has it, and with the wanted ones a few others come."""
+    once from each task that has this document; a few other classes and copies come too
+    without the ``rows`` (doc_id, text_hash) of ``docs``, or where more than STRANGERS of them
+    pass the bitmap unwanted."""
     def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         words, seen = Words(), set()
         for batch in batches:
@@ -276,15 +298,19 @@ def shingle_sets(docs: DataFrame, id_col: str, text_col: str, wanted: DataFrame,
                                       names=["cls", "n", "bits", "fine", "tokens"])
 
     text = F.col(text_col).cast("string")
-    rows = docs.select(F.col(id_col).alias("i_"), F.xxhash64(text).alias("h_"), text.alias("t_"))
-    rows = screened(rows, ["i_", "h_"], wanted, ["first", "text_hash"])
-    return rows.select("t_").mapInArrow(
+    texts = docs.select(F.col(id_col).alias("i_"), F.xxhash64(text).alias("h_"), text.alias("t_"))
+    texts = screened(texts, ["i_", "h_"], wanted, ["first", "text_hash"])
+    if rows is not None:
+        unwanted = strangers(rows, wanted)
+        if 0 < unwanted.count() <= STRANGERS:
+            texts = texts.join(F.broadcast(unwanted), F.xxhash64("i_", "h_") == F.col("key"), "left_anti")
+    return texts.select("t_").mapInArrow(
         sets, "cls long, n int, bits array<bigint>, fine array<bigint>, tokens array<bigint>")
 
 
 def once(sets: DataFrame) -> DataFrame:
-    """``sets``, dealt by class only where one comes more than twice; a second time changes
-    no result, since pairs are made distinct."""
+    """``sets``, dealt by class only where one comes more than twice, as with rows that are
+    repeated whole; a second time changes no result, since pairs are made distinct."""
     most = sets.groupBy("cls").count().agg(F.max("count")).first()[0]
     return sets if (most or 0) <= 2 else stored(sets.dropDuplicates(["cls"]), "sets")
 
@@ -394,7 +420,7 @@ def linked_classes(docs: DataFrame, id_col: str, text_col: str, rows: DataFrame,
     hot = hot_signatures(docs.sparkSession, found, whole["rows"] or 0, (whole["tokens"] or 0) // 3, hot_rows)
     members, pairs = members_of(rows.where("sigs is not null").select(F.explode("sigs").alias("sig"), "cls"), hot)
     wanted = stored(members.select("cls").distinct().join(classes.select("cls", "first", "text_hash"), "cls"), "wanted")
-    sets = once(stored(shingle_sets(docs, id_col, text_col, wanted, seed), "sets"))
+    sets = once(stored(shingle_sets(docs, id_col, text_col, wanted, seed, rows), "sets"))
     sketch = sets.select("cls", "n", "bits")
     side = lambda k: sketch.select(*[F.col(c).alias(k + c) for c in ("cls", "n", "bits")])
     first = (pairs.join(side("a"), F.col("a") == F.col("acls")).join(side("b"), F.col("b") == F.col("bcls"))

@@ -278,3 +278,18 @@ def test_repeated_rows_and_null_ids_are_read_once(spark):
     docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
     got = sorted(map(tuple, setjoin.near_duplicates(docs).collect()), key=str)
     assert got == brute(rows)
+
+
+def test_copies_that_pass_the_bitmap_do_not_deal_the_sets(spark, monkeypatch):
+    """Where a small bitmap lets most rows pass, each class still comes once and its set is stored once."""
+    monkeypatch.setattr(setjoin, "SCREEN", 1 << 15)
+    monkeypatch.setattr(setjoin, "PLACES", 1)
+    names, whole = [], setjoin.stored
+    monkeypatch.setattr(setjoin, "stored", lambda df, name: names.append(name) or whole(df, name))
+    texts = [" ".join(f"w{k}x{j}" for j in range(40)) for k in range(3000)]
+    texts += [t + " more" for t in texts]
+    rows = [(k, t) for k, t in enumerate(texts + [texts[0]] * 3000)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(6)
+    got = {r["doc_id"]: r["component_id"] for r in setjoin.near_duplicates(docs).collect()}
+    assert got == {k: 0 if k >= 6000 else k % 3000 for k, _ in rows}
+    assert names.count("sets") == 1
