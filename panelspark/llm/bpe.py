@@ -98,6 +98,7 @@ class TrieEncoder:
         self.v = vocabulary
         self.beside: dict[int, bool] = {}
         self.whole: dict[int, bool] = {}
+        self.follow: dict[int, int] = {}
 
     def merged(self, data: bytes) -> list[int]:
         """Plain BPE of a short byte string."""
@@ -145,9 +146,14 @@ class TrieEncoder:
         return known
 
     def encode(self, words: set[bytes]) -> Iterator[tuple[bytes, bytes]]:
-        """(word, packed ids) of each word, in the depth-first order of their trie."""
+        """(word, packed ids) of each word, in the depth-first order of their trie.  The state
+        that followed a state and a byte before is tried first: if it is no longer than
+        both, its bytes are theirs, and only its neighbour must allow it."""
         ending, four, size = self.v.ending.get, self.v.four, self.v.size
-        beside, stays = self.beside.get, self.stays
+        beside, stays, follow = self.beside.get, self.stays, self.follow
+        guess = follow.get
+        if len(follow) >= MEMO_PAIRS:
+            follow.clear()
         last: list[int] = []  # states on the path from the root to the current node
         before = b""
         for word in sorted(words):
@@ -155,7 +161,16 @@ class TrieEncoder:
             while depth < most and before[depth] == word[depth]:
                 depth += 1
             del last[depth:]
+            state = last[-1] if depth else -1
             for end in range(depth + 1, len(word) + 1):
+                key = state << 8 | word[end - 1]
+                t = guess(key)
+                if t is not None:
+                    start = end - size[t]
+                    if (beside(last[start - 1] << 20 | t) if start else self.alone(t)):
+                        last.append(t)
+                        state = t
+                        continue
                 start, found = end - 1, -1
                 t = ending(word[start:end])
                 while t is not None:  # at most as far back as some token reaches
@@ -173,6 +188,9 @@ class TrieEncoder:
                     start -= 1
                     t = ending(word[start:end]) if start >= 0 else None
                 last.append(found)
+                if state >= 0 and size[found] <= size[state] + 1:
+                    follow[key] = found
+                state = found
             before, ids, end = word, [], len(word)
             while end:
                 t = last[end - 1]
@@ -196,7 +214,9 @@ class TextEncoder:
         self.special = {s: int(i).to_bytes(4, "little") for s, i in vocabulary.special.items()}
         names = sorted(self.special, key=len, reverse=True)
         self.parts = regex.compile("(" + "|".join(map(regex.escape, names)) + ")").split if names else None
-        self.memo: dict[str, bytes] = {}  # a space and this piece → packed ids
+        # a space and this piece → packed ids; what was met since the last turn, and in the turn before
+        self.memo: dict[str, bytes] = {}
+        self.older: dict[str, bytes] = {}
         self.held = 0
 
     def encode(self, texts: list[str]) -> list[bytes]:
@@ -217,14 +237,33 @@ class TextEncoder:
             else:
                 head, *pieces = part.split(" ")
                 split.append((k, self.find(head), pieces))
-        if self.held > MEMO_BYTES:
-            self.memo, self.held = {}, 0
-        memo = self.memo
-        new = {piece: self.find(" " + piece) for piece in set().union(*[s[2] for s in split]) - memo.keys()}
-        words = set().union(*new.values(), *[s[1] for s in split if isinstance(s[1], list)])
-        ids = {word.decode(): code for word, code in self.trie.encode({w.encode() for w in words})}
-        for piece, found in new.items():
-            memo[piece] = code = ids[found[0]] if len(found) == 1 else b"".join([ids[w] for w in found])
+        if 2 * self.held > MEMO_BYTES:  # frequent pieces are met again before they are forgotten
+            self.memo, self.older, self.held = {}, self.memo, 0
+        memo, older = self.memo, self.older
+        single, several = [], {}  # new pieces: those of letters are a word, others go through the pattern
+        for piece in set().union(*[s[2] for s in split]) - memo.keys():
+            code = older.get(piece)
+            if code is not None:
+                memo[piece] = code
+                self.held += 200 + len(piece) + len(code)
+            elif piece.isalpha():
+                single.append(piece)
+            else:
+                several[piece] = self.find(" " + piece)
+        ids: dict[str, bytes] = {}
+        words = {" " + piece for piece in single}
+        for word in set().union(*several.values(), *[s[1] for s in split if isinstance(s[1], list)]):
+            code = (memo.get(word[1:]) or older.get(word[1:])) if word[0] == " " else None
+            if code is None:
+                words.add(word)
+            else:
+                ids[word] = code
+        ids.update((word.decode(), code) for word, code in self.trie.encode({w.encode() for w in words}))
+        for piece in single:
+            memo[piece] = code = ids[" " + piece]
+            self.held += 200 + len(piece) + len(code)
+        for piece, found in several.items():
+            memo[piece] = code = b"".join([ids[w] for w in found])
             self.held += 200 + len(piece) + len(code)
         out: list[list[bytes]] = [[] for _ in texts]
         for k, head, pieces in split:

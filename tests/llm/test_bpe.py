@@ -61,3 +61,28 @@ def test_empty_table_and_forgetting(no_docs, monkeypatch):
     encoder = bpe.TextEncoder(bpe.Vocabulary(bpe.read_vocabulary(PATH)))
     once = encoder.encode(["hello there world", "other words here"])
     assert once == encoder.encode(["hello there world", "other words here"])
+
+
+def test_frequent_words_are_encoded_once(library, monkeypatch):
+    """What is met again and again stays remembered while other pieces are forgotten, also with a mark
+    after it; the ids stay the library's."""
+    monkeypatch.setattr(bpe, "MEMO_BYTES", 10_000)
+    encoder = bpe.TextEncoder(bpe.Vocabulary(bpe.read_vocabulary(PATH)))
+    seen, whole = [], encoder.trie.encode
+    monkeypatch.setattr(encoder.trie, "encode", lambda words: seen.extend(words) or whole(words))
+    for k in range(60):
+        texts = [f"a there, hello{'' if k % 2 == 0 else '!'} there " + " ".join(f"w{k}q{j} été{k}" for j in range(12))]
+        for text, packed in zip(texts, encoder.encode(texts)):
+            assert ids(packed) == library.encode(text, add_special_tokens=False).ids
+        assert 200 * len(encoder.memo | encoder.older) <= 2 * bpe.MEMO_BYTES
+    assert seen.count(b" hello") == 1
+
+
+def test_guessed_states_equal_plain_merging():
+    rng = random.Random(5)
+    trie = bpe.TrieEncoder(bpe.Vocabulary(bpe.read_vocabulary(PATH)))
+    for _ in range(20):
+        words = {"".join(rng.choice(["th", "e", "ing", "ci", "ó", "n", "ñ", "a", "s", "1", " "]) for _ in range(rng.randrange(1, 9))).encode()
+                 for _ in range(100)}
+        assert {w: ids(p) for w, p in trie.encode(words)} == {w: trie.merged(w) for w in words}
+    assert trie.follow
