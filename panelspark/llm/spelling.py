@@ -20,7 +20,9 @@ pair is then verified by its edit distance.
 
 Words are counted in one pass over the texts, added up in each task before they
 are shuffled; long texts are cut between words.  The bigrams' frequencies are a
-table of bounded size (the alphabet's square).
+table of bounded size (the alphabet's square).  Words and their keys are joined by
+sorting at every size: Spark takes the keys for as small as the words that they are
+made from, or as their files, and would bring millions of them to the driver.
 
 Defined results: null and empty texts have no words; a null id counts as '' where
 ids enter; repeated rows count again; a word without near words is its own root;
@@ -180,7 +182,7 @@ def near_words(words: DataFrame) -> DataFrame:
     words = words.repartition(parts, "word")  # a word makes dozens of keys: small files are much work
     s = gram_keys(words, order, True).toDF("key", "s", "s_n", "s_last")
     r = gram_keys(words, order, False).toDF("key", "r", "r_n", "r_last")
-    pairs = s.join(r, (s["key"] == r["key"]) & (F.col("s_last") <= F.col("r_last")) & (F.col("s") != F.col("r"))
+    pairs = s.join(r.hint("merge"), (s["key"] == r["key"]) & (F.col("s_last") <= F.col("r_last")) & (F.col("s") != F.col("r"))
                    & (F.abs(F.length("s") - F.length("r")) <= EDITS) & (F.levenshtein("s", "r", EDITS) == EDITS))
     both = F.explode(F.array(F.struct(F.col("s").alias("word"), F.col("s_n").alias("n"), F.col("r").alias("other"),
                                       F.col("r_n").alias("other_n")),
@@ -195,7 +197,7 @@ def rooted(forms: DataFrame) -> DataFrame:
     now = stored(forms.select("word", F.col("form").alias("root")), "roots")
     while True:
         up = now.select(F.col("word").alias("w_"), F.col("root").alias("up"))
-        new = stored(now.join(up, F.col("root") == F.col("w_"), "left").select(
+        new = stored(now.join(up.hint("merge"), F.col("root") == F.col("w_"), "left").select(
             "word", F.coalesce("up", "root").alias("root"), F.col("up").isNotNull().alias("moved")), "roots")
         if new.where("moved").isEmpty():
             return new.drop("moved")
@@ -211,6 +213,6 @@ def variants(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
         "word", "n_near", F.when(-F.col("best.m") >= FORM_TIMES * F.col("own"), F.col("best.w")).alias("form"),
         F.when(-F.col("best.m") >= FORM_TIMES * F.col("own"), -F.col("best.m")).alias("form_n")), "near")
     roots = rooted(near.where("form is not null"))
-    return words.join(near, "word", "left").join(roots, "word", "left").select(
+    return words.join(near.hint("merge"), "word", "left").join(roots.hint("merge"), "word", "left").select(
         "word", "form", F.coalesce("root", "word").alias("root"), "n",
         F.coalesce("n_near", F.lit(0)).cast("long").alias("n_near"), "form_n")

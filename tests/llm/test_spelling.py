@@ -3,6 +3,8 @@ import re
 import zlib
 from collections import Counter
 
+from pyspark.sql import functions as F
+
 from panelspark.llm import spelling
 
 
@@ -91,6 +93,16 @@ def test_pairs_of_every_edit_are_found(spark):
     assert got == {(a, b) for a in words for b in words if a != b and one_edit(a, b)}
 
 
+def test_keys_never_travel_through_the_driver(spark):
+    """Spark takes the keys for about as large as their words: those of a few would be broadcast."""
+    words = spark.createDataFrame([("abcdefgh", 5), ("abcdefg", 9)], "word string, n long")
+    near = spelling.near_words(words)
+    assert near.count() == 2
+    assert "Broadcast" not in near._jdf.queryExecution().executedPlan().toString()
+    assert "Broadcast" not in spelling.variants(words.select(F.col("n").alias("doc_id"), F.repeat("word", 5).alias(
+        "text")))._jdf.queryExecution().executedPlan().toString()
+
+
 def test_odd_rows(spark, odd_docs, no_docs):
     rows = [(r["doc_id"], r["text"]) for r in odd_docs.collect()]
     got = sorted(tuple(r) for r in spelling.variants(odd_docs).collect())
