@@ -13,6 +13,7 @@ from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.ml.feature import PCA, VectorAssembler
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -158,31 +159,38 @@ def _lloyd(packed: DataFrame, dims: int, runs: list[np.ndarray]) -> list:
     """(members, sums, cost) of every run's clusters, in one pass."""
     sizes = [len(c) for c in runs]
     starts = np.cumsum([0, *sizes])
-    shipped = packed.sparkSession.sparkContext.broadcast(np.vstack(runs))
-    alike = [(starts[i], starts[j], i, j) for i, j in _stretches(sizes)]  # runs of one size side by side
+    alike = [(starts[i], i, j, sizes[i]) for i, j in _stretches(sizes)]
+    # of runs of one size, all first centres lie side by side, then all second ones
+    place = np.concatenate([np.arange(a, a + k * (j - i)).reshape(j - i, k).T.ravel() for a, i, j, k in alike])
+    centres = np.vstack(runs)[place]
+    shipped = packed.sparkSession.sparkContext.broadcast(np.hstack([-2 * centres, (centres * centres).sum(1)[:, None]]))
 
     def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         centres = shipped.value
-        square, turned = (centres * centres).sum(1), np.ascontiguousarray(-2 * centres.T)
         total, cost = np.zeros((len(centres), dims + 1)), np.zeros(len(sizes))
         step = max(1, NEAR_TABLE // max(1, len(centres)))
         for batch in batches:
             for block in batch.column(0):
                 whole = np.frombuffer(block.as_buffer(), float).reshape(-1, dims)
+                whole = np.hstack([whole, np.ones((len(whole), 1))])
                 for at in range(0, len(whole), step):
                     x = whole[at:at + step]
-                    far = x @ turned
-                    far += (x * x).sum(1)[:, None]
-                    far += square
-                    np.maximum(far, 0.0, out=far)
-                    mine = np.zeros(far.shape)
-                    for a, b, i, j in alike:
-                        table = far[:, a:b].reshape(len(x), j - i, -1)
-                        nearest = table.argmin(2)
-                        cost[i:j] += np.take_along_axis(table, nearest[:, :, None], 2)[:, :, 0].sum(0)
-                        mine[np.arange(len(x))[:, None], a + nearest + np.arange(j - i) * sizes[i]] = 1.0
-                    total += mine.T @ np.hstack([x, np.ones((len(x), 1))])
-        flat = np.concatenate([total.ravel(), cost])
+                    far = centres @ x.T  # distances less the row's own square
+                    square = np.einsum("ij,ij->i", x, x) - 1.0
+                    for a, i, j, k in alike:
+                        table = far[a:a + k * (j - i)].reshape(k, j - i, -1)
+                        least = table.min(0)
+                        cost[i:j] += np.maximum(least + square, 0.0).sum(1)
+                        free = np.ones(least.shape, bool)
+                        for one in table:  # of equally near centres the first counts
+                            mine = one == least
+                            mine &= free
+                            free ^= mine
+                            one[:] = mine
+                    total += far @ x
+        ordered = np.empty_like(total)
+        ordered[place] = total
+        flat = np.concatenate([ordered.ravel(), cost])
         yield pa.record_batch([pa.array(np.arange(len(flat)), pa.int32()), pa.array(flat)], names=["cell", "v"])
 
     got = packed.mapInArrow(add, "cell int, v double").groupBy("cell").agg(
@@ -204,6 +212,28 @@ def assigned(rows: DataFrame, feats: Sequence[str], centres: np.ndarray, out: st
         out, (F.array_position("_d", F.array_min("_d")) - 1).cast("int")).drop("_d")
 
 
+def assigned_all(rows: DataFrame, feats: Sequence[str], centres: Sequence[np.ndarray], key: str = "id") -> DataFrame:
+    """(key, labels): the number of each row's nearest centre, as assigned() has it, for every
+    set of centres."""
+    ship_package(rows.sparkSession)
+    dims = len(feats)
+
+    def label(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for part, x in _matrices(batches, 1, dims, max((len(c) for c in centres), default=1)):
+            columns = np.ascontiguousarray(x.T, dtype=float)
+            found = np.empty((len(x), len(centres)), np.int32)
+            for j, some in enumerate(centres):
+                far = np.zeros((len(some), len(x)))
+                for d in range(dims):  # added up in the order of assigned()
+                    far += (columns[d] - some[:, d, None]) ** 2
+                found[:, j] = far.argmin(0)
+            labels = pa.ListArray.from_arrays(pa.array(np.arange(len(x) + 1) * len(centres), pa.int32()), pa.array(found.ravel()))
+            yield pa.record_batch([part.column(0), labels], names=[key, "labels"])
+
+    kind = rows.schema[key].dataType.simpleString()
+    return rows.select(key, _features(feats).alias("x")).mapInArrow(label, f"`{key}` {kind}, labels array<int>")
+
+
 def _centred(df: DataFrame, feats: Sequence[str]) -> DataFrame:
     """``df`` with ``_x``, the features less their means, so that sums of
     squares keep their digits."""
@@ -259,37 +289,173 @@ def silhouette(df: DataFrame, feats: Sequence[str], label: str, exclude=(-1,)) -
     return each.agg(F.count(F.lit(1)).alias("n"), F.avg(score).alias("silhouette"))
 
 
-#: Bytes of all settings' cluster sums up to which they are broadcast.
-BROADCAST_SUMS = 8_000_000
+#: Bytes of all settings' cluster sums up to which they are broadcast; rows that a task
+#: adds up at once.
+BROADCAST_SUMS, ADDED = 8_000_000, 16_384
 
 
 def search_scores(rows: DataFrame, labels: DataFrame, feats: Sequence[str], key: str = "id", setting: str = "params",
                   label: str = "cluster", noise: int = -1) -> DataFrame:
     """(setting, silhouette, calinski_harabasz) of every setting in ``labels`` (setting, key,
-    label), as silhouette() and calinski_harabasz() have them for one, without noise.  The
-    features meet the labels once: a row brings all its labels along."""
-    per_row = labels.groupBy(key).agg(F.collect_list(F.struct(setting, label)).alias("_s"))
-    wide = cut_lineage(_centred(rows, feats).select(key, "_x").join(per_row, key).select("_x", "_s"))
-    each = wide.select("_x", F.explode("_s").alias("_s")).select("_x", f"_s.{setting}", F.col(f"_s.{label}").alias("_l"))
-    each = each.where(F.col("_l") != noise)
-    size = len(feats)
-    sums = each.groupBy(setting, "_l").agg(
-        F.count(F.lit(1)).alias("n"), *[F.sum(F.col("_x")[k]).alias(f"s{k}") for k in range(size)],
-        F.sum(F.aggregate("_x", F.lit(0.0), lambda t, v: t + v * v)).alias("q"))
-    sums = cut_lineage(sums.select(setting, "_l", "n", F.array(*[f"s{k}" for k in range(size)]).alias("s"), "q"))
-    between = F.aggregate("s", F.lit(0.0), lambda t, v: t + v * v) / F.col("n")
-    spread = sums.withColumn("b", between).groupBy(setting).agg(
-        F.count(F.lit(1)).alias("k"), F.sum("n").alias("rows"), F.sum("b").alias("ssb"), F.sum(F.col("q") - F.col("b")).alias("ssw"),
-        F.aggregate(F.array(*[F.sum(F.col("s")[k]) for k in range(size)]), F.lit(0.0), lambda t, v: t + v * v).alias("off"))
-    ssb = F.col("ssb") - F.col("off") / F.col("rows")  # the rows' own mean, noise left out
-    inner = F.col("ssw") / F.nullif(F.col("rows") - F.col("k"), F.lit(0))
-    ch = spread.select(setting, F.when(F.col("k") >= 2, ssb / (F.col("k") - 1) / F.nullif(inner, F.lit(0.0))).alias("calinski_harabasz"))
-    sizes = {r[setting]: r["k"] for r in spread.select(setting, "k").collect()}  # a row per setting
-    parts = [_silhouettes(wide, sums, group, size, setting, label) for group in _batched(sizes, BROADCAST_SUMS // (8 * (size + 3)))]
-    scores = parts[0] if parts else _silhouettes(wide, sums, [], size, setting, label)
-    for more in parts[1:]:
-        scores = scores.unionByName(more)
-    return scores.join(ch, setting)
+    label), as silhouette() and calinski_harabasz() have them for one, without noise."""
+    names = [r[0] for r in labels.select(setting).distinct().orderBy(setting).collect()]  # a row per setting
+    per_row = labels.groupBy(key).agg(F.collect_list(F.struct(F.col(setting).alias("s"), F.col(label).cast("int").alias("l"))).alias("_s"))
+    def under(name):
+        return F.get(F.filter("_s", lambda c: c["s"] == F.lit(name)), F.lit(0))["l"]
+
+    each = F.array(*[under(n) for n in names])
+    scores = GridScores(rows, per_row.select(key, each.alias("labels")), [feats], len(names), key, noise)
+    named = labels.sparkSession.createDataFrame(list(enumerate(names)), f"_setting int, `{setting}` {labels.schema[setting].dataType.simpleString()}")
+    return named.join(scores.silhouettes(), "_setting").join(scores.dispersion(0), "_setting").select(
+        setting, F.col("silhouette0").alias("silhouette"), "calinski_harabasz")
+
+
+def _some_rows(batches: Iterator[pa.RecordBatch], sizes: Sequence[int], settings: int, wide: int):
+    """(matrices, labels, which are known) of a bounded number of rows at a time."""
+    held, n, most = [], 0, max(1, min(ADDED, TABLE // max(1, wide)))
+
+    def matrices():
+        table = pa.Table.from_batches(held).combine_chunks()
+        flat = [pc.list_flatten(table.column(k)).combine_chunks() for k in range(len(sizes) + 1)]
+        xs = [v.to_numpy(zero_copy_only=False).astype(float, copy=False).reshape(-1, size) for v, size in zip(flat, sizes)]
+        known = flat[-1].is_valid().to_numpy(zero_copy_only=False).reshape(-1, settings)
+        return xs, flat[-1].fill_null(0).to_numpy(zero_copy_only=False).reshape(-1, settings), known
+
+    for batch in batches:
+        for at in range(0, batch.num_rows, most):
+            held.append(batch.slice(at, most))
+            n += held[-1].num_rows
+            if n >= most:
+                yield matrices()
+                held, n = [], 0
+    if n:
+        yield matrices()
+
+
+class GridScores:
+    """Scores of all settings of a search from ``labels`` (key, labels): one row per key with
+    its label under every setting (null: none).  The rows of all ``feature_sets`` meet the
+    labels once; sums of clusters and distances to them are products of matrices in the tasks."""
+
+    def __init__(self, rows: DataFrame, labels: DataFrame, feature_sets: Sequence[Sequence[str]], settings: int,
+                 key: str = "id", noise: int = -1):
+        spark = rows.sparkSession
+        ship_package(spark)
+        self.sizes, self.settings, self.noise = [len(f) for f in feature_sets], settings, noise
+        xs = [f"_x{k}" for k in range(len(feature_sets))]
+        for name, feats in zip(xs, feature_sets):
+            rows = _centred(rows, feats).withColumnRenamed("_x", name)
+        tasks = max(int(spark.conf.get("spark.sql.shuffle.partitions")), spark.sparkContext.defaultParallelism)
+        joined = rows.select(key, *xs).join(labels, key).repartition(tasks, key)
+        self.wide = cut_lineage(joined.select(*xs, "labels"))
+        self.sums = cut_lineage(self._sums())
+
+    def _sums(self) -> DataFrame:
+        """(_setting, _l, n, s and q of each feature set) of every cluster, noise included."""
+        sizes, settings = self.sizes, self.settings
+        cells = [f"{c}{k}" for k, size in enumerate(sizes) for c in (*[f"s{k}_{d}_" for d in range(size)], "q")]
+
+        def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for xs, labels, known in _some_rows(batches, sizes, settings, settings):
+                x = np.hstack([m for one in xs for m in (one, (one * one).sum(1)[:, None])])
+                for j in range(settings):
+                    rows = np.flatnonzero(known[:, j])
+                    if not len(rows):
+                        continue
+                    rows = rows[labels[rows, j].argsort(kind="stable")]
+                    mine = labels[rows, j]
+                    start = np.flatnonzero(np.r_[True, mine[1:] != mine[:-1]])
+                    total = np.add.reduceat(x[rows], start, 0)
+                    yield pa.record_batch([pa.array(np.full(len(start), j, np.int32)), pa.array(mine[start].astype(np.int64)),
+                                           pa.array(np.diff(np.r_[start, len(rows)])), *[pa.array(c) for c in total.T.copy()]],
+                                          names=["_setting", "_l", "n", *cells])
+
+        got = self.wide.mapInArrow(add, "_setting int, _l long, n long, " + ", ".join(f"{c} double" for c in cells))
+        got = got.groupBy("_setting", "_l").agg(F.sum("n").alias("n"), *[F.sum(c).alias(c) for c in cells])
+        return got.select("_setting", "_l", "n", *[c for k, size in enumerate(sizes) for c in (
+            F.array(*[f"s{k}_{d}_{k}" for d in range(size)]).alias(f"s{k}"), F.col(f"q{k}"))])
+
+    def _clusters(self) -> DataFrame:
+        return self.sums.where(F.col("_l") != self.noise)
+
+    def counts(self) -> DataFrame:
+        """(_setting, clusters, noise_pct) of every setting with rows."""
+        own = F.col("_l") == self.noise
+        return self.sums.groupBy("_setting").agg(
+            F.count_if(~own & (F.col("_l") >= 0)).alias("clusters"),
+            (F.sum(F.when(own, F.col("n")).otherwise(0)) / F.sum("n")).alias("noise_pct"))
+
+    def dispersion(self, k: int) -> DataFrame:
+        """(_setting, calinski_harabasz) by the feature set ``k``."""
+        s, q, size = f"s{k}", f"q{k}", self.sizes[k]
+        square = lambda c: F.aggregate(c, F.lit(0.0), lambda t, v: t + v * v)
+        spread = self._clusters().withColumn("b", square(s) / F.col("n")).groupBy("_setting").agg(
+            F.count(F.lit(1)).alias("k"), F.sum("n").alias("rows"), F.sum("b").alias("ssb"), F.sum(F.col(q) - F.col("b")).alias("ssw"),
+            square(F.array(*[F.sum(F.col(s)[d]) for d in range(size)])).alias("off"))
+        ssb = F.col("ssb") - F.col("off") / F.col("rows")  # the rows' own mean, noise left out
+        inner = F.col("ssw") / F.nullif(F.col("rows") - F.col("k"), F.lit(0))
+        return spread.select("_setting", F.when(F.col("k") >= 2, ssb / (F.col("k") - 1) / F.nullif(inner, F.lit(0.0)))
+                             .alias("calinski_harabasz"))
+
+    def silhouettes(self) -> DataFrame:
+        """(_setting, silhouette0, silhouette1, ... of the feature sets) of every setting with clusters."""
+        sizes = {r[0]: r[1] for r in self._clusters().groupBy("_setting").agg(F.count(F.lit(1))).collect()}  # a row per setting
+        room = BROADCAST_SUMS // (8 * (sum(self.sizes) + 3 * len(self.sizes)))
+        parts = [self._silhouettes(group) for group in _batched(sizes, room)] or [self._silhouettes([])]
+        out = parts[0]
+        for more in parts[1:]:
+            out = out.unionByName(more)
+        return out
+
+    def _silhouettes(self, group: list) -> DataFrame:
+        """Of some settings: a task holds the sums of all their clusters and finds its rows'
+        distances to them as a product of matrices."""
+        sizes, settings = self.sizes, self.settings
+        table: dict = {j: [] for j in group}
+        for r in self._clusters().where(F.col("_setting").isin(group)).collect():
+            table[r["_setting"]].append(r)
+        shipped = self.wide.sparkSession.sparkContext.broadcast([
+            (j, np.array([r["_l"] for r in mine], np.int64), np.array([r["n"] for r in mine], float),
+             [(np.array([r[f"s{k}"] for r in mine], float).reshape(-1, size), np.array([r[f"q{k}"] for r in mine], float))
+              for k, size in enumerate(sizes)])
+            for j in group for mine in [sorted(table[j], key=lambda r: r["_l"])]])
+        names = [f"{c}{k}" for k in range(len(sizes)) for c in "tk"]
+
+        def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            clusters = shipped.value
+            total, count = np.zeros((len(sizes), len(clusters))), np.zeros((len(sizes), len(clusters)), np.int64)
+            for xs, labels, known in _some_rows(batches, sizes, settings, max((len(c[1]) for c in clusters), default=1)):
+                squares, whole = [(x * x).sum(1) for x in xs], [~np.isnan(x).any(axis=1) for x in xs]
+                for at, (j, own, n, sums) in enumerate(clusters):
+                    if len(own) < 2:
+                        continue
+                    place = np.minimum(np.searchsorted(own, labels[:, j]), len(own) - 1)
+                    rows = np.flatnonzero(known[:, j] & (own[place] == labels[:, j]))  # without noise
+                    if not len(rows):
+                        continue
+                    mine = place[rows]
+                    members, turn = n[mine], np.arange(len(rows))
+                    for k, (s, q) in enumerate(sums):
+                        far = xs[k][rows] @ (-2 * s.T)
+                        far += squares[k][rows][:, None] * n
+                        far += q
+                        np.maximum(far, 0.0, out=far)
+                        with np.errstate(all="ignore"):
+                            a = far[turn, mine] / (members - 1)
+                            far /= n
+                            far[turn, mine] = np.inf
+                            b = np.fmin.reduce(far, axis=1)
+                            top = np.maximum(a, b)
+                            score = np.where((members <= 1) | (top == 0), 0.0, (b - a) / top)
+                        good = whole[k][rows]
+                        total[k, at] += score[good].sum()
+                        count[k, at] += good.sum()
+            yield pa.record_batch([pa.array([c[0] for c in clusters], pa.int32()),
+                                   *[pa.array(v[k]) for k in range(len(sizes)) for v in (total, count)]], names=["_setting", *names])
+
+        schema = "_setting int, " + ", ".join(f"t{k} double, k{k} long" for k in range(len(sizes)))
+        return self.wide.mapInArrow(add, schema).groupBy("_setting").agg(*[
+            (F.sum(f"t{k}") / F.nullif(F.sum(f"k{k}"), F.lit(0))).alias(f"silhouette{k}") for k in range(len(sizes))])
 
 
 def _batched(sizes: dict, most: int) -> list[list]:
@@ -305,59 +471,6 @@ def _batched(sizes: dict, most: int) -> list[list]:
     return out
 
 
-def _silhouettes(wide: DataFrame, sums: DataFrame, settings: list, size: int, setting: str, label: str) -> DataFrame:
-    """(setting, silhouette) of some settings: a task holds the sums of all their clusters and
-    finds its rows' distances to them as a product of matrices."""
-    table = sums.where(F.col(setting).isin(settings)).select(setting, "_l", "n", "s", "q").collect()
-    shipped = wide.sparkSession.sparkContext.broadcast([
-        (name, np.array([r["_l"] for r in mine], np.int64), np.array([r["n"] for r in mine], float),
-         np.array([r["s"] for r in mine], float).reshape(-1, size), np.array([r["q"] for r in mine], float))
-        for name in settings for mine in [sorted((r for r in table if r[setting] == name), key=lambda r: r["_l"])]])
-
-    def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        clusters = shipped.value
-        total, count = np.zeros(len(clusters)), np.zeros(len(clusters), np.int64)
-        for part, x in _matrices(batches, 0, size, max((len(c[1]) for c in clusters), default=1)):
-            if not len(x):
-                continue
-            held = part.column(1)
-            of = np.repeat(np.arange(len(x)), held.value_lengths().to_numpy(zero_copy_only=False))
-            flat = held.flatten()
-            names, labels = flat.field(0).to_pylist(), flat.field(1).to_numpy(zero_copy_only=False)
-            at: dict = {}
-            for k, name in enumerate(names):
-                at.setdefault(name, []).append(k)
-            square = (x * x).sum(1)
-            for j, (name, own, n, s, q) in enumerate(clusters):
-                mine = np.array(at.get(name, ()), np.int64)
-                place = np.searchsorted(own, labels[mine])
-                held_here = own[np.minimum(place, len(own) - 1)] == labels[mine] if len(own) else np.zeros(len(mine), bool)
-                mine, place = mine[held_here], place[held_here]  # without noise
-                if len(own) < 2 or not len(mine):
-                    continue
-                rows = of[mine]
-                far = np.maximum(square[rows][:, None] * n + q - 2 * x[rows] @ s.T, 0.0)
-                turn = np.arange(len(rows))
-                members = n[place]
-                with np.errstate(all="ignore"):
-                    a = far[turn, place] / (members - 1)
-                    far /= n
-                    far[turn, place] = np.inf
-                    b = np.fmin.reduce(far, axis=1)
-                    top = np.maximum(a, b)
-                    score = np.where((members <= 1) | (top == 0), 0.0, (b - a) / top)
-                known = ~np.isnan(x[rows]).any(axis=1)
-                total[j] += score[known].sum()
-                count[j] += known.sum()
-        yield pa.record_batch([pa.array([c[0] for c in clusters], kind), pa.array(total), pa.array(count)],
-                              names=[setting, "t", "k"])
-
-    kind = pa.string() if sums.schema[setting].dataType.simpleString() == "string" else pa.int64()
-    schema = f"{setting} {'string' if kind == pa.string() else 'long'}, t double, k long"
-    got = wide.select("_x", F.transform("_s", lambda c: F.struct(c[setting].alias("s"), c[label].cast("long").alias("l"))).alias("_s"))
-    return got.mapInArrow(add, schema).groupBy(setting).agg((F.sum("t") / F.nullif(F.sum("k"), F.lit(0))).alias("silhouette"))
-
-
 def cluster_summary(df: DataFrame, label: str) -> DataFrame:
     """Number of clusters (noise excluded) and noise share."""
     return df.agg(F.count_distinct(F.when(F.col(label) >= 0, F.col(label))).alias("clusters"),

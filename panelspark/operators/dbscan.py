@@ -118,6 +118,21 @@ def dbscan(df: DataFrame, eps: float, min_samples: int, id_col: str = "id", x: s
 def dbscan_many(df: DataFrame, epses: Sequence[float], min_samples: Sequence[int], id_col: str = "id", x: str = "x",
                 y: str = "y") -> DataFrame:
     """(eps, min_samples, id, label, is_core) of every row under every setting."""
+    each = _labelled(df, epses, min_samples, id_col, x, y).select("eps", "id", F.explode("at").alias("s"))
+    return each.select("eps", F.col("s.m").alias("min_samples"), F.col("id").alias(id_col), "s.label", "s.is_core")
+
+
+def dbscan_grid(df: DataFrame, epses: Sequence[float], min_samples: Sequence[int], id_col: str = "id", x: str = "x",
+                y: str = "y") -> DataFrame:
+    """(id, labels): one row per point with its labels under all settings, min_samples
+    by min_samples within eps by eps."""
+    each = _labelled(df, epses, min_samples, id_col, x, y).select("e", "id", F.col("at.label").alias("labels"))
+    per = each.groupBy("id").agg(F.sort_array(F.collect_list(F.struct("e", "labels"))).alias("s"))
+    return per.select(F.col("id").alias(id_col), F.flatten("s.labels").alias("labels"))
+
+
+def _labelled(df: DataFrame, epses: Sequence[float], min_samples: Sequence[int], id_col: str, x: str, y: str) -> DataFrame:
+    """(e, eps, id, at): every point under every ε, with (m, label, is_core) for each min_samples."""
     pts = _points(df, epses, id_col, x, y)
     cells = pts.groupBy("e", "cx", "cy").agg(F.count(F.lit(1)).alias("n"))
     # points of the 3×3 block around each cell
@@ -152,11 +167,25 @@ def dbscan_many(df: DataFrame, epses: Sequence[float], min_samples: Sequence[int
     named = ranks.join(F.broadcast(start), ["e", "m"]).select(  # a row per setting
         "e", "m", "component", (F.col("k") - F.col("k0")).cast("int").alias("label"))
     label = cut_lineage(parts.join(named, ["e", "m", "component"]).select("e", "m", "cx", "cy", "label"))
-    border = _border(each.where(~F.col("is_core") & (F.col("n3") < F.col("m"))), label, inside, pairs, min_samples, pts)
-    out = each.join(label, ["e", "m", "cx", "cy"], "left").join(border, ["e", "m", "id"], "left")
-    return out.select(
-        "eps", F.col("m").alias("min_samples"), F.col("id").alias(id_col),
-        F.coalesce(F.when(F.col("is_core"), F.col("label")), "border_label", F.lit(-1)).cast("int").alias("label"), "is_core")
+    # a label a column and min_samples: a point meets its cells once, not once a setting
+    least = [int(m) for m in min_samples]
+    ls = [f"l{k}" for k in range(len(least))]
+    label = cut_lineage(label.groupBy("e", "cx", "cy").agg(
+        *[F.min(F.when(F.col("m") == m, F.col("label"))).alias(c) for c, m in zip(ls, least)]))
+    block = label.select("e", F.explode(_offsets(1)).alias("o"), "cx", "cy", *ls).select(
+        "e", (F.col("cx") + F.col("o.a")).alias("cx"), (F.col("cy") + F.col("o.b")).alias("cy"), *ls).groupBy(
+        "e", "cx", "cy").agg(*[F.min(c).alias(f"near_{c}") for c in ls])
+    border = _border(label, ls, least, inside, pairs, pts).toDF("e", "id", *[f"border_{c}" for c in ls])
+    cell = ["e", "cx", "cy"]
+    out = pts.select("e", "eps", "id", "cx", "cy", "degree").join(label, cell, "left").join(block, cell, "left").join(
+        border, ["e", "id"], "left")
+
+    def at(c: str, m: int):
+        core = F.col("degree") >= F.lit(m)
+        found = F.when(core, F.col(c)).otherwise(F.least(f"near_{c}", f"border_{c}"))
+        return F.struct(F.lit(m).alias("m"), F.coalesce(found, F.lit(-1)).cast("int").alias("label"), core.alias("is_core"))
+
+    return out.select("e", "eps", "id", F.array(*[at(c, m) for c, m in zip(ls, least)]).alias("at"))
 
 
 def _offsets(ring: int):
@@ -234,17 +263,13 @@ def _settled(open_: DataFrame, nodes: DataFrame, cores: DataFrame) -> DataFrame
             "box", "sub", "next", *_box("")), ["box", "sub"]).select("x", "y", F.col("next").alias("box"), *_box("")))
 
 
-def _border(points: DataFrame, label: DataFrame, inside: DataFrame, pairs: DataFrame, min_samples: Sequence[int],
+def _border(label: DataFrame, ls: Sequence[str], least: Sequence[int], inside: DataFrame, pairs: DataFrame,
             pts: DataFrame) -> DataFrame:
-    """(e, m, id, border_label): the smallest label among the core points within ε of the
-    non-core ``points``, all of which are in sparse blocks."""
-    near = _cell(label, "m", "label")
-    here = points.select("e", "m", "id", F.explode(_offsets(1)).alias("o"), "cx", "cy").select(
-        "e", "m", "id", (F.col("cx") + F.col("o.a")).alias("ncx"), (F.col("cy") + F.col("o.b")).alias("ncy"))
-    ids = points.select("e", "m", "id")
-    there = inside.join(ids, ["e", "id"])
-    whole = here.unionByName(there.select(*here.columns)).join(near, ["e", "m", "ncx", "ncy"]).select("e", "m", "id", "label")
+    """(e, id, a column for each of ``ls``): the smallest label among the core points within ε
+    of the points in sparse blocks, and outside these blocks."""
+    near = _cell(label, *ls)
+    there = inside.join(near, ["e", "ncx", "ncy"]).select("e", "id", *ls)
     degree = pts.select("e", F.col("id").alias("oid"), F.col("degree").alias("od"))
-    single = (pairs.join(ids, ["e", "id"]).join(degree, ["e", "oid"]).where("od >= m").join(near, ["e", "m", "ncx", "ncy"])
-              .select("e", "m", "id", "label"))
-    return whole.unionByName(single).groupBy("e", "m", "id").agg(F.min("label").alias("border_label"))
+    single = pairs.join(degree, ["e", "oid"]).where(F.col("od") >= min(least)).join(near, ["e", "ncx", "ncy"]).select(
+        "e", "id", *[F.when(F.col("od") >= m, F.col(c)).alias(c) for c, m in zip(ls, least)])
+    return there.unionByName(single).groupBy("e", "id").agg(*[F.min(c).alias(c) for c in ls])

@@ -4,6 +4,7 @@ assignments, ANOVA of the held-out outcome and cluster profiles."""
 
 from __future__ import annotations
 
+import itertools
 from collections.abc import Sequence
 from dataclasses import dataclass
 
@@ -12,7 +13,7 @@ from pyspark.sql import functions as F
 
 from panelspark.operators import cluster as CL
 from panelspark.operators.clean import null_sentinels, numeric_columns
-from panelspark.operators.dbscan import dbscan_many
+from panelspark.operators.dbscan import dbscan_grid
 from panelspark.operators.features import MedianImputer, Standardiser
 from panelspark.operators.windows import ordinal
 from panelspark.session import cut_lineage
@@ -44,24 +45,20 @@ class Search:
     labels: DataFrame
 
 
-def _searched(emb: DataFrame, labels: DataFrame, method: str, scaled: Sequence[str], dispersion: bool,
+def _searched(emb: DataFrame, labels: DataFrame, settings: DataFrame, method: str, scaled: Sequence[str], dispersion: bool,
               order: Sequence[Column]) -> Search:
-    """One row per setting of ``labels`` (params, id, cluster); the first in ``order`` is chosen."""
-    table = labels.groupBy("params").agg(
-        F.count_distinct(F.when(F.col("cluster") >= 0, F.col("cluster"))).alias("clusters"),
-        F.avg((F.col("cluster") == -1).cast("double")).alias("noise_pct"))
-    for feats, name in ((["pca_1", "pca_2"], "silhouette_embedding"), (scaled, "silhouette_scaled_features")):
-        scores = CL.search_scores(emb, labels, feats).withColumnRenamed("silhouette", name)
-        if not (dispersion and feats is scaled):
-            scores = scores.drop("calinski_harabasz")
-        table = table.join(scores, "params", "left")
-    if not dispersion:
-        table = table.withColumn("calinski_harabasz", F.lit(None).cast("double"))
-    table = cut_lineage(table.select(F.lit(method).alias("method"), "params", "clusters", "noise_pct", "silhouette_embedding",
-                                     "silhouette_scaled_features", "calinski_harabasz"))
+    """One row per setting of ``settings`` (_setting, params), whose number is its place in
+    ``labels`` (id, labels); the first in ``order`` is chosen."""
+    scores = CL.GridScores(emb, labels, [["pca_1", "pca_2"], scaled], settings.count())
+    table = settings.join(scores.counts(), "_setting").join(scores.silhouettes(), "_setting", "left")
+    table = table.join(scores.dispersion(1), "_setting", "left") if dispersion else table.withColumn(
+        "calinski_harabasz", F.lit(None).cast("double"))
+    table = cut_lineage(table.select("_setting", F.lit(method).alias("method"), "params", "clusters", "noise_pct",
+                                     F.col("silhouette0").alias("silhouette_embedding"),
+                                     F.col("silhouette1").alias("silhouette_scaled_features"), "calinski_harabasz"))
     best = table.orderBy(*order, "params").limit(1)  # one row per setting: the choice is a top-1
-    chosen = best.first()["params"]
-    return Search(table, best, labels.where(F.col("params") == chosen).select("id", "cluster"))
+    chosen = best.first()["_setting"]
+    return Search(table.drop("_setting"), best.drop("_setting"), labels.select("id", F.col("labels")[chosen].alias("cluster")))
 
 
 def search_dbscan(emb: DataFrame, scaled_feats: Sequence[str], eps_grid: Sequence[float],
@@ -71,11 +68,14 @@ def search_dbscan(emb: DataFrame, scaled_feats: Sequence[str], eps_grid: Sequenc
     setting with 2 to 12 clusters goes before others, there the better pair
     of silhouettes; among the others more clusters, then less noise.  All
     settings run in the jobs of one."""
+    eps_grid, min_grid = list(dict.fromkeys(map(float, eps_grid))), list(dict.fromkeys(map(int, min_grid)))
     params = F.concat(F.lit("eps="), F.col("eps").cast("string"), F.lit(", min_samples="), F.col("min_samples").cast("string"))
-    labels = cut_lineage(dbscan_many(emb, eps_grid, min_grid, "id", "pca_1", "pca_2").select(
-        params.alias("params"), "id", F.col("label").alias("cluster")))
+    settings = emb.sparkSession.createDataFrame(
+        [(k, e, m) for k, (e, m) in enumerate(itertools.product(eps_grid, min_grid))],
+        "_setting int, eps double, min_samples int").select("_setting", params.alias("params"))
+    labels = cut_lineage(dbscan_grid(emb, eps_grid, min_grid, "id", "pca_1", "pca_2"))
     fits = F.col("clusters").between(2, 12)
-    return _searched(emb, labels, "DBSCAN", scaled_feats, False, [
+    return _searched(emb, labels, settings, "DBSCAN", scaled_feats, False, [
         fits.desc(), F.when(fits, F.col("silhouette_embedding")).desc_nulls_last(),
         F.when(fits, F.col("silhouette_scaled_features")).desc_nulls_last(),
         F.when(~fits, F.col("clusters")).desc_nulls_last(), F.when(~fits, F.col("noise_pct")).asc_nulls_last()])
@@ -85,10 +85,8 @@ def search_kmeans(x: DataFrame, feats: Sequence[str], ks: Sequence[int], restart
                   seed: int = 42) -> Search:
     """K05 + K06: k-means per k (best of ``restarts`` seeds); silhouettes
     and Calinski–Harabasz; the best silhouette on scaled features is chosen."""
+    ks = list(dict.fromkeys(ks))
     best = CL.kmeans_many(x, feats, ks, restarts, seed)
-    rows = x
-    for k in ks:
-        rows = CL.assigned(rows, feats, best[k][0], f"_k{k}")
-    each = F.explode(F.array(*[F.struct(F.lit(f"k={k}").alias("params"), F.col(f"_k{k}").alias("cluster")) for k in ks]))
-    labels = cut_lineage(rows.select("id", each.alias("s")).select("s.params", "id", "s.cluster"))
-    return _searched(x, labels, "KMeans", feats, True, [F.col("silhouette_scaled_features").desc_nulls_last()])
+    labels = cut_lineage(CL.assigned_all(x, feats, [best[k][0] for k in ks]))
+    settings = x.sparkSession.createDataFrame([(j, f"k={k}") for j, k in enumerate(ks)], "_setting int, params string")
+    return _searched(x, labels, settings, "KMeans", feats, True, [F.col("silhouette_scaled_features").desc_nulls_last()])

@@ -6,6 +6,7 @@ import numpy as np
 import pytest
 
 from panelspark.operators.components import connected_components
+from panelspark.operators import dbscan as DB
 from panelspark.operators.dbscan import dbscan, dbscan_many, eps_degree
 from panelspark.operators.knn import knn_impute
 
@@ -219,3 +220,17 @@ def test_components_of_stars_take_no_round(spark, monkeypatch):
     chain = spark.createDataFrame([(k, k + 1) for k in range(40)], "src long, dst long")
     assert {r.component for r in components.connected_components(spark.range(41), chain).collect()} == {0}
     assert len(cuts) < 12
+
+
+def test_a_search_has_a_row_per_point(spark):
+    """All settings' labels in one row, equal to the settings one by one."""
+    rng = np.random.default_rng(12)
+    made = [(k, float(a), float(b)) for k, (a, b) in enumerate(np.r_[rng.normal(0, 0.1, (60, 2)), rng.uniform(-1, 1, (60, 2))])]
+    df = spark.createDataFrame(made, "id long, x double, y double")
+    epses, least = [0.08, 0.2], [3, 6, 12]
+    grid = DB.dbscan_grid(df, epses, least)
+    assert grid.dtypes == [("id", "bigint"), ("labels", "array<int>")]
+    got = {r.id: list(r.labels) for r in grid.collect()}
+    assert len(got) == 120
+    for k, (e, m) in enumerate((e, m) for e in epses for m in least):
+        assert {i: v[k] for i, v in got.items()} == {r.id: r.label for r in dbscan(df, e, m).collect()}

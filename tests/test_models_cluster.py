@@ -311,3 +311,26 @@ def test_the_panel_is_built_once_per_query(spark, monkeypatch):
     monkeypatch.setattr(unsupervised.MedianImputer, "fit", lambda self, df: learned.append(df.inputFiles()) or fit(self, df))
     unsupervised.cross_section(panel)
     assert learned == [[]]
+
+
+def test_a_search_reads_its_rows_once_for_all_settings(spark, blobs):
+    """Labels of all sets of centres, and scores of two sets of features, come from matrices."""
+    df = blobs[0].select(F.xxhash64("x", "y", "z").alias("id"), "x", "y", "z").dropDuplicates(["id"])
+    sets = [np.array([[0.0, 0, 0], [0, 0, 0], [5, 5, 5]]), np.array([[1.0, 2, 3], [4, 4, 4]])]
+    labels = CL.assigned_all(df, ["x", "y", "z"], sets).cache()
+    assert "MapInArrow" in labels._jdf.queryExecution().executedPlan().toString()
+    got = {r.id: list(r.labels) for r in labels.collect()}
+    for k, centres in enumerate(sets):
+        assert {r.id: r.c for r in CL.assigned(df, ["x", "y", "z"], centres, "c").collect()} == {i: v[k] for i, v in got.items()}
+    labels = labels.select("id", F.concat("labels", F.array(F.when(F.pmod("id", F.lit(3)) > 0, F.lit(-1)).otherwise(0))).alias("labels"))
+    scores = CL.GridScores(df, labels, [["x", "y"], ["x", "y", "z"]], 3)
+    counts = {r._setting: r for r in scores.counts().collect()}
+    away = sum(i % 3 > 0 for i in got) / len(got)
+    assert [counts[k].clusters for k in range(3)] == [len({v[0] for v in got.values()}), len({v[1] for v in got.values()}), 1]
+    assert [counts[k].noise_pct for k in range(3)] == [0.0, 0.0, pytest.approx(away)]
+    found = {r._setting: r for r in scores.silhouettes().collect()}
+    for k in range(2):
+        each = df.join(labels.select("id", F.col("labels")[k].alias("c")), "id")
+        for f, feats in enumerate((["x", "y"], ["x", "y", "z"])):
+            assert found[k][f"silhouette{f}"] == pytest.approx(CL.silhouette(each, feats, "c").first().silhouette)
+    assert found[2].silhouette0 is None
